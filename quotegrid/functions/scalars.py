@@ -39,6 +39,13 @@ def percent_of(part: Column, whole: Column, scale: int = 2) -> Column:
     return F.round(F.try_divide(part, whole) * 100, scale)
 
 
+def mean(col: str, scale: int = 4) -> Column:
+    """Average rounded half up, summed in decimals: the same for any order of the rows."""
+    total = F.sum(F.col(col).cast("decimal(24,8)"))
+    rows = F.count(col).cast("decimal(14,0)")
+    return F.round(F.try_divide(total, rows), scale).cast("double")
+
+
 def moment(as_of: str | dt.datetime | None = None) -> Column:
     """The given instant, or the start time of the query."""
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotegrid.functions.scalars import percent_of
+from quotegrid.functions.scalars import mean, percent_of
 from quotegrid.operators.latest import first_per_key
 from quotegrid.operators.quantiles import QUARTILES, approx_quantile, exact_quantiles
 from quotegrid.reference_data import DEFAULT_PRICE_TYPE, EDGE_TIER
@@ -40,7 +40,7 @@ def index_universe(
 def moments() -> list[Column]:
     """Fixed-size aggregates, all combined before the shuffle."""
     return [
-        F.round(F.avg(PRICE), 4).alias("index_mean"),
+        mean(PRICE).alias("index_mean"),
         F.round(F.stddev(PRICE), 4).alias("index_stddev"),
         F.round(F.min(PRICE), 4).alias("price_floor"),
         F.round(F.max(PRICE), 4).alias("price_ceiling"),
@@ -79,7 +79,7 @@ def provider_summary(
     """Median, mean and sample size per group and provider."""
     keys = [*keys, "provider"]
     plain = [
-        F.round(F.avg(PRICE), 4).alias("provider_mean"),
+        mean(PRICE).alias("provider_mean"),
         F.count("*").alias("sample_size"),
     ]
     columns = [*keys, "provider_median", "provider_mean", "sample_size"]

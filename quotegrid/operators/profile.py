@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quotegrid.operators.latest import QUOTE_KEYS
+from quotegrid.functions.scalars import mean
+from quotegrid.operators.latest import QUOTE_KEYS, latest_per_key
 from quotegrid.operators.quality import accepted
 from quotegrid.reference_data import DEFAULT_PRICE_TYPE
 from quotegrid.schemas import RAW_ONLY
@@ -45,38 +46,23 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def layer_counts(bronze: DataFrame, keys: Sequence[str] = QUOTE_KEYS) -> DataFrame:
-    """Rows before and after the dedupe and after the gate, in one pass and one shuffle.
-
-    The newest row of a key is the minimum of (age, price, ...), the order of
-    ``latest_per_key``, so it is found together with the key's row count.
-    """
-    bronze = bronze.drop(*RAW_ONLY)
-    age = -F.unix_micros(F.col("ingested_at").cast("timestamp"))
-    rest = [c for c in bronze.columns if c not in [*keys, "ingested_at", "price_per_hour"]]
-    order = [age.isNull().alias("_no_age"), age.alias("_age")]
-    for c in ["price_per_hour", *rest]:
-        order += [F.col(c).isNull().alias(f"_no_{c}"), F.col(c)]
-    per_key = bronze.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.min(F.struct(*order)).alias("_newest")
-    )
-    checked = per_key.select("_n", "_newest.*").withColumn(
-        "_ok", F.coalesce(accepted(), F.lit(False))
-    )
-    return checked.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("bronze_rows"),
+    """Rows before the dedupe, after it and after the quality gate."""
+    newest = latest_per_key(bronze.drop(*RAW_ONLY), keys)
+    all_rows = bronze.agg(F.count("*")).scalar()
+    return newest.agg(
         F.count("*").alias("deduped_rows"),
-        F.count_if("_ok").alias("clean_rows"),
-    )
+        F.count_if(F.coalesce(accepted(), F.lit(False))).alias("clean_rows"),
+    ).select(all_rows.alias("bronze_rows"), "deduped_rows", "clean_rows")
 
 
 def tier_summary(silver: DataFrame, price_type: str = DEFAULT_PRICE_TYPE) -> DataFrame:
     """Average prices and row count per tier; the adjusted price only if Silver has it."""
     averages = [
-        F.round(F.avg("price_per_hour"), 4).alias("avg_price_per_hour"),
-        F.round(F.avg("unit_price"), 4).alias("avg_unit_price"),
+        mean("price_per_hour").alias("avg_price_per_hour"),
+        mean("unit_price").alias("avg_unit_price"),
     ]
     if "price_per_perf_unit" in silver.columns:
-        averages.append(F.round(F.avg("price_per_perf_unit"), 4).alias("avg_perf_price"))
+        averages.append(mean("price_per_perf_unit").alias("avg_perf_price"))
     return (
         silver.where(F.col("price_type") == price_type)
         .groupBy("tier")

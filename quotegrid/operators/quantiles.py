@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 QUARTILES = {"index_p25": 0.25, "index_median": 0.5, "index_p75": 0.75}
 TICKS_PER_UNIT = 10_000
+MAX_TICKS = 9e18
 LEADING_DIGITS = 3
 
 
@@ -25,14 +26,16 @@ def value_range(value: Column) -> Column:
     It is made of the digit count and the leading digits of the value in ticks of 1/10,000,
     so one range covers less than 1 % of its values' size.
     """
-    ticks = F.floor(value * TICKS_PER_UNIT)
+    ticks = F.floor(F.least(F.greatest(value * TICKS_PER_UNIT, F.lit(-MAX_TICKS)), F.lit(MAX_TICKS)))
     digits = F.abs(ticks).cast("string")
     size = F.length(digits) * 10**LEADING_DIGITS + F.substring(digits, 1, LEADING_DIGITS).cast(
         "int"
     )
-    return F.when(F.isnan(value), 10 ** (LEADING_DIGITS + 2)).otherwise(
-        F.when(ticks < 0, -size).otherwise(size)
-    )
+    signed = F.when(ticks < 0, -size).otherwise(size)
+    largest = 10 ** (LEADING_DIGITS + 2)
+    # Known as never null, the range needs no null check as a join key, and Spark can then
+    # use one histogram shuffle for both of its readers.
+    return F.coalesce(F.when(F.isnan(value), largest).otherwise(signed), F.lit(0))
 
 
 def exact_quantiles(

@@ -4,25 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotegrid.operators.latest import QUOTE_KEYS, latest_per_key
 
 
-def month_end_quotes(bronze: DataFrame, keys: Sequence[str] = QUOTE_KEYS) -> DataFrame:
+def month_end_quotes(
+    bronze: DataFrame, keys: Sequence[str] = QUOTE_KEYS, last: Column | None = None
+) -> DataFrame:
     """For each month end the latest row per key known by then, as ``index_month``.
 
     This is what a run at each month end would have deduped. The latest row per key and
     month stands until the key's next month with a quote, so it is repeated for the months
-    in between; a key has at most one row per month whatever its number of quotes.
+    in between; a key has at most one row per month whatever its number of quotes. The
+    series ends in the month of ``last``, by default the newest time in ``bronze``.
     """
     monthly = latest_per_key(
         bronze.withColumn("_month", F.trunc("ingested_at", "month")), [*keys, "_month"]
     )
-    last_month = monthly.agg(F.max("_month")).scalar()
+    last = bronze.agg(F.max("ingested_at")).scalar() if last is None else last
     following = F.lead("_month").over(Window.partitionBy(*keys).orderBy("_month"))
-    until = F.coalesce(F.add_months(following, -1), last_month)
+    until = F.coalesce(F.add_months(following, -1), F.trunc(last, "month"))
     each_month = F.sequence("_month", "_until", F.expr("interval 1 month"))
     return (
         monthly.withColumn("_until", until)
@@ -32,15 +35,13 @@ def month_end_quotes(bronze: DataFrame, keys: Sequence[str] = QUOTE_KEYS) -> Dat
 
 
 def month_end_index(
-    bronze: DataFrame,
-    to_silver: Callable[[DataFrame], DataFrame],
-    index: Callable[[DataFrame, Sequence[str]], DataFrame],
+    quotes: DataFrame, index: Callable[[DataFrame, Sequence[str]], DataFrame]
 ) -> DataFrame:
     """Index rows of every month end, dated with the last day of the month.
 
-    ``to_silver`` cleans already deduped rows and ``index`` aggregates them by the keys.
+    ``quotes`` are clean ``month_end_quotes``, which ``index`` aggregates by the given keys.
     """
-    rows = index(to_silver(month_end_quotes(bronze)), ["index_month", "tier"])
+    rows = index(quotes, ["index_month", "tier"])
     date = F.last_day("index_month")
     return rows.withColumns(
         {"index_date": date, "index_timestamp": date.cast("timestamp_ntz")}

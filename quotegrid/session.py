@@ -11,9 +11,11 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: str = "8", app: str = "quotegrid", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: str = "8", app: str = "quotegrid", partitions: int = 8, **conf: str
+) -> SparkSession:
     """A session for tests and single-node benches; clusters bring their own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -21,8 +23,10 @@ def local_session(cores: str = "8", app: str = "quotegrid", partitions: int = 8)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", os.environ.get("QUOTEGRID_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
     )
+    for key, value in conf.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
+from quotegrid.session import work_dir
+
 
 def is_path(target: str) -> bool:
     return "/" in target
@@ -43,6 +45,17 @@ def overwrite(df: DataFrame, target: str) -> None:
     _save(df.write.mode("overwrite"), target)
 
 
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to the shared folder and read from there.
+
+    For a costly result that several branches of a plan read: it ends the lineage, and
+    neither the branches nor a repeated task compute it again.
+    """
+    target = f"{work_dir(df.sparkSession, purpose)}/rows"
+    overwrite(df, target)
+    return read(df.sparkSession, target, df.schema)
+
+
 def write_snapshot(df: DataFrame, target: str, mode: str = "append") -> None:
     """Add one index snapshot, stored by ``index_date``.
 

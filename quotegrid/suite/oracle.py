@@ -17,6 +17,10 @@ def dec(expr: str, scale: int = 4) -> str:
     return f"cast(round({digits}, {scale}) as double)"
 
 
+def mean(col: str) -> str:
+    return dec(f"sum(cast({col} as decimal(24,8))) / count({col})")
+
+
 def names(values: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
@@ -67,7 +71,7 @@ def silver(source: str = "latest", extra: str = "") -> str:
 UNIVERSE = "universe AS (SELECT * FROM silver WHERE price_type = 'on_demand' AND tier <> 'Edge')"
 BASE = (QUOTES, newest("quotes"), silver(), UNIVERSE)
 
-MOMENTS = f"""{dec("avg(unit_price)")} AS index_mean,
+MOMENTS = f"""{mean("unit_price")} AS index_mean,
     {dec("stddev_samp(unit_price)")} AS index_stddev,
     {dec("min(unit_price)")} AS price_floor, {dec("max(unit_price)")} AS price_ceiling,
     count(*) AS sample_size"""
@@ -83,7 +87,7 @@ def index_cte(keys: str = "tier") -> str:
 def summary_cte(keys: str = "tier") -> str:
     return f"""summary AS (
   SELECT {keys}, provider, quantile_disc(unit_price, 0.5) AS provider_median,
-    {dec("avg(unit_price)")} AS provider_mean, count(*) AS sample_size
+    {mean("unit_price")} AS provider_mean, count(*) AS sample_size
   FROM universe GROUP BY {keys}, provider)"""
 
 
@@ -291,9 +295,9 @@ ORACLE_SQL = {
       (SELECT count(*) FROM latest) AS deduped_rows,
       (SELECT count(*) FROM latest WHERE {OK}) AS clean_rows""",
     "q19_tier_summary": with_(*BASE, weighted())
-    + f"""SELECT tier, {dec("avg(price_per_hour)")} AS avg_price_per_hour,
-      {dec("avg(unit_price)")} AS avg_unit_price,
-      {dec("avg(price_per_perf_unit)")} AS avg_perf_price, count(*) AS n
+    + f"""SELECT tier, {mean("price_per_hour")} AS avg_price_per_hour,
+      {mean("unit_price")} AS avg_unit_price,
+      {mean("price_per_perf_unit")} AS avg_perf_price, count(*) AS n
     FROM weighted WHERE price_type = 'on_demand' GROUP BY tier""",
     "q20_perf_adjusted": with_(*BASE, weighted()) + "SELECT * FROM weighted",
     "q21_dispersion_iqr": with_(*BASE, index_cte())

@@ -54,23 +54,25 @@ def silver(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.index_universe(silver(spark, sf_dir))
+    """The index universe of a written Silver table, which the Gold branches read."""
+    return index.index_universe(tables.settle(silver(spark, sf_dir), "silver"))
 
 
 def gold(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return build_gold(silver(spark, sf_dir), b.PROVIDERS, as_of=RUN_TIME, **options)
+    written = tables.settle(silver(spark, sf_dir), "silver")
+    return build_gold(written, b.PROVIDERS, as_of=RUN_TIME, **options)
 
 
 def month_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quotes' index at every month end."""
-
-    def to_silver(rows: DataFrame) -> DataFrame:
-        return units.normalise_units(quality.quality_gate(rows), b.BRAND_UNITS)
-
-    def rows(clean: DataFrame, keys) -> DataFrame:
-        return index_rows(index.index_universe(clean), b.PROVIDERS, keys=keys)
-
-    return series.month_end_index(b.quotes(spark, sf_dir), to_silver, rows)
+    newest = b.table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate")).scalar()
+    standing = series.month_end_quotes(b.quotes(spark, sf_dir), last=newest)
+    clean = units.normalise_units(quality.quality_gate(standing), b.BRAND_UNITS)
+    on_demand = index.index_universe(clean).drop("product_name", "currency", "source_file")
+    settled = tables.settle(on_demand, "standing")
+    return series.month_end_index(
+        settled, lambda rows, keys: index_rows(rows, b.PROVIDERS, keys=keys)
+    )
 
 
 SERIES_COLUMNS = ["index_date", "tier", "index_median", "index_mean", "sample_size", "spread_pct"]
@@ -93,7 +95,7 @@ def q03_provider_spread(spark, sf_dir):
 
 @register
 def q04_best_value(spark, sf_dir):
-    return index.best_value(universe(spark, sf_dir))
+    return index.best_value(index.index_universe(silver(spark, sf_dir)))
 
 
 @register
@@ -350,7 +352,9 @@ def q30_stream_quarantine(spark, sf_dir):
 
 @register
 def q31_approx_index(spark, sf_dir):
-    return gold(spark, sf_dir, approx=True).drop(*CLOCK_COLUMNS)
+    # One shuffle reads Silver once, so nothing is gained by writing it first.
+    rows = build_gold(silver(spark, sf_dir), b.PROVIDERS, as_of=RUN_TIME, approx=True)
+    return rows.drop(*CLOCK_COLUMNS)
 
 
 @register
