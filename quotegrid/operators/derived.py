@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotegrid.functions.scalars import percent_of
@@ -27,8 +27,6 @@ def tier_premium(
     scale: int = 2,
 ) -> DataFrame:
     """Add ``premium``: each tier's median over that of ``base_tier`` in the same snapshot."""
-    base_rows = gold.where(F.col("tier") == base_tier)
-    base = base_rows.groupBy(*by).agg(F.max("index_median").alias("_base"))
-    joined = gold.join(base, list(by), "left")
-    ratio = F.round(F.try_divide(F.col("index_median"), F.col("_base")), scale)
-    return joined.withColumn("premium", ratio).drop("_base")
+    base_median = F.max(F.when(F.col("tier") == base_tier, F.col("index_median")))
+    ratio = F.try_divide(F.col("index_median"), base_median.over(Window.partitionBy(*by)))
+    return gold.withColumn("premium", F.round(ratio, scale))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotegrid.functions.scalars import mean, percent_of
+from quotegrid.operators.joins import join_groups
 from quotegrid.operators.latest import first_per_key
 from quotegrid.operators.quantiles import QUARTILES, approx_quantile, exact_quantiles
 from quotegrid.reference_data import DEFAULT_PRICE_TYPE, EDGE_TIER
@@ -67,7 +68,7 @@ def tier_index(
         return universe.groupBy(*keys).agg(*sketches, *moments()).select(*keys, *INDEX_COLUMNS)
     quantiles = exact_quantiles(universe, keys, PRICE, QUARTILES)
     summary = universe.groupBy(*keys).agg(*moments())
-    return summary.join(quantiles, keys, "left").select(*keys, *INDEX_COLUMNS)
+    return join_groups(summary, quantiles, keys).select(*keys, *INDEX_COLUMNS)
 
 
 def provider_summary(
@@ -87,7 +88,8 @@ def provider_summary(
         sketch = approx_quantile(PRICE, 0.5, accuracy).alias("provider_median")
         return universe.groupBy(*keys).agg(sketch, *plain).select(*columns)
     medians = exact_quantiles(universe, keys, PRICE, {"provider_median": 0.5})
-    return universe.groupBy(*keys).agg(*plain).join(medians, keys, "left").select(*columns)
+    summary = universe.groupBy(*keys).agg(*plain)
+    return join_groups(summary, medians, keys).select(*columns)
 
 
 def median_column(provider: str) -> str:

@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotegrid.operators.joins import join_groups
+
 QUARTILES = {"index_p25": 0.25, "index_median": 0.5, "index_p75": 0.75}
 TICKS_PER_UNIT = 10_000
 MAX_TICKS = 9e18
@@ -33,9 +35,7 @@ def value_range(value: Column) -> Column:
     )
     signed = F.when(ticks < 0, -size).otherwise(size)
     largest = 10 ** (LEADING_DIGITS + 2)
-    # Known as never null, the range needs no null check as a join key, and Spark can then
-    # use one histogram shuffle for both of its readers.
-    return F.coalesce(F.when(F.isnan(value), largest).otherwise(signed), F.lit(0))
+    return F.when(F.isnan(value), largest).otherwise(signed)
 
 
 def exact_quantiles(
@@ -81,7 +81,7 @@ def exact_quantiles(
     )
 
     in_range = Window.partitionBy(*keys, "_range").orderBy("_value")
-    ordered = histogram.join(ranges, [*keys, "_range"]).withColumn(
+    ordered = join_groups(histogram, ranges, [*keys, "_range"], "inner").withColumn(
         "_upto",
         F.col("_before")
         + F.sum("_n").over(in_range.rowsBetween(Window.unboundedPreceding, 0)),

@@ -21,6 +21,7 @@ from quotegrid.operators.index import (
     spread_columns,
     with_spreads,
 )
+from quotegrid.operators.joins import join_groups
 from quotegrid.operators.quantiles import QUARTILES, approx_quantile, exact_quantiles
 from quotegrid.reference_data import EDGE_TIER, PROVIDERS
 
@@ -37,7 +38,7 @@ def assemble_gold(
     index: DataFrame, spread: DataFrame, best: DataFrame, keys: Sequence[str] = ("tier",)
 ) -> DataFrame:
     """Left joins of the three per-tier results."""
-    return index.join(spread, list(keys), "left").join(best, list(keys), "left")
+    return join_groups(join_groups(index, spread, keys), best, keys)
 
 
 def _gold_columns(keys: Sequence[str], providers: Sequence[str], base: str) -> list[str]:
@@ -99,7 +100,8 @@ def index_rows(
         *[in_scope(i, "index_median", median_column(p)) for i, p in enumerate(providers, 1)],
     )
     summary = universe.groupBy(*keys).agg(*moments())
-    rows = summary.join(quantiles, keys, "left").join(best_value(universe, keys), keys, "left")
+    rows = join_groups(summary, quantiles, keys)
+    rows = join_groups(rows, best_value(universe, keys), keys)
     return with_spreads(rows, providers, base).select(*columns)
 
 

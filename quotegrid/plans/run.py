@@ -9,8 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from quotegrid import reference_data as ref
+from quotegrid.operators.quality import quality_gate
 from quotegrid.plans.gold import build_gold
-from quotegrid.plans.silver import build_silver
+from quotegrid.plans.silver import advance_latest, build_silver, silver_rows
 from quotegrid.schemas import (
     BRONZE,
     CATALOG_A_PRODUCTS,
@@ -19,13 +20,24 @@ from quotegrid.schemas import (
 )
 from quotegrid.sources.catalogs import flatten_pages, flatten_terms
 from quotegrid.sources.landing import land
-from quotegrid.sources.tables import ensure_database, is_path, overwrite, read, write_snapshot
+from quotegrid.sources.tables import (
+    ensure_database,
+    is_path,
+    overwrite,
+    read,
+    settle,
+    write_snapshot,
+)
 from quotegrid.streaming.bronze import drain, split_corrupt, stream_landing
 
 
 @dataclass(frozen=True)
 class Paths:
-    """Where a run reads and writes; each table is a folder or a catalogue name."""
+    """Where a run reads and writes; each table is a folder or a catalogue name.
+
+    With ``latest`` a run keeps the latest rows there and reads only newly loaded ones;
+    without it each run dedupes the whole of Bronze.
+    """
 
     products: str
     terms: str
@@ -35,6 +47,7 @@ class Paths:
     bronze: str
     silver: str
     gold: str
+    latest: str | None = None
     region_a: str = "us-east-1"
     regions_b: Sequence[str] = tuple(ref.B_REGIONS)
 
@@ -47,7 +60,8 @@ def land_catalogs(spark: SparkSession, paths: Paths) -> None:
         paths.region_a,
     )
     rows_b = flatten_pages(spark.read.schema(CATALOG_B_PAGE).json(paths.pages), paths.regions_b)
-    land(rows_a, f"{paths.landing}/{ref.PROVIDER_A.lower()}")
+    # The guard against an empty batch must not run the join a second time.
+    land(settle(rows_a, "catalog"), f"{paths.landing}/{ref.PROVIDER_A.lower()}")
     land(rows_b, f"{paths.landing}/{ref.PROVIDER_B.lower()}")
 
 
@@ -68,7 +82,12 @@ def run(
             ensure_database(spark, table.rsplit(".", 1)[0])
     land_catalogs(spark, paths)
     drain(stream_landing(spark, paths.landing), paths.bronze, paths.checkpoint)
-    overwrite(build_silver(good_bronze(spark, paths), as_of=as_of), paths.silver)
+    bronze = good_bronze(spark, paths)
+    if paths.latest:
+        silver = silver_rows(quality_gate(advance_latest(bronze, paths.latest)), as_of=as_of)
+    else:
+        silver = build_silver(bronze, as_of=as_of)
+    overwrite(silver, paths.silver)
     gold = build_gold(read(spark, paths.silver), as_of=as_of)
     write_snapshot(gold, paths.gold, snapshot_mode)
 

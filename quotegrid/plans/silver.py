@@ -6,13 +6,15 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotegrid.functions.scalars import moment
-from quotegrid.operators.latest import latest_per_key
+from quotegrid.operators.latest import latest_per_key, refresh_latest
 from quotegrid.operators.quality import quality_gate
 from quotegrid.operators.units import normalise_units, perf_adjust
 from quotegrid.reference_data import SKU_PREFIX, UNITS_PER_INSTANCE
 from quotegrid.schemas import PERF_COLUMNS, RAW_ONLY, SILVER
+from quotegrid.sources.tables import exists, overwrite, read, settle
 
 
 def current_quotes(bronze: DataFrame, filter_first: bool = False) -> DataFrame:
@@ -27,6 +29,26 @@ def current_quotes(bronze: DataFrame, filter_first: bool = False) -> DataFrame:
     return quality_gate(latest_per_key(raw))
 
 
+def advance_latest(bronze: DataFrame, target: str) -> DataFrame:
+    """Latest rows per key kept in ``target``, brought up to date with ``bronze``.
+
+    Only rows loaded since the newest kept one are read; a load has one time, so whole files
+    are skipped by their statistics. Merging a load twice changes nothing. The times come
+    from the loader's clock, which must not run backwards. The first call reads all rows.
+    """
+    spark, raw = bronze.sparkSession, bronze.drop(*RAW_ONLY)
+    if exists(spark, target):
+        current = read(spark, target)
+        seen = current.agg(F.max("ingested_at")).first()[0]
+        arrived = raw if seen is None else raw.where(F.col("ingested_at") >= F.lit(seen))
+        newest = refresh_latest(current, arrived)
+    else:
+        newest = latest_per_key(raw)
+    # The new state reads the old one, so it is written aside before it takes its place.
+    overwrite(settle(newest, "latest"), target)
+    return read(spark, target)
+
+
 def build_silver(
     bronze: DataFrame,
     units: Mapping[str, int] = UNITS_PER_INSTANCE,
@@ -36,7 +58,18 @@ def build_silver(
     as_of: str | dt.datetime | None = None,
 ) -> DataFrame:
     """Current quotes per unit; ``weights`` adds the performance columns."""
-    silver = normalise_units(current_quotes(bronze, filter_first), units, strip)
+    return silver_rows(current_quotes(bronze, filter_first), units, strip, weights, as_of)
+
+
+def silver_rows(
+    clean: DataFrame,
+    units: Mapping[str, int] = UNITS_PER_INSTANCE,
+    strip: str = SKU_PREFIX,
+    weights: Mapping[str, float] | None = None,
+    as_of: str | dt.datetime | None = None,
+) -> DataFrame:
+    """Silver columns of rows that are deduped and clean already."""
+    silver = normalise_units(clean, units, strip)
     columns = list(SILVER.names)
     if weights is not None:
         silver = perf_adjust(silver, weights)

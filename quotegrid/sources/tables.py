@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
@@ -29,6 +30,16 @@ def read(
     return (reader.schema(schema) if schema else reader).parquet(target)
 
 
+def exists(spark: SparkSession, target: str) -> bool:
+    if not is_path(target):
+        return spark.catalog.tableExists(target)
+    try:
+        spark.read.parquet(target)
+    except AnalysisException:
+        return False
+    return True
+
+
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 

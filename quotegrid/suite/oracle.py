@@ -18,7 +18,9 @@ def dec(expr: str, scale: int = 4) -> str:
 
 
 def mean(col: str) -> str:
-    return dec(f"sum(cast({col} as decimal(24,8))) / count({col})")
+    """Average of positive values in whole 1e-8 steps, so that halves stay exact."""
+    steps = f"2 * sum(cast(round({col} * 1e8) as hugeint))"
+    return f"cast(({steps} + count({col}) * 10000) // (2 * count({col}) * 10000) as double) / 1e4"
 
 
 def names(values: list[str]) -> str:

@@ -125,6 +125,15 @@ def test_all_forms_of_gold_agree(spark):
     assert rows_of(summary) == rows_of(index.provider_summary(universe))
 
 
+def test_null_keys_are_groups(spark):
+    df = silver(spark, (None, None, "a", 1.0), (None, None, "b", 3.0), ("T", "AWS", "c", 2.0))
+    medians = {r.tier: r.index_median for r in index.tier_index(df).collect()}
+    assert medians == {None: 1.0, "T": 2.0}
+    summary = index.provider_summary(df)
+    assert rows_of(summary) == rows_of(index.provider_summary(df, approx=True))
+    assert rows_of(index_rows(df)) == rows_of(index_rows(df, approx=True))
+
+
 def test_invariants(spark):
     df = random_quotes(spark)
     gold = build_gold(df, as_of=NOW)

@@ -41,6 +41,12 @@ def test_one_group_with_a_third_equal(spark):
     check(spark, {"hot": values, "small": [1.0, None], "none": [None]}, partitions=8)
 
 
+def test_null_keys_are_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("g", 2.0)], "g string, v double")
+    got = {r.g: r.q for r in exact_quantiles(df, ["g"], "v", {"q": 1.0}).collect()}
+    assert got == {None: 3.0, "g": 2.0}
+
+
 def test_signs_sizes_and_infinities(spark):
     values = [-1e12, -3.5, -0.0001, -0.00001, 0.0, 0.00001, 0.0001, 7.0, 1e12]
     check(spark, {"g": values + [float("inf"), float("-inf"), 1e300, -1e300]})

@@ -6,7 +6,8 @@ import pytest
 from helpers import rows_of
 
 from quotegrid.operators.latest import latest_per_key
-from quotegrid.plans.run import Paths, run
+from quotegrid.plans.run import Paths, good_bronze, run
+from quotegrid.plans.silver import build_silver
 from quotegrid.schemas import BRONZE, CORRUPT
 from quotegrid.session import CHECKPOINT_CONF, work_dir
 from quotegrid.sources import tables
@@ -105,6 +106,16 @@ def test_daily_run(spark, tmp_path):
     assert rows_of(tables.read(spark, paths.gold).drop("index_timestamp")) == before
 
 
+def test_incremental_run_equals_the_full_one(spark, tmp_path):
+    names = {n: f"{tmp_path}/{n}" for n in NAMES}
+    paths = Paths(**names, latest=f"{tmp_path}/latest")
+    for price, day in ((2.0, "2026-03-01"), (3.0, "2026-03-02"), (2.5, "2026-03-03")):
+        catalogs(tmp_path, price)
+        run(spark, paths, as_of=day)
+        rebuilt = build_silver(good_bronze(spark, paths), as_of=day)
+        assert rows_of(tables.read(spark, paths.silver)) == rows_of(rebuilt)
+
+
 def test_run_on_empty_catalogues(spark, tmp_path):
     paths = Paths(**{n: f"{tmp_path}/{n}" for n in NAMES})
     for name in ("products", "terms", "pages", "landing"):
