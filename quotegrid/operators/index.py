@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from quotegrid.functions.scalars import mean, percent_of
 from quotegrid.operators.joins import join_groups
 from quotegrid.operators.latest import first_per_key
-from quotegrid.operators.quantiles import QUARTILES, approx_quantile, exact_quantiles
+from quotegrid.operators.quantiles import (
+    QUARTILES,
+    approx_quantile,
+    approx_quantiles,
+    exact_quantiles,
+)
 from quotegrid.reference_data import DEFAULT_PRICE_TYPE, EDGE_TIER
 
 PRICE = "unit_price"
@@ -64,8 +69,9 @@ def tier_index(
     """Median, quartiles, mean, deviation, floor, ceiling and sample size per group."""
     keys = list(keys)
     if approx:
-        sketches = [approx_quantile(PRICE, p, accuracy).alias(n) for n, p in QUARTILES.items()]
-        return universe.groupBy(*keys).agg(*sketches, *moments()).select(*keys, *INDEX_COLUMNS)
+        sketch, quartiles = approx_quantiles(PRICE, QUARTILES, accuracy)
+        rows = universe.groupBy(*keys).agg(sketch, *moments()).select("*", *quartiles)
+        return rows.select(*keys, *INDEX_COLUMNS)
     quantiles = exact_quantiles(universe, keys, PRICE, QUARTILES)
     summary = universe.groupBy(*keys).agg(*moments())
     return join_groups(summary, quantiles, keys).select(*keys, *INDEX_COLUMNS)
@@ -139,8 +145,16 @@ def provider_spread(
 
 
 def best_value(universe: DataFrame, keys: Sequence[str] = ("tier",)) -> DataFrame:
-    """Cheapest quote per unit in each group, ties broken by price, provider and names."""
-    candidates = universe.select(*keys, *dict.fromkeys([*PICK_ORDER, *BEST_VALUE.values()]))
+    """Cheapest quote per unit in each group, ties broken by price, provider and names.
+
+    The highest of the groups' floors, one number, bounds every pick from above. Finding it
+    takes a hash aggregate, and the costlier ordering then sees the few rows below it.
+    """
+    floors = universe.groupBy(*keys).agg(F.min(PRICE).alias("_floor"))
+    bound = floors.agg(F.max("_floor")).scalar()
+    candidates = universe.where((F.col(PRICE) <= bound) | F.col(PRICE).isNull()).select(
+        *keys, *dict.fromkeys([*PICK_ORDER, *BEST_VALUE.values()])
+    )
     order = [F.col(c).asc_nulls_last() for c in PICK_ORDER]
     picked = first_per_key(candidates, keys, order)
     return picked.select(*keys, *[F.col(c).alias(n) for n, c in BEST_VALUE.items()])

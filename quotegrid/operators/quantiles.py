@@ -22,6 +22,14 @@ def approx_quantile(col: Column | str, p: float, accuracy: int = 10_000) -> Colu
     return F.percentile_approx(col, p, accuracy)
 
 
+def approx_quantiles(
+    col: Column | str, probs: Mapping[str, float], accuracy: int = 10_000
+) -> tuple[Column, list[Column]]:
+    """One sketch for all of ``probs``: (aggregate, columns to select from its result)."""
+    sketch = F.percentile_approx(col, list(probs.values()), accuracy).alias("_quantiles")
+    return sketch, [F.col("_quantiles")[i].alias(name) for i, name in enumerate(probs)]
+
+
 def value_range(value: Column) -> Column:
     """A number that never falls as ``value`` grows and takes at most about 35,000 values.
 
@@ -38,24 +46,29 @@ def value_range(value: Column) -> Column:
     return F.when(F.isnan(value), largest).otherwise(signed)
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
-) -> DataFrame:
-    """Per group the smallest value whose cumulative share reaches each probability.
+def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct non-null values per group as ``_value``, with ``_n`` rows and ``_range``.
 
-    No task ever holds a whole group. Equal values are counted before the shuffle, which
-    spreads a hot group by value. Counts per value range (few per group) tell which range
-    holds each wanted rank, and only the distinct values of those ranges are ordered.
-    Null values do not count; a group without any value has no row.
+    Equal values are counted before the shuffle, which spreads a hot group by value.
     """
-    keys, named = list(keys), list(probs.items())
-    histogram = (
+    return (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_range", value_range(F.col("_value")))
     )
 
+
+def histogram_quantiles(
+    histogram: DataFrame, keys: Sequence[str], probs: Mapping[str, float]
+) -> DataFrame:
+    """Per group the smallest value whose cumulative share reaches each probability.
+
+    No task ever holds a whole group: counts per value range (few per group) tell which
+    range holds each wanted rank, and only the values of those ranges are ordered. A value
+    may stand in several rows of the histogram.
+    """
+    keys, named = list(keys), list(probs.items())
     in_group = Window.partitionBy(*keys)
     upto = in_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
     ranges = histogram.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in_range"))
@@ -92,3 +105,10 @@ def exact_quantiles(
         here = (rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n"))
         picks.append(F.max(F.when(here, F.col("_value"))).alias(name))
     return ordered.groupBy(*keys).agg(*picks)
+
+
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
+) -> DataFrame:
+    """Exact quantiles per group, null values aside; a group without values has no row."""
+    return histogram_quantiles(value_histogram(df, keys, value), keys, probs)

@@ -22,7 +22,13 @@ from quotegrid.operators.index import (
     with_spreads,
 )
 from quotegrid.operators.joins import join_groups
-from quotegrid.operators.quantiles import QUARTILES, approx_quantile, exact_quantiles
+from quotegrid.operators.quantiles import (
+    QUARTILES,
+    approx_quantile,
+    approx_quantiles,
+    histogram_quantiles,
+    value_histogram,
+)
 from quotegrid.reference_data import EDGE_TIER, PROVIDERS
 
 
@@ -67,30 +73,29 @@ def index_rows(
 ) -> DataFrame:
     """Index, provider medians, spreads and best value per group.
 
-    ``approx`` does all in a single shuffle with mergeable sketches. The exact form counts
-    equal prices once for the group and once for its provider, so that one histogram serves
-    the quartiles and all provider medians.
+    ``approx`` does all in a single shuffle with mergeable sketches. In the exact form one
+    histogram of prices per group and provider serves the quartiles and all provider medians.
     """
     keys, base = list(keys), base or providers[0]
     columns = _gold_columns(keys, providers, base)
     if approx:
-        sketches = [approx_quantile(PRICE, p, accuracy).alias(n) for n, p in QUARTILES.items()]
-        sketches += [
+        sketch, quartiles = approx_quantiles(PRICE, QUARTILES, accuracy)
+        medians = [
             approx_quantile(F.when(F.col("provider") == p, F.col(PRICE)), 0.5, accuracy).alias(
                 median_column(p)
             )
             for p in providers
         ]
-        rows = universe.groupBy(*keys).agg(*sketches, *moments(), _cheapest())
-        rows = rows.select("*", *_best_columns())
+        rows = universe.groupBy(*keys).agg(sketch, *medians, *moments(), _cheapest())
+        rows = rows.select("*", *quartiles, *_best_columns())
         return with_spreads(rows, providers, base).select(*columns)
 
     # Scope 0 is all providers, scope n the n-th one; other providers only count in scope 0.
     position = F.array_position(F.array(*[F.lit(p) for p in providers]), F.col("provider"))
     scopes = F.array(F.lit(0).cast("bigint"), F.nullif(position, F.lit(0)))
-    scoped = universe.select(*keys, F.explode(scopes).alias("_scope"), PRICE)
-    scoped = scoped.where(F.col("_scope").isNotNull())
-    quantiles = exact_quantiles(scoped, [*keys, "_scope"], PRICE, QUARTILES)
+    histogram = value_histogram(universe, [*keys, "provider"], PRICE)
+    scoped = histogram.withColumn("_scope", F.explode(scopes)).where("_scope is not null")
+    quantiles = histogram_quantiles(scoped.drop("provider"), [*keys, "_scope"], QUARTILES)
 
     def in_scope(scope: int, name: str, alias: str) -> Column:
         return F.max(F.when(F.col("_scope") == scope, F.col(name))).alias(alias)

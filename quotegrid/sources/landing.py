@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Full microseconds on both ways; the writer's default would cut them to milliseconds.
 JSON_OPTIONS = {
@@ -17,3 +18,9 @@ def land(df: DataFrame, path: str) -> bool:
         return False
     df.write.mode("append").options(**JSON_OPTIONS).json(path)
     return True
+
+
+def discover_schema(spark: SparkSession, path: str, sampling: float = 1.0) -> T.StructType:
+    """Schema inferred from all landed files, to compare with the declared one."""
+    reader = spark.read.options(**JSON_OPTIONS).option("recursiveFileLookup", "true")
+    return reader.option("samplingRatio", sampling).json(path).schema

@@ -12,7 +12,7 @@ from quotegrid.sources.catalogs import (
     reparse,
     union_providers,
 )
-from quotegrid.sources.landing import land
+from quotegrid.sources.landing import discover_schema, land
 
 GOOD = {
     "instanceType": "p3.2xlarge",
@@ -182,6 +182,15 @@ def test_landing_skips_an_empty_batch(spark, tmp_path):
     assert back.count() == 2 and back.first().price_per_hour == 1.5
 
 
+def test_schema_discovery(spark, tmp_path):
+    a = spark.createDataFrame([("A", 1.5)], "provider string, price_per_hour double")
+    b = spark.createDataFrame([("B", 3)], "provider string, vcpu long")
+    land(a, str(tmp_path / "a"))
+    land(b, str(tmp_path / "b"))
+    found = {f.name: f.dataType.simpleString() for f in discover_schema(spark, str(tmp_path))}
+    assert found == {"price_per_hour": "double", "provider": "string", "vcpu": "bigint"}
+
+
 def test_landing_keeps_microseconds(spark, tmp_path):
     from quotegrid.sources.landing import JSON_OPTIONS
 

@@ -95,6 +95,23 @@ def test_best_value_tie(spark):
             assert (row.best_value_region, row.best_value_unit_price) == ("x", 1.0)
 
 
+def test_best_value_of_distant_groups(spark):
+    nan = float("nan")
+    df = silver(
+        spark,
+        *[("T", "AWS", f"t{p}", p) for p in (500.0, 700.0)],
+        *[("F", "AWS", f"f{p}", p) for p in (0.5, 0.7)],
+        ("N", "AWS", "null", None),
+        ("M", "AWS", "m1", None),
+        ("M", "AWS", "m2", 0.1),
+    )
+    picks = {r.tier: r.best_value_instance for r in index.best_value(df).collect()}
+    assert picks == {"T": "t500.0", "F": "f0.5", "N": "null", "M": "m2"}
+    odd = silver(spark, ("A", "AWS", "a", nan), ("B", "AWS", "b", 1.0), ("B", "AWS", "c", nan))
+    picks = {r.tier: r.best_value_instance for r in index.best_value(odd).collect()}
+    assert picks == {"A": "a", "B": "b"}
+
+
 def random_quotes(spark, n=600):
     rng = random.Random(11)
     rows = [

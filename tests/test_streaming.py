@@ -138,3 +138,13 @@ def test_work_dir_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         work_dir(Cluster(), "a")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quotegrid.__main__ import main
+
+    catalogs(tmp_path, 2.0)
+    args = [f"--{n}={tmp_path}/{n}" for n in NAMES]
+    main([*args, "--as-of=2026-03-01 06:00:00", "--mode=replace_date"])
+    shown = capsys.readouterr().out
+    assert "Fine-tuning" in shown and "best_value_hw" in shown
