@@ -28,6 +28,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
     got = QUERIES[name](spark, sf_dir)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas", "Arrow"):
+        assert node not in plan
     result = duck.execute(SQL[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == sorted(got.columns)

@@ -3,14 +3,17 @@
 import re
 
 import pytest
+from helpers import T1, bronze
 from pyspark.sql import functions as F
 
 from quotegrid.operators import index
 from quotegrid.operators.latest import latest_per_key
 from quotegrid.operators.quantiles import exact_quantiles
 from quotegrid.operators.units import normalise_units
+from quotegrid.plans import silver as silver_plan
 from quotegrid.plans.gold import index_rows
-from quotegrid.suite.queries import QUERIES
+from quotegrid.plans.silver import build_silver
+from quotegrid.schemas import BRONZE
 
 
 def executed(df):
@@ -70,10 +73,25 @@ def test_scan_reads_only_what_is_needed(lines):
     assert "Not(EqualTo(l_returnflag,Edge))" in plan
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n < "q28" or n > "q31"))
-def test_no_cross_joins_and_no_python_in_the_plan(spark, sf_dir, name):
-    if name == "q42_daily_run":
-        pytest.skip("runs as a whole in test_oracle")
-    plan = executed(QUERIES[name](spark, sf_dir))
-    for node in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas", "Arrow"):
-        assert node not in plan
+def test_silver_skips_the_raw_payload(spark, tmp_path):
+    path = f"{tmp_path}/bronze"
+    bronze(spark, {"raw_payload": "{}"}).write.parquet(path)
+    plan = executed(build_silver(spark.read.schema(BRONZE).parquet(path)))
+    (columns,) = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert "ingested_at" in columns
+    assert not any(c in columns for c in ("raw_payload", "vcpu", "memory_gb", "_corrupt_record"))
+
+
+def test_incremental_load_pushes_the_time_to_the_scan(spark, tmp_path, monkeypatch):
+    seen = []
+    settle = silver_plan.settle
+    monkeypatch.setattr(
+        silver_plan, "settle", lambda df, p: seen.append(executed(df)) or settle(df, p)
+    )
+    path = f"{tmp_path}/bronze"
+    bronze(spark, {}, {"ingested_at": T1, "region": "x"}).write.parquet(path)
+    for _ in range(2):
+        rows = silver_plan.advance_latest(spark.read.schema(BRONZE).parquet(path), f"{tmp_path}/l")
+    assert rows.count() == 2
+    assert "GreaterThanOrEqual(ingested_at," not in seen[0]
+    assert "GreaterThanOrEqual(ingested_at," in seen[1]
