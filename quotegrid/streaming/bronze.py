@@ -16,11 +16,14 @@ def stream_landing(
     path: str,
     schema: T.StructType = LANDING,
     max_bytes_per_trigger: int | None = 256 << 30,
+    max_file_age: str = "3650d",
 ) -> DataFrame:
     """File stream over all sub-folders of ``path``, with load time and source file.
 
     Lines that do not fit ``schema`` keep their text in ``_corrupt_record``. A long backlog
-    is drained in batches of about ``max_bytes_per_trigger``.
+    is drained in batches of about ``max_bytes_per_trigger``. Spark forgets loaded files, and
+    skips unseen ones, once they are ``max_file_age`` older than the newest; its own default
+    of seven days would lose files that arrive late with their old time.
     """
     declared = schema if CORRUPT in schema.names else T.StructType(
         [*schema.fields, T.StructField(CORRUPT, T.StringType())]
@@ -30,6 +33,7 @@ def stream_landing(
         .options(**JSON_OPTIONS)
         .option("recursiveFileLookup", "true")
         .option("mode", "PERMISSIVE")
+        .option("maxFileAge", max_file_age)
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
     if max_bytes_per_trigger:

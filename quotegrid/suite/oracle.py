@@ -118,7 +118,8 @@ def gold_ctes(keys: str = "tier", base: str = "P1", other: str = "P2") -> tuple[
         summary_cte(keys),
         spread_cte(base, other, keys),
         best_cte(keys),
-        f"gold AS (SELECT * FROM idx LEFT JOIN spread USING ({keys}) LEFT JOIN best USING ({keys}))",
+        f"""gold AS (
+  SELECT * FROM idx LEFT JOIN spread USING ({keys}) LEFT JOIN best USING ({keys}))""",
     )
 
 
@@ -270,7 +271,8 @@ ORACLE_SQL = {
       cast(coalesce({UNITS}, 1) AS bigint) AS unit_count,
       ({UNITS}) IS NOT NULL AS unit_count_known FROM quotes)""",
     "q10_prefix_rules": f"""SELECT p_partkey, instance, {A_LISTED} AS listed, {A_TIER} AS tier,
-      {A_HW} AS hw_type FROM (SELECT p_partkey, {brand_name(b.INSTANCES)} AS instance FROM part)""",
+      {A_HW} AS hw_type
+    FROM (SELECT p_partkey, {brand_name(b.INSTANCES)} AS instance FROM part)""",
     "q11_substring_rules": """SELECT page_id,
       contains(lower(url), 'example.org') OR contains(lower(url), 'spam-farm') AS listed,
       CASE WHEN contains(lower(url), '://blog.') THEN 'blog'

@@ -118,13 +118,11 @@ def q07_latest_per_key(spark, sf_dir):
 
 @register
 def q08_quality_gate_rejects(spark, sf_dir):
-    rows = b.quotes(spark, sf_dir)
-    # Discounts as prices: zero ones and unknown tiers fail, each for its own reason.
-    return (
-        quality.quality_rejects(rows.withColumn("price_per_hour", F.col("price_per_hour") - 5000))
-        .groupBy("reject_reason", "tier")
-        .agg(F.count("*").alias("n"))
+    """Prices less 5000, so that some are not positive, counted by reason and tier."""
+    lowered = b.quotes(spark, sf_dir).withColumn(
+        "price_per_hour", F.col("price_per_hour") - 5000
     )
+    return profile.frequency(quality.quality_rejects(lowered), "reject_reason", "tier")
 
 
 @register
@@ -329,9 +327,10 @@ def q30_stream_quarantine(spark, sf_dir):
     """Error events land as broken lines and signups with a text for their value."""
     root = work_dir(spark, "quarantine")
     fine = F.to_json(F.struct("event_id", "event_type", "value"))
+    mistyped = F.to_json(F.struct("event_id", "event_type", F.lit("high").alias("value")))
     line = (
         F.when(F.col("event_type") == "error", F.concat(F.lit('{"event_id": '), "event_id"))
-        .when(F.col("event_type") == "signup", F.to_json(F.struct("event_id", "event_type", F.lit("high").alias("value"))))
+        .when(F.col("event_type") == "signup", mistyped)
         .otherwise(fine)
     )
     b.table(spark, sf_dir, "events").select(line.alias("value")).write.text(f"{root}/landing")
@@ -387,10 +386,8 @@ def q35_group_quantiles(spark, sf_dir):
 
 @register
 def q36_source_inventory(spark, sf_dir):
-    inventory = profile.source_inventory(
-        b.quotes(spark, sf_dir).where(F.col("price_type") == "on_demand")
-    )
-    return inventory
+    on_demand = catalogs.match_all(b.quotes(spark, sf_dir), {"price_type": "on_demand"})
+    return profile.source_inventory(on_demand)
 
 
 @register

@@ -34,10 +34,8 @@ def term(sku, *offers):
     """Each offer is a list of pricePerUnit maps, or None for an offer without rates."""
     body = {}
     for i, rates in enumerate(offers):
-        body[f"o{9 - i}"] = (
-            {} if rates is None
-            else {"priceDimensions": {f"r{9 - j}": {"pricePerUnit": p} for j, p in enumerate(rates)}}
-        )
+        rates = rates and {f"r{9 - j}": {"pricePerUnit": p} for j, p in enumerate(rates)}
+        body[f"o{9 - i}"] = {"priceDimensions": rates} if rates else {}
     return {"sku": sku, "offers": body}
 
 
