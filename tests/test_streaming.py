@@ -128,6 +128,20 @@ def test_incremental_run_equals_the_full_one(spark, tmp_path):
         assert rows_of(tables.read(spark, paths.silver)) == rows_of(rebuilt)
 
 
+def test_run_on_named_tables(spark, tmp_path):
+    folders = {n: f"{tmp_path}/{n}" for n in NAMES[:5]}
+    named = {n: f"quotegrid_run.{n}" for n in [*NAMES[5:], "latest"]}
+    paths = Paths(**folders, **named)
+    for price, day in ((2.0, "2026-03-01"), (3.0, "2026-03-02")):
+        catalogs(tmp_path, price)
+        run(spark, paths, as_of=day, snapshot_mode="replace_date")
+    assert spark.table(paths.bronze).count() == 8
+    assert spark.table(paths.silver).count() == 4
+    gold = tables.read(spark, paths.gold).where("tier = 'Fine-tuning'")
+    assert {r.index_date.day: r.index_median for r in gold.collect()} == {1: 2.0, 2: 3.0}
+    spark.sql("DROP DATABASE quotegrid_run CASCADE")
+
+
 def test_run_on_empty_catalogues(spark, tmp_path):
     paths = Paths(**{n: f"{tmp_path}/{n}" for n in NAMES})
     for name in ("products", "terms", "pages", "landing"):
