@@ -194,7 +194,8 @@ CATALOG_A = (
 )
 
 B_LISTED = has("lower(sku)", "nd96asr", "nd96amsr", "nd40rs", "nc24ads", "nc4as", "nc8as",
-               "nc16as", "nc64as", "nv6ads", "nv18ads", "nv36ads", "nc6s", "nc12s", "nc24s")
+               "nc16as", "nc64as", "nv6ads", "nv18ads", "nv36ads",
+               "nc6s", "nc12s", "nc24s")
 B_TIER = f"""CASE WHEN {has("txt", "nd96asr", "nd96amsr", "nd40rs")} THEN 'Training'
     WHEN {has("txt", "nc24ads", "nd")} THEN 'Fine-tuning'
     WHEN {has("txt", "nc4as", "nc8as", "nc16as", "nc64as", "nv6ads", "nv18ads", "nv36ads")}
@@ -226,24 +227,28 @@ CATALOG_B = (
 )
 NAMED = f"named AS (SELECT *, {brand_name(b.SKUS)} AS base FROM part)"
 
-RUN_UNITS = """map {'p4d.24xlarge': 8, 'p4de.24xlarge': 8, 'p5.48xlarge': 8, 'p3.8xlarge': 4,
-  'p3.16xlarge': 8, 'p3dn.24xlarge': 8, 'g5.12xlarge': 4, 'g5.48xlarge': 8, 'g4dn.12xlarge': 4,
-  'g6.12xlarge': 4, 'g6f.48xlarge': 8, 'inf1.24xlarge': 16, 'inf2.48xlarge': 12,
-  'ND96asr_v4': 8, 'ND96amsr_A100_v4': 8, 'ND96asrA100v4_NU': 8, 'ND40rs_v2': 8,
-  'NC64as_T4_v3': 4, 'NC12s_v3': 2, 'NC24s_v3': 4}"""
+RUN_UNITS = """run_units AS (SELECT * FROM (VALUES
+  ('p4d.24xlarge', 8), ('p4de.24xlarge', 8), ('p5.48xlarge', 8), ('p3.8xlarge', 4),
+  ('p3.16xlarge', 8), ('p3dn.24xlarge', 8), ('g5.12xlarge', 4), ('g5.48xlarge', 8),
+  ('g4dn.12xlarge', 4), ('g6.12xlarge', 4), ('g6f.48xlarge', 8), ('inf1.24xlarge', 16),
+  ('inf2.48xlarge', 12), ('ND96asr_v4', 8), ('ND96amsr_A100_v4', 8),
+  ('ND96asrA100v4_NU', 8), ('ND40rs_v2', 8), ('NC64as_T4_v3', 4), ('NC12s_v3', 2),
+  ('NC24s_v3', 4)
+  ) AS u(name, n))"""
 
 DAILY_RUN = with_(
     *CATALOG_A,
     NAMED,
     *CATALOG_B,
+    RUN_UNITS,
     "bronze AS (SELECT * FROM rows_a UNION ALL BY NAME SELECT * FROM rows_b)",
     f"""latest AS (
   SELECT provider, instance_type, region, price_type, min(price_per_hour) AS price_per_hour,
     min(hw_type) AS hw_type, min(tier) AS tier FROM bronze GROUP BY {KEYS})""",
     f"""universe AS (
   SELECT *, {dec("price_per_hour / units")} AS unit_price FROM (
-    SELECT *, coalesce({RUN_UNITS}[regexp_replace(instance_type, '^Standard_', '')], 1) AS units
-    FROM latest)
+    SELECT latest.*, coalesce(n, 1) AS units FROM latest
+      LEFT JOIN run_units ON name = regexp_replace(instance_type, '^Standard_', ''))
   WHERE tier NOT IN ('Unknown', 'Edge') AND price_type = 'on_demand' AND price_per_hour > 0)""",
     *gold_ctes("tier", "AWS", "Azure"),
 )
