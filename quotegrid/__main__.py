@@ -22,13 +22,15 @@ def main(argv: list[str] | None = None) -> None:
     for name in TABLES:
         parser.add_argument(f"--{name}", required=True, help="folder or table name")
     parser.add_argument("--latest", help="table of latest rows, for incremental runs")
+    parser.add_argument("--region-a", default=Paths.region_a, help="region of catalogue A")
+    parser.add_argument("--regions-b", nargs="+", default=Paths.regions_b, help="of catalogue B")
     parser.add_argument("--as-of", help="instant of the snapshot, now by default")
     parser.add_argument("--mode", choices=["append", "replace_date"], default="append")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("quotegrid").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    names = [*FOLDERS, *TABLES, "latest"]
+    names = [*FOLDERS, *TABLES, "latest", "region_a", "regions_b"]
     paths = Paths(**{name: getattr(args, name) for name in names})
     run(spark, paths, args.as_of, args.mode)
 

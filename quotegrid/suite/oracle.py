@@ -376,5 +376,16 @@ ORACLE_SQL = {
       cast(CASE WHEN p_type <> 'PROMO' THEN 7 ELSE 6 END AS integer) AS entries FROM rows_a""",
     "q41_ambiguous_terms": """SELECT cast(l_partkey AS varchar) AS sku,
       cast(3 AS integer) AS rates FROM lineitem GROUP BY l_partkey""",
+    "q43_bronze_breakdown": with_(QUOTES)
+    + "SELECT provider, tier, count(*) AS n FROM quotes GROUP BY ALL",
+    "q44_sub_index_spread": with_(
+        QUOTES,
+        newest("quotes"),
+        silver(),
+        "universe AS (SELECT * FROM silver WHERE price_type = 'spot')",
+        summary_cte(),
+        spread_cte("P2", "P1"),
+    )
+    + "SELECT * FROM spread",
     "q42_daily_run": DAILY_RUN + "SELECT * FROM gold",
 }

@@ -53,14 +53,17 @@ def silver(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return build_silver(b.quotes(spark, sf_dir), b.BRAND_UNITS, as_of=RUN_TIME, **options)
 
 
+def written_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a written table, which the Gold branches read."""
+    return tables.settle(silver(spark, sf_dir), "silver")
+
+
 def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index universe of a written Silver table, which the Gold branches read."""
-    return index.index_universe(tables.settle(silver(spark, sf_dir), "silver"))
+    return index.index_universe(written_silver(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    written = tables.settle(silver(spark, sf_dir), "silver")
-    return build_gold(written, b.PROVIDERS, as_of=RUN_TIME, **options)
+    return build_gold(written_silver(spark, sf_dir), b.PROVIDERS, as_of=RUN_TIME, **options)
 
 
 def month_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,6 +430,20 @@ def q41_ambiguous_terms(spark, sf_dir):
     return catalogs.ambiguous_terms(b.terms(spark, sf_dir))
 
 
+@register
+def q43_bronze_breakdown(spark, sf_dir):
+    return profile.frequency(b.quotes(spark, sf_dir), "provider", "tier").orderBy(
+        "provider", "tier"
+    )
+
+
+@register
+def q44_sub_index_spread(spark, sf_dir):
+    """Spread of every tier's spot prices, the excluded tier among them."""
+    spot = index.index_universe(written_silver(spark, sf_dir), "spot", exclude_tiers=())
+    return index.provider_spread(index.provider_summary(spot), b.PROVIDERS, base="P2")
+
+
 @register
 def q42_daily_run(spark, sf_dir):
     """Both catalogues as JSON files through the whole run to Gold, twice on one day."""
