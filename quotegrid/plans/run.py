@@ -77,8 +77,8 @@ def run(
     snapshot_mode: str = "append",
 ) -> None:
     """Land, drain, rebuild Silver and add one Gold snapshot; safe to repeat."""
-    for table in (paths.bronze, paths.silver, paths.gold):
-        if not is_path(table) and "." in table:
+    for table in (paths.bronze, paths.silver, paths.gold, paths.latest):
+        if table and not is_path(table) and "." in table:
             ensure_database(spark, table.rsplit(".", 1)[0])
     land_catalogs(spark, paths)
     drain(stream_landing(spark, paths.landing), paths.bronze, paths.checkpoint)

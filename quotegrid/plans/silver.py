@@ -14,7 +14,7 @@ from quotegrid.operators.quality import quality_gate
 from quotegrid.operators.units import normalise_units, perf_adjust
 from quotegrid.reference_data import SKU_PREFIX, UNITS_PER_INSTANCE
 from quotegrid.schemas import PERF_COLUMNS, RAW_ONLY, SILVER
-from quotegrid.sources.tables import exists, overwrite, read, settle
+from quotegrid.sources.tables import keep, read_kept
 
 
 def current_quotes(bronze: DataFrame, filter_first: bool = False) -> DataFrame:
@@ -36,17 +36,14 @@ def advance_latest(bronze: DataFrame, target: str) -> DataFrame:
     are skipped by their statistics. Merging a load twice changes nothing. The times come
     from the loader's clock, which must not run backwards. The first call reads all rows.
     """
-    spark, raw = bronze.sparkSession, bronze.drop(*RAW_ONLY)
-    if exists(spark, target):
-        current = read(spark, target)
+    raw, current = bronze.drop(*RAW_ONLY), read_kept(bronze.sparkSession, target)
+    if current is not None:
         seen = current.agg(F.max("ingested_at")).first()[0]
         arrived = raw if seen is None else raw.where(F.col("ingested_at") >= F.lit(seen))
         newest = refresh_latest(current, arrived)
     else:
         newest = latest_per_key(raw)
-    # The new state reads the old one, so it is written aside before it takes its place.
-    overwrite(settle(newest, "latest"), target)
-    return read(spark, target)
+    return keep(newest, target)
 
 
 def build_silver(

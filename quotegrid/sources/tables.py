@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotegrid.session import work_dir
@@ -56,6 +57,39 @@ def overwrite(df: DataFrame, target: str) -> None:
     _save(df.write.mode("overwrite"), target)
 
 
+def _part(target: str, name: str) -> str:
+    return f"{target}/{name}" if is_path(target) else f"{target}_{name}"
+
+
+def _kept_version(spark: SparkSession, target: str) -> int:
+    log = _part(target, "log")
+    return read(spark, log).agg(F.max("version")).first()[0] if exists(spark, log) else 0
+
+
+def _slot(target: str, version: int) -> str:
+    return _part(target, "odd" if version % 2 else "even")
+
+
+def read_kept(spark: SparkSession, target: str) -> DataFrame | None:
+    """What ``keep`` last completed, None before its first time."""
+    version = _kept_version(spark, target)
+    return read(spark, _slot(target, version)) if version else None
+
+
+def keep(df: DataFrame, target: str) -> DataFrame:
+    """Replace a kept state, which ``df`` may read, without ever losing the former one.
+
+    Versions go to two places in turn, and one counts only once it is in the log; a write
+    that dies half-way leaves the former version in force.
+    """
+    spark = df.sparkSession
+    version = _kept_version(spark, target) + 1
+    overwrite(df, _slot(target, version))
+    entry = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+    _save(entry.coalesce(1).write.mode("append"), _part(target, "log"))
+    return read(spark, _slot(target, version))
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read from there.
 

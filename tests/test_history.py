@@ -84,6 +84,25 @@ def test_snapshot_tables_by_name(spark):
     spark.sql("DROP DATABASE quotegrid_test CASCADE")
 
 
+def test_a_broken_write_leaves_the_kept_state(spark, tmp_path, monkeypatch):
+    target = f"{tmp_path}/state"
+    assert tables.read_kept(spark, target) is None
+    for n in (1, 2, 3):
+        before = tables.read_kept(spark, target)
+        rows = spark.range(n) if before is None else before.union(spark.range(1))
+        assert tables.keep(rows, target).count() == n
+    overwrite = tables.overwrite
+
+    def dies(df, place):
+        overwrite(df.limit(1), place)
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "overwrite", dies)
+    with pytest.raises(OSError):
+        tables.keep(spark.range(9), target)
+    assert tables.read_kept(spark, target).count() == 3
+
+
 def test_late_columns_are_seen(spark, tmp_path):
     gold = snapshot(spark, DAY1, 1.0)
     tables.write_snapshot(gold, f"{tmp_path}/g")

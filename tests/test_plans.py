@@ -84,9 +84,9 @@ def test_silver_skips_the_raw_payload(spark, tmp_path):
 
 def test_incremental_load_pushes_the_time_to_the_scan(spark, tmp_path, monkeypatch):
     seen = []
-    settle = silver_plan.settle
+    keep = silver_plan.keep
     monkeypatch.setattr(
-        silver_plan, "settle", lambda df, p: seen.append(executed(df)) or settle(df, p)
+        silver_plan, "keep", lambda df, p: seen.append(executed(df)) or keep(df, p)
     )
     path = f"{tmp_path}/bronze"
     bronze(spark, {}, {"ingested_at": T1, "region": "x"}).write.parquet(path)
