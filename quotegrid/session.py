@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,12 +31,10 @@ def local_session(
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the shared folder of the cluster.
 
-    The shared folder is ``spark.checkpoint.dir``. Only a local session, whose driver and
-    executors share one machine, may fall back to a temporary folder of that machine.
+    The shared folder is ``spark.checkpoint.dir``; where it is unset, a folder below the
+    warehouse, which executors share as well.
     """
     shared = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="quotegrid-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_quotegrid"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

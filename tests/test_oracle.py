@@ -8,8 +8,9 @@ import pytest
 from helpers import rows_of
 
 import __spark_entry__ as entry
+from quotegrid.suite.oracle import ORACLE_SQL as SQL
+from quotegrid.suite.queries import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry.queries().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
