@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quotegrid.llm import quality
-from quotegrid.llm.common import table
+from quotegrid.llm import language, mixing, neardup, quality, tokens, toxicity
+from quotegrid.llm.common import hold_out, table
 from quotegrid.llm.sql import LLM_ORACLE_SQL
 
 __all__ = ["LLM_ORACLE_SQL", "LLM_QUERIES"]
@@ -20,6 +21,46 @@ def register(query: Callable[[SparkSession, str], DataFrame]):
     return query
 
 
+@register
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, by a machine that saw no held-out label."""
+    judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id",
+        hold_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@register
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document, on shingles of four words."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
+@register
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a field that saw no held-out row."""
+    return language.identify(table(spark, sf_dir, "documents")).select(
+        "doc_id", hold_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@register
+def op5_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "text_hash")
+
+
+@register
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, as read from the written files."""
+    return tokens.token_files(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 @register
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the adaptive verdict of every document."""

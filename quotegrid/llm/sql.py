@@ -6,7 +6,7 @@ windows by list positions, sketches by plain grouping.
 
 from __future__ import annotations
 
-from quotegrid.llm import quality
+from quotegrid.llm import mixing, quality
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -88,4 +88,32 @@ LEFT JOIN levels ON base.lang IS NOT DISTINCT FROM levels.lang
 """
 
 
-LLM_ORACLE_SQL = {"op9_quality_rules": _op9()}
+def _op5() -> str:
+    weights = f"list_extract([{', '.join(map(str, mixing.WEIGHTS))}], CAST((rank - 1) % 3 + 1 AS INT))"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce('1' || source, '0') AS queue, CAST(len({WORDS}) AS BIGINT) AS size,
+                  md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place
+           FROM documents),
+totals AS (SELECT queue, CAST(sum(size) AS BIGINT) AS source_size,
+                  row_number() OVER (ORDER BY queue = '0', queue) AS rank FROM d GROUP BY queue),
+weighed AS (SELECT *, {weights} AS weight, {mixing.MAX_PASSES} * source_size AS cap,
+                   sum(source_size) OVER () * {mixing.BUDGET_SHARE}::DOUBLE AS budget FROM totals),
+levels AS (SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                     / sum(weight) OVER (ORDER BY cap / weight, rank
+                          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+goals AS (SELECT *, CASE WHEN cap <= weight * level THEN CAST(cap AS DOUBLE)
+                    ELSE weight * min_by(level, cap / weight) FILTER (cap > weight * level) OVER () END AS target
+          FROM levels),
+passes AS (SELECT doc_id, size, source_size, target, rank, budget,
+                  (pass * source_size + sum(size) OVER (PARTITION BY pass, g.queue ORDER BY place, doc_id
+                                                        ROWS UNBOUNDED PRECEDING)) / weight AS finish
+           FROM d JOIN goals g ON d.queue = g.queue, (VALUES (0), (1)) p(pass)),
+cut AS (SELECT *, sum(size) OVER (ORDER BY finish, rank) <= budget AS within FROM passes)
+SELECT doc_id, size, source_size, target, CAST(count(*) FILTER (within) AS INT) AS passes,
+       CAST(size * count(*) FILTER (within) AS BIGINT) AS taken
+FROM cut GROUP BY doc_id, size, source_size, target
+"""
+
+
+LLM_ORACLE_SQL = {"op5_weighted_mix": _op5(), "op9_quality_rules": _op9()}
