@@ -234,9 +234,6 @@ class Labeller:
         self.emit = np.zeros((1 << 14, len(self.field.languages)), np.float32)
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.runs) > MAX_CACHED_WORDS:
-            self.forget()
-            return
         fresh: list[str] = []
         for word in words:
             spots = []
@@ -260,9 +257,10 @@ class Labeller:
         try:
             return np.array([i for w in split for i in runs[w]], np.int64)
         except KeyError:
+            if len(runs) > MAX_CACHED_WORDS:
+                self.forget()
+                runs = self.runs
             self._learn(set(split).difference(runs))
-            self._learn(set(split).difference(self.runs))  # after a flush, all of them
-            runs = self.runs
             return np.array([i for w in split for i in runs[w]], np.int64)
 
     def marginals(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:

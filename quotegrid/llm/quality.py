@@ -32,8 +32,8 @@ MIN_GROUP = 200
 MEASURES = {
     "word_length": ("1000 * word_chars div n_words", 750, True),
     "symbols": ("1000 * n_symbols div n_words", 75, False),
-    "dup_lines": ("1000 * n_dup_lines div n_lines", 75, False),
-    "repeats": ("1000 * n_repeat_words div n_words", 75, False),
+    "dup_lines": ("1000 * n_dup_lines div n_lines", 125, False),
+    "repeats": ("1000 * n_repeat_words div n_words", 100, False),
 }
 LEVELS = ("language_source", "language", "corpus")
 

@@ -1,7 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A document is the set of its hashed terms: letter runs, lower-cased, and their beginnings of
-``PREFIXES`` letters, so that inflected forms of one stem meet. The score is
+A document is the set of its hashed terms: letter runs, lower-cased, and the beginnings of
+``PREFIXES`` letters of longer runs, so that inflected forms of one stem meet. A term that
+occurs at least twice is a second term as well. The score is
 
     sigmoid(bias + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2))
 
@@ -20,8 +21,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +35,10 @@ from quotegrid.llm.common import hold_out, settle, text_of
 
 THRESHOLD = 0.3
 HASH_BITS = 18
+TWICE = 1 << HASH_BITS
 PREFIXES = (4, 5, 6, 7)
 TRAIN_ROWS = 20_000
-MIN_DOCUMENTS = 5
+MIN_DOCUMENTS = 4
 ACTIVE_TERMS = 4_096
 FACTORS = 4
 EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.1, 1e-3
@@ -48,32 +52,42 @@ def hashed_terms(word: str) -> set[int]:
     """The buckets of a lower-cased word between blanks."""
     found = set()
     for run in _LETTERS.findall(word):
-        for part in (run, *(f"{run[:k]}*" for k in PREFIXES if len(run) >= k)):
+        for part in (run, *(f"{run[:k]}*" for k in PREFIXES if len(run) > k)):
             found.add(zlib.crc32(part.encode()) >> (32 - HASH_BITS))
     return found
 
 
 class TermIndex:
-    """Documents to sorted active terms, with a bounded memory of words."""
+    """Documents to sorted active terms, with a bounded memory of words.
+
+    A bucket's twin, ``TWICE`` above it, stands for at least two occurrences.
+    """
 
     def __init__(self, buckets: Iterable[int] | None = None):
-        self.place = None if buckets is None else {b: i for i, b in enumerate(buckets)}
+        self.place = self.wanted = None
+        if buckets is not None:
+            self.place = {b: i for i, b in enumerate(buckets)}
+            self.wanted = {b % TWICE for b in self.place}
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        terms = hashed_terms(word)
-        if self.place is not None:
-            terms = {self.place[t] for t in terms if t in self.place}
-        return tuple(terms)
+    def _learn(self, words: set[str]) -> None:
+        if len(self.known) > MAX_CACHED_WORDS:
+            self.known.clear()
+        for word in words.difference(self.known):
+            terms = hashed_terms(word)
+            self.known[word] = tuple(terms if self.wanted is None else terms & self.wanted)
 
     def terms(self, text: str) -> np.ndarray:
-        words = set(text.lower().split())
-        known = self.known
-        if len(known) > MAX_CACHED_WORDS:
-            known.clear()
-        for word in words.difference(known):
-            known[word] = self._word(word)
-        found = set().union(*map(known.__getitem__, words))
+        words = text.lower().split()
+        try:
+            hits = [t for t in map(self.known.__getitem__, words) if t]
+        except KeyError:
+            self._learn(set(words))
+            hits = [t for t in map(self.known.__getitem__, words) if t]
+        counts = Counter(chain.from_iterable(hits))
+        found = [*counts, *(b + TWICE for b, n in counts.items() if n > 1)]
+        if self.place is not None:
+            found = [self.place[b] for b in found if b in self.place]
         return np.array(sorted(found), np.int64)
 
 
@@ -172,7 +186,7 @@ def active_buckets(rows: DataFrame) -> list[int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = TermIndex()
-        counts = np.zeros((2, 1 << HASH_BITS), np.int64)
+        counts = np.zeros((2, 2 * TWICE), np.int64)
         for batch in batches:
             toxic = batch.column("toxic").to_pylist()
             for text, label in zip(batch.column("text").to_pylist(), toxic, strict=True):
