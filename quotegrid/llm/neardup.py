@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import settle, text_of
+from quotegrid.llm.common import ROW_KEY, packed_texts, row_key, settle, text_of, unpack
 from quotegrid.llm.components import components
 from quotegrid.llm.hashing import mix, window_hashes, word_hashes
 
@@ -96,66 +96,62 @@ def set_key(elements: np.ndarray) -> bytes:
     return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
 
-def _profiles(k: int, with_bands: bool):
+def _taken(texts: Iterator[bytes], k: int) -> Iterator[list[np.ndarray]]:
+    """Sets in lots of bounded size."""
+    lot: list[np.ndarray] = []
+    held = 0
+    for text in texts:
+        lot.append(shingles(text, k))
+        held += len(lot[-1])
+        if held >= CHUNK_ELEMENTS:
+            yield lot
+            lot, held = [], 0
+    if lot:
+        yield lot
+
+
+def profile(docs: DataFrame, k: int) -> DataFrame:
+    """ROW_KEY, doc_id, n_shingles, key and bands of every document."""
+    names = ["doc_id", *ROW_KEY]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             low = 0
-            while low < len(texts):
-                sets: list[np.ndarray] = []
-                held = 0
-                while low + len(sets) < len(texts) and held < CHUNK_ELEMENTS:
-                    sets.append(shingles(texts[low + len(sets)], k))
-                    held += len(sets[-1])
-                cut = slice(low, low + len(sets))
+            for sets in _taken((t.as_py() for t in batch.column("text")), k):
+                bands: list = [None] * len(sets)
+                full = [i for i, s in enumerate(sets) if len(s)]
+                if full:
+                    found = band_keys(signatures([sets[i] for i in full])).view(np.int64)
+                    for i, row in zip(full, found, strict=True):
+                        bands[i] = row
+                columns = [
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array(bands, pa.list_(pa.int64())),
+                ]
+                kept = [batch.column(c).slice(low, len(sets)) for c in names]
+                yield pa.record_batch([*kept, *columns], [*names, "n_shingles", "key", "bands"])
                 low += len(sets)
-                keys = [set_key(s) if len(s) else None for s in sets]
-                if with_bands:
-                    bands: list = [None] * len(sets)
-                    full = [i for i, s in enumerate(sets) if len(s)]
-                    if full:
-                        found = band_keys(signatures([sets[i] for i in full])).view(np.int64)
-                        for i, row in zip(full, found, strict=True):
-                            bands[i] = row
-                    columns = [
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(keys, pa.binary()),
-                        pa.array(bands, pa.list_(pa.int64())),
-                    ]
-                    kept = [batch.column(c)[cut] for c in ("doc_id", "text_hash")]
-                    yield pa.record_batch(
-                        [*kept, *columns], ["doc_id", "text_hash", "n_shingles", "key", "bands"]
-                    )
-                else:
-                    arrays = [s.view(np.int64) for s in sets]
-                    yield pa.record_batch(
-                        [pa.array(keys, pa.binary()), pa.array(arrays, pa.list_(pa.int64()))],
-                        ["key", "elements"],
-                    )
-
-    return run
 
-
-def profile(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, key, bands) of every document."""
     text = docs.select(
-        F.col("doc_id").cast("bigint"),
-        F.xxhash64(text_of()).alias("text_hash"),
-        text_of().cast("binary").alias("text"),
+        F.col("doc_id").cast("bigint"), *row_key(), text_of().cast("binary").alias("text")
     )
-    schema = "doc_id long, text_hash long, n_shingles long, key binary, bands array<long>"
-    return text.mapInArrow(_profiles(k, True), schema)
+    schema = "doc_id long, id long, no_id boolean, text_hash long"
+    return text.mapInArrow(run, f"{schema}, n_shingles long, key binary, bands array<long>")
 
 
 def _full_sets(docs: DataFrame, speakers: DataFrame, k: int) -> DataFrame:
     """(key, elements) of the classes' speakers, read from their texts again."""
-    text = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("doc_id"),
-        F.xxhash64(text_of()).alias("text_hash"),
-        text_of().cast("binary").alias("text"),
-    )
-    chosen = text.join(speakers, ["doc_id", "text_hash"], "left_semi").select("text")
-    return chosen.mapInArrow(_profiles(k, False), "key binary, elements array<long>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sets in _taken(unpack(batch.column("packed")), k):
+                keys = pa.array([set_key(s) for s in sets], pa.binary())
+                elements = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                yield pa.record_batch([keys, elements], ["key", "elements"])
+
+    chosen = packed_texts(docs).join(speakers, ROW_KEY, "left_semi").select("packed")
+    return chosen.mapInArrow(run, "key binary, elements array<long>")
 
 
 def _could_link(n: str, m: str):
@@ -181,13 +177,13 @@ def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFram
     profiles = settle(profile(docs, k), "near-profiles")
     known = profiles.filter(F.col("key").isNotNull())
     classes = known.groupBy("key").agg(
-        F.min(F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "text_hash")).alias("who"),
+        F.min(F.struct(*ROW_KEY)).alias("who"),
         F.max("n_shingles").alias("n"),
     )
     # All copies have the same bands: take them from the speaker's row alone.
     speaker_rows = (
-        known.select("key", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "text_hash", "bands")
-        .join(classes.select("key", "who.*", "n"), ["key", "doc_id", "text_hash"])
+        known.select("key", *ROW_KEY, "bands")
+        .join(classes.select("key", "who.*", "n"), ["key", *ROW_KEY])
         .select("key", "n", F.explode("bands").alias("bucket"))
     )
     buckets = (
@@ -255,7 +251,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     it.
     """
     profiles, linked = classes_and_components(docs, k)
-    narrow = profiles.select("doc_id", "text_hash", "n_shingles", "key")
+    narrow = profiles.select("doc_id", *ROW_KEY, "n_shingles", "key")
     classes = narrow.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("least"))
     named = classes.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "component", F.coalesce("component", "key")
@@ -281,28 +277,17 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     Documents with an empty set all stay.
     """
     found = near_duplicates(docs, k)
-    who = F.struct(
-        F.col("doc_id").isNull().alias("no_id"),
-        F.coalesce("doc_id", F.lit(-1)).alias("id"),
-        F.col("text_hash").alias("hash"),
-    )
+    who = F.struct("no_id", "id", "text_hash")
     grouped = found.filter(F.col("component").isNotNull())
     chosen = grouped.groupBy("component").agg(F.min(who).alias("who")).select("who.*")
-    empty = found.filter(F.col("component").isNull()).select(who.alias("who")).select("who.*")
+    empty = found.filter(F.col("component").isNull()).select("no_id", "id", "text_hash")
     stay = chosen.withColumn("single", F.lit(True)).unionAll(
         empty.distinct().withColumn("single", F.lit(False))
     )
-    given = docs.columns
-    keyed = docs.select(
-        F.struct(*given).alias("row"),
-        F.col("doc_id").isNull().alias("no_id"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("id"),
-        F.xxhash64(text_of()).alias("hash"),
-    )
-    same = ["id", "no_id", "hash"]
-    copy = F.row_number().over(Window.partitionBy(*same).orderBy(*same))
+    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *row_key())
+    copy = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*ROW_KEY))
     return (
-        keyed.join(stay, same)
+        keyed.join(stay, ROW_KEY)
         .withColumn("copy", copy)
         .filter(~F.col("single") | (F.col("copy") == 1))
         .select("row.*")

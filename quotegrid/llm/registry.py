@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid.llm import language, mixing, neardup, quality, tokens, toxicity
+from quotegrid.llm import (
+    language,
+    lines,
+    mixing,
+    neardup,
+    pieces,
+    quality,
+    substrings,
+    tokens,
+    toxicity,
+    vectors,
+)
 from quotegrid.llm.common import hold_out, table
 from quotegrid.llm.sql import LLM_ORACLE_SQL
 
@@ -33,6 +44,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count and checksum of every document's pieces, and whether they decode to the text."""
+    return pieces.summarise_documents(table(spark, sf_dir, "documents"))
+
+
 @register
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document, on shingles of four words."""
@@ -55,13 +72,36 @@ def op5_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "text_hash")
 
 
+@register
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth vector."""
+    return vectors.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @register
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, as read from the written files."""
     return tokens.token_files(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+@register
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, deleted lines and the SHA-256 of the remaining text of every document."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 @register
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the adaptive verdict of every document."""
     return quality.adaptive_filter(table(spark, sf_dir, "documents")).drop("lang", "source")
+
+
+@register
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, removed words and the SHA-256 of the remaining words of every document."""
+    return substrings.digest(table(spark, sf_dir, "documents"))

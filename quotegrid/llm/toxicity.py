@@ -13,7 +13,7 @@ counted by Spark; the machine itself is fitted on the driver to the active terms
 sample: the ``TRAIN_ROWS`` labelled, not held-out rows with the smallest id hashes.
 
 Null or empty text: the score of no terms. Null ids or labels are not learned from; an id
-labelled twice counts as toxic if any label says so. Without a label, or of one class only, the
+labelled twice counts as toxic if any label says so, an id with several texts shows the least. Without a label, or of one class only, the
 score is the smoothed share of toxic labels. Empty tables give no rows.
 """
 
@@ -176,8 +176,9 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return (
         docs.select("doc_id", text_of().alias("text"))
         .join(F.broadcast(one), F.col("doc_id") == F.col("label_id"))  # TRAIN_ROWS rows at most
+        .groupBy("label_id")  # a repeated id gives one row
+        .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
         .select("text", "toxic")
-        .limit(2 * TRAIN_ROWS)
     )
 
 
@@ -235,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
                 [pa.array(lists, pa.list_(pa.int32())), batch.column("toxic")], ["terms", "toxic"]
             )
 
-    got = rows.mapInArrow(listed, "terms array<int>, toxic int").toArrow()  # 2 * TRAIN_ROWS at most
+    got = rows.mapInArrow(listed, "terms array<int>, toxic int").toArrow()  # TRAIN_ROWS at most
     lists = got.column("terms").to_pylist()
     labels_ = [min(t, 1) for t in got.column("toxic").to_pylist()]
     # An order of their own, so the fit does not depend on how tasks deal the rows.
