@@ -1,11 +1,70 @@
-"""The corpus pipeline: stages that each apply one operator of ``quotegrid.llm``."""
+"""The corpus pipeline: from raw documents to token ids, one operator of ``quotegrid.llm`` a stage.
 
-STAGES: list = []
+A stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the columns of
+``documents``; the last one adds the ids. Each stage's result is written as Parquet and read
+again, so the next one starts from a table. Null ids, null and empty texts, repeated rows, empty
+tables and further columns are handled as the operators' docstrings say.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quotegrid.llm import lines, mixing, neardup, pieces, toxicity
+from quotegrid.llm.common import settle, table, text_of
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents whose score reaches the threshold."""
+    judged = toxicity.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.filter(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Deletes common blocks from the later documents; a document left without a line goes."""
+    found = lines.dedup_lines(docs)
+    kept = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("bigint")}
+    changed = F.col("_n_removed") > 0
+    columns = [
+        F.when(changed, kept[c]).otherwise(F.col(c)).alias(c) if c in kept else F.col(c)
+        for c in docs.columns
+    ]
+    return found.filter(~changed | (F.trim("_kept") != "")).select(*columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return neardup.one_of_each(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Plays the sources at their target weights; a document taken twice is there twice."""
+    return mixing.mixed_documents(docs)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds the ids of the text, and whether they decode to it."""
+    encoded = docs.withColumn("pieces", pieces.encoded(text_of()))
+    same = pieces.decoded(F.col("pieces")) == F.translate(text_of(), pieces.MARK, " ")
+    return encoded.withColumn("decodes", same)
+
+
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
+    ("source mix", source_mix),
+    ("sentencepiece", sentencepiece),
+]
+
+#: The stages learn, hash and align; tests hold them against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole ``documents`` table."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import settle, text_of, words_of
+from quotegrid.llm.common import ROW_KEY, row_key, settle, text_of, words_of
 
 #: Fixed by the contract: weights in source order, share of all words, passes at most.
 WEIGHTS = (3, 1, 2)
@@ -193,3 +193,29 @@ def mix(docs: DataFrame) -> DataFrame:
         (F.col("size") * taken).cast("bigint").alias("taken"),
         "text_hash",
     )
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix plays them: each row as often as it is taken, columns as they are.
+
+    Rows equal in id and text share their passes as evenly as whole passes allow. A document
+    without words follows its place in the queue.
+    """
+    id_ = F.col("doc_id").cast("bigint")
+    decided = (
+        mix(docs)
+        .groupBy(F.coalesce(id_, F.lit(-1)).alias("id"), id_.isNull().alias("no_id"), "text_hash")
+        .agg(F.sum("passes").alias("passes"), F.count("*").alias("rows"))
+        .filter("passes > 0")
+    )
+    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *row_key())
+    number = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*ROW_KEY))
+    share = F.expr("passes div rows") + F.when(F.col("number") <= F.expr("passes % rows"), 1).otherwise(0)
+    return (
+        keyed.join(decided, ROW_KEY)
+        .withColumn("number", number)
+        .withColumn("share", share.cast("int"))
+        .filter("share > 0")
+        .withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("share"))))
+        .select("row.*")
+    )

@@ -44,6 +44,7 @@ CHUNK_ELEMENTS = 1_000_000
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
+_STEPS = np.arange(1, PLACES + 1, dtype=np.uint64) * _GAMMA
 _LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
 
 
@@ -63,7 +64,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     bids = np.full(len(sets) * PLACES, _EMPTY)
     drawn: list[np.ndarray] = []
     for level in range(PLACES):
-        random = mix(element + np.uint64(level + 1) * _GAMMA)
+        random = mix(element + _STEPS[level])
         index = level + (((random & _LOW) * np.uint64(PLACES - level)) >> _HALF).astype(np.int64)
         # The permutation so far swapped place i with drawn[i]: trace what lies at the index.
         place = index.copy()

@@ -163,7 +163,7 @@ def _search(found: dict[int, np.ndarray], k: int):
             correction = index.column("correction").to_numpy()
             codes = codes.reshape(len(vectors), -1)
             ids = index.column("ids").to_pylist()
-            names = queries.column("entry").to_pylist()
+            names = queries.column("asker").to_pylist()
             asked = _matrix(queries.column("v"), size)
             for low in range(0, len(names), 64):
                 some = asked[low : low + 64]
@@ -216,14 +216,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
 
     queries = (
         index.join(distinct, "entry", "left_semi")
-        .select("entry", "size", F.col("vector").alias("v"), dealt(lots).alias("lot"))
-        .withColumn("block", every(blocks))
+        .select(
+            F.col("entry").alias("asker"),
+            F.col("size").alias("q_size"),
+            F.col("vector").alias("v"),
+            dealt(lots).alias("q_lot"),
+            every(blocks).alias("q_block"),
+        )
     )
     blocked = index.withColumn("block", dealt(blocks)).withColumn("lot", every(lots))
-    key = ["size", "block", "lot"]
     close = (
-        blocked.groupBy(*key)
-        .cogroup(queries.groupBy(*key))
+        blocked.groupBy("size", "block", "lot")
+        .cogroup(queries.groupBy("q_size", "q_block", "q_lot"))
         .applyInArrow(_search(found, k), "entry long, score double, found long")
     )
     by_score = Window.partitionBy("entry").orderBy("score", "found")
