@@ -18,19 +18,19 @@ from quotegrid.llm.common import settle, table, text_of
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose score reaches the threshold."""
     judged = toxicity.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.filter(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    return judged.filter(F.col("toxicity") < toxicity.THRESHOLD).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes common blocks from the later documents; a document left without a line goes."""
     found = lines.dedup_lines(docs)
-    kept = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("bigint")}
-    changed = F.col("_n_removed") > 0
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
+    changed = F.col("n_removed") > 0
     columns = [
-        F.when(changed, kept[c]).otherwise(F.col(c)).alias(c) if c in kept else F.col(c)
+        F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c]
         for c in docs.columns
     ]
-    return found.filter(~changed | (F.trim("_kept") != "")).select(*columns)
+    return found.filter(~changed | (F.trim("kept") != "")).select(*columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

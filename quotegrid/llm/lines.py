@@ -218,7 +218,7 @@ def _decisions(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """Every document, its columns as they are, with _n_lines, _n_removed and the _kept text.
+    """(row, n_lines, n_removed, kept) of every document: ``row`` holds its columns as they are.
 
     A copy keeps the empty text.
     """
@@ -241,8 +241,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.greatest(F.size("gone"), F.lit(0))
     )
     return joined.select(
-        "row.*",
-        F.col("n_lines").cast("bigint").alias("_n_lines"),
-        removed.cast("bigint").alias("_n_removed"),
-        kept.alias("_kept"),
+        "row",
+        F.col("n_lines").cast("bigint").alias("n_lines"),
+        removed.cast("bigint").alias("n_removed"),
+        kept.alias("kept"),
     )

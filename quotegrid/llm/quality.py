@@ -30,10 +30,10 @@ REACH = 4
 MIN_GROUP = 200
 #: name -> (per mille expression, least quartile distance, whether low values are outliers too)
 MEASURES = {
-    "word_length": ("1000 * word_chars div n_words", 750, True),
-    "symbols": ("1000 * n_symbols div n_words", 75, False),
-    "dup_lines": ("1000 * n_dup_lines div n_lines", 125, False),
-    "repeats": ("1000 * n_repeat_words div n_words", 100, False),
+    "word_length": ("1000 * word_chars div greatest(n_words, 1)", 750, True),
+    "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 75, False),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 125, False),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 100, False),
 }
 LEVELS = ("language_source", "language", "corpus")
 

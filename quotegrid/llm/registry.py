@@ -37,8 +37,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, by a machine that saw no held-out label."""
     judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
-        "doc_id",
-        hold_out(F.col("doc_id")).alias("held_out"),
+        "row.doc_id",
+        hold_out(F.col("row.doc_id")).alias("held_out"),
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
@@ -88,10 +88,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, deleted lines and the SHA-256 of the remaining text of every document."""
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed"),
-        F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"),
+        "row.doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"),
     )
 
 

@@ -265,5 +265,6 @@ def score(machine: Machine, text: Column) -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of ``docs`` plus ``toxicity`` (0 to 1), the machine being fitted first."""
-    return docs.withColumn("toxicity", score(train(docs, labels), text_of()))
+    """(row, toxicity) of every document, 0 to 1: ``row`` holds its columns as they are."""
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    return docs.select(row, score(train(docs, labels), text_of()).alias("toxicity"))
