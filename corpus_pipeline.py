@@ -27,7 +27,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
     changed = F.col("n_removed") > 0
     columns = [
-        F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c]
+        (F.when(changed, new[c]).otherwise(F.col("row")[c]) if c in new else F.col("row")[c]).alias(c)
         for c in docs.columns
     ]
     return found.filter(~changed | (F.trim("kept") != "")).select(*columns)

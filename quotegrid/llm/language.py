@@ -201,7 +201,9 @@ def _gradient(
 
 
 def train(docs: DataFrame) -> Field:
-    usable = docs.filter(F.col("lang").isNotNull() & ~hold_out(F.col("doc_id")))
+    usable = docs.select("doc_id", "lang", "text").filter(
+        F.col("lang").isNotNull() & ~hold_out(F.col("doc_id"))
+    )
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         usable.select("doc_id", "lang")

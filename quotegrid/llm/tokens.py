@@ -116,7 +116,8 @@ def train_dictionary(docs: DataFrame, vocabulary: str | None = None) -> bytes:
     """A dictionary from a bounded sample of documents; empty where that is too small."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     chosen = F.broadcast(chosen.distinct().withColumnRenamed("doc_id", "id"))  # SAMPLE_DOCS rows
-    sample = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    sample = docs.select("doc_id", "text").join(chosen, same, "left_semi")
     short = ids_of(sample, vocabulary).filter(F.length("ids") <= SAMPLE_BYTES)
     samples = [bytes(r["ids"]) for r in short.limit(SAMPLE_DOCS).collect()]
     try:

@@ -255,7 +255,7 @@ def test_lines(odd, empty):
 
 
 def test_lines_of_overlapping_documents(documents):
-    block = [f"line {i} of the shared block here" for i in range(4)]
+    block = [f"line {i} of the block that both of them share" for i in range(4)]
     footer = "the common footer of every single page"
     rows = [
         (1, "\n".join(["first own opening line", *block, "first closing line", footer])),
@@ -265,7 +265,8 @@ def test_lines_of_overlapping_documents(documents):
     rows += [(10 + i, f"page {i} says something new {i * i}\n{footer}") for i in range(80)]
     got = {r.row.doc_id: r for r in lines.dedup_lines(documents(*rows)).collect()}
     assert got[1].n_removed == 0
-    assert got[2].kept == "second opening\n\nsecond end" and got[2].n_removed == 5
+    # The blank line stays between two blocks, the footer is too short for a block.
+    assert got[2].kept == f"second opening\n\nsecond end\n{footer}" and got[2].n_removed == 4
     # A frequent line alone links nothing.
     assert all(got[i].n_removed == 0 for i in (3, *range(10, 90)))
 
@@ -429,7 +430,7 @@ def test_pipeline_of_odd_rows(odd, empty, small_dir, spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, df, small_dir)
         if name != corpus_pipeline.STAGES[-1][0]:
-            assert out.schema == df.schema
+            assert out.dtypes == df.dtypes
         assert out.count() > 0
         assert stage(spark, empty, small_dir).count() == 0
 
