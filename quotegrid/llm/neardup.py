@@ -6,11 +6,13 @@ in that order; a place keeps its lowest bid. Elements of one document bid level
 stop at the level that leaves no place empty, which larger sets reach after two or three.
 
 Equal sets are one class, whose least key speaks for all copies. Classes that share all rows of
-a band share a bucket. Each class of a bucket is compared with the bucket's least class only;
-whatever is linked so far becomes components. What remains is exact as well: in buckets that
-still hold several components, classes of different components are compared. So no link
-between two classes of a bucket is lost, and copies in any number never meet in pairs. Links
-are confirmed on full sets.
+a band share a bucket. Each bucket has a hub, its class with the most company in all its buckets,
+which is the centre of a group of near copies; every class is compared with the hubs of its
+buckets, and whatever is linked so far becomes components. What remains is exact as well: among
+the classes of a hub, strays from the hub's component are compared with the classes of other
+components, in blocks of bounded size that hold the full sets and give links only. So no link
+between two classes of a bucket is lost, no pairs of a group are ever written out, and copies
+in any number are never compared. Links are confirmed on full sets.
 
 A link at the threshold of 0.8 shares no bucket with probability (1 - 0.8**5)**40, about 1e-7.
 
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,6 +43,8 @@ BANDS, ROWS = 40, 5
 PLACES = BANDS * ROWS
 #: Elements that one call of the signature works on at a time.
 CHUNK_ELEMENTS = 1_000_000
+#: Strays and classes that a block compares.
+LEFT_ROWS, RIGHT_ROWS = 256, 512
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
@@ -173,6 +177,108 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _block_links(
+    left: list[np.ndarray], right: list[np.ndarray], left_c: np.ndarray, right_c: np.ndarray
+) -> list[tuple[int, int]]:
+    """Linked pairs of sets of different components, one per left set and right component."""
+    _, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    sizes = np.array([len(s) for s in right])
+    starts = np.cumsum(sizes) - sizes
+    at = sum(map(len, left))
+    theirs = place[at:]
+    marked = np.zeros(int(place.max()) + 1, np.int32)
+    links = []
+    low = 0
+    for i, ours in enumerate(left):
+        mine = place[low : low + len(ours)]
+        low += len(ours)
+        fits = (right_c != left_c[i]) & (
+            100 * np.minimum(sizes, len(ours)) >= PERCENT * np.maximum(sizes, len(ours))
+        )
+        if not fits.any():
+            continue
+        marked[mine] = 1
+        shared = np.add.reduceat(marked[theirs], starts)
+        marked[mine] = 0
+        found = fits & (100 * shared >= PERCENT * (sizes + len(ours) - shared))
+        hits = np.flatnonzero(found)
+        _, first = np.unique(right_c[hits], return_index=True)
+        links.extend((i, int(hits[f])) for f in first)
+    return links
+
+
+def _search_blocks(rows: DataFrame) -> DataFrame:
+    """Links (u, v) of blocks: rows of hub, l, r, stray, key, component and elements."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, sides = None, ([], [])
+
+        def solve() -> pa.RecordBatch:
+            left, right = sides
+            pairs = []
+            if left and right:
+                names = {c: k for k, c in enumerate({r[1] for r in left + right})}
+                number = [np.array([names[c] for _, c, _ in side]) for side in sides]
+                sets = [[e for _, _, e in side] for side in sides]
+                links = _block_links(*sets, *number)
+                pairs = [(left[i][0], right[j][0]) for i, j in links]
+            columns = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
+            return pa.record_batch(columns, ["u", "v"])
+
+        # Rows come sorted by block, and a block has at most LEFT_ROWS + RIGHT_ROWS or so.
+        for batch in batches:
+            names = ("hub", "l", "r", "stray", "key", "component")
+            plain = [batch.column(c).to_pylist() for c in names]
+            elements = batch.column("elements")
+            for k, (hub, l_, r, stray, key, component) in enumerate(zip(*plain, strict=True)):
+                if block != (hub, l_, r):
+                    yield solve()
+                    block, sides = (hub, l_, r), ([], [])
+                sides[0 if stray else 1].append((key, component, elements[k].values.to_numpy()))
+        yield solve()
+
+    return rows.mapInArrow(run, "u binary, v binary")
+
+
+def _remaining_links(spokes: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between different components among the classes of each hub."""
+    named = spokes.join(first.withColumnRenamed("node", "key"), "key", "left").select(
+        "hub", "key", F.coalesce("component", "key").alias("component")
+    )
+    main = named.filter(F.col("key") == F.col("hub")).select(
+        "hub", F.col("component").alias("main")
+    )
+    marked = named.join(main, "hub").withColumn("stray", F.col("component") != F.col("main"))
+    parts = (
+        marked.groupBy("hub")
+        .agg(F.count("*").alias("members"), F.count_if("stray").alias("strays"))
+        .filter(F.col("strays") > 0)
+        .select(
+            "hub",
+            F.ceil(F.col("strays") / LEFT_ROWS).cast("int").alias("lefts"),
+            F.ceil(F.col("members") / RIGHT_ROWS).cast("int").alias("rights"),
+        )
+    )
+    rows = marked.join(parts, "hub")
+
+    def own(n: str) -> Column:
+        return F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = rows.filter("stray").select(
+        "hub", "key", "component", "stray", own("lefts").alias("l"), every("rights").alias("r")
+    )
+    right = rows.select(
+        "hub", "key", "component", F.lit(False).alias("stray"),
+        every("lefts").alias("l"), own("rights").alias("r"),
+    )
+    block = ["hub", "l", "r"]
+    dealt = left.unionAll(right).join(sets, "key").repartition(*block)
+    return _search_blocks(dealt.sortWithinPartitions(*block))
+
+
 def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     """The documents' profiles, and (node, component) of the classes that have a link."""
     profiles = settle(profile(docs, k), "near-profiles")
@@ -187,61 +293,37 @@ def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFram
         .join(classes.select("key", "who.*", "n"), ["key", *ROW_KEY])
         .select("key", "n", F.explode("bands").alias("bucket"))
     )
-    buckets = (
+    shared = (
         speaker_rows.groupBy("bucket")
-        .agg(F.min(F.struct("key", "n")).alias("hub"), F.max("key").alias("last"))
-        .filter(F.col("hub.key") != F.col("last"))
+        .agg(F.count("*").alias("company"), F.min("key").alias("a"), F.max("key").alias("z"))
+        .filter(F.col("a") != F.col("z"))
+        .select("bucket", "company")
+    )
+    members = settle(speaker_rows.join(shared, "bucket").distinct(), "near-members")
+    central = members.groupBy("key").agg(F.sum("company").alias("centrality"))
+    hubs = (
+        members.select("bucket", "key", "n")
+        .join(central, "key")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("centrality", "key", "n")).alias("hub"))
         .select("bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"))
     )
-    members = settle(speaker_rows.join(buckets, "bucket").distinct(), "near-members")
-    candidates = members.filter(F.col("key") != F.col("hub"))
     spokes = settle(
-        candidates.filter(_could_link("n", "hub_n"))
-        .select(F.col("key").alias("u"), F.col("hub").alias("v"))
+        members.select("bucket", "key", "n")
+        .join(hubs, "bucket")
+        .select("key", "n", "hub", "hub_n")
         .distinct(),
         "near-spokes",
     )
-    # Every class in a bucket with another may be needed, now or among the remaining pairs.
-    speakers = classes.join(members.select("key").distinct(), "key", "left_semi").select("who.*")
+    pairs = spokes.filter((F.col("key") != F.col("hub")) & _could_link("n", "hub_n")).select(
+        F.col("key").alias("u"), F.col("hub").alias("v")
+    )
+    # Every class in a bucket with another may be needed, now or in the blocks.
+    speakers = classes.join(central.select("key"), "key", "left_semi").select("who.*")
     sets = settle(_full_sets(docs, speakers, k), "near-sets")
-    links = settle(_confirm(spokes, sets), "near-links")
+    links = settle(_confirm(pairs, sets), "near-links")
     first = settle(components(links), "near-first")
-
-    named = (
-        members.join(first.withColumnRenamed("node", "key"), "key", "left")
-        .withColumn("component", F.coalesce("component", "key"))
-        .select("bucket", "key", "n", "hub", "component")
-    )
-    mixed = (
-        named.groupBy("bucket")
-        .agg(
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.max(F.when(F.col("key") == F.col("hub"), F.col("component"))).alias("main"),
-        )
-        .filter(F.col("least") != F.col("most"))
-        .select("bucket", "main")
-    )
-    mixed_rows = settle(named.join(mixed, "bucket"), "near-mixed")
-    strays = mixed_rows.filter(F.col("component") != F.col("main")).select(
-        "bucket", F.col("key").alias("u"), F.col("n").alias("u_n"), F.col("component").alias("u_c")
-    )
-    others = mixed_rows.filter(F.col("key") != F.col("hub")).select(
-        "bucket",
-        F.col("key").alias("v"),
-        F.col("n").alias("v_n"),
-        F.col("component").alias("v_c"),
-        (F.col("component") != F.col("main")).alias("v_stray"),
-    )
-    different = (F.col("u_c") != F.col("v_c")) & _could_link("u_n", "v_n")
-    once = ~F.col("v_stray") | (F.col("u") < F.col("v"))
-    rest = (
-        strays.join(others, "bucket")
-        .filter(different & once)
-        .select("u", "v")
-        .distinct()
-    )
-    more = _confirm(rest, sets)
+    more = _remaining_links(spokes, first, sets)
     return profiles, components(links.unionAll(more))
 
 
