@@ -40,9 +40,12 @@ def percent_of(part: Column, whole: Column, scale: int = 2) -> Column:
 
 
 def mean(col: str, scale: int = 4) -> Column:
-    """Average rounded half up, summed in decimals: the same for any order of the rows."""
-    total = F.sum(F.col(col).cast("decimal(24,8)"))
-    rows = F.count(col).cast("decimal(14,0)")
+    """Average rounded half up, summed in decimals: the same for any order of the rows.
+
+    Values that are no such decimal (not a number, infinite, 1e16 and more) do not count.
+    """
+    exact = F.col(col).try_cast("decimal(24,8)")
+    total, rows = F.sum(exact), F.count(exact).cast("decimal(14,0)")
     return F.round(F.try_divide(total, rows), scale).cast("double")
 
 

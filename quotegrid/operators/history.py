@@ -16,13 +16,13 @@ TS = "index_timestamp"
 def as_of(gold: DataFrame, ts: str | dt.datetime) -> DataFrame:
     """All snapshots taken up to ``ts``.
 
-    The date bound is implied by the time bound, since both columns come from one instant;
-    it lets Spark skip the folders of later dates.
+    The date bound follows from the time bound and lets Spark skip the folders of later
+    dates. It leaves a day of slack, as the writer may have dated in another zone.
     """
     cutoff = F.lit(ts).cast(gold.schema[TS].dataType)
     kept = gold.where(F.col(TS) <= cutoff)
     if "index_date" in gold.columns:
-        kept = kept.where(F.col("index_date") <= F.to_date(cutoff))
+        kept = kept.where(F.col("index_date") <= F.date_add(F.to_date(cutoff), 1))
     return kept
 
 

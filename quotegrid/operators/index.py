@@ -147,13 +147,15 @@ def provider_spread(
 def best_value(universe: DataFrame, keys: Sequence[str] = ("tier",)) -> DataFrame:
     """Cheapest quote per unit in each group, ties broken by price, provider and names.
 
-    The highest of the groups' floors, one number, bounds every pick from above. Finding it
-    takes a hash aggregate, and the costlier ordering then sees the few rows below it.
+    A hash aggregate finds each group's floor, and the costlier ordering then sees the quotes
+    at their own group's floor only; a group without a price keeps all its quotes.
     """
     floors = universe.groupBy(*keys).agg(F.min(PRICE).alias("_floor"))
-    bound = floors.agg(F.max("_floor")).scalar()
-    candidates = universe.where((F.col(PRICE) <= bound) | F.col(PRICE).isNull()).select(
-        *keys, *dict.fromkeys([*PICK_ORDER, *BEST_VALUE.values()])
+    needed = universe.select(*keys, *dict.fromkeys([*PICK_ORDER, *BEST_VALUE.values()]))
+    candidates = (
+        join_groups(needed, floors, keys, "inner")
+        .where(F.col("_floor").isNull() | (F.col(PRICE) <= F.col("_floor")))
+        .drop("_floor")
     )
     order = [F.col(c).asc_nulls_last() for c in PICK_ORDER]
     picked = first_per_key(candidates, keys, order)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quotegrid.functions.scalars import mean
-from quotegrid.operators.latest import QUOTE_KEYS, latest_per_key
+from quotegrid.operators.latest import QUOTE_KEYS
 from quotegrid.operators.quality import accepted
 from quotegrid.reference_data import DEFAULT_PRICE_TYPE
 from quotegrid.schemas import RAW_ONLY
@@ -46,13 +46,26 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def layer_counts(bronze: DataFrame, keys: Sequence[str] = QUOTE_KEYS) -> DataFrame:
-    """Rows before the dedupe, after it and after the quality gate."""
-    newest = latest_per_key(bronze.drop(*RAW_ONLY), keys)
-    all_rows = bronze.agg(F.count("*")).scalar()
-    return newest.agg(
+    """Rows before the dedupe, after it and after the quality gate, in one pass.
+
+    Per key it counts the rows and asks the gate about the row that the dedupe picks.
+    """
+    raw = bronze.drop(*RAW_ONLY)
+    rest = [c for c in raw.columns if c not in (*keys, "ingested_at", "price_per_hour")]
+    ascending = lambda c: (F.col(c).isNull(), F.col(c))
+    time = F.unix_micros(F.col("ingested_at").cast("timestamp"))
+    order = [time.isNull(), -time, *ascending("price_per_hour")]
+    order += [x for c in rest for x in ascending(c)]
+    first = F.struct(*(x.alias(f"_{i}") for i, x in enumerate(order)))
+    per_key = raw.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.min_by(F.coalesce(accepted(), F.lit(False)), first).alias("clean"),
+    )
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("bronze_rows"),
         F.count("*").alias("deduped_rows"),
-        F.count_if(F.coalesce(accepted(), F.lit(False))).alias("clean_rows"),
-    ).select(all_rows.alias("bronze_rows"), "deduped_rows", "clean_rows")
+        F.count_if("clean").alias("clean_rows"),
+    )
 
 
 def tier_summary(silver: DataFrame, price_type: str = DEFAULT_PRICE_TYPE) -> DataFrame:

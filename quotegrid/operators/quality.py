@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from quotegrid.reference_data import UNKNOWN_TIER
 
+#: Sums of prices below it are exact; it also keeps infinities out.
+MAX_PRICE = 1e15
+
 
 def accepted() -> Column:
     """True for a usable quote. A hardware text of 'unknown' is usable, a null is not."""
@@ -15,6 +18,7 @@ def accepted() -> Column:
         price.isNotNull()
         & (price > 0)
         & ~F.isnan(price)
+        & (price < MAX_PRICE)
         & tier.isNotNull()
         & (tier != UNKNOWN_TIER)
         & F.col("hw_type").isNotNull()
@@ -28,6 +32,7 @@ def reject_reason() -> Column:
         F.when(price.isNull(), "price missing")
         .when(F.isnan(price), "price not a number")
         .when(price <= 0, "price not positive")
+        .when(price >= MAX_PRICE, "price out of range")
         .when(tier.isNull(), "tier missing")
         .when(tier == UNKNOWN_TIER, "tier unknown")
         .when(F.col("hw_type").isNull(), "hardware missing")

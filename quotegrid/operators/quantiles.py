@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
@@ -10,11 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotegrid.operators.joins import join_groups
+from quotegrid.sources.tables import settle
 
 QUARTILES = {"index_p25": 0.25, "index_median": 0.5, "index_p75": 0.75}
-TICKS_PER_UNIT = 10_000
-MAX_TICKS = 9e18
-LEADING_DIGITS = 3
 
 
 def approx_quantile(col: Column | str, p: float, accuracy: int = 10_000) -> Column:
@@ -30,26 +29,8 @@ def approx_quantiles(
     return sketch, [F.col("_quantiles")[i].alias(name) for i, name in enumerate(probs)]
 
 
-def value_range(value: Column) -> Column:
-    """A number that never falls as ``value`` grows and takes at most about 35,000 values.
-
-    It is made of the digit count and the leading digits of the value in ticks of 1/10,000,
-    so one range covers at most 1 % of its values' size: of prices rounded to a tick it holds
-    at most 10,000 distinct ones around 100. Finer values only make a range's sort longer.
-    """
-    ticks = value * TICKS_PER_UNIT
-    ticks = F.floor(F.least(F.greatest(ticks, F.lit(-MAX_TICKS)), F.lit(MAX_TICKS)))
-    digits = F.abs(ticks).cast("string")
-    size = F.length(digits) * 10**LEADING_DIGITS + F.substring(digits, 1, LEADING_DIGITS).cast(
-        "int"
-    )
-    signed = F.when(ticks < 0, -size).otherwise(size)
-    largest = 10 ** (LEADING_DIGITS + 2)
-    return F.when(F.isnan(value), largest).otherwise(signed)
-
-
 def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Distinct non-null values per group as ``_value``, with ``_n`` rows and ``_range``.
+    """Distinct non-null values per group as ``_value``, with ``_n`` rows.
 
     Equal values are counted before the shuffle, which spreads a hot group by value.
     """
@@ -57,7 +38,6 @@ def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_range", value_range(F.col("_value")))
     )
 
 
@@ -66,11 +46,15 @@ def histogram_quantiles(
 ) -> DataFrame:
     """Per group the smallest value whose cumulative share reaches each probability.
 
-    No task ever holds a whole group: counts per value range (few per group) tell which
-    range holds each wanted rank, and only the values of those ranges are ordered. A value
-    may stand in several rows of the histogram.
+    No task ever holds a whole group: the histogram is dealt out by (group, value) into ranges
+    of about equal size, whose split points Spark samples from the values themselves. Counts
+    per range tell which one holds each wanted rank, and only the values of those ranges are
+    ordered. The ranges are written, as a second sampling might split elsewhere. A value may
+    stand in several rows of the histogram.
     """
     keys, named = list(keys), list(probs.items())
+    dealt = histogram.repartitionByRange(*keys, "_value")
+    histogram = settle(dealt.withColumn("_range", F.spark_partition_id()), "histogram")
     in_group = Window.partitionBy(*keys)
     upto = in_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
     ranges = histogram.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in_range"))
@@ -81,7 +65,11 @@ def histogram_quantiles(
         }
     )
     ranks = {
-        f"_rank_{name}": F.greatest(F.ceil(F.col("_rows") * F.lit(float(p))), F.lit(1))
+        # In decimals: a binary 0.07 of 100 rows would end above the 7th.
+        f"_rank_{name}": F.greatest(
+            F.ceil(F.col("_rows").cast("decimal(20,0)") * F.lit(Decimal(str(p)))).cast("bigint"),
+            F.lit(1),
+        )
         for name, p in named
     }
     ranges = ranges.withColumns(ranks).where(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from quotegrid.functions.scalars import unit_price
 from quotegrid.reference_data import PERF_WEIGHTS, SKU_PREFIX, UNITS_PER_INSTANCE, UNKNOWN_HW
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8 << 20
 
 
 def lookup(
@@ -23,20 +23,26 @@ def lookup(
 
 
 def _left_lookup(
-    df: DataFrame, mapping: Mapping, key: str, value: str, kind: T.DataType
+    df: DataFrame, dim: Mapping | DataFrame, key: str, value: str, kind: T.DataType
 ) -> DataFrame:
-    """Left join to a mapping; broadcast while it has at most BROADCAST_ROWS entries.
+    """Left join to a lookup: a mapping, or a dimension table of (key, value) columns.
 
-    Rows built from a list carry no size estimate, so without the hint Spark would shuffle
-    the big side. A larger mapping is joined without a hint.
+    Rows built from a list carry no size estimate, so a mapping is broadcast while its texts
+    have at most BROADCAST_BYTES. A larger one, and a table, is joined without a hint; a table
+    must not state a key twice.
     """
-    dim = lookup(df.sparkSession, mapping, key, value, kind)
-    return df.join(F.broadcast(dim) if len(mapping) <= BROADCAST_ROWS else dim, key, "left")
+    if isinstance(dim, DataFrame):
+        its_key, its_value = dim.columns[:2]
+        table = dim.select(F.col(its_key).alias(key), F.col(its_value).cast(kind).alias(value))
+        return df.join(table, key, "left")
+    small = sum(len(str(k)) + 32 for k in dim) <= BROADCAST_BYTES
+    table = lookup(df.sparkSession, dim, key, value, kind)
+    return df.join(F.broadcast(table) if small else table, key, "left")
 
 
 def normalise_units(
     df: DataFrame,
-    units: Mapping[str, int] = UNITS_PER_INSTANCE,
+    units: Mapping[str, int] | DataFrame = UNITS_PER_INSTANCE,
     strip: str = SKU_PREFIX,
     scale: int = 4,
 ) -> DataFrame:
@@ -56,17 +62,25 @@ def normalise_units(
 
 def perf_adjust(
     df: DataFrame,
-    weights: Mapping[str, float] = PERF_WEIGHTS,
+    weights: Mapping[str, float] | DataFrame = PERF_WEIGHTS,
     default: str = UNKNOWN_HW,
     scale: int = 4,
 ) -> DataFrame:
     """Add ``perf_index`` (weight of ``default`` for a miss) and ``price_per_perf_unit``.
 
-    Opt-in: the headline index never uses it.
+    Opt-in: the headline index never uses it. A weight table without ``default`` counts a
+    miss by the fixed weight.
     """
+    fallback = PERF_WEIGHTS[UNKNOWN_HW]
+    if isinstance(weights, DataFrame):
+        key, value = (F.col(c) for c in weights.columns[:2])
+        stated = weights.where(key == default).agg(F.max(value)).first()[0]  # one value
+        fallback = fallback if stated is None else stated
+    else:
+        fallback = weights[default]
     joined = _left_lookup(df, weights, "hw_type", "_weight", T.DoubleType())
     weighted = joined.withColumn(
-        "perf_index", F.coalesce("_weight", F.lit(float(weights[default])))
+        "perf_index", F.coalesce("_weight", F.lit(float(fallback)))
     ).drop("_weight")
     return weighted.withColumn(
         "price_per_perf_unit", unit_price(F.col("unit_price"), F.col("perf_index"), scale)

@@ -9,26 +9,28 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from quotegrid import reference_data as ref
-from quotegrid.operators.quality import quality_gate
+from quotegrid.operators.profile import frequency, layer_counts, tier_summary
+from quotegrid.operators.quality import one_currency, quality_gate
 from quotegrid.plans.gold import build_gold
 from quotegrid.plans.silver import advance_latest, build_silver, silver_rows
 from quotegrid.schemas import (
     BRONZE,
     CATALOG_A_PRODUCTS,
     CATALOG_A_TERMS,
-    CATALOG_B_PAGE,
+    CATALOG_B_RAW_PAGE,
+    SILVER,
 )
 from quotegrid.sources.catalogs import flatten_pages, flatten_terms
 from quotegrid.sources.landing import land
 from quotegrid.sources.tables import (
     ensure_database,
+    exists,
     is_path,
     overwrite,
     read,
-    settle,
     write_snapshot,
 )
-from quotegrid.streaming.bronze import drain, split_corrupt, stream_landing
+from quotegrid.streaming.bronze import drain, next_load, split_corrupt, stream_landing
 
 
 @dataclass(frozen=True)
@@ -59,15 +61,16 @@ def land_catalogs(spark: SparkSession, paths: Paths) -> None:
         spark.read.schema(CATALOG_A_TERMS).json(paths.terms),
         paths.region_a,
     )
-    rows_b = flatten_pages(spark.read.schema(CATALOG_B_PAGE).json(paths.pages), paths.regions_b)
-    # The guard against an empty batch must not run the join a second time.
-    land(settle(rows_a, "catalog"), f"{paths.landing}/{ref.PROVIDER_A.lower()}")
+    rows_b = flatten_pages(spark.read.schema(CATALOG_B_RAW_PAGE).json(paths.pages), paths.regions_b)
+    land(rows_a, f"{paths.landing}/{ref.PROVIDER_A.lower()}")
     land(rows_b, f"{paths.landing}/{ref.PROVIDER_B.lower()}")
 
 
 def good_bronze(spark: SparkSession, paths: Paths) -> DataFrame:
-    good, _ = split_corrupt(read(spark, paths.bronze, BRONZE))
-    return good
+    """Bronze without quarantined rows; empty before the first row was ever loaded."""
+    if not exists(spark, paths.bronze):
+        return split_corrupt(spark.createDataFrame([], BRONZE))[0]
+    return split_corrupt(read(spark, paths.bronze, BRONZE))[0]
 
 
 def run(
@@ -75,20 +78,34 @@ def run(
     paths: Paths,
     as_of: str | dt.datetime | None = None,
     snapshot_mode: str = "append",
-) -> None:
-    """Land, drain, rebuild Silver and add one Gold snapshot; safe to repeat."""
+    currency: str | None = None,
+) -> dict[str, DataFrame]:
+    """Land, drain, rebuild Silver and add one Gold snapshot; safe to repeat.
+
+    Nothing landed so far is no error: the tables stay empty. With ``currency`` quotes stated
+    in another one are left out, as prices are never converted. The result holds the run's
+    checks as lazy frames: rows per provider and tier in Bronze, rows per layer, and average
+    prices per tier in Silver.
+    """
     for table in (paths.bronze, paths.silver, paths.gold, paths.latest):
         if table and not is_path(table) and "." in table:
             ensure_database(spark, table.rsplit(".", 1)[0])
     land_catalogs(spark, paths)
-    drain(stream_landing(spark, paths.landing), paths.bronze, paths.checkpoint)
+    load = next_load(spark, paths.bronze)
+    drain(stream_landing(spark, paths.landing, load=load), paths.bronze, paths.checkpoint)
     bronze = good_bronze(spark, paths)
+    if currency:
+        bronze = one_currency(bronze, currency)
     if paths.latest:
         silver = silver_rows(quality_gate(advance_latest(bronze, paths.latest)), as_of=as_of)
     else:
         silver = build_silver(bronze, as_of=as_of)
     overwrite(silver, paths.silver)
-    gold = build_gold(read(spark, paths.silver), as_of=as_of)
+    silver = read(spark, paths.silver, SILVER)
+    gold = build_gold(silver, as_of=as_of)
     write_snapshot(gold, paths.gold, snapshot_mode)
-
-
+    return {
+        "bronze": frequency(bronze, "provider", "tier"),
+        "layers": layer_counts(bronze),
+        "silver": tier_summary(silver),
+    }

@@ -13,7 +13,7 @@ from quotegrid.operators.latest import latest_per_key, refresh_latest
 from quotegrid.operators.quality import quality_gate
 from quotegrid.operators.units import normalise_units, perf_adjust
 from quotegrid.reference_data import SKU_PREFIX, UNITS_PER_INSTANCE
-from quotegrid.schemas import PERF_COLUMNS, RAW_ONLY, SILVER
+from quotegrid.schemas import LOAD, PERF_COLUMNS, RAW_ONLY, SILVER
 from quotegrid.sources.tables import keep, read_kept
 
 
@@ -32,14 +32,15 @@ def current_quotes(bronze: DataFrame, filter_first: bool = False) -> DataFrame:
 def advance_latest(bronze: DataFrame, target: str) -> DataFrame:
     """Latest rows per key kept in ``target``, brought up to date with ``bronze``.
 
-    Only rows loaded since the newest kept one are read; a load has one time, so whole files
-    are skipped by their statistics. Merging a load twice changes nothing. The times come
-    from the loader's clock, which must not run backwards. The first call reads all rows.
+    Only the load of the newest kept row and later ones are read, whose numbers are folders of
+    Bronze; no clock is involved, and merging a load twice changes nothing. Rows without a
+    load number are always read. The first call reads all rows.
     """
     raw, current = bronze.drop(*RAW_ONLY), read_kept(bronze.sparkSession, target)
     if current is not None:
-        seen = current.agg(F.max("ingested_at")).first()[0]
-        arrived = raw if seen is None else raw.where(F.col("ingested_at") >= F.lit(seen))
+        seen = current.agg(F.max(LOAD)).first()[0]
+        later = F.col(LOAD).isNull() | (F.col(LOAD) >= F.lit(seen))
+        arrived = raw if seen is None else raw.where(later)
         newest = refresh_latest(current, arrived)
     else:
         newest = latest_per_key(raw)
@@ -48,9 +49,9 @@ def advance_latest(bronze: DataFrame, target: str) -> DataFrame:
 
 def build_silver(
     bronze: DataFrame,
-    units: Mapping[str, int] = UNITS_PER_INSTANCE,
+    units: Mapping[str, int] | DataFrame = UNITS_PER_INSTANCE,
     strip: str = SKU_PREFIX,
-    weights: Mapping[str, float] | None = None,
+    weights: Mapping[str, float] | DataFrame | None = None,
     filter_first: bool = False,
     as_of: str | dt.datetime | None = None,
 ) -> DataFrame:
@@ -60,9 +61,9 @@ def build_silver(
 
 def silver_rows(
     clean: DataFrame,
-    units: Mapping[str, int] = UNITS_PER_INSTANCE,
+    units: Mapping[str, int] | DataFrame = UNITS_PER_INSTANCE,
     strip: str = SKU_PREFIX,
-    weights: Mapping[str, float] | None = None,
+    weights: Mapping[str, float] | DataFrame | None = None,
     as_of: str | dt.datetime | None = None,
 ) -> DataFrame:
     """Silver columns of rows that are deduped and clean already."""

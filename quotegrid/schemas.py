@@ -27,7 +27,12 @@ CATALOG_B_ITEM = _nullable(
 )
 CATALOG_B_PAGE = _nullable(("Items", T.ArrayType(CATALOG_B_ITEM)), ("NextPageLink", _S))
 
-# Superset of both providers' landed rows; a column one provider lacks reads as null.
+# As landed: an item keeps its whole text, fields that the schema above lacks included.
+CATALOG_B_RAW_PAGE = _nullable(("Items", T.ArrayType(_S)), ("NextPageLink", _S))
+
+# Superset of both providers' landed rows; a column one provider lacks reads as null. A fixed
+# layout; three names are the project's own: hw_type, as not all hardware is of one kind,
+# unit_text, as the text is no count, and tier, as it classes more than workloads.
 LANDING = _nullable(
     ("provider", _S),
     ("instance_type", _S),
@@ -45,13 +50,19 @@ LANDING = _nullable(
 )
 
 CORRUPT = "_corrupt_record"
+RESCUED = "_rescued_data"
+LOAD = "load"
 
-LOAD_COLUMNS = _nullable(("ingested_at", T.TimestampType()), ("source_file", _S))
+LOAD_COLUMNS = _nullable(
+    (LOAD, T.IntegerType()), ("ingested_at", T.TimestampType()), ("source_file", _S)
+)
 
 # Neither of these is carried into Silver; dropping them early keeps them out of shuffles.
-RAW_ONLY = ["unit_text", "vcpu", "memory_gb", "raw_payload", CORRUPT]
+RAW_ONLY = ["unit_text", "vcpu", "memory_gb", "raw_payload", CORRUPT, RESCUED]
 
-BRONZE = T.StructType([*LANDING.fields, T.StructField(CORRUPT, _S), *LOAD_COLUMNS.fields])
+BRONZE = T.StructType(
+    [*LANDING.fields, T.StructField(CORRUPT, _S), T.StructField(RESCUED, _S), *LOAD_COLUMNS.fields]
+)
 
 SILVER = _nullable(
     ("provider", _S),

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from quotegrid import reference_data as ref
 from quotegrid.functions.rules import any_prefix, any_substring, classify
 from quotegrid.functions.scalars import all_rates, attribute, last_price
+from quotegrid.schemas import CATALOG_B_ITEM
 
 
 def match_all(df: DataFrame, equals: Mapping[str, str]) -> DataFrame:
@@ -62,10 +63,15 @@ def flatten_pages(
 ) -> DataFrame:
     """Result pages of catalogue B -> landing rows.
 
+    Items are the texts of CATALOG_B_RAW_PAGE, kept whole as the payload, or structs.
     ``strip`` is removed from the SKU before the rules look at it, since the rule word "nd"
     also occurs in "Standard_"; pass None to classify the SKU text as it is.
     """
-    items = pages.select(F.explode("Items").alias("item"))
+    raw = pages.select(F.explode("Items").alias("raw"))
+    if isinstance(pages.schema["Items"].dataType.elementType, T.StringType):
+        items = raw.select(F.from_json("raw", CATALOG_B_ITEM).alias("item"), "raw")
+    else:
+        items = raw.select(F.col("raw").alias("item"), F.to_json("raw").alias("raw"))
     sku, product = F.col("item.skuName"), F.col("item.productName")
     text = F.regexp_replace(sku, strip, "") if strip else sku
     rows = match_all(
@@ -86,7 +92,7 @@ def flatten_pages(
         classify(sku, ref.B_PRICE_TYPES, ref.DEFAULT_PRICE_TYPE).alias("price_type"),
         F.coalesce("item.currencyCode", F.lit(ref.DEFAULT_CURRENCY)).alias("currency"),
         classify(text, ref.B_TIERS, ref.UNKNOWN_TIER, ignore_case=True).alias("tier"),
-        F.to_json("item").alias("raw_payload"),
+        F.col("raw").alias("raw_payload"),
     )
 
 

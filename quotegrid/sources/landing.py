@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Full microseconds on both ways; the writer's default would cut them to milliseconds.
@@ -13,11 +14,14 @@ JSON_OPTIONS = {
 
 
 def land(df: DataFrame, path: str) -> bool:
-    """Append ``df`` as JSON lines to ``path``; an empty batch writes nothing (False)."""
-    if df.isEmpty():
-        return False
-    df.write.mode("append").options(**JSON_OPTIONS).json(path)
-    return True
+    """Append ``df`` as JSON lines to ``path``; False if the batch had no row.
+
+    The batch is computed once. An empty one leaves the folder, and no line in it.
+    """
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").options(**JSON_OPTIONS).json(path)
+    return seen.get["rows"] > 0
 
 
 def discover_schema(spark: SparkSession, path: str, sampling: float = 1.0) -> T.StructType:

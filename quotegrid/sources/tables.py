@@ -36,13 +36,18 @@ def exists(spark: SparkSession, target: str) -> bool:
         return spark.catalog.tableExists(target)
     try:
         spark.read.parquet(target)
-    except AnalysisException:
+    except AnalysisException as error:
+        # A missing folder, or one without a data file; that one has no name of its own yet.
+        if error.getCondition() not in ("PATH_NOT_FOUND", "_LEGACY_ERROR_TEMP_1134"):
+            raise
         return False
     return True
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+    """Create a namespace, of one part or as ``catalog.schema``."""
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quoted}")
 
 
 def _save(writer: DataFrameWriter, target: str) -> None:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotegrid.schemas import CORRUPT, LANDING
+from quotegrid.schemas import CORRUPT, LANDING, LOAD, RESCUED
 from quotegrid.sources.landing import JSON_OPTIONS
-from quotegrid.sources.tables import is_path
+from quotegrid.sources.tables import exists, is_path, read
+
+#: Older than any file can be: the stream must not skip a file for its old time.
+ANY_AGE = "365000d"
 
 
 def stream_landing(
@@ -16,33 +21,49 @@ def stream_landing(
     path: str,
     schema: T.StructType = LANDING,
     max_bytes_per_trigger: int | None = 256 << 30,
-    max_file_age: str = "3650d",
+    load: int | None = None,
+    loaded_at: dt.datetime | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """File stream over all sub-folders of ``path``, with load time and source file.
+    """File stream over all sub-folders of ``path``, with load number, load time and source file.
 
-    Lines that do not fit ``schema`` keep their text in ``_corrupt_record``. A long backlog
-    is drained in batches of about ``max_bytes_per_trigger``. Spark forgets loaded files, and
-    skips unseen ones, once they are ``max_file_age`` older than the newest; its own default
-    of seven days would lose files that arrive late with their old time.
+    Lines that do not fit ``schema`` keep their text in ``_corrupt_record``, and fields that
+    ``schema`` lacks are kept as JSON in ``_rescued_data``, so a column that appears later is
+    not lost. All rows of a drain have one load time. A long backlog is drained in batches of
+    about ``max_bytes_per_trigger``. Files count whatever their age, so the stream remembers
+    each one; with ``archive`` loaded files move there, which keeps listings short.
     """
-    declared = schema if CORRUPT in schema.names else T.StructType(
-        [*schema.fields, T.StructField(CORRUPT, T.StringType())]
+    names = [f for f in schema.names if f != CORRUPT]
+    declared = T.StructType(
+        [*(schema[n] for n in names), T.StructField(CORRUPT, T.StringType())]
     )
     reader = (
-        spark.readStream.schema(declared)
-        .options(**JSON_OPTIONS)
-        .option("recursiveFileLookup", "true")
-        .option("mode", "PERMISSIVE")
-        .option("maxFileAge", max_file_age)
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        spark.readStream.option("recursiveFileLookup", "true").option("maxFileAge", ANY_AGE)
     )
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
-    return reader.json(path).select(
-        "*",
-        F.current_timestamp().alias("ingested_at"),
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    options = {**JSON_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    unknown = F.map_filter(
+        F.from_json("value", "map<string,string>"), lambda name, _: ~name.isin(names)
+    )
+    lines = reader.text(path).where(F.trim("value") != "")
+    parsed = lines.select(
+        F.from_json("value", declared, options).alias("row"),
+        F.when(F.size(unknown) > 0, F.to_json(unknown)).alias(RESCUED),
+        F.lit(load).cast("int").alias(LOAD),
+        F.lit(loaded_at or dt.datetime.now(dt.timezone.utc)).alias("ingested_at"),
         F.col("_metadata.file_path").alias("source_file"),
     )
+    return parsed.select("row.*", RESCUED, LOAD, "ingested_at", "source_file")
+
+
+def next_load(spark: SparkSession, bronze: str) -> int:
+    """The number of the next load, one above the largest in Bronze; no clock is involved."""
+    if not exists(spark, bronze):
+        return 1
+    return (read(spark, bronze).agg(F.max(LOAD)).first()[0] or 0) + 1
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,7 +73,7 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def drain(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Append everything available to ``out`` (folder or table name), then stop.
+    """Append everything available to ``out`` (folder or table name), by load, then stop.
 
     The checkpoint, on shared storage, remembers the files already loaded.
     """
@@ -60,6 +81,7 @@ def drain(stream: DataFrame, out: str, checkpoint: str) -> None:
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
+        .partitionBy(LOAD)
         .trigger(availableNow=True)
     )
     query = writer.start(out) if is_path(out) else writer.toTable(out)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotegrid import schemas
-
 # Fixed values of the binding; the SQL side states the same ones.
 BRAND_UNITS = {"Brand#1": 8, "Brand#2": 4, "Brand#3": 2}
 PROVIDERS = ["P1", "P2"]
@@ -55,8 +53,16 @@ def brand_name(names: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), number)
 
 
-def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as price observations."""
+def quotes(spark: SparkSession, sf_dir: str, fine: bool = False) -> DataFrame:
+    """Line items as price observations.
+
+    Instances and regions are brands and nations, a few thousand keys whatever the scale
+    factor; ``fine`` names parts and suppliers, so that keys grow with the data.
+    """
+    instance, region = F.col("p_brand"), F.col("n_name")
+    if fine:
+        instance = F.concat_ws("-", instance, "p_partkey")
+        region = F.concat_ws(":", region, "s_suppkey")
     rows = (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -65,10 +71,10 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return rows.select(
         F.when(F.col("l_linestatus") == "F", "P1").otherwise("P2").alias("provider"),
-        F.col("p_brand").alias("instance_type"),
+        instance.alias("instance_type"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("hw_type"),
-        F.col("n_name").alias("region"),
+        region.alias("region"),
         F.col("l_extendedprice").alias("price_per_hour"),
         F.when(F.col("l_returnflag") == "R", "spot").otherwise("on_demand").alias("price_type"),
         F.lit("USD").alias("currency"),
@@ -97,7 +103,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lowest and highest line price per part as two nested offers of catalogue A.
+    """Lowest and highest line price per part as nested offers of catalogue A, 1 to 3 rates.
 
     The last rate is the one that counts: it may lack a dollar price, be zero or no number.
     """
@@ -117,19 +123,16 @@ def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     def rate(prices: Column) -> Column:
         return F.struct(prices.alias("pricePerUnit"))
 
-    offers = F.create_map(
-        F.lit("base"),
-        F.struct(
-            F.create_map(F.lit("r1"), rate(F.create_map(F.lit("USD"), low))).alias(
-                "priceDimensions"
-            )
-        ),
-        F.lit("list"),
-        F.struct(
-            F.create_map(
-                F.lit("r1"), rate(F.create_map(F.lit("USD"), low)), F.lit("r2"), rate(last)
-            ).alias("priceDimensions")
-        ),
+    def offer(*rates: Column) -> Column:
+        named = [x for i, r in enumerate(rates, 1) for x in (F.lit(f"r{i}"), r)]
+        return F.struct(F.create_map(*named).alias("priceDimensions"))
+
+    lowest = rate(F.create_map(F.lit("USD"), low))
+    base, kind = (F.lit("base"), offer(lowest)), F.col("l_partkey") % 3
+    offers = (
+        F.when(kind == 0, F.create_map(*base, F.lit("list"), offer(lowest)))
+        .when(kind == 1, F.create_map(*base))
+        .otherwise(F.create_map(*base, F.lit("list"), offer(lowest, rate(last))))
     )
     return by_part.select(F.col("l_partkey").cast("string").alias("sku"), offers.alias("offers"))
 
@@ -151,6 +154,8 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("p_size") == 49, "Reservation").otherwise("Consumption").alias(
                 "priceType"
             ),
+            # A field that the declared schema lacks: the payload must keep it.
+            F.concat(F.lit("m"), "p_partkey").alias("meterId"),
         )
 
     retail, name = F.col("p_retailprice"), F.col("p_name")
@@ -160,8 +165,6 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         item(F.concat(sku, F.lit(" Spot")), name, retail / 4),
         item(sku, F.concat(name, F.lit(" Windows")), retail * 2),
     )
-    return (
-        table(spark, sf_dir, "part")
-        .select(items.alias("Items"), F.lit(None).cast("string").alias("NextPageLink"))
-        .to(schemas.CATALOG_B_PAGE)
+    return table(spark, sf_dir, "part").select(
+        items.alias("Items"), F.lit(None).cast("string").alias("NextPageLink")
     )

@@ -31,9 +31,12 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-QUOTES = """quotes AS (
+
+
+def quotes(instance: str = "p_brand", region: str = "n_name") -> str:
+    return f"""quotes AS (
   SELECT CASE l_linestatus WHEN 'F' THEN 'P1' ELSE 'P2' END AS provider,
-    p_brand AS instance_type, p_name AS product_name, p_type AS hw_type, n_name AS region,
+    {instance} AS instance_type, p_name AS product_name, p_type AS hw_type, {region} AS region,
     l_extendedprice AS price_per_hour,
     CASE l_returnflag WHEN 'R' THEN 'spot' ELSE 'on_demand' END AS price_type,
     'USD' AS currency,
@@ -44,11 +47,15 @@ QUOTES = """quotes AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey
     JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"""
 
+
+QUOTES = quotes()
+FINE_QUOTES = quotes("p_brand || '-' || p_partkey", "n_name || ':' || s_suppkey")
+
 NEWEST = """ingested_at DESC NULLS LAST, price_per_hour NULLS LAST, product_name NULLS LAST,
   hw_type NULLS LAST, currency NULLS LAST, tier NULLS LAST, source_file NULLS LAST"""
 
 OK = """price_per_hour IS NOT NULL AND price_per_hour > 0 AND NOT isnan(price_per_hour)
-  AND tier IS NOT NULL AND tier <> 'Unknown' AND hw_type IS NOT NULL"""
+  AND price_per_hour < 1e15 AND tier IS NOT NULL AND tier <> 'Unknown' AND hw_type IS NOT NULL"""
 
 
 def newest(source: str, name: str = "latest") -> str:
@@ -57,7 +64,8 @@ def newest(source: str, name: str = "latest") -> str:
     PARTITION BY {KEYS} ORDER BY {NEWEST}) AS rn FROM {source}) WHERE rn = 1)"""
 
 
-UNITS = "CASE instance_type WHEN 'Brand#1' THEN 8 WHEN 'Brand#2' THEN 4 WHEN 'Brand#3' THEN 2 END"
+BRAND = "regexp_replace(instance_type, '-[0-9]+$', '')"
+UNITS = f"CASE {BRAND} WHEN 'Brand#1' THEN 8 WHEN 'Brand#2' THEN 4 WHEN 'Brand#3' THEN 2 END"
 
 
 def silver(source: str = "latest", extra: str = "") -> str:
@@ -71,7 +79,7 @@ def silver(source: str = "latest", extra: str = "") -> str:
 
 
 UNIVERSE = "universe AS (SELECT * FROM silver WHERE price_type = 'on_demand' AND tier <> 'Edge')"
-BASE = (QUOTES, newest("quotes"), silver(), UNIVERSE)
+BASE = (FINE_QUOTES, newest("quotes"), silver(), UNIVERSE)
 
 MOMENTS = f"""{mean("unit_price")} AS index_mean,
     {dec("stddev_samp(unit_price)")} AS index_stddev,
@@ -123,7 +131,11 @@ def gold_ctes(keys: str = "tier", base: str = "P1", other: str = "P2") -> tuple[
     )
 
 
-GOLD = with_(*BASE, *gold_ctes()) + "SELECT * FROM gold"
+STAMPS = """DATE '2002-01-01' AS index_date,
+    TIMESTAMP '2002-01-01 06:00:00' AS index_timestamp, '20020101_060000' AS run_id"""
+GOLD_ROWS = with_(*BASE, *gold_ctes())
+GOLD = GOLD_ROWS + "SELECT * FROM gold"
+STAMPED = GOLD_ROWS + f"SELECT *, {STAMPS} FROM gold"
 
 SERIES = with_(
     QUOTES,
@@ -179,7 +191,8 @@ A_HW = f"""CASE WHEN {starts("instance", "p4d", "p4de", "p5")} THEN 'A100'
 
 CATALOG_A = (
     """terms AS (
-  SELECT l_partkey, CASE WHEN high > 104000 OR low < 1500 THEN NULL ELSE high END AS price
+  SELECT l_partkey, CASE WHEN l_partkey % 3 <> 2 THEN low
+      WHEN high > 104000 OR low < 1500 THEN NULL ELSE high END AS price
   FROM (SELECT l_partkey, min(l_extendedprice) AS low, max(l_extendedprice) AS high
     FROM lineitem GROUP BY l_partkey))""",
     f"""rows_a AS (
@@ -220,7 +233,7 @@ CATALOG_B = (
     price AS price_per_hour,
     CASE WHEN contains(sku, 'Spot') OR contains(sku, 'Low Priority') THEN 'spot'
       ELSE 'on_demand' END AS price_type,
-    {B_TIER} AS tier, product AS product_name, 'USD' AS currency
+    {B_TIER} AS tier, product AS product_name, 'USD' AS currency, p_partkey, p_size
   FROM (SELECT *, lower(regexp_replace(sku, '^Standard_', '')) AS txt FROM items)
   WHERE p_size <> 50 AND p_size <> 49 AND region <> 'northeurope'
     AND NOT coalesce(contains(product, 'Windows'), false) AND {B_LISTED})""",
@@ -259,7 +272,7 @@ ORACLE_SQL = {
     "q03_provider_spread": with_(*BASE, summary_cte(), spread_cte()) + "SELECT * FROM spread",
     "q04_best_value": with_(*BASE, best_cte()) + "SELECT * FROM best",
     "q05_gold_assembled": GOLD,
-    "q06_gold_single_pass": GOLD,
+    "q06_gold_single_pass": STAMPED,
     "q07_latest_per_key": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
         PARTITION BY user_id, event_type ORDER BY ts DESC, event_id, value, props) AS rn
       FROM events) WHERE rn = 1""",
@@ -308,7 +321,8 @@ ORACLE_SQL = {
       {mean("unit_price")} AS avg_unit_price,
       {mean("price_per_perf_unit")} AS avg_perf_price, count(*) AS n
     FROM weighted WHERE price_type = 'on_demand' GROUP BY tier""",
-    "q20_perf_adjusted": with_(*BASE, weighted()) + "SELECT * FROM weighted",
+    "q20_perf_adjusted": with_(*BASE, weighted())
+    + "SELECT *, TIMESTAMP '2002-01-01 06:00:00' AS transformed_at FROM weighted",
     "q21_dispersion_iqr": with_(*BASE, index_cte())
     + f"""SELECT tier, index_median, index_stddev,
       {dec("index_stddev / index_median * 100", 0)} AS stddev_pct,
@@ -317,14 +331,15 @@ ORACLE_SQL = {
     + f"""SELECT tier, index_median, {dec('''index_median
       / (SELECT index_median FROM idx WHERE tier = 'Inference')''', 2)} AS premium FROM idx""",
     "q23_excluded_tier_index": with_(
-        QUOTES,
+        FINE_QUOTES,
         newest("quotes"),
         silver(),
         "universe AS (SELECT * FROM silver WHERE price_type = 'on_demand' AND tier = 'Edge')",
         *gold_ctes(),
     )
     + "SELECT * FROM gold",
-    "q24_snapshot_series": SERIES + "SELECT * FROM series",
+    "q24_snapshot_series": SERIES
+    + "SELECT *, cast(index_date AS timestamp) AS index_timestamp FROM series",
     "q25_as_of": SERIES + f"SELECT {SERIES_COLUMNS} FROM series WHERE index_date <= {CUTOFF}",
     "q26_latest_snapshot": SERIES
     + f"""SELECT {SERIES_COLUMNS} FROM (SELECT *, row_number() OVER (
@@ -332,7 +347,9 @@ ORACLE_SQL = {
     "q27_version_as_of": SERIES
     + f"""SELECT {SERIES_COLUMNS} FROM (SELECT *, dense_rank() OVER (ORDER BY index_date) AS v
       FROM series) WHERE v <= 6""",
-    "q28_stream_bronze": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "q28_stream_bronze": """SELECT event_id, ts, user_id, event_type, value, props,
+      cast(CASE event_type WHEN 'purchase' THEN 1 ELSE 2 END AS integer) AS load,
+      cast(NULL AS varchar) AS _rescued_data, true AS stamped FROM events""",
     "q29_snapshot_rewrite": SERIES
     + """SELECT index_date, mode, count(*) * max(times) AS n FROM series,
       (VALUES ('append', 2), ('replace_date', 1)) AS modes(mode, times) GROUP BY ALL""",
@@ -345,7 +362,9 @@ ORACLE_SQL = {
         WHEN 'signup' THEN '{"event_id":' || event_id
           || ',"event_type":"signup","value":"high"}' END AS line
     FROM events""",
-    "q31_approx_index": GOLD,
+    "q31_approx_index": with_(*BASE)
+    + """SELECT tier, count(*) AS sample_size, true AS index_p25_within,
+      true AS index_median_within, true AS index_p75_within FROM universe GROUP BY tier""",
     "q32_reports": with_(*BASE, *gold_ctes())
     + """SELECT tier, index_median, index_p25, index_p75, index_stddev, p1_median, p2_median,
       provider_spread, spread_pct, best_value_provider, best_value_instance, sample_size
@@ -353,15 +372,15 @@ ORACLE_SQL = {
     "q33_best_value_report": with_(*BASE, *gold_ctes())
     + """SELECT tier, best_value_provider, best_value_instance, best_value_hw,
       best_value_price, best_value_unit_price FROM gold""",
-    "q34_paged_catalog": with_(NAMED, *CATALOG_B) + "SELECT * FROM rows_b",
+    "q34_paged_catalog": with_(NAMED, *CATALOG_B)
+    + "SELECT * EXCLUDE (p_partkey, p_size) FROM rows_b",
     "q35_group_quantiles": """SELECT l_returnflag, l_linestatus,
       quantile_disc(l_extendedprice, 0.01) AS p01, quantile_disc(l_extendedprice, 0.25) AS p25,
       quantile_disc(l_extendedprice, 0.5) AS p50, quantile_disc(l_extendedprice, 0.75) AS p75,
       quantile_disc(l_extendedprice, 0.99) AS p99 FROM lineitem GROUP BY ALL""",
     "q36_source_inventory": with_(QUOTES)
     + """SELECT provider, source_file, count(*) AS n, min(ingested_at) AS first_ingested_at,
-      max(ingested_at) AS last_ingested_at FROM quotes WHERE price_type = 'on_demand'
-    GROUP BY ALL""",
+      max(ingested_at) AS last_ingested_at FROM quotes GROUP BY ALL""",
     "q37_region_pages": with_(QUOTES)
     + """SELECT region, count(*) AS n, count(DISTINCT source_file) AS files
     FROM quotes GROUP BY region""",
@@ -370,16 +389,21 @@ ORACLE_SQL = {
         QUOTES, f"good AS (SELECT * FROM quotes WHERE {OK})", newest("good")
     )
     + "SELECT * FROM latest",
-    "q40_raw_payload": with_(*CATALOG_A)
+    "q40_raw_payload": with_(*CATALOG_A, NAMED, *CATALOG_B)
     + """SELECT instance_type, instance_type AS raw_instance,
       CASE WHEN p_type <> 'PROMO' THEN p_size || ' GB' END AS raw_memory,
-      cast(CASE WHEN p_type <> 'PROMO' THEN 7 ELSE 6 END AS integer) AS entries FROM rows_a""",
+      cast(NULL AS varchar) AS raw_meter,
+      cast(CASE WHEN p_type <> 'PROMO' THEN 7 ELSE 6 END AS integer) AS entries FROM rows_a
+    UNION ALL SELECT instance_type, instance_type, NULL, 'm' || p_partkey,
+      cast(8 - CASE WHEN product_name IS NULL THEN 1 ELSE 0 END
+        - CASE WHEN p_size > 25 THEN 0 ELSE 1 END AS integer) FROM rows_b""",
     "q41_ambiguous_terms": """SELECT cast(l_partkey AS varchar) AS sku,
-      cast(3 AS integer) AS rates FROM lineitem GROUP BY l_partkey""",
+      cast(CASE l_partkey % 3 WHEN 0 THEN 2 ELSE 3 END AS integer) AS rates FROM lineitem
+    WHERE l_partkey % 3 <> 1 GROUP BY l_partkey""",
     "q43_bronze_breakdown": with_(QUOTES)
     + "SELECT provider, tier, count(*) AS n FROM quotes GROUP BY ALL",
     "q44_sub_index_spread": with_(
-        QUOTES,
+        FINE_QUOTES,
         newest("quotes"),
         silver(),
         "universe AS (SELECT * FROM silver WHERE price_type = 'spot')",
@@ -387,5 +411,31 @@ ORACLE_SQL = {
         spread_cte("P2", "P1"),
     )
     + "SELECT * FROM spread",
-    "q42_daily_run": DAILY_RUN + "SELECT * FROM gold",
+    "q42_daily_run": DAILY_RUN + f"SELECT *, {STAMPS} FROM gold",
+    "q45_units_table": with_(QUOTES)
+    + f"""SELECT instance_type, price_per_hour, unit_count, true AS unit_count_known,
+      {dec("price_per_hour / unit_count")} AS unit_price
+    FROM quotes JOIN (SELECT p_brand, cast(max(p_size) AS bigint) AS unit_count FROM part
+      GROUP BY p_brand) ON instance_type = p_brand""",
+    "q46_price_range": with_(QUOTES)
+    + f"""SELECT reject_reason, count(*) AS n,
+      CASE WHEN reject_reason = 'none' THEN {mean("price_per_hour")} END AS mean_price
+    FROM (SELECT price_per_hour, CASE WHEN price_per_hour > 100000 OR price_per_hour < 2000
+        THEN 'price out of range' WHEN tier = 'Unknown' THEN 'tier unknown' ELSE 'none'
+        END AS reject_reason FROM quotes) GROUP BY reject_reason""",
+    "q47_exact_ranks": """SELECT l_returnflag,
+      max(big) FILTER (r = (n * 7 + 99) // 100) AS p07,
+      max(big) FILTER (r = (n * 14 + 99) // 100) AS p14,
+      max(big) FILTER (r = (n * 28 + 99) // 100) AS p28,
+      max(big) FILTER (r = (n * 55 + 99) // 100) AS p55
+    FROM (SELECT l_returnflag, cast(l_orderkey AS bigint) * 100000000000 AS big,
+        row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey) AS r,
+        count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem) GROUP BY l_returnflag""",
+    "q48_rescued_fields": """SELECT event_id, event_type,
+      cast(user_id AS varchar) AS rescued_user FROM events""",
+    "q49_first_row": "SELECT * FROM events ORDER BY ts DESC, event_id LIMIT 1",
+    "q50_run_checks": DAILY_RUN
+    + """SELECT (SELECT count(*) FROM bronze) AS bronze_rows,
+      (SELECT count(*) FROM latest) AS deduped_rows,
+      (SELECT count(*) FROM latest WHERE tier <> 'Unknown' AND price_per_hour > 0) AS clean_rows""",
 }

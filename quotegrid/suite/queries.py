@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from quotegrid import reference_data as ref
 from quotegrid.functions.rules import Rule, any_prefix, any_substring, classify
-from quotegrid.functions.scalars import attribute
+from quotegrid.functions.scalars import attribute, mean
 from quotegrid.operators import derived, history, index, latest, profile, quality, units
-from quotegrid.operators.quantiles import exact_quantiles
+from quotegrid.operators.quantiles import QUARTILES, exact_quantiles
 from quotegrid.plans import reports, series
 from quotegrid.plans.gold import assemble_gold, build_gold, index_rows, stamp
 from quotegrid.plans.run import Paths, run
@@ -21,7 +21,7 @@ from quotegrid.plans.silver import build_silver, current_quotes
 from quotegrid.session import work_dir
 from quotegrid.sources import catalogs, tables
 from quotegrid.sources.landing import land
-from quotegrid.streaming.bronze import drain, split_corrupt, stream_landing
+from quotegrid.streaming.bronze import drain, next_load, split_corrupt, stream_landing
 from quotegrid.suite import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,7 @@ QUERIES: dict[str, Query] = {}
 
 RUN_TIME = "2002-01-01 06:00:00"
 CUTOFF = "1998-06-30 00:00:00"
-CLOCK_COLUMNS = ["index_date", "index_timestamp", "run_id"]
+PART_NUMBER = "-[0-9]+$"
 URL_RULES = [
     Rule("blog", any_of=("://blog.",)),
     Rule("campaign", any_of=("utm_source=", "ref=")),
@@ -42,15 +42,28 @@ def register(query: Query) -> Query:
 
     @wraps(query)
     def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zone = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return query(spark, sf_dir)
+        try:
+            rows = query(spark, sf_dir)
+            rows.schema  # noqa: B018  analysed, and dated, in UTC
+            return rows
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     QUERIES[query.__name__] = in_utc
     return query
 
 
 def silver(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return build_silver(b.quotes(spark, sf_dir), b.BRAND_UNITS, as_of=RUN_TIME, **options)
+    """Silver of parts and suppliers, which grows with the data."""
+    quotes = b.quotes(spark, sf_dir, fine=True)
+    return build_silver(quotes, b.BRAND_UNITS, PART_NUMBER, as_of=RUN_TIME, **options)
+
+
+def plain_times(df: DataFrame, *columns: str) -> DataFrame:
+    """Instants as UTC wall-clock times, which every engine shows alike."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
 def written_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +123,8 @@ def q05_gold_assembled(spark, sf_dir):
 
 @register
 def q06_gold_single_pass(spark, sf_dir):
-    return gold(spark, sf_dir).drop(*CLOCK_COLUMNS)
+    """The kept Gold form: one histogram of prices serves all quantiles."""
+    return plain_times(gold(spark, sf_dir), "index_timestamp")
 
 
 @register
@@ -241,7 +255,9 @@ def q19_tier_summary(spark, sf_dir):
 
 @register
 def q20_perf_adjusted(spark, sf_dir):
-    return silver(spark, sf_dir, weights=b.TYPE_WEIGHTS).drop("transformed_at")
+    return silver(spark, sf_dir, weights=b.TYPE_WEIGHTS).transform(
+        plain_times, "transformed_at"
+    )
 
 
 @register
@@ -266,7 +282,7 @@ def q23_excluded_tier_index(spark, sf_dir):
 
 @register
 def q24_snapshot_series(spark, sf_dir):
-    return month_ends(spark, sf_dir).drop("index_timestamp")
+    return plain_times(month_ends(spark, sf_dir), "index_timestamp")
 
 
 @register
@@ -294,7 +310,8 @@ def drained_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, out, checkpoint = (f"{root}/{x}" for x in ("landing", "bronze", "checkpoint"))
 
     def load() -> None:
-        drain(stream_landing(spark, landing, events.schema), out, checkpoint)
+        number = next_load(spark, out)
+        drain(stream_landing(spark, landing, events.schema, load=number), out, checkpoint)
 
     buys = F.col("event_type") == "purchase"
     land(events.where(buys), f"{landing}/purchases")
@@ -308,7 +325,11 @@ def drained_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q28_stream_bronze(spark, sf_dir):
-    return drained_events(spark, sf_dir).select(*EVENT_COLUMNS)
+    """All events, once each, with the load they came in."""
+    loaded = F.col("source_file").isNotNull() & F.col("ingested_at").isNotNull()
+    return drained_events(spark, sf_dir).select(
+        *EVENT_COLUMNS, "load", "_rescued_data", loaded.alias("stamped")
+    )
 
 
 @register
@@ -354,9 +375,20 @@ def q30_stream_quarantine(spark, sf_dir):
 
 @register
 def q31_approx_index(spark, sf_dir):
-    # One shuffle reads Silver once, so nothing is gained by writing it first.
-    rows = build_gold(silver(spark, sf_dir), b.PROVIDERS, as_of=RUN_TIME, approx=True)
-    return rows.drop(*CLOCK_COLUMNS)
+    """Per tier, whether each quartile of the sketch has a rank within the stated bound."""
+    rows, accuracy = universe(spark, sf_dir), 1_000
+    found = index_rows(rows, b.PROVIDERS, approx=True, accuracy=accuracy)
+    quartiles = found.select("tier", "sample_size", *QUARTILES)
+    prices = rows.select("tier", "unit_price").join(quartiles, "tier")
+    counts, checks = [], []
+    for name, p in QUARTILES.items():
+        price, limit = F.col("unit_price"), F.col(name)
+        counts += [F.count_if(price < limit).alias(f"{name}_below")]
+        counts += [F.count_if(price <= limit).alias(f"{name}_upto")]
+        rank, slack = p * F.col("sample_size"), F.col("sample_size") / accuracy + 1
+        above = F.col(f"{name}_below") <= rank + slack
+        checks += [(above & (F.col(f"{name}_upto") >= rank - slack)).alias(f"{name}_within")]
+    return prices.groupBy("tier", "sample_size").agg(*counts).select("tier", "sample_size", *checks)
 
 
 @register
@@ -389,8 +421,7 @@ def q35_group_quantiles(spark, sf_dir):
 
 @register
 def q36_source_inventory(spark, sf_dir):
-    on_demand = catalogs.match_all(b.quotes(spark, sf_dir), {"price_type": "on_demand"})
-    return profile.source_inventory(on_demand)
+    return profile.source_inventory(b.quotes(spark, sf_dir))
 
 
 @register
@@ -413,14 +444,19 @@ def q39_filter_first(spark, sf_dir):
 
 @register
 def q40_raw_payload(spark, sf_dir):
-    rows = catalogs.flatten_terms(
-        b.products(spark, sf_dir), b.terms(spark, sf_dir), "us-east-1"
+    """What the kept payloads of both catalogues still tell."""
+    rows = catalogs.union_providers(
+        catalogs.flatten_terms(b.products(spark, sf_dir), b.terms(spark, sf_dir), "us-east-1"),
+        catalogs.flatten_pages(b.pages(spark, sf_dir), ref.B_REGIONS),
     )
     payload = F.col("payload")
     return catalogs.reparse(rows, "map<string,string>").select(
         "instance_type",
-        attribute(payload, "instanceType").alias("raw_instance"),
+        F.coalesce(attribute(payload, "instanceType"), attribute(payload, "skuName")).alias(
+            "raw_instance"
+        ),
         attribute(payload, "gpuMemory").alias("raw_memory"),
+        attribute(payload, "meterId").alias("raw_meter"),
         F.size(payload).alias("entries"),
     )
 
@@ -444,23 +480,92 @@ def q44_sub_index_spread(spark, sf_dir):
     return index.provider_spread(index.provider_summary(spot), b.PROVIDERS, base="P2")
 
 
-@register
-def q42_daily_run(spark, sf_dir):
-    """Both catalogues as JSON files through the whole run to Gold, twice on one day."""
+def daily_paths(spark: SparkSession, sf_dir: str) -> Paths:
+    """Folders of a new run with both catalogues as JSON files."""
     root = work_dir(spark, "daily")
     paths = Paths(
         **{
             name: f"{root}/{name}"
             for name in (
                 "products", "terms", "pages", "landing",
-                "checkpoint", "bronze", "silver", "gold",
+                "checkpoint", "bronze", "silver", "gold", "latest",
             )
         }
     )
     for name, frame in (("products", b.products), ("terms", b.terms), ("pages", b.pages)):
         frame(spark, sf_dir).write.json(getattr(paths, name))
+    return paths
+
+
+@register
+def q42_daily_run(spark, sf_dir):
+    """Both catalogues through the whole run to Gold, twice on one day."""
+    paths = daily_paths(spark, sf_dir)
     for _ in range(2):
         run(spark, paths, as_of=RUN_TIME, snapshot_mode="replace_date")
-    return tables.read(spark, paths.gold, merge=True).drop(*CLOCK_COLUMNS)
+    return plain_times(tables.read(spark, paths.gold, merge=True), "index_timestamp")
+
+
+@register
+def q45_units_table(spark, sf_dir):
+    """Units per instance from a dimension table: the largest size of each brand."""
+    sizes = b.table(spark, sf_dir, "part").groupBy("p_brand").agg(F.max("p_size").alias("units"))
+    return units.normalise_units(b.quotes(spark, sf_dir), sizes).select(
+        "instance_type", "price_per_hour", "unit_count", "unit_count_known", "unit_price"
+    )
+
+
+@register
+def q46_price_range(spark, sf_dir):
+    """Infinite and huge prices are rejects with a reason, and the mean goes on without them."""
+    price = F.col("price_per_hour")
+    odd = (
+        F.when(price > 100_000, float("inf")).when(price < 2_000, 1e17).otherwise(price)
+    )
+    rows = b.quotes(spark, sf_dir).withColumn("price_per_hour", odd)
+    bad = profile.frequency(quality.quality_rejects(rows), "reject_reason")
+    fine = quality.quality_gate(rows).agg(
+        F.lit("none").alias("reject_reason"),
+        F.count("*").alias("n"),
+        mean("price_per_hour").alias("mean_price"),
+    )
+    return catalogs.union_providers(bad, fine)
+
+
+@register
+def q47_exact_ranks(spark, sf_dir):
+    """Quantiles of a large whole number, at shares that binary fractions miss."""
+    lines = b.table(spark, sf_dir, "lineitem").withColumn(
+        "big", F.col("l_orderkey").cast("bigint") * 100_000_000_000
+    )
+    shares = {"p07": 0.07, "p14": 0.14, "p28": 0.28, "p55": 0.55}
+    return exact_quantiles(lines, ["l_returnflag"], "big", shares)
+
+
+@register
+def q48_rescued_fields(spark, sf_dir):
+    """Landed fields that the declared schema lacks are kept beside the row."""
+    root = work_dir(spark, "rescued")
+    events = b.table(spark, sf_dir, "events")
+    land(events.select("event_id", "event_type", "user_id"), f"{root}/landing")
+    schema = T.StructType(
+        [T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())]
+    )
+    drain(stream_landing(spark, f"{root}/landing", schema), f"{root}/out", f"{root}/checkpoint")
+    extra = F.from_json("_rescued_data", "map<string,string>")
+    return spark.read.parquet(f"{root}/out").select(
+        "event_id", "event_type", extra["user_id"].alias("rescued_user")
+    )
+
+
+@register
+def q49_first_row(spark, sf_dir):
+    return b.table(spark, sf_dir, "events").orderBy(F.desc("ts"), "event_id").limit(1)
+
+
+@register
+def q50_run_checks(spark, sf_dir):
+    """Rows per layer, as a first run reports them."""
+    return run(spark, daily_paths(spark, sf_dir), as_of=RUN_TIME)["layers"]
 
 

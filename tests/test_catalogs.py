@@ -171,10 +171,10 @@ def test_union_fills_missing_columns(spark):
     ]
 
 
-def test_landing_skips_an_empty_batch(spark, tmp_path):
+def test_landing_of_an_empty_batch_writes_no_line(spark, tmp_path):
     df = spark.createDataFrame([("A", 1.5)], "provider string, price_per_hour double")
     assert land(df.where("provider = 'B'"), str(tmp_path / "none")) is False
-    assert not (tmp_path / "none").exists()
+    assert spark.read.text(str(tmp_path / "none")).count() == 0
     assert land(df, str(tmp_path / "a")) and land(df, str(tmp_path / "a"))
     back = spark.read.schema(schemas.LANDING).json(str(tmp_path / "a"))
     assert back.count() == 2 and back.first().price_per_hour == 1.5
@@ -189,6 +189,19 @@ def test_schema_discovery(spark, tmp_path):
     assert found == {"price_per_hour": "double", "provider": "string", "vcpu": "bigint"}
 
 
+def test_catalogue_b_keeps_the_whole_item(spark, tmp_path):
+    item = {
+        "skuName": "NC4as_T4_v3", "unitPrice": 1.5, "serviceName": "Virtual Machines",
+        "armRegionName": "eastus", "priceType": "Consumption", "meterId": "m1",
+        "unitOfMeasure": "1 Hour", "more": {"deep": [1, 2]},
+    }
+    (tmp_path / "1.json").write_text(json.dumps({"Items": [item]}))
+    pages = spark.read.schema(schemas.CATALOG_B_RAW_PAGE).json(str(tmp_path))
+    row = flatten_pages(pages, ["eastus"]).first()
+    assert row.price_per_hour == 1.5
+    assert json.loads(row.raw_payload) == item
+
+
 def test_landing_keeps_microseconds(spark, tmp_path):
     from quotegrid.sources.landing import JSON_OPTIONS
 

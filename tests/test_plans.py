@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quotegrid.operators import index
 from quotegrid.operators.latest import latest_per_key
-from quotegrid.operators.quantiles import exact_quantiles
+from quotegrid.operators.quantiles import exact_quantiles, value_histogram
 from quotegrid.operators.units import normalise_units
 from quotegrid.plans import silver as silver_plan
 from quotegrid.plans.gold import index_rows
@@ -59,17 +59,18 @@ def test_approximate_gold_shuffles_once(lines):
 
 def test_exact_quantiles_count_before_the_shuffle(lines):
     df = exact_quantiles(lines, ["tier"], "unit_price", {"q": 0.5})
-    plan = final(df)
-    # One histogram shuffle, spread by value and read twice.
-    by_value = re.findall(r"\+- Exchange hashpartitioning\(tier#\d+, unit_price#\d+", plan)
-    assert len(by_value) == 1 and "ReusedExchange" in plan
-    assert "partial_count" in plan
+    # Equal values are counted before the first shuffle; what follows reads the written ranges.
+    histogram = executed(value_histogram(lines, ["tier"], "unit_price"))
+    assert "partial_count" in histogram
+    assert re.search(r"Exchange hashpartitioning\(tier#\d+, unit_price#\d+", histogram)
+    assert "_range" in executed(df) and "l_extendedprice" not in executed(df)
 
 
 def test_scan_reads_only_what_is_needed(lines):
     plan = executed(index.tier_index(index.index_universe(lines)))
     schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
-    assert schemas == {"l_extendedprice:double,l_returnflag:string"}
+    written = {s for s in schemas if "_range" in s}
+    assert schemas - written == {"l_extendedprice:double,l_returnflag:string"}
     assert "Not(EqualTo(l_returnflag,Edge))" in plan
 
 
@@ -82,16 +83,17 @@ def test_silver_skips_the_raw_payload(spark, tmp_path):
     assert not any(c in columns for c in ("raw_payload", "vcpu", "memory_gb", "_corrupt_record"))
 
 
-def test_incremental_load_pushes_the_time_to_the_scan(spark, tmp_path, monkeypatch):
+def test_incremental_load_prunes_bronze_by_load(spark, tmp_path, monkeypatch):
     seen = []
     keep = silver_plan.keep
     monkeypatch.setattr(
         silver_plan, "keep", lambda df, p: seen.append(executed(df)) or keep(df, p)
     )
     path = f"{tmp_path}/bronze"
-    bronze(spark, {}, {"ingested_at": T1, "region": "x"}).write.parquet(path)
+    rows = bronze(spark, {"load": 1}, {"load": 2, "ingested_at": T1, "region": "x"})
+    rows.write.partitionBy("load").parquet(path)
     for _ in range(2):
         rows = silver_plan.advance_latest(spark.read.schema(BRONZE).parquet(path), f"{tmp_path}/l")
     assert rows.count() == 2
-    assert "GreaterThanOrEqual(ingested_at," not in seen[0]
-    assert "GreaterThanOrEqual(ingested_at," in seen[1]
+    assert not re.search(r"PartitionFilters: \[[^\]]*load", seen[0])
+    assert re.search(r"PartitionFilters: \[[^\]]*load#\d+ >= 2", seen[1])

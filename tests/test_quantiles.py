@@ -2,20 +2,22 @@
 
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quotegrid.operators.quantiles import approx_quantile, exact_quantiles, value_range
+from quotegrid.operators.quantiles import approx_quantile, exact_quantiles
 
-PROBS = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p100": 1.0}
+PROBS = {"p07": 0.07, "p14": 0.14, "p28": 0.28, "p55": 0.55, "p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p100": 1.0}
 
 
 def brute(values, p):
     ordered = sorted(values)
-    return ordered[max(math.ceil(len(ordered) * p), 1) - 1]
+    share = Fraction(str(p))  # as written, not as a binary fraction
+    return ordered[max(math.ceil(len(ordered) * share), 1) - 1]
 
 
 def check(spark, groups, partitions=3):
@@ -58,13 +60,39 @@ def test_any_floats(spark, values):
     check(spark, {"g": [v + 0.0 for v in values]})
 
 
-def test_ranges_never_fall(spark):
-    rng = random.Random(3)
-    values = [rng.choice([-1, 1]) * rng.lognormvariate(0, 12) for _ in range(3000)]
-    values += [i / 10_000 for i in range(-1500, 1500)] + [float("nan")]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    ranges = [r[1] for r in df.select("v", value_range(F.col("v"))).orderBy("v").collect()]
-    assert ranges == sorted(ranges) and None not in ranges
+def test_shares_of_a_hundred(spark):
+    check(spark, {"g": [float(i) for i in range(1, 101)], "h": [float(i) for i in range(300)]})
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_whole_numbers(spark, kind):
+    scale = {"int": 300_000, "bigint": 10**15}[kind]
+    rows = spark.range(1, 101).select(F.lit("g").alias("g"), (F.col("id") * scale).alias("v"))
+    rows = rows.withColumn("v", F.col("v").cast(kind))
+    got = exact_quantiles(rows, ["g"], "v", {"q": 0.07}).first()
+    assert got.q == 7 * scale
+
+
+def test_close_values_spread_over_ranges(spark):
+    """Split points follow the values, however small or close these are."""
+    from quotegrid.operators import quantiles
+
+    rows = spark.range(200_000).select(
+        F.lit("g").alias("g"), (F.col("id") / 200_000 * 1e-4).alias("v")
+    )
+    seen = []
+    keep = quantiles.settle
+    small = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(small, "64k")  # else a table this small is one range
+    quantiles.settle = lambda df, name: seen.append(keep(df, name)) or seen[-1]
+    try:
+        got = exact_quantiles(rows, ["g"], "v", {"q": 0.5}).first().q
+    finally:
+        quantiles.settle = keep
+        spark.conf.unset(small)
+    assert got == 99_999 / 200_000 * 1e-4
+    sizes = [r["count"] for r in seen[0].groupBy("_range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.6 * 200_000
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 8, 19])

@@ -7,6 +7,7 @@ import pytest
 from helpers import T0, T1, bronze, rows_of
 from pyspark.sql import functions as F
 
+from quotegrid.functions.scalars import mean
 from quotegrid.operators.latest import QUOTE_KEYS, latest_per_key, refresh_latest
 from quotegrid.operators.profile import counted, layer_counts, source_inventory, tier_summary
 from quotegrid.operators.quality import one_currency, quality_gate, quality_rejects
@@ -95,13 +96,32 @@ def test_zero_units_give_no_price(spark):
 
 
 def test_large_lookup_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("quotegrid.operators.units.BROADCAST_ROWS", 1)
+    monkeypatch.setattr("quotegrid.operators.units.BROADCAST_BYTES", 1)
     df = normalise_units(bronze(spark, {}), {"p3.2xlarge": 2, "x": 1})
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan
     assert df.first().unit_count == 2
 
 
+def test_lookups_as_tables(spark):
+    units = spark.createDataFrame([("p3.2xlarge", 2)], "name string, n int")
+    df = normalise_units(bronze(spark, {}, {"instance_type": "x"}), units)
+    assert {r.instance_type: r.unit_count for r in df.collect()} == {"p3.2xlarge": 2, "x": 1}
+    weights = spark.createDataFrame([("V100", 0.5), ("unknown", 0.1)], "hw string, w double")
+    rows = perf_adjust(
+        bronze(spark, {}, {"hw_type": "H100"}).withColumn("unit_price", F.lit(1.0)), weights
+    )
+    assert {r.hw_type: r.perf_index for r in rows.collect()} == {"V100": 0.5, "H100": 0.1}
+
+
+def test_infinite_and_huge_prices_are_rejected(spark):
+    rows = bronze(spark, *({"price_per_hour": p} for p in (float("inf"), 1e17, 2.0)))
+    assert [r.price_per_hour for r in quality_gate(rows).collect()] == [2.0]
+    assert {r.reject_reason for r in quality_rejects(rows).collect()} == {"price out of range"}
+    got = rows.agg(mean("price_per_hour").alias("m")).first().m
+    assert got == 2.0
+
+
 def test_perf_weights(spark):
     df = bronze(spark, {"hw_type": "V100"}, {"hw_type": "H100"}).withColumn(
         "unit_price", F.lit(0.9)

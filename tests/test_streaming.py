@@ -1,18 +1,20 @@
 """File stream, quarantine and the whole run."""
 
+import datetime as dt
 import json
 import os
 
-import pytest
 from helpers import rows_of
+from pyspark.sql import functions as F
 
+from quotegrid.operators.history import as_of
 from quotegrid.operators.latest import latest_per_key
 from quotegrid.plans.run import Paths, good_bronze, run
-from quotegrid.plans.silver import build_silver
-from quotegrid.schemas import BRONZE, CORRUPT
+from quotegrid.plans.silver import advance_latest, build_silver
+from quotegrid.schemas import BRONZE, CORRUPT, RESCUED
 from quotegrid.session import CHECKPOINT_CONF, work_dir
 from quotegrid.sources import tables
-from quotegrid.streaming.bronze import drain, split_corrupt, stream_landing
+from quotegrid.streaming.bronze import drain, next_load, split_corrupt, stream_landing
 
 ROW = {
     "provider": "AWS", "instance_type": "p3.2xlarge", "hw_type": "V100", "region": "us-east-1",
@@ -144,26 +146,91 @@ def test_run_on_named_tables(spark, tmp_path):
 
 def test_run_on_empty_catalogues(spark, tmp_path):
     paths = Paths(**{n: f"{tmp_path}/{n}" for n in NAMES})
-    for name in ("products", "terms", "pages", "landing"):
+    for name in ("products", "terms", "pages"):
         (tmp_path / name).mkdir()
-    run(spark, paths, as_of="2026-03-01 06:00:00")
-    assert not list((tmp_path / "landing").iterdir())
+    for _ in range(2):  # no landing folder yet, then an empty one
+        checks = run(spark, paths, as_of="2026-03-01 06:00:00")
+        assert checks["layers"].first().asDict() == dict.fromkeys(
+            ("bronze_rows", "deduped_rows", "clean_rows"), 0
+        )
+    catalogs(tmp_path, 2.0)
+    checks = run(spark, paths, as_of="2026-03-02 06:00:00")
+    assert checks["layers"].first().bronze_rows == 4
+    assert checks["bronze"].count() > 1 and checks["silver"].count() > 1
+
+
+def test_currency_guard(spark, tmp_path):
+    paths = Paths(**{n: f"{tmp_path}/{n}" for n in NAMES})
+    catalogs(tmp_path, 2.0)
+    checks = run(spark, paths, as_of="2026-03-01 06:00:00", currency="EUR")
+    # Catalogue A states no currency, which counts as the wanted one.
+    assert {r.provider for r in checks["bronze"].collect()} == {"AWS"}
+
+
+def test_files_of_any_age_are_loaded(spark, tmp_path):
+    put(tmp_path / "raw", "1.json", ROW)
+    assert load(spark, tmp_path).count() == 1
+    put(tmp_path / "raw", "0.json", {**ROW, "region": "epoch"})
+    os.utime(tmp_path / "raw" / "0.json", (0, 0))
+    assert load(spark, tmp_path).count() == 2
 
 
-def test_work_dir_needs_a_shared_folder(spark, monkeypatch):
+def test_unknown_fields_are_rescued(spark, tmp_path):
+    put(tmp_path / "raw", "1.json", {**ROW, "more": 1, "deep": {"a": [1]}}, ROW)
+    good, _ = split_corrupt(load(spark, tmp_path))
+    kept = [r[RESCUED] for r in good.collect()]
+    assert None in kept
+    (extra,) = [json.loads(k) for k in kept if k]
+    assert extra == {"more": "1", "deep": '{"a":[1]}'}
+
+
+def test_loads_are_numbered_without_a_clock(spark, tmp_path):
+    raw, out, checkpoint = (str(tmp_path / n) for n in ("raw", "out", "checkpoint"))
+    late, early = dt.datetime(2030, 1, 1), dt.datetime(2020, 1, 1)
+    for n, (region, clock) in enumerate((("x", late), ("y", early)), 1):
+        put(tmp_path / "raw", f"{n}.json", {**ROW, "region": region})
+        assert next_load(spark, out) == n
+        stream = stream_landing(spark, raw, load=n, loaded_at=clock)
+        drain(stream, out, checkpoint)
+        # The second clock runs behind the first one; its row is merged all the same.
+        bronze = split_corrupt(spark.read.schema(BRONZE).parquet(out))[0]
+        rows = advance_latest(bronze, str(tmp_path / "latest"))
+        assert rows.count() == n
+
+
+def test_as_of_in_another_zone(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        rows = spark.sql("SELECT 'a' AS tier, timestamp'2026-03-02 01:00:00' AS index_timestamp")
+        rows = rows.withColumn("index_date", F.to_date("index_timestamp"))
+        tables.write_snapshot(rows, str(tmp_path / "gold"))
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        gold = spark.read.parquet(str(tmp_path / "gold"))
+        assert as_of(gold, "2026-03-01 18:00:00").count() == 1
+        assert as_of(gold, "2026-03-01 16:00:00").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_namespaces_of_two_parts(spark):
+    tables.ensure_database(spark, "spark_catalog.quotegrid_parts")
+    assert spark.catalog.databaseExists("quotegrid_parts")
+    spark.sql("DROP DATABASE quotegrid_parts")
+
+
+def test_work_dir_is_shared(spark):
     assert work_dir(spark, "a") != work_dir(spark, "a")
     assert work_dir(spark, "a").startswith(spark.conf.get(CHECKPOINT_CONF))
 
-    class Cluster:
+    class Unset:
         class conf:
-            get = staticmethod(lambda *_: None)
+            get = staticmethod(lambda key, *_: "/warehouse/" if "warehouse" in key else None)
 
         class sparkContext:
-            master = "yarn"
             getCheckpointDir = staticmethod(lambda: None)
 
-    with pytest.raises(RuntimeError):
-        work_dir(Cluster(), "a")
+    assert work_dir(Unset(), "a").startswith("/warehouse/_quotegrid/a-")
 
 
 def test_command_line(spark, tmp_path, capsys):
