@@ -41,8 +41,8 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 40, 5
 PLACES = BANDS * ROWS
-#: Elements that one call of the signature works on at a time.
-CHUNK_ELEMENTS = 1_000_000
+#: Elements, and sets, that one call of the signature works on at a time.
+CHUNK_ELEMENTS, CHUNK_SETS = 300_000, 2_000
 #: Strays and classes that a block compares.
 LEFT_ROWS, RIGHT_ROWS = 256, 512
 
@@ -108,7 +108,7 @@ def _taken(texts: Iterator[bytes], k: int) -> Iterator[list[np.ndarray]]:
     for text in texts:
         lot.append(shingles(text, k))
         held += len(lot[-1])
-        if held >= CHUNK_ELEMENTS:
+        if held >= CHUNK_ELEMENTS or len(lot) >= CHUNK_SETS:
             yield lot
             lot, held = [], 0
     if lot:
