@@ -45,9 +45,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the ids of the text, and whether they decode to it."""
-    encoded = docs.withColumn("pieces", pieces.encoded(text_of()))
-    same = pieces.decoded(F.col("pieces")) == F.translate(text_of(), pieces.MARK, " ")
-    return encoded.withColumn("decodes", same)
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    found = docs.select(row, pieces.checked(text_of()).alias("found"))
+    plain = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("pieces", "decodes")]
+    return found.select(*plain, "found.pieces", "found.decodes")
 
 
 STAGES = [

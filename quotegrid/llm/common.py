@@ -11,7 +11,8 @@ Rules that hold for every operator here:
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import zstandard
@@ -30,6 +31,7 @@ __all__ = [
     "table",
     "text_of",
     "unpack",
+    "worker_held",
     "words_of",
 ]
 
@@ -91,6 +93,20 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return text.mapInArrow(_pack, "id long, no_id boolean, text_hash long, packed binary")
 
 
+_HELD: dict[object, object] = {}
+
+
+def worker_held(key: object, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task: one operator's tables, never several.
+
+    A worker serves one operator after another, so the tables of the last one must go.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def unpack(packed: pa.Array) -> Iterator[bytes]:
     press = zstandard.ZstdDecompressor()
     for one in packed:

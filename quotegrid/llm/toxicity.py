@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotegrid.llm.common import hold_out, settle, text_of
+from quotegrid.llm.common import hold_out, settle, text_of, worker_held
 
 THRESHOLD = 0.3
 HASH_BITS = 18
@@ -43,7 +43,7 @@ ACTIVE_TERMS = 4_096
 FACTORS = 4
 EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.1, 1e-3
 SEED = 7
-MAX_CACHED_WORDS = 300_000
+MAX_CACHED_WORDS = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -190,8 +190,8 @@ def active_buckets(rows: DataFrame) -> list[int]:
         counts = np.zeros((2, 2 * TWICE), np.int64)
         for batch in batches:
             toxic = batch.column("toxic").to_pylist()
-            for text, label in zip(batch.column("text").to_pylist(), toxic, strict=True):
-                counts[min(label, 1)][index.terms(text)] += 1
+            for text, label in zip(batch.column("text"), toxic, strict=True):
+                counts[min(label, 1)][index.terms(text.as_py())] += 1
         used = np.flatnonzero(counts.sum(0))
         yield pa.record_batch(
             [pa.array(used), pa.array(counts[0][used]), pa.array(counts[1][used])],
@@ -231,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = TermIndex(buckets)
         for batch in batches:
-            lists = [index.terms(t).tolist() for t in batch.column("text").to_pylist()]
+            lists = [index.terms(t.as_py()).tolist() for t in batch.column("text")]
             yield pa.record_batch(
                 [pa.array(lists, pa.list_(pa.int32())), batch.column("toxic")], ["terms", "toxic"]
             )
@@ -246,20 +246,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     )
 
 
-_INDEXES: dict[int, TermIndex] = {}
-
-
 def score(machine: Machine, text: Column) -> Column:
     """The toxicity of texts, 0 to 1."""
     key = zlib.crc32(np.array(machine.buckets, "<i8").tobytes())
 
     @F.arrow_udf("double")
     def scores(texts: pa.Array) -> pa.Array:
-        if key not in _INDEXES:
-            _INDEXES.clear()
-            _INDEXES[key] = TermIndex(machine.buckets)
-        index = _INDEXES[key]
-        return pa.array(machine.scores([index.terms(t) for t in texts.to_pylist()]), pa.float64())
+        index = worker_held(("toxicity", key), lambda: TermIndex(machine.buckets))
+        return pa.array(machine.scores([index.terms(t.as_py()) for t in texts]), pa.float64())
 
     return scores.asNondeterministic()(text)  # else a filter on it would compute it twice
 
