@@ -7,7 +7,7 @@ A shard holds, little-endian throughout:
     index: frame offsets u64 x (n+1), ids per document u32 x n, doc_id i64 x n, id known u8 x n
     n u64 | index offset u64 | "QGTK"
 
-The dictionary lies beside the shards. It is trained on the serialized ids of ``SAMPLE_DOCS``
+The dictionary lies beside the shards, after the same four letters. It is trained on the serialized ids of ``SAMPLE_DOCS``
 documents at most, those with the smallest id hashes, each of ``SAMPLE_BYTES`` at most. A shard
 is closed at ``SHARD_BYTES``, so writers and readers hold little, and its offset index gives any
 document without touching the others. Shards follow ascending doc_id (null first, then the text
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import settle, text_of
+from quotegrid.llm.common import settle, text_of, worker_held
 from quotegrid.session import work_dir
 
 MAGIC, VERSION = b"QGTK", 1
@@ -43,7 +45,7 @@ END_ID = 2
 SHARD_BYTES = 16 << 20
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1_000, 64 << 10, 64 << 10
 LEVEL = 3
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 900_000
 
 MANIFEST = (
     "name string, task int, shard int, n_docs long, n_tokens long, first_id long, last_id long"
@@ -56,48 +58,76 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordEncoder:
-    """Whole texts to ids, by way of a bounded memory of words.
+#: Marks, but for the apostrophe, between a plain letter or digit and a blank are a run of their own.
+_MARK = rb"[!-&(-/:-@\[-`{-~]"
+_STOP = re.compile(rb"%b(?<=[a-z0-9]%b)%b*(?=[ \n]|\Z)" % (_MARK, _MARK, _MARK))
+#: The byte-level alphabet shows each byte as a printable character: itself, where it is one.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - _PRINTED))}
+_LATIN = "\u0250"
+
+
+def token_words(text: bytes) -> list[bytes]:
+    """A text's words, such that its ids are those of its words in a row.
 
-    White space never gets into an id of this vocabulary's pre-tokenizer and nothing joins
-    across it, so a text's ids are those of its words in a row; the memory is emptied when
-    full.
+    White space never gets into an id of this vocabulary's pre-tokenizer, and nothing joins
+    across it. Plain letters are lower-cased and marks set apart beforehand, so more words are
+    known ones; not in texts with combining marks, which a lower letter may take up and its
+    capital not, or with what may be a special token, which is told by case.
     """
+    if not (b"\xcc" in text or b"\xcd" in text or b"<|" in text):
+        text = _STOP.sub(rb" \g<0>", text.lower())
+    return text.split()  # bytes: at the six ASCII blanks
+
+
+class WordEncoder:
+    """Whole texts to ids, by way of a bounded memory of words, emptied when full."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
 
-    def learn(self, texts: list[list[bytes]]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         if len(self.known) > MAX_CACHED_WORDS:
             self.known.clear()
-        new = list(set().union(*texts).difference(self.known))
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False
-        )
-        for word, e in zip(new, found, strict=True):
-            self.known[word] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[bytes], end: int | None = END_ID) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        words = [t.split() for t in texts]  # at the six ASCII blanks, as these are bytes
-        self.learn(words)
-        tail = b"" if end is None else np.array([end], "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) + tail for w in words]
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
+        other = []
+        for word in new:
+            text = word.decode()
+            if text.isalpha() and text.islower() and max(text) < _LATIN:
+                # One run of letters that no normaliser alters: straight to the model.
+                shown = text if word.isascii() else word.decode("latin-1").translate(_HIDDEN)
+                ids = [t.id for t in self.model.tokenize(shown)]
+                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                other.append(word)
+        texts = [w.decode() for w in other]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for word, e in zip(other, found, strict=True):
+            ids = e.ids
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: bytes, end: int | None = END_ID) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        words = token_words(text)
+        tail = b"" if end is None else struct.pack("<I", end)
+        try:
+            return b"".join(map(self.known.__getitem__, words)) + tail
+        except KeyError:
+            new = set(words)
+            self._learn(list(new.difference(self.known)))
+            if not new <= self.known.keys():  # emptied on the way
+                self._learn(list(new.difference(self.known)))
+            return b"".join(map(self.known.__getitem__, words)) + tail
 
 
 def encoder(vocabulary: str | None) -> WordEncoder:
     """The worker's encoder, kept between its tasks."""
     path = vocabulary or default_vocabulary()
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return worker_held(("tokens", path), lambda: WordEncoder(path))
 
 
 def ids_of(docs: DataFrame, vocabulary: str | None) -> DataFrame:
@@ -106,7 +136,7 @@ def ids_of(docs: DataFrame, vocabulary: str | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(vocabulary)
         for batch in batches:
-            ids = codec.encode(batch.column("text").to_pylist())
+            ids = [codec.encode(t.as_py()) for t in batch.column("text")]
             yield pa.record_batch([pa.array(ids, pa.binary())], ["ids"])
 
     return docs.select(text_of().cast("binary").alias("text")).mapInArrow(run, "ids binary")
@@ -187,7 +217,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None) ->
     """Write the documents' ids in ascending order below ``folder``; the manifest's rows."""
     dictionary = train_dictionary(docs, vocabulary)
     digest = _digest(dictionary)
-    _store(folder, "dictionary.zdict", dictionary)
+    _store(folder, "dictionary.zdict", MAGIC + dictionary)  # readers skip empty files
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(vocabulary)
@@ -210,10 +240,9 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None) ->
             )
 
         for batch in batches:
-            raw = batch.column("text").to_pylist()
-            for doc_id, data in zip(
-                batch.column("doc_id").to_pylist(), codec.encode(raw), strict=True
-            ):
+            doc_ids = batch.column("doc_id").to_pylist()
+            for doc_id, text in zip(doc_ids, batch.column("text"), strict=True):
+                data = codec.encode(text.as_py())
                 frames.append(press.compress(data))
                 counts.append(len(data) // 4)
                 ids.append(doc_id)
@@ -245,7 +274,7 @@ def read_tokens(
     the manifest's shuffle.
     """
     stored = spark.read.format("binaryFile").load(f"{folder}/dictionary.zdict").first()
-    dictionary = bytes(stored["content"])
+    dictionary = bytes(stored["content"])[len(MAGIC) :]
     digest = _digest(dictionary)
     fields = "name string, doc_id long, inside long, n_tokens long, ids_crc32 long"
     fields += ", ids binary" if with_ids else ""
