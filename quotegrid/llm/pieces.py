@@ -15,8 +15,8 @@ composition of the text with the transducer. Weights are the negative scores of
 model; a merge model's pieces weigh nothing, as its constraint leaves one path.
 
 The composition restarts wherever no piece can cross: before a word mark after another
-character, and around characters that only occur in pieces of their own. Texts are cut there,
-and the paths of such chunks kept in a bounded memory.
+character, between a letter and a stop, around characters that only occur in pieces of their
+own. Texts are cut there, and the paths of such chunks kept in a bounded memory.
 
 Null text: empty, no ids. The literal word mark in a text decodes to a space. Repeated rows
 are encoded each; empty tables give no rows.
@@ -25,9 +25,11 @@ are encoded each; empty tables give no rows.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections import Counter
 from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotegrid.llm.common import text_of
+from quotegrid.llm.common import text_of, worker_held
 
 MARK = "▁"
 #: Fixed by the model format: kinds of pieces and of models.
@@ -43,8 +45,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
 #: Fixed by the model format: what an unknown piece costs beyond the worst one.
 UNKNOWN_PENALTY = 10.0
-MAX_CHUNKS, MAX_PAIRS, MAX_STATES = 400_000, 500_000, 500_000
+MAX_CHUNKS, MAX_PAIRS, MAX_STATES = 300_000, 250_000, 200_000
 SHARED_LENGTH = 40
+LOT = 256
 
 
 def default_model() -> str:
@@ -84,14 +87,7 @@ class Transducer:
         self.beginnings = {p[:k] for p in lexicon for k in range(1, len(p) + 1)}
         self.endings = {p[k:] for p in lexicon for k in range(len(p))}
         self.longest = max(map(len, lexicon), default=1)
-        joined = {c for p in lexicon if len(p) > 1 for c in p}
-        crossed = any(p[i] != MARK and p[i + 1] == MARK for p in lexicon for i in range(len(p) - 1))
-        alone = "".join(chr(c) for c in range(128) if chr(c) not in joined)
-        lone = re.escape(alone) if alone else ""
-        cut = "" if crossed else MARK
-        parts = [f"[{lone}]"] if lone else []
-        parts += [f"{MARK}+[^{cut}{lone}]*", f"[^{cut}{lone}]+"] if cut else [f"[^{lone}]+"]
-        self.chunk = re.compile("|".join(parts), re.DOTALL)
+        self.chunk = re.compile(self._chunks(), re.DOTALL)
         self.paths: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.states: dict[str, str] = {"": ""}
@@ -100,9 +96,26 @@ class Transducer:
         self.rank = {p: k for k, p in enumerate(ranked, 1) if len(p) > 1}
         tied = {s for s, n in Counter(self.scores[i] for i in lexicon.values()).items() if n > 1}
         self.tied = {p for p, i in lexicon.items() if len(p) > 1 and self.scores[i] in tied}
+        self.own = {p: p for p in lexicon}  # one string object per piece, however often found
         self.splits: dict[str, tuple[str, str] | None] = {}
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
 
+    def _chunks(self) -> str:
+        """A pattern that cuts a text only between characters that no piece holds in a row."""
+        pairs = {p[i : i + 2] for p in self.lexicon for i in range(len(p) - 1)}
+        joined = {c for pair in pairs for c in pair}
+        lone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined)
+        stops = [c for c in string.punctuation if c in joined]
+        before = {a for a, b in pairs if b in stops and a not in stops and a != MARK}
+        stop, odd = "".join(map(re.escape, stops)), "".join(map(re.escape, sorted(before)))
+        if any(a != MARK and b == MARK for a, b in pairs):
+            return f"[{lone}]|[^{lone}]+" if lone else ".+"
+        rest = f"(?:[{odd}][^{MARK}{lone}]*)?" if odd else ""
+        plain = f"[^{MARK}{lone}{stop}{odd}]"
+        found = [f"{MARK}+[{stop}]*{plain}*{rest}", f"[{stop}]+{plain}*{rest}", f"{plain}+{rest}"]
+        found += [f"[{odd}][^{MARK}{lone}]*"] if odd else []
+        return "|".join(found + ([f"[{lone}]"] if lone else []))
+
     def _surface(self, i: int) -> bytes:
         kind = self.kinds[i]
         if kind == BYTE:
@@ -182,8 +195,9 @@ class Transducer:
             piece = text[j:k]
             if piece not in self.endings:
                 break
-            if piece in self.lexicon and self.follows(state(j), piece):
-                return piece
+            own = self.own.get(piece)
+            if own is not None and self.follows(state(j), own):
+                return own
         return text[k - 1]  # no piece: the fallback's character
 
     def _merge_path(self, text: str) -> list[int]:
@@ -263,15 +277,19 @@ class Transducer:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-_COMPILED: dict[str, Transducer] = {}
-
-
 def transducer(model_file: str | None = None) -> Transducer:
     """The worker's compiled model, kept between its tasks."""
     path = model_file or default_model()
-    if path not in _COMPILED:
-        _COMPILED[path] = Transducer(path)
-    return _COMPILED[path]
+    return worker_held(("transducer", path), lambda: Transducer(path))
+
+
+def _in_lots(column: pa.Array, kind: pa.DataType, answer: Callable[[pa.Scalar], Any]) -> pa.Array:
+    """``answer`` for each entry, gathered as Arrow data a few entries at a time."""
+    lots = [
+        pa.array([answer(x) for x in column.slice(low, LOT)], kind)
+        for low in range(0, len(column), LOT)
+    ]
+    return pa.concat_arrays(lots) if lots else pa.array([], kind)
 
 
 def encoded(text: Column, model_file: str | None = None) -> Column:
@@ -280,8 +298,8 @@ def encoded(text: Column, model_file: str | None = None) -> Column:
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
         machine = transducer(model_file)
-        ids = [machine.encode(t.as_py() or "").astype(np.int32) for t in texts]
-        return pa.array(ids, pa.list_(pa.int32()))
+        ids = lambda t: machine.encode(t.as_py() or "").astype(np.int32)
+        return _in_lots(texts, pa.list_(pa.int32()), ids)
 
     return run.asNondeterministic()(text)
 
@@ -292,7 +310,7 @@ def decoded(ids: Column, model_file: str | None = None) -> Column:
     @F.arrow_udf("string")
     def run(lists: pa.Array) -> pa.Array:
         machine = transducer(model_file)
-        return pa.array([machine.decode(x.as_py() or []) for x in lists], pa.string())
+        return _in_lots(lists, pa.string(), lambda x: machine.decode(x.as_py() or []))
 
     return run.asNondeterministic()(ids)
 
@@ -314,20 +332,46 @@ def summary(text: Column, model_file: str | None = None) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         machine = transducer(model_file)
         fallback = np.array([k == BYTE for k in machine.kinds])
-        rows = []
-        for t in texts:
+
+        def row(t: pa.Scalar) -> dict:
             text = t.as_py() or ""
             ids = machine.encode(text)
-            rows.append(
-                {
-                    "n_pieces": len(ids),
-                    "n_bytes": int(fallback[ids].sum()),
-                    "ids_crc32": zlib.crc32(ids.tobytes()),
-                    "round_trip": machine.decode(ids.tolist()) == text.replace(MARK, " "),
-                }
-            )
+            return {
+                "n_pieces": len(ids),
+                "n_bytes": int(fallback[ids].sum()),
+                "ids_crc32": zlib.crc32(ids.tobytes()),
+                "round_trip": machine.decode(ids.tolist()) == text.replace(MARK, " "),
+            }
+
         kinds = [("n_pieces", pa.int64()), ("n_bytes", pa.int64()), ("ids_crc32", pa.int64())]
-        return pa.array(rows, pa.struct([*kinds, ("round_trip", pa.bool_())]))
+        return _in_lots(texts, pa.struct([*kinds, ("round_trip", pa.bool_())]), row)
+
+    return run.asNondeterministic()(text)
+
+
+CHECKED = T.StructType(
+    [
+        T.StructField("pieces", T.ArrayType(T.IntegerType())),
+        T.StructField("decodes", T.BooleanType()),
+    ]
+)
+
+
+def checked(text: Column, model_file: str | None = None) -> Column:
+    """struct<pieces, decodes> of texts: the ids, and whether they decode to the text."""
+
+    @F.arrow_udf(CHECKED)
+    def run(texts: pa.Array) -> pa.Array:
+        machine = transducer(model_file)
+
+        def row(t: pa.Scalar) -> dict:
+            text = t.as_py() or ""
+            ids = machine.encode(text)
+            same = machine.decode(ids.tolist()) == text.replace(MARK, " ")
+            return {"pieces": ids.astype(np.int32), "decodes": same}
+
+        kind = pa.struct([("pieces", pa.list_(pa.int32())), ("decodes", pa.bool_())])
+        return _in_lots(texts, kind, row)
 
     return run.asNondeterministic()(text)
 
