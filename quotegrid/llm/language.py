@@ -19,7 +19,7 @@ give no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import hold_out, text_of
+from quotegrid.llm.common import hold_out, text_of, worker_held
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 250
@@ -41,27 +41,54 @@ EPOCHS, BATCH, RATE, DECAY = 3, 100, 0.25, 1e-5
 SEED = 11
 MAX_CACHED_WORDS = 300_000
 #: Words of one forward-backward call; a longer text makes a call of its own.
-CHUNK_WORDS = 400_000
+CHUNK_WORDS = 600_000
 
 _LETTERS = regex.compile(r"\p{L}+")
 
 
-def features(word: str) -> list[int]:
-    """Hashed features of a lower-cased letter run."""
-    b = word.encode()
-    mask = (1 << FEATURE_BITS) - 1
-    found = [zlib.crc32(b, 1) & mask]
-    for k in range(1, min(AFFIXES, len(b)) + 1):
-        found.append(zlib.crc32(b[:k], 2) & mask)
-        found.append(zlib.crc32(b[-k:], 3) & mask)
-    found.extend(zlib.crc32(b[i : i + 3], 4) & mask for i in range(len(b) - 2))
-    return found
+def _bucket(h: np.ndarray, kind: int) -> np.ndarray:
+    """Hashes of one kind of feature as places in the weight table."""
+    return ((h + np.uint32(kind)) * np.uint32(2654435761)) >> np.uint32(32 - FEATURE_BITS)
 
 
-def _emissions(weights: np.ndarray, lists: list[list[int]]) -> np.ndarray:
-    flat = np.concatenate([np.array(x, np.int64) for x in lists])
-    starts = np.cumsum([0, *map(len, lists)])[:-1]
-    return np.add.reduceat(weights[flat], starts, axis=0)
+def features(words: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """Hashed features of lower-cased letter runs, many at a time.
+
+    The first part lists (words, features) with one feature a word: the run itself, and its
+    beginnings and ends of 1 to AFFIXES bytes. The others are the owners, ascending, and the
+    features of all byte trigrams.
+    """
+    raw = [w.encode() for w in words]
+    size = np.array([len(b) for b in raw], np.int64)
+    start = np.cumsum(size) - size
+    byte = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32) + np.uint32(1)
+    whole = np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw))
+    single = [(np.arange(len(raw)), _bucket(whole, 1))]
+    head = np.zeros(len(raw), np.uint32)
+    tail = np.zeros(len(raw), np.uint32)
+    base = np.uint32(16777619)
+    for k in range(AFFIXES):
+        long = np.flatnonzero(size > k)
+        head[long] = head[long] * base + byte[start[long] + k]
+        tail[long] = tail[long] * base + byte[start[long] + size[long] - 1 - k]
+        single.append((long, _bucket(head[long], 2 + k)))
+        single.append((long, _bucket(tail[long], 102 + k)))
+    owner = np.repeat(np.arange(len(raw)), size)
+    at = np.flatnonzero(np.arange(len(byte)) + 2 < np.repeat(start + size, size))
+    grams = (byte[at] * base + byte[at + 1]) * base + byte[at + 2]
+    return single, owner[at], _bucket(grams, 202)
+
+
+def _emissions(weights: np.ndarray, words: list[str]) -> np.ndarray:
+    """Per word and label the sum of the weights of its features."""
+    single, owner, grams = features(words)
+    total = np.zeros((len(words), weights.shape[1]), weights.dtype)
+    for some, places in single:
+        total[some] += weights[places]
+    if len(owner):
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        total[owner[first]] += np.add.reduceat(weights[grams], first, axis=0)
+    return total
 
 
 def forward_backward(
@@ -142,10 +169,12 @@ def train_field(texts: list[tuple[str, str]]) -> Field:
                 chains[s, filled + k] = place.setdefault(word, len(place))
             truth[s, filled : filled + run] = label
             filled += run
-    lists = [features(w) for w in place]
-    flat = np.concatenate([np.array(x, np.int64) for x in lists])
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    bounds = np.cumsum([0, *map(len, lists)])
+    single, gram_owner, grams = features(list(place))
+    owner = np.concatenate([some for some, _ in single] + [gram_owner])
+    by_owner = np.argsort(owner, kind="stable")
+    owner = owner[by_owner]
+    flat = np.concatenate([p for _, p in single] + [grams])[by_owner].astype(np.int64)
+    bounds = np.searchsorted(owner, np.arange(len(place) + 1))
     seen = np.full_like(field.weights, 1e-6)
     seen_t = np.full_like(field.transitions, 1e-6)
     for _ in range(EPOCHS):
@@ -247,36 +276,34 @@ class Labeller:
             self.runs[word] = tuple(spots)
         while len(self.emit) < len(self.place):
             self.emit = np.concatenate([self.emit, np.zeros_like(self.emit)])
-        for low in range(0, len(fresh), 20_000):
-            some = fresh[low : low + 20_000]
-            spots = [self.place[r] for r in some]
-            self.emit[spots] = _emissions(self.field.weights, [features(r) for r in some])
-
-    def words(self, text: str) -> np.ndarray:
-        """The text's letter runs as places in ``emit``."""
-        split = text.lower().split()
-        runs = self.runs
-        try:
-            return np.array([i for w in split for i in runs[w]], np.int64)
-        except KeyError:
-            if len(runs) > MAX_CACHED_WORDS:
-                self.forget()
-                runs = self.runs
-            self._learn(set(split).difference(runs))
-            return np.array([i for w in split for i in runs[w]], np.int64)
-
-    def marginals(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        if fresh:
+            spots = [self.place[r] for r in fresh]
+            self.emit[spots] = _emissions(self.field.weights, fresh)
+
+    def marginals(self, texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray]]:
         """(place in ``texts``, label probabilities per word) of the texts with letters."""
-        held: list[tuple[int, np.ndarray]] = []
+        lot: list[list[str]] = []
         words = 0
-        for k, text in enumerate(texts):
-            spots = self.words(text)
-            if len(spots):
-                held.append((k, self.emit[spots]))  # copied: a flush may reuse the places
-                words += len(spots)
+        first = 0
+        for text in texts:
+            lot.append(text.lower().split())
+            words += len(lot[-1])
             if words >= CHUNK_WORDS:
-                yield from self._solve(held)
-                held, words = [], 0
+                yield from self._label(first, lot)
+                first += len(lot)
+                lot, words = [], 0
+        yield from self._label(first, lot)
+
+    def _label(self, first: int, lot: list[list[str]]) -> Iterator[tuple[int, np.ndarray]]:
+        if len(self.runs) > MAX_CACHED_WORDS:
+            self.forget()
+        self._learn(set().union(*lot).difference(self.runs))
+        runs = self.runs
+        held = []
+        for k, split in enumerate(lot, first):
+            spots = np.array([i for w in split for i in runs[w]], np.int64)
+            if len(spots):
+                held.append((k, self.emit[spots]))
         yield from self._solve(held)
 
     def _solve(self, held: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
@@ -288,15 +315,9 @@ class Labeller:
             yield from zip((k for k, _ in held), np.split(p, cuts), strict=True)
 
 
-_LABELLERS: dict[int, Labeller] = {}
-
-
 def _labeller(field: Field) -> Labeller:
     key = zlib.crc32(field.weights.tobytes())
-    if key not in _LABELLERS:
-        _LABELLERS.clear()
-        _LABELLERS[key] = Labeller(field)
-    return _LABELLERS[key]
+    return worker_held(("language", key), lambda: Labeller(field))
 
 
 def predict(field: Field, text: Column) -> Column:
@@ -309,7 +330,7 @@ def predict(field: Field, text: Column) -> Column:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if languages:
             labeller = _labeller(Field(languages, weights, transitions))
-            for k, p in labeller.marginals([t or "" for t in texts.to_pylist()]):
+            for k, p in labeller.marginals(t.as_py() or "" for t in texts):
                 share = p.mean(0, dtype=np.float64)
                 best = int(np.argmax(share))
                 langs[k], scores[k] = languages[best], min(1.0, float(share[best]))

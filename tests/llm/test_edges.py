@@ -121,15 +121,30 @@ def test_tokens(odd, empty):
 
 
 def test_token_words_equal_whole_texts():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
     codec = tokens.WordEncoder(tokens.default_vocabulary())
-    texts = [
-        "it's  A\tTest\n<|endoftext|> x<|startoftext|>y ́e é \x1c\x85  z",
-        "ΣΊΣΥΦΟΣ İstanbul ﬁne 12,5% don't I'LL",
-        "",
-    ]
-    for text in texts:
+    parts = [*"aZwW09.,'!-—é \n\t\x1c\x85 ", "\u030a", "\u0338", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    parts += ["'s", "'LL", "word", "Word.", "x, y", "été", "ñandú$$$ ", "größe", "ŉ", "œuf", "ª", "a&&& ", "ΣΣ", "İ", "ﬁ", "日本", "<", "="]
+
+    @settings(max_examples=1_500, deadline=None)
+    @given(st.lists(st.sampled_from(parts), max_size=30).map("".join))
+    def same(text):
         whole = codec.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(codec.encode([text.encode()], None)[0], "<u4").tolist() == whole
+        assert np.frombuffer(codec.encode(text.encode(), None), "<u4").tolist() == whole
+
+    same()
+
+
+def test_token_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_CACHED_WORDS", 10)
+    codec = tokens.WordEncoder(tokens.default_vocabulary())
+    for i in range(30):
+        text = " ".join(f"word{(i + k) % 40}" for k in range(12))
+        whole = codec.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(codec.encode(text.encode(), None), "<u4").tolist() == whole
+        assert len(codec.known) < 40
 
 
 def test_shard_gives_single_documents():
@@ -367,6 +382,18 @@ def test_code_switched_words():
     assert "".join(lang for _, lang in got) == "aaabbbaa"
 
 
+def test_language_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(language, "MAX_CACHED_WORDS", 5)
+    monkeypatch.setattr(language, "CHUNK_WORDS", 10)
+    field = language.train_field([("a", "zorik zorak"), ("b", "quen quan")])
+    texts = [" ".join(f"zor{i}{k}ik" for k in range(7)) for i in "abcdefghij"] + ["", "quaen"]
+    alone = [next(language.Labeller(field).marginals([t]), (0, None))[1] for t in texts]
+    together = dict(language.Labeller(field).marginals(texts))
+    assert together.keys() == {*range(10), 11}
+    for k, p in together.items():
+        assert p == pytest.approx(alone[k], rel=1e-5)
+
+
 def test_forward_backward_equals_enumeration():
     from itertools import product
 
