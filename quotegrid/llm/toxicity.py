@@ -8,8 +8,8 @@ occurs at least twice is a second term as well. The score is
 
 over the document's active terms: besides single weights, every pair of terms has a learned
 interaction, the product of two short vectors. Of the 2**``HASH_BITS`` hashed terms those
-``ACTIVE_TERMS`` stay active that tell the classes apart most (G statistic over documents),
-counted by Spark; the machine itself is fitted on the driver to the active terms of a bounded
+``ACTIVE_TERMS`` stay active that tell the classes apart most (half the G statistic over
+documents, at least ``MIN_GAIN``), counted by Spark; the machine itself is fitted on the driver to the active terms of a bounded
 sample: the ``TRAIN_ROWS`` labelled, not held-out rows with the smallest id hashes.
 
 Null or empty text: the score of no terms. Null ids or labels are not learned from; an id
@@ -39,9 +39,10 @@ TWICE = 1 << HASH_BITS
 PREFIXES = (4, 5, 6, 7)
 TRAIN_ROWS = 20_000
 MIN_DOCUMENTS = 4
+MIN_GAIN = 5.0
 ACTIVE_TERMS = 4_096
 FACTORS = 4
-EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.1, 1e-3
+STEPS, BATCH, RATE, DECAY = 1_000, 256, 0.1, 1e-3
 SEED = 7
 MAX_CACHED_WORDS = 200_000
 
@@ -138,10 +139,12 @@ def fit_machine(lists: list[np.ndarray], labels: np.ndarray, buckets: list[int])
     if not buckets or labels.min() == labels.max():
         return m
     seen_w, seen_v, seen_b = np.full(size, 1e-6), np.full((size, FACTORS), 1e-6), 1e-6
-    for _ in range(EPOCHS):
+    done = 0
+    while done < STEPS:  # the same number for small and large samples
         order = rng.permutation(len(lists))
         for low in range(0, len(order), BATCH):
             chosen = order[low : low + BATCH]
+            done += 1
             flat, row, logits, total = m.sums([lists[i] for i in chosen])
             error = 1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels[chosen]
             terms, at = np.unique(flat, return_inverse=True)
@@ -217,7 +220,7 @@ def active_buckets(rows: DataFrame) -> list[int]:
         rows.mapInArrow(count, "bucket long, clean long, toxic long")
         .groupBy("bucket")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .filter(held >= MIN_DOCUMENTS)
+        .filter((held >= MIN_DOCUMENTS) & (gain >= MIN_GAIN))
         .orderBy(F.round(gain, 6).desc(), "bucket")
         .limit(ACTIVE_TERMS)
     )
