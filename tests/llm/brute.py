@@ -74,3 +74,79 @@ def nearest(rows, queries, k):
         best = sorted((float(a), int(i)) for a, i in zip(d, ids, strict=True) if i != q)[:k]
         out.extend((q, r, i, a) for r, (a, i) in enumerate(best, 1))
     return out
+
+
+def order_of(doc_id):
+    return (doc_id is None, doc_id or 0)
+
+
+def without_common_lines(rows, align, min_words=3, rare=(64, 6), several=2, block_words=8):
+    """(lines, removed lines, rest) per (doc_id, text) row; ids are distinct.
+
+    ``align`` matches two line sequences. Lines are compared as texts between blanks.
+    """
+    blanks = " \t\n\x0b\x0c\r"
+    split = {d: (t or "").split("\n") for d, t in rows}
+    keys = {d: [x.strip(blanks) if words(x) else "" for x in ls] for d, ls in split.items()}
+    ids = sorted(split, key=order_of)
+    first_copy, out = {}, {}
+    for d in ids:
+        first_copy.setdefault(tuple(keys[d]), d)
+    own = [d for d in ids if first_copy[tuple(keys[d])] == d and any(keys[d])]
+    holders = {}
+    for d in own:
+        for line in dict.fromkeys(keys[d]):
+            if len(words(line)) >= min_words:
+                holders.setdefault(line, []).append(d)
+    for d in ids:
+        gone = set()
+        if any(keys[d]) and first_copy[tuple(keys[d])] != d:
+            out[d] = (len(keys[d]), len(keys[d]), "")
+            continue
+        shared = {}
+        for line in dict.fromkeys(keys[d]):
+            held = holders.get(line, [])
+            if len(held) > 1 and held[0] != d:
+                few = len(held) <= rare[0] and len(words(line)) >= rare[1]
+                n, strong = shared.get(held[0], (0, False))
+                shared[held[0]] = (n + 1, strong or few)
+        for other, (n, strong) in shared.items():
+            if not strong and n < several:
+                continue
+            blocks, last = [], (-2, -2)
+            for i, j in align(keys[other], keys[d]):
+                if (i, j) == (last[0] + 1, last[1] + 1):
+                    blocks[-1].append(j)
+                else:
+                    blocks.append([j])
+                last = (i, j)
+            for block in blocks:
+                if sum(len(words(keys[d][j])) for j in block) >= block_words:
+                    gone.update(block)
+        rest = "\n".join(x for j, x in enumerate(split[d]) if j not in gone)
+        out[d] = (len(keys[d]), len(gone), rest)
+    return out
+
+
+def mixed(rows, weights=(3, 1, 2), share=1.5, passes=2, seed="mix-1"):
+    """Passes of each (doc_id, size, source) row of a weighted fair queue; ids are distinct."""
+    sizes = Counter()
+    for _, size, source in rows:
+        sizes[source] += size
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    queue = {}
+    place = lambda d: hashlib.md5(f"{seed}:{d}".encode()).hexdigest()
+    finish = []
+    for d, size, source in sorted(rows, key=lambda r: (place(r[0]), r[0])):
+        queue[source] = queue.get(source, 0) + size
+        for turn in range(passes):
+            played = turn * sizes[source] + queue[source]
+            finish.append((played / weight[source], names.index(source), size, d))
+    left, taken = share * sum(sizes.values()), Counter()
+    for _, _, size, d in sorted(finish):
+        if size > left:
+            break
+        left -= size
+        taken[d] += 1
+    return taken

@@ -1,6 +1,7 @@
 """The registered queries against their contracts: columns, SQL, brute force, round trips."""
 
 import glob
+import hashlib
 import os
 import zlib
 from collections import Counter
@@ -12,7 +13,7 @@ import pytest
 from helpers import rows_of
 
 import __spark_entry__ as entry
-from quotegrid.llm.common import is_held_out
+from quotegrid.llm.common import is_held_out, settle
 from quotegrid.llm.registry import LLM_ORACLE_SQL, LLM_QUERIES
 
 CONTRACT = {
@@ -143,15 +144,60 @@ def test_language_on_held_out_rows(spark, small_dir):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
-def test_pipeline_stages(spark, small_dir):
+def test_line_dedup_equals_brute_force(spark, small_dir, texts):
+    from quotegrid.llm.lines import patience
+
+    expected = brute.without_common_lines(texts, patience)
+    got = {r.doc_id: r for r in named("op8")(spark, small_dir).collect()}
+    assert got.keys() == expected.keys()
+    for doc_id, (lines, removed, rest) in expected.items():
+        digest = hashlib.sha256(rest.encode()).hexdigest()
+        assert (got[doc_id].n_lines, got[doc_id].n_removed) == (lines, removed), doc_id
+        assert got[doc_id].kept_sha256 == digest, doc_id
+
+
+def test_pipeline_equals_brute_force(spark, small_dir):
+    """Every stage on what the one before it kept, and the whole run on the whole table."""
     import corpus_pipeline
+    import sentencepiece
 
+    from quotegrid.llm.lines import patience
+    from quotegrid.llm.pieces import default_model
+
+    stages = dict(corpus_pipeline.STAGES)
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     columns = docs.columns
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, small_dir)
-        assert out.columns == columns
-    got = corpus_pipeline.run(spark, small_dir)
-    assert got.filter("NOT decodes").count() == 0
-    assert got.filter("size(pieces) = 0 AND length(text) > 0").count() == 0
-    assert got.count() > 0
+    rows = {r.doc_id: r for r in docs.collect()}
+
+    def apply(name, docs):
+        out = settle(stages[name](spark, docs, small_dir), "stage")
+        assert out.columns[: len(columns)] == columns
+        return out, out.collect()
+
+    docs, kept = apply("toxicity", docs)
+    judged = {r.doc_id: r.predicted for r in named("op1")(spark, small_dir).collect()}
+    assert sorted(r.doc_id for r in kept) == sorted(d for d in rows if not judged[d])
+    assert all(r == rows[r.doc_id] for r in kept)
+
+    expected = brute.without_common_lines([(r.doc_id, r.text) for r in kept], patience)
+    docs, kept = apply("line dedup", docs)
+    expected = {d: x for d, x in expected.items() if not x[1] or x[2].strip(" ")}
+    assert sorted(r.doc_id for r in kept) == sorted(expected)
+    assert all(r.text == expected[r.doc_id][2] for r in kept)
+    assert all(r.n_chars == len(r.text) for r in kept if expected[r.doc_id][1])
+
+    groups = brute.near_components([(r.doc_id, r.text) for r in kept], 5)
+    docs, kept = apply("near dedup", docs)
+    assert sorted(r.doc_id for r in kept) == sorted(d for d, _, _, first in groups if first)
+
+    sizes = [(r.doc_id, len(brute.words(r.text)), r.source) for r in kept]
+    expected = brute.mixed(sizes)
+    docs, kept = apply("source mix", docs)
+    played = Counter(r.doc_id for r in kept)
+    assert all(played[d] == expected[d] for d, size, _ in sizes if size)
+
+    _, kept = apply("sentencepiece", docs)
+    library = sentencepiece.SentencePieceProcessor(model_file=default_model())
+    assert all(r.pieces == library.encode(r.text or "") and r.decodes for r in kept)
+    whole = corpus_pipeline.run(spark, small_dir).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, kept))
