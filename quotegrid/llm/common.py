@@ -10,6 +10,7 @@ Rules that hold for every operator here:
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -23,6 +24,7 @@ from quotegrid.sources.tables import settle
 
 __all__ = [
     "ROW_KEY",
+    "hand_back",
     "hold_out",
     "is_held_out",
     "packed_texts",
@@ -103,10 +105,19 @@ def worker_held(key: object, build: Callable[[], Any]) -> Any:
     """
     if key not in _HELD:
         _HELD.clear()
+        hand_back()
         _HELD[key] = build()
     return _HELD[key]
 
 
+def hand_back() -> None:
+    """Give freed memory back to the machine, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def unpack(packed: pa.Array) -> Iterator[bytes]:
     press = zstandard.ZstdDecompressor()
     for one in packed:

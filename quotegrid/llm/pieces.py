@@ -283,6 +283,19 @@ def transducer(model_file: str | None = None) -> Transducer:
     return worker_held(("transducer", path), lambda: Transducer(path))
 
 
+def _encoded(machine: Transducer, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The ids of texts, gathered in one growing buffer, and whether they decode to them."""
+    values, ends, same = bytearray(), [0], []
+    for t in texts:
+        text = t.as_py() or ""
+        ids = machine.encode(text)
+        values += ids.tobytes()
+        ends.append(len(values) // 4)
+        same.append(machine.decode(ids.tolist()) == text.replace(MARK, " "))
+    flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(values)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(same, pa.bool_())
+
+
 def _in_lots(column: pa.Array, kind: pa.DataType, answer: Callable[[pa.Scalar], Any]) -> pa.Array:
     """``answer`` for each entry, gathered as Arrow data a few entries at a time."""
     lots = [
@@ -297,9 +310,7 @@ def encoded(text: Column, model_file: str | None = None) -> Column:
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
-        machine = transducer(model_file)
-        ids = lambda t: machine.encode(t.as_py() or "").astype(np.int32)
-        return _in_lots(texts, pa.list_(pa.int32()), ids)
+        return _encoded(transducer(model_file), texts)[0]
 
     return run.asNondeterministic()(text)
 
@@ -362,16 +373,8 @@ def checked(text: Column, model_file: str | None = None) -> Column:
 
     @F.arrow_udf(CHECKED)
     def run(texts: pa.Array) -> pa.Array:
-        machine = transducer(model_file)
-
-        def row(t: pa.Scalar) -> dict:
-            text = t.as_py() or ""
-            ids = machine.encode(text)
-            same = machine.decode(ids.tolist()) == text.replace(MARK, " ")
-            return {"pieces": ids.astype(np.int32), "decodes": same}
-
-        kind = pa.struct([("pieces", pa.list_(pa.int32())), ("decodes", pa.bool_())])
-        return _in_lots(texts, kind, row)
+        ids, same = _encoded(transducer(model_file), texts)
+        return pa.StructArray.from_arrays([ids, same], ["pieces", "decodes"])
 
     return run.asNondeterministic()(text)
 
