@@ -83,20 +83,22 @@ class Transducer:
         self.bytes = {int(p[1:-1], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         worst = min((self.scores[i] for i in lexicon.values()), default=0.0)
         self.fallback = UNKNOWN_PENALTY - worst
-        # The lexicon's tries, as the sets of all beginnings and endings of pieces.
+        # The lexicon's trie, as the set of all beginnings of pieces.
         self.beginnings = {p[:k] for p in lexicon for k in range(1, len(p) + 1)}
-        self.endings = {p[k:] for p in lexicon for k in range(len(p))}
         self.longest = max(map(len, lexicon), default=1)
         self.chunk = re.compile(self._chunks(), re.DOTALL)
         self.paths: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.states: dict[str, str] = {"": ""}
+        self.states: dict[str | int, str] = {}
+        self.packed: dict[str, bytes] = {}
         # Merge order: characters first, then by score; runs of marks share one score.
         ranked = sorted(lexicon, key=lambda p: -self.scores[lexicon[p]])
         self.rank = {p: k for k, p in enumerate(ranked, 1) if len(p) > 1}
         tied = {s for s, n in Counter(self.scores[i] for i in lexicon.values()).items() if n > 1}
         self.tied = {p for p, i in lexicon.items() if len(p) > 1 and self.scores[i] in tied}
         self.own = {p: p for p in lexicon}  # one string object per piece, however often found
+        # Endings of pieces: the piece itself where the ending is one, else nothing.
+        self.tails = {p[k:]: self.own.get(p[k:], "") for p in lexicon for k in range(len(p))}
         self.splits: dict[str, tuple[str, str] | None] = {}
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
 
@@ -185,52 +187,49 @@ class Transducer:
 
     # Composition and shortest path
 
-    def shortest_path(self, text: str) -> list[int]:
-        """Output of the least-weight path of one normalised chunk."""
+    def shortest_path(self, text: str) -> bytes:
+        """Output of the least-weight path of one normalised chunk, as 32-bit integers."""
         return self._merge_path(text) if self.merges else self._weighed_path(text)
 
-    def _arrive(self, text: str, k: int, state: Callable[[int], str]) -> str:
-        """The live state at place k; the constraint leaves one, the last merge result before."""
-        for j in range(k - 1, max(-1, k - 1 - self.longest), -1):
-            piece = text[j:k]
-            if piece not in self.endings:
-                break
-            own = self.own.get(piece)
-            if own is not None and self.follows(state(j), own):
-                return own
-        return text[k - 1]  # no piece: the fallback's character
-
-    def _merge_path(self, text: str) -> list[int]:
-        """The path through the one live state of each place.
+    def _merge_path(self, text: str) -> bytes:
+        """The path through the one live state of each place: the merge result of what precedes.
 
-        The state at a place depends on the text before it alone, so those of short chunks are
-        kept by that text and shared by all chunks that begin alike.
+        A state depends on the text before its place alone, so those of short chunks are kept
+        by that text and shared by all chunks that begin alike.
         """
-        n = len(text)
-        if n <= SHARED_LENGTH:
-            states = self.states
-            if len(states) > MAX_STATES:
-                states.clear()
-                states[""] = ""
-            known = n
-            while text[:known] not in states:
-                known -= 1
-            at = lambda j: states[text[:j]]
-            for k in range(known + 1, n + 1):
-                states[text[:k]] = self._arrive(text, k, at)
-        else:
-            own = [""]
-            at = own.__getitem__
-            for k in range(1, n + 1):
-                own.append(self._arrive(text, k, at))
+        n, longest = len(text), self.longest
+        tails, pairs, follows = self.tails, self.pairs, self.follows
+        shared = n <= SHARED_LENGTH
+        states = self.states if shared else {}
+        if len(states) > MAX_STATES:
+            states.clear()
+        states[""] = states[0] = ""
+        key = (lambda k: text[:k]) if shared else (lambda k: k)
+        known = n if shared else 0
+        while known and text[:known] not in states:
+            known -= 1
+        for k in range(known + 1, n + 1):
+            state = text[k - 1]  # where no piece arrives: the fallback's character
+            for j in range(k - 1, max(-1, k - 1 - longest), -1):
+                piece = tails.get(text[j:k])
+                if piece is None:
+                    break
+                if piece:
+                    last = states[text[:j] if shared else j]
+                    open_ = pairs.get((last, piece))
+                    if open_ or (open_ is None and follows(last, piece)):
+                        state = piece
+                        break
+            states[text[:k] if shared else k] = state
         path = []
-        place = n
-        while place:
-            path.append(at(place))
-            place -= len(path[-1])
-        return [i for piece in reversed(path) for i in self._output(piece)]
-
-    def _weighed_path(self, text: str) -> list[int]:
+        while n:
+            piece = states[key(n)]
+            path.append(self.packed.get(piece) or self._pack(piece))
+            n -= len(piece)
+        path.reverse()
+        return b"".join(path)
+
+    def _weighed_path(self, text: str) -> bytes:
         """Viterbi over places: weights add along a path, the least one wins."""
         n = len(text)
         weight = [0.0] + [float("inf")] * n
@@ -249,16 +248,20 @@ class Transducer:
         path = []
         place = n
         while place:
-            path.append(text[before[place] : place])
+            path.append(self._pack(text[before[place] : place]))
             place = before[place]
-        return [i for piece in reversed(path) for i in self._output(piece)]
+        return b"".join(reversed(path))
 
-    def _output(self, piece: str) -> list[int]:
+    def _pack(self, piece: str) -> bytes:
+        """The ids of a piece, or of a character without one."""
         if piece in self.lexicon:
-            return [self.lexicon[piece]]
-        if self.bytes:
-            return [self.bytes[b] for b in piece.encode()]
-        return [self.unknown]
+            ids = [self.lexicon[piece]]
+            self.packed[self.own[piece]] = np.array(ids, "<u4").tobytes()
+        elif self.bytes:
+            ids = [self.bytes[b] for b in piece.encode()]
+        else:
+            ids = [self.unknown]
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, as unsigned 32-bit integers."""
@@ -269,7 +272,7 @@ class Transducer:
         if len(paths) > MAX_CHUNKS:
             paths.clear()
         for chunk in set(chunks).difference(paths):
-            paths[chunk] = np.array(self.shortest_path(chunk), "<u4").tobytes()
+            paths[chunk] = self.shortest_path(chunk)
         return np.frombuffer(b"".join(map(paths.__getitem__, chunks)), "<u4")
 
     def decode(self, ids: list[int]) -> str:
