@@ -7,9 +7,9 @@ A shard holds, little-endian throughout:
     index: frame offsets u64 x (n+1), ids per document u32 x n, doc_id i64 x n, id known u8 x n
     n u64 | index offset u64 | "QGTK"
 
-The dictionary lies beside the shards, after the same four letters. It is trained on the serialized ids of ``SAMPLE_DOCS``
-documents at most, those with the smallest id hashes, each of ``SAMPLE_BYTES`` at most. A shard
-is closed at ``SHARD_BYTES``, so writers and readers hold little, and its offset index gives any
+The dictionary lies beside the shards, after the same four letters. It is trained on the
+serialized ids of ``SAMPLE_DOCS`` documents at most, those with the smallest id hashes, each of
+``SAMPLE_BYTES`` at most. A shard is closed at ``SHARD_BYTES``, so writers and readers hold little, and its offset index gives any
 document without touching the others. Shards follow ascending doc_id (null first, then the text
 hash); the manifest, which Spark writes, names the shards of the successful task attempts, and
 readers ignore all other files.

@@ -9,12 +9,14 @@ occurs at least twice is a second term as well. The score is
 over the document's active terms: besides single weights, every pair of terms has a learned
 interaction, the product of two short vectors. Of the 2**``HASH_BITS`` hashed terms those
 ``ACTIVE_TERMS`` stay active that tell the classes apart most (half the G statistic over
-documents, at least ``MIN_GAIN``), counted by Spark; the machine itself is fitted on the driver to the active terms of a bounded
-sample: the ``TRAIN_ROWS`` labelled, not held-out rows with the smallest id hashes.
+documents, at least ``MIN_GAIN``), counted by Spark; the machine itself is fitted on the driver
+to the active terms of a bounded sample: the ``TRAIN_ROWS`` labelled, not held-out rows with the
+smallest id hashes.
 
 Null or empty text: the score of no terms. Null ids or labels are not learned from; an id
-labelled twice counts as toxic if any label says so, an id with several texts shows the least. Without a label, or of one class only, the
-score is the smoothed share of toxic labels. Empty tables give no rows.
+labelled twice counts as toxic if any label says so, an id with several texts shows the least.
+Without a label, or of one class only, the score is the smoothed share of toxic labels. Empty
+tables give no rows.
 """
 
 from __future__ import annotations
