@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 QUOTE_KEYS = ["provider", "instance_type", "region", "price_type"]
 
@@ -17,7 +18,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     partitioning. Spark keeps one row per key and input partition before the shuffle
     (WindowGroupLimit), so a hot key sends at most one row per task.
     """
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+    rest = [
+        # Maps have no order of their own; their text has.
+        (F.to_json(c) if isinstance(df.schema[c].dataType, MapType) else F.col(c)).asc_nulls_last()
+        for c in df.columns
+        if c not in keys
+    ]
     grouping = list(keys)
     if len(grouping) > 1:
         # Sorts compare eight bytes of the first column at a time; a hash of the whole key

@@ -103,6 +103,13 @@ def test_large_lookup_is_not_broadcast(spark, monkeypatch):
     assert df.first().unit_count == 2
 
 
+def test_ties_are_broken_by_maps_too(spark):
+    rows = spark.sql(
+        "SELECT 'k' AS k, 1 AS t, map('a', v) AS m FROM VALUES ('2'), ('1') AS x(v)"
+    ).repartition(2)
+    assert latest_per_key(rows, ["k"], ts="t").first().m == {"a": "1"}
+
+
 def test_lookups_as_tables(spark):
     units = spark.createDataFrame([("p3.2xlarge", 2)], "name string, n int")
     df = normalise_units(bronze(spark, {}, {"instance_type": "x"}), units)
