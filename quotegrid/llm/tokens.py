@@ -64,7 +64,13 @@ _STOP = re.compile(rb"%b(?<=[a-z0-9]%b)%b*(?=[ \n]|\Z)" % (_MARK, _MARK, _MARK))
 #: The byte-level alphabet shows each byte as a printable character: itself, where it is one.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _HIDDEN = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - _PRINTED))}
-_LATIN = "\u0250"
+#: Latin letters whose lower form is one letter, then marks; the start of a special token is none.
+_PLAIN = re.compile("([a-zA-Z\u00c0-\u012f\u0131-\u024f]+)((?!.*<[|])[!-&(-/:-@\\[-`{-~]*)")
+
+
+def _shown(text: str) -> str:
+    """The byte-level form of a text."""
+    return text if text.isascii() else text.encode().decode("latin-1").translate(_HIDDEN)
 
 
 def token_words(text: bytes) -> list[bytes]:
@@ -97,10 +103,14 @@ class WordEncoder:
         other = []
         for word in new:
             text = word.decode()
-            if text.isalpha() and text.islower() and max(text) < _LATIN:
-                # One run of letters that no normaliser alters: straight to the model.
-                shown = text if word.isascii() else word.decode("latin-1").translate(_HIDDEN)
-                ids = [t.id for t in self.model.tokenize(shown)]
+            plain = _PLAIN.fullmatch(text)
+            letters = plain[1].lower() if plain else ""
+            if letters.isalpha():
+                # A run of letters and one of marks that no normaliser alters or joins:
+                # straight to the model.
+                ids = [t.id for t in self.model.tokenize(_shown(letters))]
+                if plain[2]:
+                    ids += [t.id for t in self.model.tokenize(plain[2])]
                 self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 other.append(word)
@@ -113,15 +123,14 @@ class WordEncoder:
     def encode(self, text: bytes, end: int | None = END_ID) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         words = token_words(text)
-        tail = b"" if end is None else struct.pack("<I", end)
-        try:
-            return b"".join(map(self.known.__getitem__, words)) + tail
-        except KeyError:
-            new = set(words)
-            self._learn(list(new.difference(self.known)))
-            if not new <= self.known.keys():  # emptied on the way
-                self._learn(list(new.difference(self.known)))
-            return b"".join(map(self.known.__getitem__, words)) + tail
+        ids = list(map(self.known.get, words))
+        if None in ids:
+            self._learn(list({w for w, i in zip(words, ids, strict=True) if i is None}))
+            known = self.known
+            ids = [known[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+        if end is not None:
+            ids.append(struct.pack("<I", end))
+        return b"".join(ids)
 
 
 def encoder(vocabulary: str | None) -> WordEncoder:

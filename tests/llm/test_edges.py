@@ -126,7 +126,7 @@ def test_token_words_equal_whole_texts():
 
     codec = tokens.WordEncoder(tokens.default_vocabulary())
     parts = [*"aZwW09.,'!-—é \n\t\x1c\x85 ", "\u030a", "\u0338", "<|endoftext|>", "<|ENDOFTEXT|>"]
-    parts += ["'s", "'LL", "word", "Word.", "x, y", "été", "ñandú$$$ ", "größe", "ŉ", "œuf", "ª", "a&&& ", "ΣΣ", "İ", "ﬁ", "日本", "<", "="]
+    parts += ["'s", "'LL", "word", "Word.", "x, y", "été", "ñandú$$$ ", "größe", "ŉ", "Œuf", "É,", "Éa!?", "ÀÇ×÷", "ǅ", "Ɓ", "<|", "ẞ", "İx", "ſ", "œuf", "ª", "a&&& ", "ΣΣ", "İ", "ﬁ", "日本", "<", "="]
 
     @settings(max_examples=1_500, deadline=None)
     @given(st.lists(st.sampled_from(parts), max_size=30).map("".join))
