@@ -2,9 +2,10 @@
 
 Lines are compared by a hash of their text between blanks. A line that several documents hold
 points each holder to its first one, the holder with the least doc_id, so a line in any number
-of documents gives as many pairs as holders. A pair counts as overlapping if it shares a rare
-line (one of at most ``RARE_HOLDERS`` holders, ``RARE_WORDS`` words at least) or several lines;
-a line that half the corpus carries is no evidence on its own. Each overlapping pair is aligned
+of documents gives as many pairs as holders. A pair counts as overlapping if it shares a line of
+``BLOCK_WORDS`` words, whatever the number of its holders, a rare shorter line (one of at most
+``RARE_HOLDERS`` holders, ``RARE_WORDS`` words at least) or several lines; a footer that half the
+corpus carries is no evidence on its own. Each overlapping pair is aligned
 by patience diff: lines that occur once in either document are matched in their longest common
 order, the gaps between them likewise. Aligned blocks of neighbouring lines with at least
 ``BLOCK_WORDS`` words are deleted from the later document.
@@ -18,7 +19,7 @@ copies, the first of which stays. Empty tables give no rows.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -34,16 +35,17 @@ MIN_WORDS = 3
 RARE_HOLDERS, RARE_WORDS = 64, 6
 SEVERAL = 2
 BLOCK_WORDS = 8
+ENOUGH = (MIN_WORDS, RARE_WORDS, BLOCK_WORDS)
 BLANKS = b" \t\n\x0b\x0c\r"
 
 
 def line_hashes(text: bytes) -> tuple[list[int], list[int]]:
-    """Hash (0: no word) and words of each line; two bits tell MIN_WORDS and RARE_WORDS."""
+    """Hash (0: no word) and words of each line; two bits tell how many of ENOUGH it reaches."""
     hashes, words = [], []
     for line in text.split(b"\n"):
         n = len(line.split())
         words.append(n)
-        size = 2 * (n >= MIN_WORDS) + (n >= RARE_WORDS)
+        size = bisect_right(ENOUGH, n)
         mark = xxhash.xxh3_64_intdigest(line.strip(BLANKS)) >> 3 << 2 | size
         hashes.append(mark if n else 0)
     return hashes, words
@@ -169,20 +171,21 @@ def find_blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     speakers = profiles.join(firsts.select(F.col("first").alias("rid")), "rid", "left_semi")
     lines = speakers.select(
         order.alias("who"), F.explode(F.array_distinct("lines")).alias("h")
-    ).filter(F.col("h") % 4 >= 2)
+    ).filter(F.col("h") % 4 >= 1)
     holders = (
         lines.groupBy("h")
         .agg(F.count("*").alias("holders"), F.min("who")["rid"].alias("first"))
         .filter(F.col("holders") > 1)
     )
-    rare = (F.col("holders") <= RARE_HOLDERS) & (F.col("h") % 4 == 3)
+    rare = (F.col("holders") <= RARE_HOLDERS) & (F.col("h") % 4 == 2)
+    telling = rare | (F.col("h") % 4 == 3)
     pairs = (
         lines.select("h", "who.rid")
         .join(holders, "h")
         .filter(F.col("rid") != F.col("first"))
         .groupBy("rid", "first")
-        .agg(F.count("*").alias("shared"), F.max(rare).alias("rare"))
-        .filter(F.col("rare") | (F.col("shared") >= SEVERAL))
+        .agg(F.count("*").alias("shared"), F.max(telling).alias("telling"))
+        .filter(F.col("telling") | (F.col("shared") >= SEVERAL))
         .select("rid", "first")
     )
     both = pairs.join(profiles.select("rid", "lines", "words"), "rid").join(

@@ -128,6 +128,36 @@ def without_common_lines(rows, align, min_words=3, rare=(64, 6), several=2, bloc
     return out
 
 
+def without_common_runs(rows, block_words=8):
+    """(lines, removed lines, rest) per (doc_id, text) row; ids are distinct.
+
+    A line goes if it lies in a run of neighbouring lines, of ``block_words`` words at least, that
+    stands in an earlier document which is no copy. Every run of every document is looked at, up
+    to the first that is long enough from each start, and to each end.
+    """
+    blanks = " \t\n\x0b\x0c\r"
+    split = {d: (t or "").split("\n") for d, t in rows}
+    keys = {d: [x.strip(blanks) if words(x) else "" for x in ls] for d, ls in split.items()}
+    seen, copies, out = set(), set(), {}
+    for d in sorted(split, key=order_of):
+        key, n = keys[d], len(keys[d])
+        if any(key) and tuple(key) in copies:
+            out[d] = (n, n, "")
+            continue
+        copies.add(tuple(key))
+        size = [len(words(x)) for x in key]
+        spans = set()
+        for i in range(n):
+            ends = (j for j in range(i + 1, n + 1) if sum(size[i:j]) >= block_words)
+            starts = (j for j in range(i, -1, -1) if sum(size[j : i + 1]) >= block_words)
+            spans |= {(i, j) for j in [next(ends, None)] if j is not None}
+            spans |= {(j, i + 1) for j in [next(starts, None)] if j is not None}
+        gone = {k for i, j in spans if tuple(key[i:j]) in seen for k in range(i, j)}
+        seen |= {tuple(key[i:j]) for i, j in spans}
+        out[d] = (n, len(gone), "\n".join(x for j, x in enumerate(split[d]) if j not in gone))
+    return out
+
+
 def mixed(rows, weights=(3, 1, 2), share=1.5, passes=2, seed="mix-1"):
     """Passes of each (doc_id, size, source) row of a weighted fair queue; ids are distinct."""
     sizes = Counter()

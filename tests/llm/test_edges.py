@@ -286,6 +286,16 @@ def test_lines_of_overlapping_documents(documents):
     assert all(got[i].n_removed == 0 for i in (3, *range(10, 90)))
 
 
+def test_long_line_of_many_documents_goes(documents):
+    """One 60-word line in several hundred documents: all but the first lose it."""
+    hot = " ".join(f"hot{i}" for i in range(60))
+    rows = [(i, f"page {i} opens\n{hot}\nand page {i} ends") for i in range(300)]
+    got = {r.row.doc_id: r for r in lines.dedup_lines(documents(*rows)).collect()}
+    expected = brute.without_common_runs(rows)
+    assert {d: (r.n_lines, r.n_removed, r.kept) for d, r in got.items()} == expected
+    assert got[0].n_removed == 0 and all(got[i].n_removed == 1 for i in range(1, 300))
+
+
 def test_patience():
     assert lines.patience([1, 2, 3, 4], [9, 2, 3, 8, 4]) == [(1, 1), (2, 2), (3, 4)]
     assert lines.patience([1, 1, 2], [1, 1, 2]) == [(0, 0), (1, 1), (2, 2)]
