@@ -1,14 +1,13 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
-Lines are compared by a hash of their text between blanks. A line that several documents hold
-points each holder to its first one, the holder with the least doc_id, so a line in any number
-of documents gives as many pairs as holders. A pair counts as overlapping if it shares a line of
-``BLOCK_WORDS`` words, whatever the number of its holders, a rare shorter line (one of at most
-``RARE_HOLDERS`` holders, ``RARE_WORDS`` words at least) or several lines; a footer that half the
-corpus carries is no evidence on its own. Each overlapping pair is aligned
-by patience diff: lines that occur once in either document are matched in their longest common
-order, the gaps between them likewise. Aligned blocks of neighbouring lines with at least
-``BLOCK_WORDS`` words are deleted from the later document.
+Lines are compared by a hash of their text between blanks. A run is the shortest row of
+neighbouring lines with ``BLOCK_WORDS`` words from some line on, or up to some line; every longer
+common block is made of runs. A run that several documents hold points each holder to its first
+one, the holder with the least doc_id, so a run in any number of documents gives as many pairs as
+holders, and no block lacks a pair. Each pair is aligned by patience diff: lines that occur once
+in either document are matched in their longest common order, the gaps between them likewise.
+Aligned blocks of neighbouring lines with at least ``BLOCK_WORDS`` words are deleted from the
+later document.
 
 Documents with equal line sequences are one class: all but the first lose every line. Null or
 empty text: one empty line, nothing to remove. Lines without a word are deleted only inside a
@@ -31,26 +30,43 @@ from pyspark.sql.window import Window
 
 from quotegrid.llm.common import ROW_KEY, row_key, settle, text_of
 
-MIN_WORDS = 3
-RARE_HOLDERS, RARE_WORDS = 64, 6
-SEVERAL = 2
 BLOCK_WORDS = 8
-ENOUGH = (MIN_WORDS, RARE_WORDS, BLOCK_WORDS)
 BLANKS = b" \t\n\x0b\x0c\r"
+#: Runs are hashed as polynomials of their line hashes.
+PRIME, BASE = (1 << 61) - 1, 0x0D1C_E5A7_93B2_46F1
+#: Documents whose runs leave a task together.
+RUN_LOT = 500
 
 
 def line_hashes(text: bytes) -> tuple[list[int], list[int]]:
-    """Hash (0: no word) and words of each line; two bits tell how many of ENOUGH it reaches."""
+    """Hash (0: no word) and words of each line."""
     hashes, words = [], []
     for line in text.split(b"\n"):
         n = len(line.split())
         words.append(n)
-        size = bisect_right(ENOUGH, n)
-        mark = xxhash.xxh3_64_intdigest(line.strip(BLANKS)) >> 3 << 2 | size
-        hashes.append(mark if n else 0)
+        hashes.append(xxhash.xxh3_64_intdigest(line.strip(BLANKS)) >> 1 if n else 0)
     return hashes, words
 
 
+def runs(lines: Sequence[int], words: Sequence[int]) -> dict[tuple[int, int], int]:
+    """Hash of each shortest run of BLOCK_WORDS words, from a line on or up to one, by its ends."""
+    upto, sums, powers = [0], [0], [1]
+    for h, n in zip(lines, words, strict=True):
+        upto.append(upto[-1] + n)
+        sums.append((sums[-1] * BASE + h + 1) % PRIME)
+    ends = set()
+    for i in range(len(lines)):
+        end = bisect_left(upto, upto[i] + BLOCK_WORDS)
+        if end <= len(lines):
+            ends.add((i, end))
+        start = bisect_right(upto, upto[i + 1] - BLOCK_WORDS) - 1
+        if start >= 0:
+            ends.add((start, i + 1))
+    while len(powers) <= max((j - i for i, j in ends), default=0):
+        powers.append(powers[-1] * BASE % PRIME)
+    return {(i, j): (sums[j] - sums[i] * powers[j - i]) % PRIME for i, j in ends}
+
+
 def _common_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of pairs that ascends on both sides; pairs ascend on the second."""
     tails: list[int] = []
@@ -142,6 +158,24 @@ def _profiles(docs: DataFrame) -> DataFrame:
     )
 
 
+def _runs(docs: DataFrame) -> DataFrame:
+    """ROW_KEY, rid and hash of every run of a document, each once."""
+    names = [*ROW_KEY, "rid"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lot in (batch.slice(k, RUN_LOT) for k in range(0, batch.num_rows, RUN_LOT)):
+                both = zip(lot.column("lines"), lot.column("words"), strict=True)
+                held = [set(runs(h.as_py(), n.as_py()).values()) for h, n in both]
+                at = pa.array([k for k, own in enumerate(held) for _ in own], pa.int64())
+                hashes = pa.array([h for own in held for h in own], pa.int64())
+                yield pa.record_batch([*(lot.column(c).take(at) for c in names), hashes], [*names, "h"])
+
+    return docs.select(*names, "lines", "words").mapInArrow(
+        run, "id long, no_id boolean, text_hash long, rid long, h long"
+    )
+
+
 def _align(pairs: DataFrame) -> DataFrame:
     """(rid, blocks) of the later documents; pairs hold both line sequences."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
@@ -169,24 +203,18 @@ def find_blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     worded = profiles.filter(F.exists("words", lambda w: w > 0))
     firsts = worded.groupBy("sequence").agg(F.min(order)["rid"].alias("first"))
     speakers = profiles.join(firsts.select(F.col("first").alias("rid")), "rid", "left_semi")
-    lines = speakers.select(
-        order.alias("who"), F.explode(F.array_distinct("lines")).alias("h")
-    ).filter(F.col("h") % 4 >= 1)
+    held = _runs(speakers)
     holders = (
-        lines.groupBy("h")
-        .agg(F.count("*").alias("holders"), F.min("who")["rid"].alias("first"))
+        held.groupBy("h")
+        .agg(F.count("*").alias("holders"), F.min(order)["rid"].alias("first"))
         .filter(F.col("holders") > 1)
     )
-    rare = (F.col("holders") <= RARE_HOLDERS) & (F.col("h") % 4 == 2)
-    telling = rare | (F.col("h") % 4 == 3)
     pairs = (
-        lines.select("h", "who.rid")
+        held.select("h", "rid")
         .join(holders, "h")
         .filter(F.col("rid") != F.col("first"))
-        .groupBy("rid", "first")
-        .agg(F.count("*").alias("shared"), F.max(telling).alias("telling"))
-        .filter(F.col("telling") | (F.col("shared") >= SEVERAL))
         .select("rid", "first")
+        .distinct()
     )
     both = pairs.join(profiles.select("rid", "lines", "words"), "rid").join(
         profiles.select(F.col("rid").alias("first"), F.col("lines").alias("earlier")), "first"

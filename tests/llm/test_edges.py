@@ -296,6 +296,22 @@ def test_long_line_of_many_documents_goes(documents):
     assert got[0].n_removed == 0 and all(got[i].n_removed == 1 for i in range(1, 300))
 
 
+def test_lines_first_used_one_by_one(documents):
+    """A passage goes though each of its lines, or a part of it, has another first holder."""
+    a, b = "five short words of a", "and five more of b"
+    head, long = "a frequent heading of six words", "one long line of nine words that all share"
+    rows = [(1, f"{a}\nsome own words"), (2, f"{b}\nsome other words")]
+    rows += [(3, f"{a}\n{b}\nthird"), (4, f"fourth\n{a}\n{b}"), (5, f"fifth\n{a}\n\n{b}")]
+    rows += [(6, f"{long}\nsix"), (7, f"{long}\nand a tail\nseven"), (8, f"{long}\nand a tail")]
+    rows += [(20 + i, f"{head}\nown words of {i}") for i in range(70)]
+    rows += [(100, f"{head}\nnew passage"), (101, f"{head}\nnew passage\nmore")]
+    got = {r.row.doc_id: r for r in lines.dedup_lines(documents(*rows)).collect()}
+    expected = brute.without_common_runs(rows)
+    assert {d: (r.n_lines, r.n_removed, r.kept) for d, r in got.items()} == expected
+    assert (got[4].kept, got[5].n_removed, got[8].kept) == ("fourth", 0, "")
+    assert (got[7].n_removed, got[101].kept) == (1, "more")
+
+
 def test_patience():
     assert lines.patience([1, 2, 3, 4], [9, 2, 3, 8, 4]) == [(1, 1), (2, 2), (3, 4)]
     assert lines.patience([1, 1, 2], [1, 1, 2]) == [(0, 0), (1, 1), (2, 2)]
