@@ -7,7 +7,9 @@ one, the holder with the least doc_id, so a run in any number of documents gives
 holders, and no block lacks a pair. Each pair is aligned by patience diff: lines that occur once
 in either document are matched in their longest common order, the gaps between them likewise.
 Aligned blocks of neighbouring lines with at least ``BLOCK_WORDS`` words are deleted from the
-later document.
+later document. One common order leaves crossed blocks and further copies of a block; where lines
+of the earlier document are left, runs that it holds anywhere go too. So exactly those lines go
+that lie in a block which stands in an earlier document.
 
 Documents with equal line sequences are one class: all but the first lose every line. Null or
 empty text: one empty line, nothing to remove. Lines without a word are deleted only inside a
@@ -117,7 +119,7 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
 def common_blocks(
     earlier: Sequence[int], later: Sequence[int], words: Sequence[int]
 ) -> list[tuple[int, int]]:
-    """(first line, lines) in the later document of the aligned blocks that go."""
+    """(first line, lines) in the later document of the stretches that go."""
     blocks: list[list[int]] = []
     last = (-2, -2)
     for i, j in patience(earlier, later):
@@ -126,7 +128,20 @@ def common_blocks(
         else:
             blocks.append([j, 1])
         last = (i, j)
-    return [(j, n) for j, n in blocks if sum(words[j : j + n]) >= BLOCK_WORDS]
+    gone = [False] * len(later)
+    for j, n in blocks:
+        if sum(words[j : j + n]) >= BLOCK_WORDS:
+            gone[j : j + n] = [True] * n
+    ours = set(earlier)
+    if any(h in ours and not g for h, g in zip(later, gone, strict=True)):
+        # Lines that the later document lacks are in no common run, whatever their words.
+        size = dict(zip(later, words, strict=True))
+        held = set(runs(earlier, [size.get(h, BLOCK_WORDS) for h in earlier]).values())
+        for (i, j), h in runs(later, words).items():
+            if h in held:
+                gone[i:j] = [True] * (j - i)
+    edges = [j for j in range(len(later) + 1) if (j > 0 and gone[j - 1]) != (j < len(later) and gone[j])]
+    return [(j, k - j) for j, k in zip(edges[::2], edges[1::2], strict=True)]
 
 
 def _profiles(docs: DataFrame) -> DataFrame:

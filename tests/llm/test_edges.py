@@ -312,6 +312,40 @@ def test_lines_first_used_one_by_one(documents):
     assert (got[7].n_removed, got[101].kept) == (1, "more")
 
 
+def test_every_common_block_goes():
+    """Copies of a block on either side and crossed blocks; then random lines, by all runs."""
+    assert lines.common_blocks([1, 2], [1, 2, 9, 1, 2], [4, 4, 1, 4, 4]) == [(0, 2), (3, 2)]
+    assert lines.common_blocks([1, 2, 8, 1, 2], [9, 1, 2, 7], [1, 4, 4, 1]) == [(1, 2)]
+    assert lines.common_blocks([1, 2, 3, 4], [3, 4, 1, 2], [4, 4, 4, 4]) == [(0, 4)]
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        size = dict(enumerate([0, *rng.integers(1, 10, 7).tolist()]))
+        a, b = (rng.integers(0, 8, rng.integers(0, 14)).tolist() for _ in range(2))
+        held = {tuple(a[i:j]) for j in range(len(a) + 1) for i in range(j)}
+        gone = set()
+        for i in range(len(b)):
+            for j in range(i + 1, len(b) + 1):
+                if tuple(b[i:j]) in held and sum(size[x] for x in b[i:j]) >= 8:
+                    gone.update(range(i, j))
+        got = lines.common_blocks(a, b, [size[x] for x in b])
+        assert {k for j, n in got for k in range(j, j + n)} == gone
+
+
+def test_lines_equal_brute_force_of_runs(documents):
+    rng = np.random.default_rng(4)
+    stock = ["", " ", *(" ".join(f"s{i}w{k}" for k in range(1 + i % 9)) for i in range(30))]
+    rows = [
+        (d, "\n".join(stock[k] for k in rng.integers(0, len(stock), rng.integers(1, 25))))
+        for d in range(200)
+    ]
+    p, q = ("\n".join(f"{x} line {i} of a passage" for i in range(4)) for x in "pq")
+    rows += [(300, f"{p}\nx\n{q}"), (301, f"{q}\ny\n{p}"), (302, f"{p}\nz\n{p}\nz z")]
+    got = {r.row.doc_id: r for r in lines.dedup_lines(documents(*rows)).collect()}
+    expected = brute.without_common_runs(rows)
+    assert {d: (r.n_lines, r.n_removed, r.kept) for d, r in got.items()} == expected
+    assert (got[301].kept, got[302].kept) == ("y", "z\nz z")
+
+
 def test_patience():
     assert lines.patience([1, 2, 3, 4], [9, 2, 3, 8, 4]) == [(1, 1), (2, 2), (3, 4)]
     assert lines.patience([1, 1, 2], [1, 1, 2]) == [(0, 0), (1, 1), (2, 2)]

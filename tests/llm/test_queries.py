@@ -156,6 +156,16 @@ def test_line_dedup_equals_brute_force(spark, small_dir, texts):
         assert got[doc_id].kept_sha256 == digest, doc_id
 
 
+def test_line_dedup_leaves_no_common_run(spark, small_dir, texts):
+    expected = brute.without_common_runs(texts)
+    got = {r.doc_id: r for r in named("op8")(spark, small_dir).collect()}
+    assert got.keys() == expected.keys()
+    for doc_id, (lines, removed, rest) in expected.items():
+        digest = hashlib.sha256(rest.encode()).hexdigest()
+        assert (got[doc_id].n_lines, got[doc_id].n_removed) == (lines, removed), doc_id
+        assert got[doc_id].kept_sha256 == digest, doc_id
+
+
 def test_pipeline_equals_brute_force(spark, small_dir):
     """Every stage on what the one before it kept, and the whole run on the whole table."""
     import corpus_pipeline
@@ -201,3 +211,9 @@ def test_pipeline_equals_brute_force(spark, small_dir):
     assert all(r.pieces == library.encode(r.text or "") and r.decodes for r in kept)
     whole = corpus_pipeline.run(spark, small_dir).collect()
     assert sorted(map(str, whole)) == sorted(map(str, kept))
+
+
+def test_pipeline_equals_brute_force_of_runs(spark, small_dir, monkeypatch):
+    plain = lambda rows, _: brute.without_common_runs(rows)
+    monkeypatch.setattr(brute, "without_common_lines", plain)
+    test_pipeline_equals_brute_force(spark, small_dir)
