@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import ROW_KEY, row_key, settle, text_of
+from quotegrid.llm.common import ROW_KEY, hand_back, row_key, settle, text_of, worker_held
 
 BLOCK_WORDS = 8
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -149,6 +149,7 @@ def _profiles(docs: DataFrame) -> DataFrame:
     names = ["doc_id", *ROW_KEY]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_held("lines", object)  # tables of the operator before go
         for batch in batches:
             both = [line_hashes(t.as_py()) for t in batch.column("text")]
             lines = pa.array([h for h, _ in both], pa.list_(pa.int64()))
@@ -185,6 +186,7 @@ def _runs(docs: DataFrame) -> DataFrame:
                 at = pa.array([k for k, own in enumerate(held) for _ in own], pa.int64())
                 hashes = pa.array([h for own in held for h in own], pa.int64())
                 yield pa.record_batch([*(lot.column(c).take(at) for c in names), hashes], [*names, "h"])
+        hand_back()
 
     return docs.select(*names, "lines", "words").mapInArrow(
         run, "id long, no_id boolean, text_hash long, rid long, h long"
@@ -205,6 +207,7 @@ def _align(pairs: DataFrame) -> DataFrame:
             yield pa.record_batch(
                 [batch.column("rid"), pa.array(blocks, kind)], ["rid", "blocks"]
             )
+        hand_back()
 
     return pairs.mapInArrow(run, "rid long, blocks array<struct<start:int,n:int>>")
 
