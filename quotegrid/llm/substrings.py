@@ -1,4 +1,4 @@
-"""Substring dedup by relative Lempel-Ziv parsing against the whole corpus.
+"""Substring dedup by window lookup against the whole corpus.
 
 The reference is every document. Its index consists of blocks: a block holds the windows of
 ``WINDOW`` words that share an anchor, the least hash among the window's runs of
@@ -6,11 +6,10 @@ The reference is every document. Its index consists of blocks: a block holds the
 match, and a block with a single anchor occurrence matches nothing and is left out before any
 window is shipped.
 
-Each document is parsed greedily from the left: a factor starts at the first word whose window
-is indexed elsewhere and goes on, word by word, as long as some block continues it; words in
-between are literals. A factor ends where no indexed window starts any more, and the windows
-that straddle the boundary of two factors have been looked up themselves, so a repeat that two
-factors share is not lost. Factors of ``WINDOW`` words or more are the duplicate spans.
+This replaces a relative Lempel-Ziv parse: no reference position is kept and no longest match
+sought. Every window that occurs twice is a hit, and hits that are neighbours merge into one
+span, here called a factor. A factor may draw on several sources and occur nowhere as a whole;
+its words are exactly those of repeated windows. Words in between stay.
 
 Documents with the same word sequence are one class, parsed once; a class of several documents
 is a span as a whole. Window counts are aggregated before the shuffle and joined back, so a
