@@ -14,10 +14,13 @@ from quotegrid.llm import (
     neardup,
     pieces,
     quality,
+    repair,
     substrings,
     tokens,
     toxicity,
+    trie,
     vectors,
+    warc,
 )
 from quotegrid.llm.common import hold_out, table
 from quotegrid.llm.sql import LLM_ORACLE_SQL
@@ -105,3 +108,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, removed words and the SHA-256 of the remaining words of every document."""
     return substrings.digest(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length, digest and kind of every page's record, as read back from the archives."""
+    return warc.page_records(table(spark, sf_dir, "pages"))
+
+
+@register
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest edits of every damaged conversation."""
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+@register
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))

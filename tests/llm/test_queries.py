@@ -26,6 +26,12 @@ CONTRACT = {
     "op9": "doc_id:bigint n_words:bigint word_chars:bigint n_symbols:bigint n_dup_lines:bigint "
     "n_repeat_words:bigint base_failed:boolean kept:boolean",
     "op10": "doc_id:bigint n_words:bigint n_removed:bigint kept_sha256:string",
+    "op11": "page_id:bigint payload_bytes:bigint payload_digest:string record_type:string "
+    "refers_to:bigint",
+    "op12": "conv_id:bigint gaps:bigint blank:bigint duplicate:bigint truncated:bigint "
+    "illegal:bigint cost:bigint audit:string repaired_sha256:string",
+    "op13": "conv_id:bigint depth:bigint parent_conv_id:bigint n_convs:bigint n_children:bigint "
+    "n_leaves:bigint saved_tokens:bigint ends_sha256:string",
 }
 
 
@@ -35,7 +41,7 @@ def named(prefix):
 
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert entry.queries().keys() >= {*LLM_QUERIES, "pipeline"}
 
 
