@@ -116,4 +116,165 @@ FROM cut GROUP BY doc_id, size, source_size, target
 """
 
 
-LLM_ORACLE_SQL = {"op5_weighted_mix": _op5(), "op9_quality_rules": _op9()}
+def _op11() -> str:
+    bits = "array_to_string(list_transform(string_split(digest, ''), lambda x: list_extract(" + (
+        "[" + ", ".join(f"'{n:04b}'" for n in range(16)) + "], instr('0123456789abcdef', x))), '')"
+    )
+    value = " + ".join(f"{16 >> k} * CAST(bits[5 * i + {k + 1}] AS INT)" for k in range(5))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    base32 = (
+        "array_to_string(list_transform(range(32), "
+        f"lambda i: substr('{letters}', CAST({value} + 1 AS INT), 1)), '')"
+    )
+    return f"""
+WITH p AS (SELECT page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS digest FROM pages),
+b AS (SELECT *, {bits} AS bits,
+             row_number() OVER (PARTITION BY digest, payload_bytes
+                                ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS place,
+             max(page_id) OVER (PARTITION BY digest, payload_bytes) AS top FROM p)
+SELECT page_id, payload_bytes, {base32} AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN top END AS refers_to
+FROM b
+"""
+
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of an ASCII text, bit by bit."""
+    bit = "CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"list_reduce([xor(c, b)] || range(8), lambda x, i: {bit})"
+    data = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce([4294967295] || {data}, lambda c, b: {byte}), 4294967295)"
+
+
+def _op12() -> str:
+    """The costs and edits of the rows still to come are one text per state, '000012DIK'."""
+    plus = lambda x, cost, letter: (
+        f"(lpad(CAST(CAST(substr({x}, 1, 6) AS INT) + {cost} AS VARCHAR), 6, '0') || '{letter}'"
+        f" || substr({x}, 7))"
+    )
+    far = "'900000'"
+    follow = [2, 2, 3, 2]  # the state after the turn that a state asks for
+
+    def closed(states: list[str], names: str) -> str:
+        """Insertions, tried three times over, as nested single-row tables."""
+        inner = ", ".join(f"{x} AS {names}{s}" for s, x in enumerate(states))
+        query = f"SELECT {inner}"
+        for _ in range(3):
+            some = [f"least({names}{s}, {plus(f'{names}{follow[s]}', 5, 'I')}) AS {names}{s}" for s in range(4)]
+            query = f"SELECT {', '.join(some)} FROM ({query})"
+        return query
+
+    def row(state: int) -> str:
+        gone = plus(f"a{state}", 2, "D")
+        wanted = "a" if state == 2 else "u"
+        stay = f"CASE WHEN first = '{wanted}' THEN {{k}} ELSE {{r}} END".format(
+            k=f"CASE WHEN cut THEN {plus(f'a{follow[state]}', 5, 'K')} ELSE {plus(f'a{follow[state]}', 0, 'K')} END",
+            r=f"CASE WHEN cut THEN {plus(f'a{follow[state]}', 6, 'R')} ELSE {plus(f'a{follow[state]}', 1, 'R')} END",
+        )
+        if state == 0:
+            system = f"CASE WHEN cut THEN {plus('a1', 5, 'K')} ELSE {plus('a1', 0, 'K')} END"
+            stay = f"least({stay}, CASE WHEN first = 's' THEN {system} ELSE {far} END)"
+        return f"CASE WHEN gone THEN {gone} ELSE least({gone}, {stay}) END"
+
+    end = closed(["'000000'", far, far, "'000000'"], "a")
+    # One step back over a row, then insertions in front of it.
+    step = f"SELECT conv, pos, {', '.join(f'{row(s)} AS a{s}' for s in range(4))} FROM before"
+    for _ in range(3):
+        some = [f"least(a{s}, {plus(f'a{follow[s]}', 5, 'I')}) AS a{s}" for s in range(4)]
+        step = f"SELECT conv, pos, {', '.join(some)} FROM ({step})"
+    return f"""
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS conv FROM conversations),
+raw AS (SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS hit
+        FROM conversations),
+damaged AS (SELECT conv, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+                   CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(range(CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM raw WHERE hit <> 0),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS pos,
+                   regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare FROM damaged),
+marked AS (SELECT *, left(role, 1) AS first, bare = '' AS blank,
+                  row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 AS again,
+                  NOT regexp_matches(bare, '[.!?]$') AS cut,
+                  lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY pos) AS prior,
+                  count(*) OVER (PARTITION BY conv) AS n FROM ordered),
+codes AS (SELECT *, blank OR again AS gone FROM marked),
+steps AS (SELECT ids.conv, coalesce(max(c.n), 0) AS pos, e.* FROM ids
+          LEFT JOIN codes c ON c.conv IS NOT DISTINCT FROM ids.conv, ({end}) e
+          GROUP BY ALL),
+walk AS (SELECT conv, pos, a0, a1, a2, a3 FROM steps
+         UNION ALL
+         SELECT * FROM (WITH before AS (SELECT w.conv, w.pos - 1 AS pos, a0, a1, a2, a3, first, gone, cut
+                                        FROM walk w JOIN codes c ON c.conv IS NOT DISTINCT FROM w.conv
+                                                                AND c.pos = w.pos)
+                        {step})),
+best AS (SELECT conv, CAST(substr(a0, 1, 6) AS BIGINT) AS cost, substr(a0, 7) AS audit
+         FROM walk WHERE pos = 0),
+letters AS (SELECT conv, unnest(string_split(audit, '')) AS letter, unnest(range(length(audit))) AS i
+            FROM best WHERE audit <> ''),
+placed AS (SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv ORDER BY i) AS pos
+           FROM letters),
+stays AS (SELECT p.conv, p.i, letter, CASE WHEN letter = 'I' THEN '' ELSE text END AS text, role,
+                 row_number() OVER (PARTITION BY p.conv ORDER BY i) AS k
+          FROM placed p LEFT JOIN codes c ON c.conv IS NOT DISTINCT FROM p.conv AND c.pos = p.pos
+          WHERE letter <> 'D'),
+system AS (SELECT conv FROM stays WHERE k = 1 AND letter = 'K' AND left(role, 1) = 's'),
+spoken AS (SELECT s.*, CASE WHEN letter = 'K' THEN role
+                            WHEN (k + CASE WHEN m.found THEN 1 ELSE 0 END) % 2 = 1 THEN 'user'
+                            ELSE 'assistant' END AS said
+           FROM stays s LEFT JOIN (SELECT conv, true AS found FROM system) m
+                        ON m.conv IS NOT DISTINCT FROM s.conv),
+joined AS (SELECT conv, string_agg(said || ':' || text, chr(10) ORDER BY i) AS whole
+           FROM spoken GROUP BY conv),
+counts AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                  count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+                  count(*) FILTER (NOT blank AND NOT again AND cut) AS truncated,
+                  count(*) FILTER (pos > 1 AND prior || first NOT IN ('su', 'ua', 'au')) AS illegal
+           FROM codes GROUP BY conv)
+SELECT best.conv AS conv_id,
+       {', '.join(f'CAST(coalesce({c}, 0) AS BIGINT) AS {c}' for c in ('gaps', 'blank', 'duplicate', 'truncated', 'illegal'))},
+       cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM best LEFT JOIN counts ON counts.conv IS NOT DISTINCT FROM best.conv
+LEFT JOIN joined ON joined.conv IS NOT DISTINCT FROM best.conv
+"""
+
+
+def _op13() -> str:
+    head = f"({_crc32('CAST(conv_id AS VARCHAR)')} % 4)"
+    words = WORDS.replace("coalesce(text, '')", "p[d].t")
+    return f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                      coalesce(role, ''), coalesce(text, '')) AS pos,
+                  {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS said
+           FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(said ORDER BY pos) AS l FROM t GROUP BY conv_id),
+heads AS (SELECT conv_id, l, conv_id - conv_id % 20 AS base, CAST({head} AS BIGINT) AS h FROM own),
+seqs AS (SELECT c.conv_id, list_concat(coalesce(b.l[1:c.h], []), c.l[c.h + 1:]) AS seq
+         FROM heads c LEFT JOIN own b ON b.conv_id = c.base),
+prefixes AS (SELECT conv_id, len(seq) AS n, unnest(range(len(seq) + 1)) AS d, seq FROM seqs),
+nodes AS (SELECT d, seq[1:d] AS p, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '') AS ends
+          FROM prefixes GROUP BY 1, 2),
+kids AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children,
+                      CASE WHEN nodes.d = 0 THEN 0 ELSE (n_convs - 1) * len({words.replace('p[d]', 'nodes.p[nodes.d]')}) END AS own
+               FROM nodes LEFT JOIN kids ON kids.d = nodes.d AND kids.p = nodes.p),
+below AS (SELECT a AS d, p[1:a] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved
+          FROM (SELECT *, unnest(range(d + 1)) AS a FROM full_nodes) GROUP BY 1, 2)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, f.n_convs,
+       CAST(f.n_children AS BIGINT) AS n_children, below.n_leaves,
+       CAST(below.saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_nodes f JOIN below ON below.d = f.d AND below.p = f.p
+LEFT JOIN nodes up ON up.d = f.d - 1 AND up.p = f.p[1:f.d - 1]
+"""
+
+
+LLM_ORACLE_SQL = {
+    "op5_weighted_mix": _op5(),
+    "op9_quality_rules": _op9(),
+    "op11_warc": _op11(),
+    "op12_conversation_repair": _op12(),
+    "op13_prefix_trie": _op13(),
+}

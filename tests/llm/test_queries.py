@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import brute
+import brute_turns
 import duckdb
 import numpy as np
 import pytest
@@ -223,3 +224,12 @@ def test_pipeline_equals_brute_force_of_runs(spark, small_dir, monkeypatch):
     plain = lambda rows, _: brute.without_common_runs(rows)
     monkeypatch.setattr(brute, "without_common_lines", plain)
     test_pipeline_equals_brute_force(spark, small_dir)
+
+
+def test_conversation_operators_equal_brute_force(spark, small_dir):
+    rows = spark.read.parquet(f"{small_dir}/conversations.parquet")
+    rows = [tuple(r) for r in rows.select("conv_id", "turn", "role", "text").collect()]
+    for prefix, plain in (("op12", brute_turns.repair_report), ("op13", brute_turns.prefix_trie)):
+        columns = [c.split(":")[0] for c in CONTRACT[prefix].split()]
+        got = [tuple(r) for r in named(prefix)(spark, small_dir).select(*columns).collect()]
+        assert sorted(got, key=str) == sorted(plain(rows), key=str)
