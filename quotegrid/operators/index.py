@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotegrid.functions.scalars import mean, percent_of
+from quotegrid.functions.scalars import deviation, mean, percent_of
 from quotegrid.operators.joins import join_groups
 from quotegrid.operators.latest import first_per_key
 from quotegrid.operators.quantiles import (
@@ -43,17 +43,29 @@ def index_universe(
     return universe
 
 
-def moments() -> list[Column]:
-    """Fixed-size aggregates, all combined before the shuffle."""
+def moments(weight: str | None = None) -> list[Column]:
+    """Fixed-size aggregates, all combined before the shuffle, the same for any order of rows.
+
+    ``weight`` names a column that says how many quotes a row stands for.
+    """
     return [
-        mean(PRICE).alias("index_mean"),
-        F.round(F.stddev(PRICE), 4).alias("index_stddev"),
+        mean(PRICE, weight=weight).alias("index_mean"),
+        F.round(deviation(PRICE, weight), 4).alias("index_stddev"),
         F.round(F.min(PRICE), 4).alias("price_floor"),
         F.round(F.max(PRICE), 4).alias("price_ceiling"),
-        F.count("*").alias("sample_size"),
+        (F.sum(weight) if weight else F.count("*")).alias("sample_size"),
     ]
 
 
+def summarised(universe: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``moments`` per group in two levels: equal prices are counted, then weighed.
+
+    The sums in decimals then cost as much as there are prices, not quotes.
+    """
+    counted = universe.groupBy(*keys, PRICE).agg(F.count("*").alias("_n"))
+    return counted.groupBy(*keys).agg(*moments("_n"))
+
+
 INDEX_COLUMNS = [
     "index_median", "index_p25", "index_p75", "index_mean", "index_stddev",
     "price_floor", "price_ceiling", "sample_size",
@@ -73,8 +85,7 @@ def tier_index(
         rows = universe.groupBy(*keys).agg(sketch, *moments()).select("*", *quartiles)
         return rows.select(*keys, *INDEX_COLUMNS)
     quantiles = exact_quantiles(universe, keys, PRICE, QUARTILES)
-    summary = universe.groupBy(*keys).agg(*moments())
-    return join_groups(summary, quantiles, keys).select(*keys, *INDEX_COLUMNS)
+    return join_groups(summarised(universe, keys), quantiles, keys).select(*keys, *INDEX_COLUMNS)
 
 
 def provider_summary(

@@ -19,6 +19,7 @@ from quotegrid.operators.index import (
     median_column,
     moments,
     spread_columns,
+    summarised,
     with_spreads,
 )
 from quotegrid.operators.joins import join_groups
@@ -104,8 +105,7 @@ def index_rows(
         *[in_scope(0, name, name) for name in QUARTILES],
         *[in_scope(i, "index_median", median_column(p)) for i, p in enumerate(providers, 1)],
     )
-    summary = universe.groupBy(*keys).agg(*moments())
-    rows = join_groups(summary, quantiles, keys)
+    rows = join_groups(summarised(universe, keys), quantiles, keys)
     rows = join_groups(rows, best_value(universe, keys), keys)
     return with_spreads(rows, providers, base).select(*columns)
 
