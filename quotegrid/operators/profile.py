@@ -11,7 +11,7 @@ from quotegrid.functions.scalars import mean
 from quotegrid.operators.latest import QUOTE_KEYS
 from quotegrid.operators.quality import accepted
 from quotegrid.reference_data import DEFAULT_PRICE_TYPE
-from quotegrid.schemas import RAW_ONLY
+from quotegrid.schemas import LOAD, RAW_ONLY
 
 
 def frequency(df: DataFrame, *keys: str) -> DataFrame:
@@ -35,6 +35,42 @@ def source_inventory(bronze: DataFrame) -> DataFrame:
     )
 
 
+#: Size of the distinct-count sketches: 2^12 registers, a standard error of 1.04 / 64.
+HLL_BITS = 12
+
+
+def load_inventory(bronze: DataFrame) -> DataFrame:
+    """Loaded files per load: rows and load times, to be kept and added up by ``inventory_of``."""
+    return bronze.groupBy(LOAD, "provider", "source_file").agg(
+        F.count("*").alias("n"),
+        F.min("ingested_at").alias("first_ingested_at"),
+        F.max("ingested_at").alias("last_ingested_at"),
+    )
+
+
+def inventory_of(inventories: DataFrame) -> DataFrame:
+    """``source_inventory`` from the kept rows of any loads."""
+    return inventories.groupBy("provider", "source_file").agg(
+        F.sum("n").alias("n"),
+        F.min("first_ingested_at").alias("first_ingested_at"),
+        F.max("last_ingested_at").alias("last_ingested_at"),
+    )
+
+
+def load_regions(bronze: DataFrame) -> DataFrame:
+    """Rows per load and region, with a mergeable sketch of their source files."""
+    return bronze.groupBy(LOAD, "region").agg(
+        F.count("*").alias("n"), F.hll_sketch_agg("source_file", F.lit(HLL_BITS)).alias("files")
+    )
+
+
+def regions_of(regions: DataFrame) -> DataFrame:
+    """``region_pages`` from the kept rows of any loads; the number of files is an estimate."""
+    return regions.groupBy("region").agg(
+        F.sum("n").alias("n"), F.hll_sketch_estimate(F.hll_union_agg("files")).alias("files")
+    )
+
+
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``df`` with a row counter that is filled by whatever action runs it.
 

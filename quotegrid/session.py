@@ -32,9 +32,15 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the shared folder of the cluster.
 
     The shared folder is ``spark.checkpoint.dir``; where it is unset, a folder below the
-    warehouse, which executors share as well.
+    warehouse. On a cluster a warehouse on the driver's own disk is an error, as other
+    machines would not see it.
     """
     shared = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_quotegrid"
+        home = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        master = spark.conf.get("spark.master", None) or "local"
+        own_disk = home.startswith(("/", "file:"))
+        if own_disk and not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        shared = f"{home}/_quotegrid"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from quotegrid import reference_data as ref
 from quotegrid.functions.rules import any_prefix, any_substring, classify
 from quotegrid.functions.scalars import all_rates, attribute, last_price
+from quotegrid.functions.variants import column_kind, inferred, typed
 from quotegrid.schemas import CATALOG_B_ITEM
 
 
@@ -104,3 +105,40 @@ def union_providers(*frames: DataFrame) -> DataFrame:
 def reparse(bronze: DataFrame, schema: T.DataType | str) -> DataFrame:
     """Bronze rows plus ``payload``, their kept raw JSON read with ``schema``."""
     return bronze.withColumn("payload", F.from_json("raw_payload", schema))
+
+
+def parsed_payload(bronze: DataFrame) -> DataFrame:
+    """Bronze rows plus ``payload``, their raw JSON as a variant; null where it is none.
+
+    No schema has to be known: see ``payload_fields`` for what there is.
+    """
+    return bronze.withColumn("payload", F.try_parse_json("raw_payload"))
+
+
+def payload_fields(bronze: DataFrame) -> dict[str, T.DataType]:
+    """Paths of all payload fields with the type that holds their values.
+
+    One mergeable aggregate; only its text, as long as there are fields, reaches the driver.
+    """
+
+    def fields(kind: T.StructType, prefix: str) -> dict[str, T.DataType]:
+        found = {}
+        for field in kind.fields:
+            path = f"{prefix}['{field.name}']"
+            if isinstance(field.dataType, T.StructType):
+                found |= fields(field.dataType, path)
+            else:
+                found[path] = column_kind(field.dataType) or T.StringType()
+        return found
+
+    payload = parsed_payload(bronze).agg(F.schema_of_variant_agg("payload")).first()[0]
+    kind = inferred(payload)
+    return fields(kind, "$") if isinstance(kind, T.StructType) else {}
+
+
+def with_payload_fields(bronze: DataFrame, fields: Mapping[str, tuple[str, T.DataType]]) -> DataFrame:
+    """Bronze rows plus a typed column per payload path; null where the value does not fit."""
+    value = lambda path: F.try_variant_get(F.try_parse_json("raw_payload"), path, "variant")
+    return bronze.withColumns(
+        {name: typed(value(path), kind) for name, (path, kind) in fields.items()}
+    )

@@ -438,4 +438,56 @@ ORACLE_SQL = {
     + """SELECT (SELECT count(*) FROM bronze) AS bronze_rows,
       (SELECT count(*) FROM latest) AS deduped_rows,
       (SELECT count(*) FROM latest WHERE tier <> 'Unknown' AND price_per_hour > 0) AS clean_rows""",
+    "q51_schema_growth": """SELECT event_id, event_type, cast(event_id % 3 + 1 AS integer) AS load,
+      CASE WHEN event_id % 3 = 2 AND user_id % 50 <> 0 THEN cast(user_id AS bigint) END AS user_id,
+      CASE WHEN event_id % 3 = 2 THEN value END AS value,
+      CASE WHEN event_id % 3 = 1 THEN cast(user_id AS varchar)
+        WHEN event_id % 3 = 2 AND user_id % 50 = 0 THEN 'u' || user_id END AS rescued_user
+    FROM events""",
+    "q52_load_counts": """SELECT cast(event_id % 3 + 1 AS integer) AS load, count(*) AS loaded,
+      count(*) FILTER (event_id % 30 = event_id % 3) AS quarantined,
+      count(*) FILTER (event_id % 3 = 1 AND (user_id IS NOT NULL OR value IS NOT NULL)
+        OR event_id % 3 = 2 AND user_id % 50 = 0) AS rescued
+    FROM events GROUP BY event_id % 3""",
+    "q53_merged_loads": with_(FINE_QUOTES, silver("quotes"), UNIVERSE, best_cte())
+    + f"""SELECT *, true AS index_p25_within, true AS index_median_within,
+      true AS index_p75_within FROM (SELECT tier, {MOMENTS} FROM universe GROUP BY tier)
+      JOIN best USING (tier)""",
+    "q54_exact_deviation": f"""SELECT l_returnflag, l_linestatus,
+      round(sqrt(cast(n * squares - total * total AS double) / (n * (n - 1))) / 100, 6) AS deviation,
+      true AS same
+    FROM (SELECT l_returnflag, l_linestatus, cast(count(*) AS hugeint) AS n, sum(cents) AS total,
+        sum(cents * cents) AS squares
+      FROM (SELECT l_returnflag, l_linestatus, cast(round(l_extendedprice * 100) AS hugeint) AS cents
+        FROM lineitem) GROUP BY ALL)""",
+    "q55_partwise_latest": with_(
+        "quotes AS (SELECT *, cast(quarter(ingested_at) AS integer) AS load FROM ("
+        + QUOTES.removeprefix("quotes AS ")
+        + "))",
+        newest("quotes"),
+    )
+    + "SELECT * FROM latest",
+    "q56_payload_variant": with_(*CATALOG_A, NAMED, *CATALOG_B)
+    + """SELECT provider, instance_type AS instanceType, 'Linux' AS operatingSystem,
+      'Shared' AS tenancy, 'Used' AS capacitystatus,
+      CASE WHEN p_type <> 'PROMO' THEN p_size || ' GB' END AS gpuMemory,
+      cast(p_size AS bigint) AS vcpu, memory_gb AS memory, cast(NULL AS varchar) AS skuName,
+      cast(NULL AS varchar) AS productName, cast(NULL AS double) AS unitPrice,
+      cast(NULL AS varchar) AS currencyCode, cast(NULL AS varchar) AS serviceName,
+      cast(NULL AS varchar) AS armRegionName, cast(NULL AS varchar) AS priceType,
+      cast(NULL AS varchar) AS meterId FROM rows_a
+    UNION ALL SELECT provider, NULL, NULL, NULL, NULL, NULL, NULL, NULL, instance_type,
+      product_name, price_per_hour, CASE WHEN p_size > 25 THEN 'USD' END, 'Virtual Machines',
+      region, 'Consumption', 'm' || p_partkey FROM rows_b""",
+    "q57_kept_inventory": with_(QUOTES)
+    + """SELECT provider, source_file, count(*) AS n, min(ingested_at) AS first_ingested_at,
+      max(ingested_at) AS last_ingested_at FROM quotes GROUP BY ALL""",
+    "q58_kept_regions": with_(QUOTES)
+    + """SELECT region, count(*) AS n, count(DISTINCT source_file) AS counted, true AS within
+    FROM quotes GROUP BY region""",
+    "q59_bucketed_terms": with_(*CATALOG_A) + "SELECT * EXCLUDE (p_type, p_size) FROM rows_a",
+    "q60_namespace": "SELECT event_id, event_type FROM events WHERE event_type = 'purchase'",
+    "q61_empty_batches": """SELECT kind, count(event_id) > 0 AS landed, count(event_id) AS lines
+    FROM (VALUES ('purchase'), ('error'), ('none such')) AS kinds(kind)
+      LEFT JOIN events ON event_type = kind GROUP BY kind""",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -11,17 +13,27 @@ from pyspark.sql import types as T
 
 from quotegrid import reference_data as ref
 from quotegrid.functions.rules import Rule, any_prefix, any_substring, classify
-from quotegrid.functions.scalars import attribute, mean
-from quotegrid.operators import derived, history, index, latest, profile, quality, units
+from quotegrid.functions.scalars import attribute, deviation, mean
+from quotegrid.operators import derived, history, index, latest, profile, quality, sketches, units
 from quotegrid.operators.quantiles import QUARTILES, exact_quantiles
 from quotegrid.plans import reports, series
 from quotegrid.plans.gold import assemble_gold, build_gold, index_rows, stamp
+from quotegrid.plans.latest import advance_parts, latest_rows
 from quotegrid.plans.run import Paths, run
 from quotegrid.plans.silver import build_silver, current_quotes
+from quotegrid.schemas import BRONZE
 from quotegrid.session import work_dir
 from quotegrid.sources import catalogs, tables
 from quotegrid.sources.landing import land
-from quotegrid.streaming.bronze import drain, next_load, split_corrupt, stream_landing
+from quotegrid.streaming.bronze import (
+    drain,
+    load_counts,
+    next_load,
+    note_load,
+    split_corrupt,
+    stream_landing,
+)
+from quotegrid.streaming.growth import bronze_schema, grow, promoted_columns
 from quotegrid.suite import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,13 +94,10 @@ def gold(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 def month_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quotes' index at every month end."""
     newest = b.table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate")).scalar()
-    standing = series.month_end_quotes(b.quotes(spark, sf_dir), last=newest)
+    standing = series.standing_quotes(b.quotes(spark, sf_dir))
     clean = units.normalise_units(quality.quality_gate(standing), b.BRAND_UNITS)
     on_demand = index.index_universe(clean).drop("product_name", "currency", "source_file")
-    settled = tables.settle(on_demand, "standing")
-    return series.month_end_index(
-        settled, lambda rows, keys: index_rows(rows, b.PROVIDERS, keys=keys)
-    )
+    return series.month_end_gold(tables.settle(on_demand, "standing"), newest, b.PROVIDERS)
 
 
 SERIES_COLUMNS = ["index_date", "tier", "index_median", "index_mean", "sample_size", "spread_pct"]
@@ -569,3 +578,170 @@ def q50_run_checks(spark, sf_dir):
     return run(spark, daily_paths(spark, sf_dir), as_of=RUN_TIME)["layers"]
 
 
+
+
+def growing_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events in three loads, two fields from the second on: (Bronze, rows per load)."""
+    events, root = b.table(spark, sf_dir, "events"), work_dir(spark, "growing")
+    landing, out, versions, loads = (f"{root}/{x}" for x in ("raw", "bronze", "versions", "loads"))
+    schema = T.StructType(
+        [T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())]
+    )
+    # Every fiftieth user of the last load is no number; such a value stays rescued.
+    user = F.col("user_id").cast("string")
+    odd = F.when(F.col("user_id") % 50 == 0, F.concat(F.lit("u"), user)).otherwise(user)
+    parts = [("event_id", "event_type"), ("event_id", "event_type", "user_id", "value")]
+    parts += [("event_id", "event_type", odd.alias("user_id"), "value")]
+    for number, columns in enumerate(parts):
+        part = events.where(F.col("event_id") % 3 == number)
+        broken = part.where(F.col("event_id") % 30 == number)
+        land(part.select(*columns), f"{landing}/{number}")
+        line = F.concat(F.lit('{"event_id": '), "event_id")
+        broken.select(line.alias("value")).write.text(f"{landing}/{number}/broken")
+        load, promoted = next_load(spark, out), promoted_columns(spark, versions)
+        stream = stream_landing(spark, landing, schema, load=load, promoted=promoted)
+        note_load(spark, loads, load, drain(stream, out, f"{root}/checkpoint", promoted))
+        declared = T.StructType([*schema.fields, *BRONZE.fields[-5:]])
+        bronze = spark.read.schema(bronze_schema(spark, versions, declared)).parquet(out)
+        grow(spark, bronze, versions)
+    return bronze, load_counts(spark, loads, out)
+
+
+@register
+def q51_schema_growth(spark, sf_dir):
+    """Fields that turn up in load 2 are typed columns from load 3 on, older rows null."""
+    good, _ = split_corrupt(growing_events(spark, sf_dir)[0])
+    rescued = F.from_json("_rescued_data", "map<string,string>")
+    return good.select(
+        "event_id", "event_type", "load", "user_id", "value", rescued["user_id"].alias("rescued_user")
+    )
+
+
+@register
+def q52_load_counts(spark, sf_dir):
+    """Rows per load as the loads themselves counted them."""
+    return growing_events(spark, sf_dir)[1]
+
+
+@register
+def q53_merged_loads(spark, sf_dir):
+    """The index over the kept summaries of all loads, and whether its quartiles' ranks hold."""
+    quotes = units.normalise_units(
+        quality.quality_gate(b.quotes(spark, sf_dir, fine=True)), b.BRAND_UNITS, PART_NUMBER
+    )
+    loads = index.index_universe(quotes).withColumn("load", F.year("ingested_at"))
+    rows = tables.settle(loads, "loads")
+    kept = tables.settle(sketches.price_summaries(rows), "summaries")
+    found = sketches.index_of_summaries(kept, b.PROVIDERS)
+    exact = [c for c in index.INDEX_COLUMNS if c not in QUARTILES]
+    quartiles = found.select("tier", *QUARTILES, *exact, *index.BEST_VALUE)
+    prices = rows.select("tier", "unit_price").join(quartiles, "tier")
+    size, counts, checks = F.col("sample_size"), [], []
+    for name, p in QUARTILES.items():
+        price, limit = F.col("unit_price"), F.col(name)
+        counts += [F.count_if(price < limit).alias(f"{name}_below")]
+        counts += [F.count_if(price <= limit).alias(f"{name}_upto")]
+        # Three times the error that one in a hundred exceeds: a rerun does not fail by chance.
+        slack = size * (3 * sketches.rank_error()) + 1
+        fits = (F.col(f"{name}_below") <= p * size + slack) & (F.col(f"{name}_upto") >= p * size - slack)
+        checks += [fits.alias(f"{name}_within")]
+    names = ["tier", *exact, *index.BEST_VALUE]
+    return prices.groupBy(*names).agg(*counts).select(*names, *checks)
+
+
+@register
+def q54_exact_deviation(spark, sf_dir):
+    """Deviations to the last digits, whichever way the rows are dealt out."""
+    lines = b.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice")
+    keys = ["l_returnflag", "l_linestatus"]
+    found = [
+        lines.repartition(n, *by).groupBy(*keys).agg(deviation("l_extendedprice").alias(f"d{n}"))
+        for n, by in ((3, []), (5, ["l_extendedprice"]))
+    ]
+    counted = lines.groupBy(*keys, "l_extendedprice").agg(F.count("*").alias("n"))
+    weighed = counted.groupBy(*keys).agg(deviation("l_extendedprice", "n").alias("deviation"))
+    same = (F.col("d3") == F.col("deviation")) & (F.col("d5") == F.col("deviation"))
+    joined = weighed.join(found[0], keys).join(found[1], keys)
+    return joined.select(*keys, F.round("deviation", 6).alias("deviation"), same.alias("same"))
+
+
+@register
+def q55_partwise_latest(spark, sf_dir):
+    """Latest rows kept in parts, after loads of one part of the nations each."""
+    target = f"{work_dir(spark, 'parts')}/latest"
+    quotes = b.quotes(spark, sf_dir).withColumn("load", F.quarter("ingested_at"))
+    for load in range(1, 5):
+        advance_parts(quotes.where(F.col("load") == load), target, parts=16)
+    return latest_rows(spark, target)
+
+
+def both_catalogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogs.union_providers(
+        catalogs.flatten_terms(b.products(spark, sf_dir), b.terms(spark, sf_dir), "us-east-1"),
+        catalogs.flatten_pages(b.pages(spark, sf_dir), ref.B_REGIONS),
+    )
+
+
+@register
+def q56_payload_variant(spark, sf_dir):
+    """Every payload field of both catalogues, found without a schema, as a typed column."""
+    rows = tables.settle(both_catalogues(spark, sf_dir), "catalogues")
+    fields = catalogs.payload_fields(rows)
+    named = {re.sub(r"\W", "", path): (path, kind) for path, kind in fields.items()}
+    found = catalogs.with_payload_fields(rows.select("provider", "raw_payload"), named)
+    return found.drop("raw_payload")
+
+
+@register
+def q57_kept_inventory(spark, sf_dir):
+    """Files with their rows and times, from one kept table of rows per load."""
+    quotes = b.quotes(spark, sf_dir).withColumn("load", F.year("ingested_at"))
+    return profile.inventory_of(tables.settle(profile.load_inventory(quotes), "inventory"))
+
+
+@register
+def q58_kept_regions(spark, sf_dir):
+    """Rows per region, and whether the merged sketches' number of files is within 5 %."""
+    quotes = b.quotes(spark, sf_dir).withColumn("load", F.year("ingested_at"))
+    found = profile.regions_of(tables.settle(profile.load_regions(quotes), "regions"))
+    counted = profile.region_pages(quotes).select("region", F.col("files").alias("counted"))
+    gap = F.abs(F.col("files") - F.col("counted"))
+    return found.join(counted, "region").select(
+        "region", "n", "counted", (gap <= F.col("counted") * 0.05).alias("within")
+    )
+
+
+@register
+def q59_bucketed_terms(spark, sf_dir):
+    """Catalogue A from tables in buckets by SKU, which join without a shuffle."""
+    names = [f"quotegrid_{name}_{uuid.uuid4().hex}" for name in ("products", "terms")]
+    for name, frame in zip(names, (b.products, b.terms), strict=True):
+        tables.write_bucketed(frame(spark, sf_dir), name, "sku", 8)
+    rows = catalogs.flatten_terms(spark.table(names[0]), spark.table(names[1]), "us-east-1")
+    return rows.select(*CATALOG_COLUMNS, "unit_text", "vcpu", "memory_gb")
+
+
+@register
+def q60_namespace(spark, sf_dir):
+    """A namespace made twice without error, a table in it replaced by its own rows."""
+    name = f"quotegrid_{uuid.uuid4().hex}"
+    for _ in range(2):
+        tables.ensure_database(spark, name)
+    events = b.table(spark, sf_dir, "events").select("event_id", "event_type")
+    tables.replace(events, f"{name}.events")
+    purchases = spark.table(f"{name}.events").where(F.col("event_type") == "purchase")
+    tables.replace(purchases, f"{name}.events")
+    return spark.table(f"{name}.events")
+
+
+@register
+def q61_empty_batches(spark, sf_dir):
+    """Batches of events by type, one of them without a row: landed or not, and lines there."""
+    events, root = b.table(spark, sf_dir, "events"), work_dir(spark, "batches")
+    found = []
+    for kind in ("purchase", "error", "none such"):
+        batch = events.where(F.col("event_type") == kind).select("event_id", "event_type")
+        landed = land(batch, f"{root}/{kind.replace(' ', '-')}")
+        lines = spark.read.text(f"{root}/{kind.replace(' ', '-')}").agg(F.count("*").alias("lines"))
+        found.append(lines.select(F.lit(kind).alias("kind"), F.lit(landed).alias("landed"), "lines"))
+    return catalogs.union_providers(*found)
