@@ -5,11 +5,12 @@ neighbouring lines with ``BLOCK_WORDS`` words from some line on, or up to some l
 common block is made of runs. A run that several documents hold points each holder to its first
 one, the holder with the least doc_id, so a run in any number of documents gives as many pairs as
 holders, and no block lacks a pair. Each pair is aligned by patience diff: lines that occur once
-in either document are matched in their longest common order, the gaps between them likewise.
-Aligned blocks of neighbouring lines with at least ``BLOCK_WORDS`` words are deleted from the
-later document. One common order leaves crossed blocks and further copies of a block; where lines
-of the earlier document are left, runs that it holds anywhere go too. So exactly those lines go
-that lie in a block which stands in an earlier document.
+in either document are matched in their longest common order, the gaps between them likewise,
+and a gap without such lines at its widest common run. Aligned blocks of neighbouring lines with
+at least ``BLOCK_WORDS`` words are deleted from the later document. One common order leaves
+crossed blocks and further copies of a block, so what is left of the later document is aligned
+again until no block is found. Exactly those lines go that lie in a block which stands in an
+earlier document.
 
 Documents with equal line sequences are one class: all but the first lose every line. Null or
 empty text: one empty line, nothing to remove. Lines without a word are deleted only inside a
@@ -90,9 +91,39 @@ def _common_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
-def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """Matched places of two line sequences, ascending."""
+def _shared_runs(
+    a: Sequence[int], b: Sequence[int], words: Sequence[int]
+) -> list[tuple[int, int, int]]:
+    """(place in a, place in b, lines) of the runs of ``b`` that ``a`` holds, at its first one."""
+    # Lines that b lacks are in no common run, whatever their words.
+    size = dict(zip(b, words, strict=True))
+    held: dict[int, int] = {}
+    for (i, _), h in runs(a, [size.get(x, BLOCK_WORDS) for x in a]).items():
+        held[h] = min(i, held.get(h, i))
+    return [(held[h], i, j - i) for (i, j), h in runs(b, words).items() if h in held]
+
+
+def patience(
+    a: Sequence[int],
+    b: Sequence[int],
+    words: Sequence[int] | None = None,
+    left: Sequence[bool] | None = None,
+) -> list[tuple[int, int]]:
+    """Matched places of two line sequences, ascending in both.
+
+    Lines that occur once on either side are matched in their longest common order, the gaps
+    between them likewise. A gap without such a line is matched at its widest common run, of
+    ``BLOCK_WORDS`` words at least (by ``words`` of the lines of ``b``), and on both sides of it.
+
+    ``left`` tells the lines of ``b`` that former alignments left. Then these are matched run by
+    run, the widest first, anywhere in ``a`` and together with their neighbours.
+    """
+    if words is None:
+        words = [BLOCK_WORDS] * len(b)
+    if left is not None:
+        return _left_over(a, b, words, list(left))
     found: list[tuple[int, int]] = []
+    shared: list[tuple[int, int, int]] | None = None
     todo = [(0, len(a), 0, len(b))]
     while todo:
         a_lo, a_hi, b_lo, b_hi = todo.pop()
@@ -108,6 +139,11 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
         place = {a[i]: i for i in range(a_lo, a_hi) if ours[a[i]] == 1}
         once = [(place[b[j]], j) for j in range(b_lo, b_hi) if theirs[b[j]] == 1 and b[j] in place]
         anchors = _common_order(once)
+        if not anchors:
+            if shared is None:
+                shared = _shared_runs(a, b, words)
+            gap = (a_lo, a_hi, b_lo, b_hi)
+            anchors = _widest(a, b, shared, gap)
         if anchors:
             found.extend(anchors)
             ends = [(a_lo - 1, b_lo - 1), *anchors, (a_hi, b_hi)]
@@ -116,30 +152,78 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _left_over(
+    a: Sequence[int], b: Sequence[int], words: Sequence[int], left: list[bool]
+) -> list[tuple[int, int]]:
+    found: list[tuple[int, int]] = []
+    shared = _shared_runs(a, b, words)
+    while shared := [run for run in shared if any(left[run[1] : run[1] + run[2]])]:
+        pairs = _widest(a, b, shared, (0, len(a), 0, len(b)))
+        found.extend(pairs)
+        for _, j in pairs:
+            left[j] = False
+    return found
+
+
+def _widest(
+    a: Sequence[int],
+    b: Sequence[int],
+    shared: list[tuple[int, int, int]],
+    gap: tuple[int, int, int, int],
+) -> list[tuple[int, int]]:
+    """The pairs of the run with the most lines in a gap, each extended as far as the gap goes."""
+    a_lo, a_hi, b_lo, b_hi = gap
+    best, seen = (0, 0, 0), set()
+    for i, j, n in shared:
+        if i < a_lo or i + n > a_hi or j < b_lo or j + n > b_hi or (i - j, j) in seen:
+            continue
+        while i > a_lo and j > b_lo and a[i - 1] == b[j - 1]:
+            i, j, n = i - 1, j - 1, n + 1  # noqa: PLW2901
+        while i + n < a_hi and j + n < b_hi and a[i + n] == b[j + n]:
+            n += 1  # noqa: PLW2901
+        seen.update((i - j, j + k) for k in range(n))
+        best = max(best, (n, -j, -i))
+    n, j, i = best[0], -best[1], -best[2]
+    return [(i + k, j + k) for k in range(n)]
+
+
+def _mark(
+    gone: list[bool],
+    pairs: list[tuple[int, int]],
+    earlier: Sequence[int],
+    later: Sequence[int],
+    words: Sequence[int],
+) -> None:
+    """Mark the aligned blocks, as far as they reach on both sides, that have enough words."""
+    at = 0
+    while at < len(pairs):
+        i, j = pairs[at]
+        n = 1
+        while at + n < len(pairs) and pairs[at + n] == (i + n, j + n):
+            n += 1
+        at += n
+        while i > 0 and j > 0 and earlier[i - 1] == later[j - 1]:
+            i, j, n = i - 1, j - 1, n + 1
+        while i + n < len(earlier) and j + n < len(later) and earlier[i + n] == later[j + n]:
+            n += 1
+        if sum(words[j : j + n]) >= BLOCK_WORDS:
+            gone[j : j + n] = [True] * n
+
+
 def common_blocks(
     earlier: Sequence[int], later: Sequence[int], words: Sequence[int]
 ) -> list[tuple[int, int]]:
-    """(first line, lines) in the later document of the stretches that go."""
-    blocks: list[list[int]] = []
-    last = (-2, -2)
-    for i, j in patience(earlier, later):
-        if (i, j) == (last[0] + 1, last[1] + 1):
-            blocks[-1][1] += 1
-        else:
-            blocks.append([j, 1])
-        last = (i, j)
+    """(first line, lines) in the later document of the stretches that go.
+
+    The two are aligned; what the blocks of that alignment leave of the later document is
+    aligned again, now with any place of the earlier one.
+    """
     gone = [False] * len(later)
-    for j, n in blocks:
-        if sum(words[j : j + n]) >= BLOCK_WORDS:
-            gone[j : j + n] = [True] * n
+    _mark(gone, patience(earlier, later, words), earlier, later, words)
     ours = set(earlier)
-    if any(h in ours and not g for h, g in zip(later, gone, strict=True)):
-        # Lines that the later document lacks are in no common run, whatever their words.
-        size = dict(zip(later, words, strict=True))
-        held = set(runs(earlier, [size.get(h, BLOCK_WORDS) for h in earlier]).values())
-        for (i, j), h in runs(later, words).items():
-            if h in held:
-                gone[i:j] = [True] * (j - i)
+    left = [h in ours and not g for h, g in zip(later, gone, strict=True)]
+    if any(left):
+        _mark(gone, patience(earlier, later, words, left), earlier, later, words)
     edges = [j for j in range(len(later) + 1) if (j > 0 and gone[j - 1]) != (j < len(later) and gone[j])]
     return [(j, k - j) for j, k in zip(edges[::2], edges[1::2], strict=True)]
 

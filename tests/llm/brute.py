@@ -80,51 +80,36 @@ def order_of(doc_id):
     return (doc_id is None, doc_id or 0)
 
 
-def without_common_lines(rows, align, min_words=3, rare=(64, 6), several=2, block_words=8):
+def without_aligned_blocks(rows, block_words=8):
     """(lines, removed lines, rest) per (doc_id, text) row; ids are distinct.
 
-    ``align`` matches two line sequences. Lines are compared as texts between blanks.
+    Every later document is held against every earlier one with a line of it, by the plain table
+    of how many lines up to here and there agree.
     """
     blanks = " \t\n\x0b\x0c\r"
     split = {d: (t or "").split("\n") for d, t in rows}
     keys = {d: [x.strip(blanks) if words(x) else "" for x in ls] for d, ls in split.items()}
-    ids = sorted(split, key=order_of)
-    first_copy, out = {}, {}
-    for d in ids:
-        first_copy.setdefault(tuple(keys[d]), d)
-    own = [d for d in ids if first_copy[tuple(keys[d])] == d and any(keys[d])]
-    holders = {}
-    for d in own:
-        for line in dict.fromkeys(keys[d]):
-            if len(words(line)) >= min_words:
-                holders.setdefault(line, []).append(d)
-    for d in ids:
-        gone = set()
-        if any(keys[d]) and first_copy[tuple(keys[d])] != d:
-            out[d] = (len(keys[d]), len(keys[d]), "")
+    holders, first_copy, out = {}, {}, {}
+    for d in sorted(split, key=order_of):
+        key, n = keys[d], len(keys[d])
+        if any(key) and tuple(key) in first_copy:
+            out[d] = (n, n, "")
             continue
-        shared = {}
-        for line in dict.fromkeys(keys[d]):
-            held = holders.get(line, [])
-            if len(held) > 1 and held[0] != d:
-                few = len(held) <= rare[0] and len(words(line)) >= rare[1]
-                n, strong = shared.get(held[0], (0, False))
-                shared[held[0]] = (n + 1, strong or few)
-        for other, (n, strong) in shared.items():
-            if not strong and n < several:
-                continue
-            blocks, last = [], (-2, -2)
-            for i, j in align(keys[other], keys[d]):
-                if (i, j) == (last[0] + 1, last[1] + 1):
-                    blocks[-1].append(j)
-                else:
-                    blocks.append([j])
-                last = (i, j)
-            for block in blocks:
-                if sum(len(words(keys[d][j])) for j in block) >= block_words:
-                    gone.update(block)
-        rest = "\n".join(x for j, x in enumerate(split[d]) if j not in gone)
-        out[d] = (len(keys[d]), len(gone), rest)
+        first_copy[tuple(key)] = d
+        size, gone = [len(words(x)) for x in key], set()
+        for other in {o for x in key for o in holders.get(x, ())}:
+            theirs, above = keys[other], {}
+            for line in theirs:
+                agree = {}
+                for j in range(n):
+                    if key[j] == line:
+                        agree[j] = above.get(j - 1, 0) + 1
+                        if sum(size[j - agree[j] + 1 : j + 1]) >= block_words:
+                            gone.update(range(j - agree[j] + 1, j + 1))
+                above = agree
+        for line in set(key):
+            holders.setdefault(line, set()).add(d)
+        out[d] = (n, len(gone), "\n".join(x for j, x in enumerate(split[d]) if j not in gone))
     return out
 
 

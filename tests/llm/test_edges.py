@@ -346,6 +346,24 @@ def test_lines_equal_brute_force_of_runs(documents):
     assert (got[301].kept, got[302].kept) == ("y", "z\nz z")
 
 
+def test_blocks_come_from_the_alignment(documents, monkeypatch):
+    """Without alignment nothing goes; what goes stands in the earlier document as aligned."""
+    a, b = [1, 2, 8, 1, 2, 3], [3, 1, 2, 9, 1, 2, 8, 1, 2]
+    size = [5] * len(b)
+    pairs = lines.patience(a, b, size)
+    assert pairs == sorted(pairs) and all(a[i] == b[j] for i, j in pairs)
+    assert lines.common_blocks(a, b, size) == [(1, 2), (4, 5)]
+    monkeypatch.setattr(lines, "patience", lambda *_: [])
+    assert lines.common_blocks(a, b, size) == []
+
+
+def test_gap_without_single_lines():
+    """Where no line is single on both sides, the widest common run is matched."""
+    assert lines.patience([1, 2, 1, 2, 5], [9, 1, 2, 1, 2, 9, 1]) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    assert lines.patience([1, 1, 4], [4, 4, 1, 1], [8] * 4)[-1] == (1, 3)
+    assert lines.patience([1, 1, 4], [4, 4, 1, 1], [1] * 4) == []
+
+
 def test_patience():
     assert lines.patience([1, 2, 3, 4], [9, 2, 3, 8, 4]) == [(1, 1), (2, 2), (3, 4)]
     assert lines.patience([1, 1, 2], [1, 1, 2]) == [(0, 0), (1, 1), (2, 2)]

@@ -152,9 +152,7 @@ def test_language_on_held_out_rows(spark, small_dir):
 
 
 def test_line_dedup_equals_brute_force(spark, small_dir, texts):
-    from quotegrid.llm.lines import patience
-
-    expected = brute.without_common_lines(texts, patience)
+    expected = brute.without_aligned_blocks(texts)
     got = {r.doc_id: r for r in named("op8")(spark, small_dir).collect()}
     assert got.keys() == expected.keys()
     for doc_id, (lines, removed, rest) in expected.items():
@@ -178,7 +176,6 @@ def test_pipeline_equals_brute_force(spark, small_dir):
     import corpus_pipeline
     import sentencepiece
 
-    from quotegrid.llm.lines import patience
     from quotegrid.llm.pieces import default_model
 
     stages = dict(corpus_pipeline.STAGES)
@@ -196,7 +193,7 @@ def test_pipeline_equals_brute_force(spark, small_dir):
     assert sorted(r.doc_id for r in kept) == sorted(d for d in rows if not judged[d])
     assert all(r == rows[r.doc_id] for r in kept)
 
-    expected = brute.without_common_lines([(r.doc_id, r.text) for r in kept], patience)
+    expected = brute.without_aligned_blocks([(r.doc_id, r.text) for r in kept])
     docs, kept = apply("line dedup", docs)
     expected = {d: x for d, x in expected.items() if not x[1] or x[2].strip(" ")}
     assert sorted(r.doc_id for r in kept) == sorted(expected)
@@ -221,8 +218,7 @@ def test_pipeline_equals_brute_force(spark, small_dir):
 
 
 def test_pipeline_equals_brute_force_of_runs(spark, small_dir, monkeypatch):
-    plain = lambda rows, _: brute.without_common_runs(rows)
-    monkeypatch.setattr(brute, "without_common_lines", plain)
+    monkeypatch.setattr(brute, "without_aligned_blocks", brute.without_common_runs)
     test_pipeline_equals_brute_force(spark, small_dir)
 
 
