@@ -3,10 +3,14 @@
 Each document is measured once. Every measure is a whole number (per mille), which goes into a
 quantile sketch per language and source: a histogram whose buckets keep the leading
 ``SKETCH_BITS`` bits of a value, so a quantile is off by less than 1 in 2**(SKETCH_BITS-1), the
-number of buckets is bounded, and sketches of parts merge exactly by adding counts. A fence
-stands ``REACH`` quartile distances outside the middle half of a group, a distance counting as
-at least the measure's ``spread``. A group below ``MIN_GROUP`` documents is judged by the merged
-sketch of its language, and a small language by that of the whole corpus.
+number of buckets is bounded, and sketches of parts merge exactly by adding counts.
+
+A group's upper fence stands ``REACH`` tail widths above its upper decile; the tail width is the
+distance from median to decile, a small ``least`` of the measure at least, as deciles of
+measures that are mostly zero coincide. Measures with outliers at both ends have a lower fence
+likewise. The fences of a language and source are averaged with those of the language, as if
+the latter had ``prior`` documents, and a language's with those of the corpus: a group counts
+for the more the larger it is, and no size switches anything.
 
 Null or empty text: no words, so ``base_failed``. Null language or source: a group of its own.
 Empty tables give no rows. Ties do not matter, as fences are inclusive.
@@ -26,16 +30,15 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 SKETCH_BITS = 7
-REACH = 4
-MIN_GROUP = 200
-#: name -> (per mille expression, least quartile distance, whether low values are outliers too)
+REACH = 5
+PRIOR = 20
+#: name -> (per mille expression, least tail width, whether low values are outliers too)
 MEASURES = {
-    "word_length": ("1000 * word_chars div greatest(n_words, 1)", 750, True),
-    "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 75, False),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 125, False),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 100, False),
+    "word_length": ("1000 * word_chars div greatest(n_words, 1)", 100, True),
+    "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 40, False),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 48, False),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 40, False),
 }
-LEVELS = ("language_source", "language", "corpus")
 
 
 def _repeat_words(numbered: Column) -> Column:
@@ -145,20 +148,22 @@ def fences(sketch: DataFrame, *group: str) -> DataFrame:
         F.sum("n").over(per.orderBy("value")).alias("upto"),
         F.sum("n").over(per).alias("total"),
     )
-    quartile = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("value")))
-    quartiles = ranked.groupBy(*group, "measure").agg(
-        F.max("total").alias("total"), quartile(1).alias("q1"), quartile(3).alias("q3")
+    decile = lambda k: F.min(F.when(10 * F.col("upto") >= k * F.col("total"), F.col("value")))
+    deciles = ranked.groupBy(*group, "measure").agg(
+        F.max("total").alias("total"),
+        *[decile(k).alias(name) for name, k in (("low", 1), ("middle", 5), ("high", 9))],
     )
     columns = [F.max("total").alias("group_size")]
-    for name, (_, spread, both) in MEASURES.items():
-        here = F.col("measure") == name
-        distance = REACH * F.greatest(F.col("q3") - F.col("q1"), F.lit(spread))
-        columns.append(F.max(F.when(here, F.col("q3") + distance)).alias(f"{name}_max"))
+    for name, (_, least, both) in MEASURES.items():
+        here, spread = F.col("measure") == name, F.lit(least)
+        above = F.greatest(F.col("high") - F.col("middle"), spread)
+        columns.append(F.max(F.when(here, F.col("high") + REACH * above)).alias(f"{name}_max"))
         if both:
-            columns.append(F.max(F.when(here, F.col("q1") - distance)).alias(f"{name}_min"))
+            below = F.greatest(F.col("middle") - F.col("low"), spread)
+            columns.append(F.max(F.when(here, F.col("low") - REACH * below)).alias(f"{name}_min"))
     if group:
-        return quartiles.groupBy(*group).agg(*columns)
-    return quartiles.agg(*columns)
+        return deciles.groupBy(*group).agg(*columns)
+    return deciles.agg(*columns)
 
 
 def _limits() -> list[str]:
@@ -169,8 +174,20 @@ def _limits() -> list[str]:
     ]
 
 
-def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per language and source with the limits that hold there, and whose they are."""
+def _averaged(own: str, parent: str, prior: int) -> Column:
+    """A group's fences, averaged with those of the group above it."""
+    n = F.col(f"{own}.group_size")
+    return F.struct(
+        *(
+            F.floor((n * F.col(f"{own}.{x}") + prior * F.col(f"{parent}.{x}")) / (n + prior)).alias(x)
+            for x in _limits()
+        )
+    )
+
+
+def thresholds(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """One row per language and source with the limits that hold there, and how far its own
+    documents set them, per mille."""
     limits = _limits()
     own = fences(sketch, "lang", "source").select(
         "lang", "source", F.struct("group_size", *limits).alias("own")
@@ -180,19 +197,18 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     )
     whole = fences(merged(sketch)).select("group_size", *limits).first()  # one row, always
     corpus = F.struct(*(F.lit(v).cast("bigint").alias(k) for k, v in whole.asDict().items()))
-    joined = own.join(language, F.col("lang").eqNullSafe(F.col("lang_key"))).withColumn(
-        "corpus", corpus
-    )
-    enough = lambda name: F.col(f"{name}.group_size") >= MIN_GROUP
-    pick = (
-        F.when(enough("own"), F.col("own"))
-        .when(enough("language"), F.col("language"))
-        .otherwise(F.col("corpus"))
+    joined = (
+        own.join(language, F.col("lang").eqNullSafe(F.col("lang_key")))
+        .withColumn("corpus", corpus)
+        .withColumn("above", _averaged("language", "corpus", prior))
     )
-    level = (
-        F.when(enough("own"), LEVELS[0]).when(enough("language"), LEVELS[1]).otherwise(LEVELS[2])
+    size = F.col("own.group_size")
+    return joined.select(
+        "lang",
+        "source",
+        _averaged("own", "above", prior).alias("limit"),
+        F.floor(1000 * size / (size + prior)).alias("own_share"),
     )
-    return joined.select("lang", "source", pick.alias("limit"), level.alias("level"))
 
 
 def within(limit: str = "limit") -> Column:
@@ -206,11 +222,11 @@ def within(limit: str = "limit") -> Column:
     return verdict
 
 
-def adaptive_filter(docs: DataFrame) -> DataFrame:
-    """Every document with its counts, the fences' level and the verdict ``kept``."""
+def adaptive_filter(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """Every document with its counts, its group's share in the fences and the verdict ``kept``."""
     measured = settle(measure(docs), "quality")
-    limits = thresholds(sketches(measured)).select(
-        F.col("lang").alias("lang_key"), F.col("source").alias("source_key"), "limit", "level"
+    limits = thresholds(sketches(measured), prior).select(
+        F.col("lang").alias("lang_key"), F.col("source").alias("source_key"), "limit", "own_share"
     )
     same = F.col("lang").eqNullSafe(F.col("lang_key")) & F.col("source").eqNullSafe(
         F.col("source_key")
@@ -226,6 +242,6 @@ def adaptive_filter(docs: DataFrame) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        "level",
+        "own_share",
         (~F.col("base_failed") & inside).alias("kept"),
     )

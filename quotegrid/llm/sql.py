@@ -14,20 +14,31 @@ WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]
 def _fences(table: str, group: str) -> str:
     by = f"{group}, " if group else ""
     return f"""
-      SELECT {by}measure, max(upto) AS size,
-             min(value) FILTER (4 * upto >= total) AS q1,
-             min(value) FILTER (4 * upto >= 3 * total) AS q3
+      SELECT {by}measure, max(upto) AS size, any_value(least) AS least,
+             min(value) FILTER (10 * upto >= total) AS low,
+             min(value) FILTER (10 * upto >= 5 * total) AS middle,
+             min(value) FILTER (10 * upto >= 9 * total) AS high,
+             high + {quality.REACH} * greatest(high - middle, any_value(least)) AS upper,
+             low - {quality.REACH} * greatest(middle - low, any_value(least)) AS lower
       FROM (SELECT *, sum(n) OVER (PARTITION BY {by}measure ORDER BY value) AS upto,
                    sum(n) OVER (PARTITION BY {by}measure) AS total
-            FROM (SELECT {by}measure, value, sum(n) AS n FROM {table} GROUP BY {by}measure, value))
+            FROM (SELECT {by}measure, value, any_value(least) AS least, sum(n) AS n FROM {table}
+                  GROUP BY {by}measure, value))
       GROUP BY {by}measure"""
 
 
+def _blend(own: str, parent: str, end: str, parent_end: str | None = None) -> str:
+    n, prior = f"{own}.size", quality.PRIOR
+    above = parent_end or f"{parent}.{end}"
+    total = f"({n} * {own}.{end} + {prior} * {above})"
+    return f"CAST(floor(CAST({total} AS DOUBLE) / ({n} + {prior})) AS BIGINT)"
+
+
 def _op9() -> str:
     entries = " UNION ALL ".join(
         f"SELECT rid, lang, source, '{name}' AS measure, CAST({text.replace(' div ', ' // ')} AS BIGINT)"
-        f" AS value, {spread} AS spread, {both} AS both_ends FROM base WHERE NOT base_failed"
-        for name, (text, spread, both) in quality.MEASURES.items()
+        f" AS value, {least} AS least, {both} AS both_ends FROM base WHERE NOT base_failed"
+        for name, (text, least, both) in quality.MEASURES.items()
     )
     symbols = quality.SYMBOLS
     bits = quality.SKETCH_BITS
@@ -56,35 +67,30 @@ base AS (SELECT *, n_words < {quality.MIN_WORDS}
 entries AS ({entries}),
 sketch AS (SELECT lang, source, measure,
                   value - value % CAST(pow(2, greatest(length(bin(value)) - {bits}, 0)) AS BIGINT) AS value,
-                  count(*) AS n
+                  least, count(*) AS n
            FROM entries GROUP BY ALL),
 own AS ({_fences("sketch", "lang, source")}),
 language AS ({_fences("sketch", "lang")}),
 corpus AS ({_fences("sketch", "")}),
-judged AS (SELECT e.rid, e.value, e.spread, e.both_ends,
-                  CASE WHEN o.size >= {quality.MIN_GROUP} THEN '{quality.LEVELS[0]}'
-                       WHEN l.size >= {quality.MIN_GROUP} THEN '{quality.LEVELS[1]}'
-                       ELSE '{quality.LEVELS[2]}' END AS level,
-                  CASE WHEN o.size >= {quality.MIN_GROUP} THEN o.q1
-                       WHEN l.size >= {quality.MIN_GROUP} THEN l.q1 ELSE c.q1 END AS q1,
-                  CASE WHEN o.size >= {quality.MIN_GROUP} THEN o.q3
-                       WHEN l.size >= {quality.MIN_GROUP} THEN l.q3 ELSE c.q3 END AS q3
-           FROM entries e
-           JOIN own o ON e.lang IS NOT DISTINCT FROM o.lang AND e.source IS NOT DISTINCT FROM o.source
-                         AND e.measure = o.measure
-           JOIN language l ON e.lang IS NOT DISTINCT FROM l.lang AND e.measure = l.measure
-           JOIN corpus c ON e.measure = c.measure),
-verdict AS (SELECT rid, max(level) AS level,
-                   bool_and(value <= q3 + {quality.REACH} * greatest(q3 - q1, spread)
-                            AND (NOT both_ends
-                                 OR value >= q1 - {quality.REACH} * greatest(q3 - q1, spread))) AS ok
-            FROM judged GROUP BY rid),
-levels AS (SELECT DISTINCT e.lang, e.source, j.level FROM entries e JOIN judged j ON e.rid = j.rid)
+above AS (SELECT l.lang, l.measure, {_blend("l", "c", "upper")} AS upper,
+                 {_blend("l", "c", "lower")} AS lower
+          FROM language l JOIN corpus c ON l.measure = c.measure),
+limits AS (SELECT o.lang, o.source, o.measure, o.size, {_blend("o", "a", "upper")} AS upper,
+                  {_blend("o", "a", "lower")} AS lower
+           FROM own o JOIN above a ON o.lang IS NOT DISTINCT FROM a.lang AND o.measure = a.measure),
+verdict AS (SELECT rid, bool_and(value <= upper AND (NOT both_ends OR value >= lower)) AS ok
+            FROM entries e JOIN limits m
+              ON e.lang IS NOT DISTINCT FROM m.lang AND e.source IS NOT DISTINCT FROM m.source
+                 AND e.measure = m.measure
+            GROUP BY rid),
+shares AS (SELECT DISTINCT lang, source,
+                  CAST(floor(CAST(1000 * size AS DOUBLE) / (size + {quality.PRIOR})) AS BIGINT) AS own_share
+           FROM limits)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       levels.level, NOT base_failed AND coalesce(ok, false) AS kept
+       own_share, NOT base_failed AND coalesce(ok, false) AS kept
 FROM base LEFT JOIN verdict ON base.rid = verdict.rid
-LEFT JOIN levels ON base.lang IS NOT DISTINCT FROM levels.lang
-                    AND base.source IS NOT DISTINCT FROM levels.source
+LEFT JOIN shares ON base.lang IS NOT DISTINCT FROM shares.lang
+                    AND base.source IS NOT DISTINCT FROM shares.source
 """
 
 

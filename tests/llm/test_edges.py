@@ -549,3 +549,28 @@ def test_line_stage_updates_text_and_drops_emptied(documents, small_dir, spark):
     assert got[2].text == "more own words" and got[2].n_chars == 14
 
 
+
+
+def group_of(lang, source, ids, text):
+    return [(i, text(i), lang, source) for i in ids]
+
+
+def test_fences_move_with_the_group(documents):
+    """What is odd in one group is common in another, and no size of a group switches a rule."""
+    plain = lambda i: "\n".join(f"line {i} {k} w{(i * 7 + k * k) % 9973} x{i}y{k}" for k in range(30))
+    doubled = lambda i: plain(i).replace("\n", "\nok\n", 14)
+    rows = group_of("en", "prose", range(300), plain)
+    rows += group_of("en", "prose", [1_000], doubled)
+    rows += group_of("fr", "lists", range(2_000, 2_300), doubled)
+    rows += group_of("fr", "small", range(3_000, 3_010), plain)
+    rows += group_of("fr", "small", [3_100], doubled)
+    got = {r.doc_id: r for r in quality.adaptive_filter(documents(*rows)).collect()}
+    # 30 % repeated lines: an outlier where neighbours have none, common in the other group.
+    assert 1_000 * got[1_000].n_dup_lines // 44 == 295 and not got[1_000].base_failed
+    assert not got[1_000].kept and all(got[i].kept for i in range(300))
+    assert all(got[i].kept for i in range(2_000, 2_300))
+    # A small group leans on its language, which is full of such documents.
+    assert got[3_100].kept and got[3_100].own_share < 500 < got[2_000].own_share
+    # Without that prior its own documents decide.
+    alone = {r.doc_id: r for r in quality.adaptive_filter(documents(*rows), prior=0).collect()}
+    assert not alone[3_100].kept and alone[3_100].own_share == 1_000
