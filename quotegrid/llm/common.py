@@ -24,6 +24,7 @@ from quotegrid.sources.tables import settle
 
 __all__ = [
     "ROW_KEY",
+    "few_files",
     "hand_back",
     "hold_out",
     "is_held_out",
@@ -95,6 +96,20 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return text.mapInArrow(_pack, "id long, no_id boolean, text_hash long, packed binary")
 
 
+#: Rows of a narrow table that one file should hold.
+FILE_ROWS = 100_000
+
+
+def few_files(df: DataFrame, rows: int) -> DataFrame:
+    """A narrow result of about ``rows`` rows in as many parts as that is worth, one per core at
+    least; never more than it has."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(cores, -(-rows // FILE_ROWS)))
+
+
+# Memory that Arrow frees goes back to the C library, and from there to the machine.
+pa.set_memory_pool(pa.system_memory_pool())
+
 _HELD: dict[object, object] = {}
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotegrid.llm.common import settle
+from quotegrid.llm.common import few_files, settle
 
 MAX_ROUNDS = 60
 
@@ -58,8 +58,8 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionAll(back)
 
 
-def _round(edges: DataFrame) -> DataFrame:
-    """Large star, then small star."""
+def _round(edges: DataFrame, n: int) -> DataFrame:
+    """Large star, then small star, of ``n`` edges."""
     both = _both_ways(edges)
     hung = (
         both.join(_least(both), "u")
@@ -68,7 +68,7 @@ def _round(edges: DataFrame) -> DataFrame:
         .filter(F.col("u") != F.col("v"))
         .distinct()
     )
-    hung = settle(hung, "stars")
+    hung = settle(few_files(hung, n), "stars")
     # Every edge points downwards here: u > v.
     least = _least(hung)
     down = hung.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -95,7 +95,7 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             break
-        now = settle(_round(now), "edges")
+        now = settle(few_files(_round(now, before[0]), before[0]), "edges")
         after = _print(now)
         if after == before:
             break

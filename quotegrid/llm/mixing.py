@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import ROW_KEY, row_key, settle, text_of, words_of
+from quotegrid.llm.common import ROW_KEY, few_files, row_key, settle, text_of, words_of
 
 #: Fixed by the contract: weights in source order, share of all words, passes at most.
 WEIGHTS = (3, 1, 2)
@@ -167,7 +167,7 @@ def mix(docs: DataFrame) -> DataFrame:
     sized = settle(sizes(docs), "mix-sizes")
     rows = sized.count()
     goals = settle(targets(sized), "mix-targets")
-    lined = settle(queued(sized, rows).join(goals, "queue"), "mix-queues")
+    lined = settle(few_files(queued(sized, rows).join(goals, "queue"), rows), "mix-queues")
     some = goals.select("budget").first()
     passes = lined.select(
         "rank",

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import ROW_KEY, packed_texts, row_key, settle, text_of, unpack
+from quotegrid.llm.common import ROW_KEY, few_files, packed_texts, row_key, settle, text_of, unpack
 from quotegrid.llm.components import components
 from quotegrid.llm.hashing import mix, window_hashes, word_hashes
 
@@ -283,6 +283,7 @@ def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFram
     """The documents' profiles, and (node, component) of the classes that have a link."""
     profiles = settle(profile(docs, k), "near-profiles")
     known = profiles.filter(F.col("key").isNotNull())
+    rows = profiles.count()  # as the files' footers have it
     classes = known.groupBy("key").agg(
         F.min(F.struct(*ROW_KEY)).alias("who"),
         F.max("n_shingles").alias("n"),
@@ -299,7 +300,8 @@ def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFram
         .filter(F.col("a") != F.col("z"))
         .select("bucket", "company")
     )
-    members = settle(speaker_rows.join(shared, "bucket").distinct(), "near-members")
+    members = speaker_rows.join(shared, "bucket").distinct()
+    members = settle(few_files(members, BANDS * rows), "near-members")
     central = members.groupBy("key").agg(F.sum("company").alias("centrality"))
     hubs = (
         members.select("bucket", "key", "n")
@@ -308,21 +310,21 @@ def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFram
         .agg(F.max(F.struct("centrality", "key", "n")).alias("hub"))
         .select("bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"))
     )
-    spokes = settle(
+    spokes = (
         members.select("bucket", "key", "n")
         .join(hubs, "bucket")
         .select("key", "n", "hub", "hub_n")
-        .distinct(),
-        "near-spokes",
+        .distinct()
     )
+    spokes = settle(few_files(spokes, BANDS * rows), "near-spokes")
     pairs = spokes.filter((F.col("key") != F.col("hub")) & _could_link("n", "hub_n")).select(
         F.col("key").alias("u"), F.col("hub").alias("v")
     )
     # Every class in a bucket with another may be needed, now or in the blocks.
     speakers = classes.join(central.select("key"), "key", "left_semi").select("who.*")
     sets = settle(_full_sets(docs, speakers, k), "near-sets")
-    links = settle(_confirm(pairs, sets), "near-links")
-    first = settle(components(links), "near-first")
+    links = settle(few_files(_confirm(pairs, sets), rows), "near-links")
+    first = settle(few_files(components(links), rows), "near-first")
     more = _remaining_links(spokes, first, sets)
     return profiles, components(links.unionAll(more))
 

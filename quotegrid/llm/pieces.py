@@ -45,7 +45,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
 #: Fixed by the model format: what an unknown piece costs beyond the worst one.
 UNKNOWN_PENALTY = 10.0
-MAX_CHUNKS, MAX_PAIRS, MAX_STATES = 300_000, 250_000, 200_000
+MAX_CHUNKS, MAX_PAIRS, MAX_STATES = 200_000, 150_000, 100_000
 SHARED_LENGTH = 40
 LOT = 256
 

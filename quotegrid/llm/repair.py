@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotegrid.llm.common import BLANKS, settle
+from quotegrid.llm.common import BLANKS, few_files, settle
 from quotegrid.llm.turns import numbered, text_or, turn_order
 
 BLOCK_ROWS = 64
@@ -378,7 +378,8 @@ def _in_order(df: DataFrame, *order: Column | str) -> DataFrame:
 
 def edits(codes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(conv, block, letters, cost, illegal): the edits of every block; the cost in the first."""
-    blocks = settle(_blocks(codes, block_rows), "repair-blocks")
+    rows = codes.count()  # as the files' footers have it
+    blocks = settle(few_files(_blocks(codes, block_rows), rows), "repair-blocks")
     n = blocks.groupBy(CONV).agg(F.max("block").alias("most"))
     more = (F.col("most") > F.col("block")).cast("bigint").alias("more")
     fields = f"{CONV} string, block long, codes string, firsts string"
@@ -475,8 +476,9 @@ def repaired(rows: DataFrame, found: DataFrame, block_rows: int = BLOCK_ROWS) ->
 def repair_report(conversations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Faults, cheapest edits and digest of the repaired text of every damaged conversation."""
     rows = judged(damage(conversations))
-    codes = settle(coded(rows), "repair-codes")
-    found = settle(edits(codes, block_rows), "repair-edits")
+    n = 2 * conversations.count()  # damage doubles a row at most
+    codes = settle(few_files(coded(rows), n), "repair-codes")
+    found = settle(few_files(edits(codes, block_rows), n), "repair-edits")
     sums = found.groupBy(CONV).agg(F.sum("cost").alias("cost"), F.sum("illegal").alias("illegal"))
     result = (
         conversations.select(conversation_key())

@@ -46,7 +46,9 @@ ACTIVE_TERMS = 4_096
 FACTORS = 4
 STEPS, BATCH, RATE, DECAY = 1_000, 256, 0.1, 1e-3
 SEED = 7
-MAX_CACHED_WORDS = 200_000
+MAX_CACHED_WORDS = 100_000
+#: Documents scored at a time.
+LOT = 500
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -258,7 +260,10 @@ def score(machine: Machine, text: Column) -> Column:
     @F.arrow_udf("double")
     def scores(texts: pa.Array) -> pa.Array:
         index = worker_held(("toxicity", key), lambda: TermIndex(machine.buckets))
-        return pa.array(machine.scores([index.terms(t.as_py()) for t in texts]), pa.float64())
+        found = []
+        for low in range(0, len(texts), LOT):
+            found.append(machine.scores([index.terms(t.as_py()) for t in texts.slice(low, LOT)]))
+        return pa.array(np.concatenate(found or [np.zeros(0)]), pa.float64())
 
     return scores.asNondeterministic()(text)  # else a filter on it would compute it twice
 
