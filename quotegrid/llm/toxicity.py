@@ -7,11 +7,13 @@ occurs at least twice is a second term as well. The score is
     sigmoid(bias + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2))
 
 over the document's active terms: besides single weights, every pair of terms has a learned
-interaction, the product of two short vectors. Of the 2**``HASH_BITS`` hashed terms those
-``ACTIVE_TERMS`` stay active that tell the classes apart most (half the G statistic over
-documents, at least ``MIN_GAIN``), counted by Spark; the machine itself is fitted on the driver
-to the active terms of a bounded sample: the ``TRAIN_ROWS`` labelled, not held-out rows with the
-smallest id hashes.
+interaction, the product of two short vectors. Of the 2**``HASH_BITS`` hashed terms those stay
+active that tell the classes apart most (half the G statistic over documents), alone, at least
+``MIN_GAIN`` and ``ACTIVE_TERMS`` of them, or together with another term: of the pairs among the
+``PAIR_CANDIDATES`` terms in most documents and the ``PAIR_BEST`` best ones the ``PAIRS`` whose
+common presence says most, at least ``MIN_PAIR_GAIN`` more than either term. Terms and pairs are
+counted by Spark; the machine itself is fitted on the driver to the active terms of a bounded
+sample: the ``TRAIN_ROWS`` labelled, not held-out rows with the smallest id hashes.
 
 Null or empty text: the score of no terms. Null ids or labels are not learned from; an id
 labelled twice counts as toxic if any label says so, an id with several texts shows the least.
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotegrid.llm.common import hold_out, settle, text_of, worker_held
+from quotegrid.llm.common import few_files, hold_out, settle, text_of, worker_held
 
 THRESHOLD = 0.3
 HASH_BITS = 18
@@ -43,6 +45,10 @@ TRAIN_ROWS = 20_000
 MIN_DOCUMENTS = 4
 MIN_GAIN = 5.0
 ACTIVE_TERMS = 4_096
+#: Terms whose pairs are counted, pairs taken, and what a pair must say beyond its terms: as many
+#: pairs reach half of that by chance as there are.
+PAIR_CANDIDATES, PAIR_BEST, PAIRS = 768, 256, 512
+MIN_PAIR_GAIN = 15.0
 FACTORS = 4
 STEPS, BATCH, RATE, DECAY = 1_000, 256, 0.1, 1e-3
 SEED = 7
@@ -189,8 +195,37 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _half_g(clean, toxic, n_clean: int, n_toxic: int, log, choose):
+    """Half the G statistic of documents with a term, by class, against those without it."""
+    held, n = clean + toxic, n_clean + n_toxic
+
+    def part(seen, expected):
+        return choose(seen > 0, lambda: seen * log(seen / expected))
+
+    return (
+        part(clean, held * n_clean / n)
+        + part(toxic, held * n_toxic / n)
+        + part(n_clean - clean, (n - held) * n_clean / n)
+        + part(n_toxic - toxic, (n - held) * n_toxic / n)
+    )
+
+
+def gain_of(clean: Column, toxic: Column, n_clean: int, n_toxic: int) -> Column:
+    return _half_g(
+        clean, toxic, n_clean, n_toxic, F.log, lambda some, value: F.when(some, value()).otherwise(0.0)
+    )
+
+
+def gains(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return _half_g(
+            clean.astype(float), toxic.astype(float), n_clean, n_toxic, np.log,
+            lambda some, value: np.where(some, value(), 0.0),
+        )
+
+
 def active_buckets(rows: DataFrame) -> list[int]:
-    """The buckets whose presence says most about the label."""
+    """The buckets whose presence, alone or in pairs, says most about the label."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = TermIndex()
@@ -209,26 +244,97 @@ def active_buckets(rows: DataFrame) -> list[int]:
     clean, toxic = n.get(0, 0), sum(v for k, v in n.items() if k)
     if not clean or not toxic:
         return []
-
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
     held = F.col("clean") + F.col("toxic")
-    gain = (
-        part(F.col("clean"), held * clean / (clean + toxic))
-        + part(F.col("toxic"), held * toxic / (clean + toxic))
-        + part(clean - F.col("clean"), (clean + toxic - held) * clean / (clean + toxic))
-        + part(toxic - F.col("toxic"), (clean + toxic - held) * toxic / (clean + toxic))
-    )
-    best = (
+    gain = gain_of(F.col("clean"), F.col("toxic"), clean, toxic)
+    counted = (
         rows.mapInArrow(count, "bucket long, clean long, toxic long")
         .groupBy("bucket")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .filter((held >= MIN_DOCUMENTS) & (gain >= MIN_GAIN))
-        .orderBy(F.round(gain, 6).desc(), "bucket")
-        .limit(ACTIVE_TERMS)
+        .filter(held >= MIN_DOCUMENTS)
+        .select("bucket", held.alias("held"), F.round(gain, 6).alias("gain"))
     )
-    return sorted(r["bucket"] for r in best.select("bucket").collect())
+    counted = settle(few_files(counted, 2 * TWICE), "toxic-terms")
+    ordered = counted.filter(F.col("gain") >= MIN_GAIN).orderBy(F.desc("gain"), "bucket")
+    best = {r["bucket"]: r["gain"] for r in ordered.limit(ACTIVE_TERMS).collect()}
+    common = (
+        counted.filter((F.col("bucket") < TWICE) & (10 * F.col("held") <= 9 * (clean + toxic)))
+        .orderBy(F.desc("held"), "bucket")
+        .limit(PAIR_CANDIDATES)
+    )
+    candidates = {r["bucket"]: r["gain"] for r in common.collect()}
+    candidates |= {b: g for b, g in list(best.items())[:PAIR_BEST] if b < TWICE}
+    return sorted({*best, *paired_buckets(rows, candidates, clean, toxic)})
+
+
+def paired_buckets(
+    rows: DataFrame, own_gains: dict[int, float], clean: int, toxic: int
+) -> set[int]:
+    """The terms of ``own_gains`` in a pair whose common presence says more than either.
+
+    A task counts its documents' pairs as a table per class, which leaves it row by row; a
+    term's rows of all tasks meet, and only its best pairs go on.
+    """
+    candidates = sorted(own_gains)
+    alone = np.array([own_gains[b] for b in candidates])
+    size = len(candidates)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = TermIndex(candidates)
+        counts = np.zeros((2, size, size), np.float32)
+        for batch in batches:
+            labels = [min(x, 1) for x in batch.column("toxic").to_pylist()]
+            for low in range(0, len(labels), LOT):
+                some = labels[low : low + LOT]
+                held = np.zeros((len(some), size), np.float32)
+                for k, text in enumerate(batch.column("text").slice(low, LOT)):
+                    held[k, index.terms(text.as_py())] = 1
+                for label in (0, 1):
+                    mine = held[np.array(some) == label]
+                    counts[label] += mine.T @ mine
+        # Whole numbers below 2**24 are exact here; a sample has TRAIN_ROWS rows.
+        data = counts.astype("<i4")
+        yield pa.record_batch(
+            [
+                pa.array(range(size), pa.int32()),
+                pa.array([data[0, i].tobytes() for i in range(size)], pa.binary()),
+                pa.array([data[1, i].tobytes() for i in range(size)], pa.binary()),
+            ],
+            ["term", "clean", "toxic"],
+        )
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        term, sums = None, None
+
+        def found() -> pa.RecordBatch:
+            together = gains(*sums, clean, toxic)
+            wanted = together >= MIN_PAIR_GAIN + np.maximum(alone[term], alone)
+            wanted &= sums.sum(0) >= MIN_DOCUMENTS
+            wanted[: term + 1] = False
+            partners = np.flatnonzero(wanted)
+            columns = [np.full(len(partners), term), partners, together[partners]]
+            kinds = (pa.int32(), pa.int32(), pa.float64())
+            return pa.record_batch(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "b", "gain"]
+            )
+
+        for batch in batches:
+            rows_ = zip(*(batch.column(c).to_pylist() for c in ("term", "clean", "toxic")), strict=True)
+            for now, *data in rows_:
+                row = np.stack([np.frombuffer(x, "<i4").astype(np.int64) for x in data])
+                if now != term:
+                    if term is not None:
+                        yield found()
+                    term, sums = now, row
+                else:
+                    sums = sums + row
+        if term is not None:
+            yield found()
+
+    tables = rows.mapInArrow(count, "term int, clean binary, toxic binary")
+    pairs = tables.repartition("term").sortWithinPartitions("term")
+    pairs = pairs.mapInArrow(weigh, "a int, b int, gain double")
+    best = pairs.orderBy(F.desc(F.round("gain", 6)), "a", "b").limit(PAIRS).collect()
+    return {candidates[r[end]] for r in best for end in ("a", "b")}
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
