@@ -574,3 +574,85 @@ def test_fences_move_with_the_group(documents):
     # Without that prior its own documents decide.
     alone = {r.doc_id: r for r in quality.adaptive_filter(documents(*rows), prior=0).collect()}
     assert not alone[3_100].kept and alone[3_100].own_share == 1_000
+
+
+def check_parse(spark, docs, texts):
+    """Every factor stands at its place; greedy, and covering what brute force removes."""
+    counted, hits = substrings.parse(docs)
+    ids = {r.rid: r.doc_id for r in counted.collect()}
+    got = substrings._kept(docs, counted, hits).collect()
+    assert got
+    words = {d: brute.words(t) for d, t in texts}
+    expected = {d: n for d, _, n, _ in brute.without_repeats(texts)}
+    for row in got:
+        own, gone, after = words[ids[row.rid]], set(), -1
+        for factor, place in zip(row.factors, row.places, strict=True):
+            there = words[ids[place.ref]]
+            end = factor.start + factor.length
+            assert own[factor.start : end] == there[place.at : place.at + factor.length]
+            assert (ids[place.ref], place.at) != (ids[row.rid], factor.start)
+            assert factor.length >= substrings.WINDOW and factor.start > after
+            after = end - substrings.WINDOW
+            gone.update(range(factor.start, end))
+        assert len(gone) == row.n_removed == expected[ids[row.rid]]
+    return got
+
+
+@pytest.mark.parametrize("chunk", [1_000_000, 200, 30])
+def test_factors_stand_at_their_places(spark, documents, monkeypatch, chunk):
+    monkeypatch.setattr(substrings, "CHUNK_WINDOWS", chunk)
+    rng = np.random.default_rng(8)
+    stock = [" ".join(f"s{i}w{k}" for k in range(20)) for i in range(12)]
+    rows = [
+        (d, " ".join(stock[k] for k in rng.integers(0, len(stock), rng.integers(2, 9))) + f" end{d}")
+        for d in range(60)
+    ]
+    rows.append((99, " ".join(["loop"] * 90)))
+    got = check_parse(spark, documents(*rows), rows)
+    # Documents drawn from several others have several factors.
+    assert max(len(r.factors) for r in got) > 2
+
+
+def test_a_factor_is_the_longest_match():
+    starts, refs, places = (np.array(x) for x in ([0, 0, 1, 2, 5], [7, 9, 9, 9, 3], [4, 8, 9, 10, 0]))
+    w = substrings.WINDOW
+    assert substrings.factors_of(starts, refs, places) == [(0, w + 2, 9, 8), (5, w, 3, 0)]
+    assert substrings.factors_of(*(np.zeros(0, int),) * 3) == []
+
+
+def test_toxicity_of_words_that_tell_only_together(documents, labels):
+    """Two words that are as frequent in either class: toxic is who has both or neither."""
+    rng = np.random.default_rng(5)
+    filler = [f"filler{i}" for i in range(60)]
+    rows, truth = [], []
+    for i in range(1_200):
+        extra = [[], ["bellend"], ["mountain"], ["bellend", "mountain"]][i % 4]
+        rows.append((i, " ".join(rng.permutation([*rng.choice(filler, 12), *extra]))))
+        truth.append((i, int(i % 4 in (0, 3))))
+    got = toxicity.judge(documents(*rows), labels(*truth)).collect()
+    score = {r.row.doc_id: r.toxicity for r in got}
+    held = [i for i, _ in truth if is_held_out(i)]
+    right = sum((score[i] >= 0.5) == (i % 4 in (0, 3)) for i in held)
+    assert right >= 0.95 * len(held)
+
+
+def test_score_is_the_formula():
+    """Bias, weights and every pair's inner product, by a plain double loop."""
+    rng = np.random.default_rng(6)
+    m = toxicity.Machine(list(range(9)), 0.3, rng.normal(size=9), rng.normal(size=(9, 3)))
+    lists = [np.array(x, np.int64) for x in ([], [2], [0, 3, 8], list(range(9)))]
+    for terms, score in zip(lists, m.scores(lists), strict=True):
+        logit = m.bias + sum(m.weights[i] for i in terms)
+        for a, i in enumerate(terms):
+            for j in terms[a + 1 :]:
+                logit += float(m.factors[i] @ m.factors[j])
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-12)
+
+
+def test_gain_of_terms():
+    """Half of G by its definition, sum of observed times log of observed over expected."""
+    clean, toxic, n, m = np.array([10, 0, 40]), np.array([30, 5, 60]), 40, 60
+    for c, t, got in zip(clean, toxic, toxicity.gains(clean, toxic, n, m), strict=True):
+        seen = np.array([[c, t], [n - c, m - t]], float)
+        fair = seen.sum(1, keepdims=True) * seen.sum(0, keepdims=True) / seen.sum()
+        assert got == pytest.approx(sum(o * np.log(o / e) for o, e in zip(seen.flat, fair.flat) if o))
