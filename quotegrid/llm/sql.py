@@ -6,7 +6,7 @@ windows by list positions, sketches by plain grouping.
 
 from __future__ import annotations
 
-from quotegrid.llm import mixing, quality
+from quotegrid.llm import lines, mixing, quality, substrings
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -277,9 +277,86 @@ LEFT JOIN nodes up ON up.d = f.d - 1 AND up.p = f.p[1:f.d - 1]
 """
 
 
+def _op3(k: int = 4) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = WORDS.replace("coalesce(text, '')", lower)
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, {words} AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, list_slice(w, i, i + least({k}, len(w)) - 1) AS g
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {k} + 2, 2))) AS i FROM w WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+numbered AS (SELECT doc_id, dense_rank() OVER (ORDER BY g) AS g FROM grams),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS s
+           FROM numbered a JOIN numbered b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM shared JOIN sizes p ON p.doc_id = u JOIN sizes q ON q.doc_id = v
+          WHERE 100 * s >= 80 * (p.n + q.n - s)),
+edges AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS least FROM documents
+          UNION SELECT e.v, r.least FROM reach r JOIN edges e ON e.u = r.node WHERE r.least < e.v)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, min(least) AS component_id,
+       d.doc_id = min(least) AS kept
+FROM documents d JOIN reach ON reach.node = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+GROUP BY d.doc_id, sizes.n
+"""
+
+
+def _op8() -> str:
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    need = lines.BLOCK_WORDS
+    return f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i, line, trim(line, {blanks}) AS key,
+             len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS n
+      FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d)),
+docs AS (SELECT doc_id, list(key ORDER BY i) AS keys, count(*) AS n_lines, sum(n) AS n_words
+         FROM l GROUP BY doc_id),
+classes AS (SELECT doc_id, n_lines, n_words > 0 AND row_number() OVER (PARTITION BY keys ORDER BY doc_id) > 1 AS copy
+            FROM docs),
+upto AS (SELECT doc_id, i, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto, n FROM l),
+own AS (SELECT u.* FROM upto u JOIN classes c ON c.doc_id = u.doc_id WHERE NOT copy),
+spans AS (SELECT a.doc_id, a.i, min(b.i) AS j FROM own a JOIN own b
+            ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= {need} GROUP BY 1, 2
+          UNION
+          SELECT b.doc_id, max(a.i), b.i FROM own a JOIN own b
+            ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= {need} GROUP BY 1, 3),
+texts AS (SELECT s.doc_id, s.i, s.j, list_slice(keys, s.i + 1, s.j + 1) AS run
+          FROM spans s JOIN docs ON docs.doc_id = s.doc_id),
+firsts AS (SELECT run, min(doc_id) AS first FROM texts GROUP BY run),
+gone AS (SELECT DISTINCT t.doc_id, unnest(range(t.i, t.j + 1)) AS i
+         FROM texts t JOIN firsts f ON f.run = t.run AND f.first < t.doc_id),
+rest AS (SELECT l.doc_id, count(gone.i) AS n, string_agg(line, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL) AS kept
+         FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.i = l.i GROUP BY l.doc_id)
+SELECT c.doc_id, c.n_lines, CASE WHEN copy THEN c.n_lines ELSE rest.n END AS n_removed,
+       sha256(CASE WHEN copy THEN '' ELSE coalesce(kept, '') END) AS kept_sha256
+FROM classes c JOIN rest ON rest.doc_id = c.doc_id
+"""
+
+
+def _op10() -> str:
+    k = substrings.WINDOW
+    return f"""
+WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents),
+wins AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + {k - 1}), ' ') AS g
+         FROM (SELECT doc_id, w, unnest(range(1, len(w) - {k - 2})) AS i FROM w WHERE len(w) >= {k})),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS c FROM wins) WHERE c > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {k})) AS i FROM twice),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),
+rest AS (SELECT words.doc_id, count(gone.i) AS n,
+                string_agg(word, ' ' ORDER BY words.i) FILTER (gone.i IS NULL) AS kept
+         FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i
+         GROUP BY words.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(rest.n, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN rest ON rest.doc_id = w.doc_id
+"""
+
+
 LLM_ORACLE_SQL = {
+    "op3_minhash_near_dedup": _op3(),
     "op5_weighted_mix": _op5(),
+    "op8_line_dedup": _op8(),
     "op9_quality_rules": _op9(),
+    "op10_substring_dedup": _op10(),
     "op11_warc": _op11(),
     "op12_conversation_repair": _op12(),
     "op13_prefix_trie": _op13(),
