@@ -2,17 +2,20 @@
 
 Compiled from a model file, the transducer is the composition of
 
-* the normaliser: a dummy space in front, spaces to the word mark, all else unchanged;
-* the lexicon: a trie of pieces, each an arc from its characters to its id;
+* the normaliser: the model's table of characters, each an arc from the longest listed bytes to
+  what replaces them; a dummy space in front, spaces to the word mark, repeated ones removed where
+  the model says so;
+* the lexicon: a trie of pieces, each an arc from its characters to its id, with a weight;
 * the fallback: characters that are no piece go to their bytes' ids, at a high weight;
-* for merge models, the pair constraint: its states are the last piece, and an arc for piece b
-  leaves state a only if merging the characters of a+b gives back a and b. Adjacent pairs decide
-  a whole segmentation, as merges on the two sides of an uncrossed boundary do not see each
-  other, so exactly the merge result passes.
+* the constraint: its states are the last piece of a merge model, and an arc for piece b leaves
+  state a only if merging the characters of a+b gives back a and b. Adjacent pairs decide a whole
+  segmentation, as merges on the two sides of an uncrossed boundary do not see each other, so
+  exactly the merge result passes. A unigram model's constraint lets everything pass.
 
 A text's ids are the output of the shortest path, in the tropical semiring, through the
-composition of the text with the transducer. Weights are the negative scores of a unigram
-model; a merge model's pieces weigh nothing, as its constraint leaves one path.
+composition of the text with the transducer: one search for both kinds of models. Weights are
+the negative scores of a unigram model; a merge model's pieces weigh nothing, as its constraint
+leaves one path.
 
 The composition restarts wherever no piece can cross: before a word mark after another
 character, between a letter and a stop, around characters that only occur in pieces of their
@@ -56,6 +59,54 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class Normaliser:
+    """The first machine: characters to what the model wants to see instead.
+
+    The table is a double array: a unit holds a byte's label, whether an entry ends there, and
+    the distance to its children or the entry's place among the replacements.
+    """
+
+    def __init__(self, spec):
+        self.prefix = MARK if spec.add_dummy_prefix else ""
+        self.squeeze = spec.remove_extra_whitespaces
+        table = spec.precompiled_charsmap
+        size = int.from_bytes(table[:4], "little")
+        self.units = np.frombuffer(table, "<u4", size // 4, 4).tolist() if table else []
+        self.outputs = table[4 + size :]
+
+    def arc(self, data: bytes, at: int) -> tuple[int, str]:
+        """(place behind the input, output) of the longest entry at a place, else of one character."""
+        units, found = self.units, None
+        node = (units[0] >> 10) << ((units[0] & 0x200) >> 6) if units else 0
+        for k in range(at, len(data)) if units else ():
+            node ^= data[k]
+            unit = units[node]
+            if unit & 0x800000FF != data[k]:
+                break
+            node ^= (unit >> 10) << ((unit & 0x200) >> 6)
+            if unit >> 8 & 1:
+                found = (k + 1, units[node] & 0x7FFFFFFF)
+        if found:
+            end, place = found
+            return end, self.outputs[place : self.outputs.index(b"\0", place)].decode()
+        end = at + 1
+        while end < len(data) and data[end] & 0xC0 == 0x80:
+            end += 1
+        return end, data[at:end].decode()
+
+    def __call__(self, text: str) -> str:
+        """The normalised text, with its dummy prefix; nothing for nothing."""
+        if self.units:
+            data, at, out = text.encode(), 0, []
+            while at < len(data):
+                at, seen = self.arc(data, at)
+                out.append(seen)
+            text = "".join(out)
+        if self.squeeze:
+            text = re.sub(" +", " ", text).strip(" ")
+        return self.prefix + text.replace(" ", MARK) if text else ""
+
+
 class Transducer:
     """A compiled model: ``encode`` composes a text with it, ``decode`` reverses the output."""
 
@@ -66,14 +117,12 @@ class Transducer:
         with open(model_file, "rb") as file:
             model.ParseFromString(file.read())
         spec, trainer = model.normalizer_spec, model.trainer_spec
-        if spec.precompiled_charsmap or spec.remove_extra_whitespaces:
-            raise ValueError("only the identity normaliser is compiled")
         if not spec.escape_whitespaces or trainer.treat_whitespace_as_suffix:
             raise ValueError("the word mark must stand before words")
         if trainer.model_type not in (UNIGRAM, MERGES):
             raise ValueError("only unigram and merge models are compiled")
+        self.normalise = Normaliser(spec)
         self.merges = trainer.model_type == MERGES
-        self.prefix = MARK if spec.add_dummy_prefix else ""
         self.pieces = [p.piece for p in model.pieces]
         self.kinds = [p.type for p in model.pieces]
         lexicon = {p.piece: i for i, p in enumerate(model.pieces) if p.type in (NORMAL, USER_DEFINED)}
@@ -83,13 +132,14 @@ class Transducer:
         self.bytes = {int(p[1:-1], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         worst = min((self.scores[i] for i in lexicon.values()), default=0.0)
         self.fallback = UNKNOWN_PENALTY - worst
-        # The lexicon's trie, as the set of all beginnings of pieces.
-        self.beginnings = {p[:k] for p in lexicon for k in range(1, len(p) + 1)}
+        # An arc's weight; none is below the least one, so a path of that weight is not beaten.
+        self.weights = {p: 0.0 if self.merges else -self.scores[i] for p, i in lexicon.items()}
+        self.least = 0.0 if self.merges else -float("inf")
         self.longest = max(map(len, lexicon), default=1)
         self.chunk = re.compile(self._chunks(), re.DOTALL)
         self.paths: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.states: dict[str | int, str] = {}
+        self.states: dict[str | int, tuple[float, str]] = {}
         self.packed: dict[str, bytes] = {}
         # Merge order: characters first, then by score; runs of marks share one score.
         ranked = sorted(lexicon, key=lambda p: -self.scores[lexicon[p]])
@@ -114,7 +164,8 @@ class Transducer:
             return f"[{lone}]|[^{lone}]+" if lone else ".+"
         rest = f"(?:[{odd}][^{MARK}{lone}]*)?" if odd else ""
         plain = f"[^{MARK}{lone}{stop}{odd}]"
-        found = [f"{MARK}+[{stop}]*{plain}*{rest}", f"[{stop}]+{plain}*{rest}", f"{plain}+{rest}"]
+        found = [f"{MARK}+{f'[{stop}]*' if stop else ''}{plain}*{rest}", f"{plain}+{rest}"]
+        found += [f"[{stop}]+{plain}*{rest}"] if stop else []
         found += [f"[{odd}][^{MARK}{lone}]*"] if odd else []
         return "|".join(found + ([f"[{lone}]"] if lone else []))
 
@@ -187,71 +238,74 @@ class Transducer:
 
     # Composition and shortest path
 
-    def shortest_path(self, text: str) -> bytes:
-        """Output of the least-weight path of one normalised chunk, as 32-bit integers."""
-        return self._merge_path(text) if self.merges else self._weighed_path(text)
+    def arcs_into(self, text: str, k: int) -> list[tuple[int, str, float]]:
+        """(start, characters, weight) of all arcs that end at a place: lexicon, then fallback."""
+        found = []
+        for j in range(k - 1, max(-1, k - 1 - self.longest), -1):
+            piece = self.tails.get(text[j:k])
+            if piece is None:
+                break
+            if piece:
+                found.append((j, piece, self.weights[piece]))
+        if text[k - 1] not in self.lexicon:
+            found.append((k - 1, text[k - 1], self.fallback))
+        return found
+
+    def passes(self, last: str, piece: str) -> bool:
+        """Whether the constraint lets a piece follow another one ('': the start)."""
+        return not self.merges or len(piece) == 1 and piece not in self.lexicon or self.follows(last, piece)
 
-    def _merge_path(self, text: str) -> bytes:
-        """The path through the one live state of each place: the merge result of what precedes.
+    def shortest_path(self, text: str) -> bytes:
+        """Output of the least-weight path of one normalised chunk, as 32-bit integers.
 
-        A state depends on the text before its place alone, so those of short chunks are kept
-        by that text and shared by all chunks that begin alike.
+        At each place one state lives, the best arc into it: a merge model's constraint lets one
+        through, a unigram model's does not look at states. A place depends on the text before
+        it alone, so those of short chunks are kept by that text and shared by all that begin
+        alike. Equal weights: the longer piece. This is ``arcs_into`` and ``passes`` in one loop.
         """
         n, longest = len(text), self.longest
         tails, pairs, follows = self.tails, self.pairs, self.follows
+        weights, least, free = self.weights, self.least, not self.merges
         shared = n <= SHARED_LENGTH
         states = self.states if shared else {}
         if len(states) > MAX_STATES:
             states.clear()
-        states[""] = states[0] = ""
-        key = (lambda k: text[:k]) if shared else (lambda k: k)
+        states[""] = states[0] = (0.0, "")
         known = n if shared else 0
         while known and text[:known] not in states:
             known -= 1
         for k in range(known + 1, n + 1):
-            state = text[k - 1]  # where no piece arrives: the fallback's character
+            best, state = None, ""
             for j in range(k - 1, max(-1, k - 1 - longest), -1):
                 piece = tails.get(text[j:k])
                 if piece is None:
                     break
                 if piece:
-                    last = states[text[:j] if shared else j]
-                    open_ = pairs.get((last, piece))
-                    if open_ or (open_ is None and follows(last, piece)):
-                        state = piece
-                        break
-            states[text[:k] if shared else k] = state
+                    before, last = states[text[:j] if shared else j]
+                    weight = before + weights[piece]
+                    if best is None or weight <= best:
+                        open_ = free or pairs.get((last, piece))
+                        if open_ or (open_ is None and follows(last, piece)):
+                            best, state = weight, piece
+                            if weight <= least:
+                                break
+            if best is None or text[k - 1] not in weights:
+                over = states[text[: k - 1] if shared else k - 1][0]
+                if self.merges:  # a merge model has no weights to compare with
+                    over = over if best is None else least + 1
+                else:
+                    over += self.fallback
+                if best is None or over < best:
+                    best, state = over, text[k - 1]
+            states[text[:k] if shared else k] = (best, state)
         path = []
         while n:
-            piece = states[key(n)]
+            piece = states[text[:n] if shared else n][1]
             path.append(self.packed.get(piece) or self._pack(piece))
             n -= len(piece)
         path.reverse()
         return b"".join(path)
 
-    def _weighed_path(self, text: str) -> bytes:
-        """Viterbi over places: weights add along a path, the least one wins."""
-        n = len(text)
-        weight = [0.0] + [float("inf")] * n
-        before = [0] * (n + 1)
-        for i in range(n):
-            for k in range(i + 1, min(n, i + self.longest) + 1):
-                piece = text[i:k]
-                if piece not in self.beginnings:
-                    break
-                if piece in self.lexicon:
-                    cost = weight[i] - self.scores[self.lexicon[piece]]
-                    if cost < weight[k]:
-                        weight[k], before[k] = cost, i
-            if text[i] not in self.lexicon and weight[i] + self.fallback < weight[i + 1]:
-                weight[i + 1], before[i + 1] = weight[i] + self.fallback, i
-        path = []
-        place = n
-        while place:
-            path.append(self._pack(text[before[place] : place]))
-            place = before[place]
-        return b"".join(reversed(path))
-
     def _pack(self, piece: str) -> bytes:
         """The ids of a piece, or of a character without one."""
         if piece in self.lexicon:
@@ -267,17 +321,29 @@ class Transducer:
         """The ids of a text, as unsigned 32-bit integers."""
         if not text:
             return np.zeros(0, "<u4")
-        chunks = self.chunk.findall(self.prefix + text.replace(" ", MARK))
+        chunks = self.chunk.findall(self.normalise(text))
         paths = self.paths
         if len(paths) > MAX_CHUNKS:
             paths.clear()
         for chunk in set(chunks).difference(paths):
             paths[chunk] = self.shortest_path(chunk)
-        return np.frombuffer(b"".join(map(paths.__getitem__, chunks)), "<u4")
+        ids = np.frombuffer(b"".join(map(paths.__getitem__, chunks)), "<u4")
+        if self.bytes or len(ids) < 2:
+            return ids
+        # Without bytes to fall back to, a run of unknown characters is one unknown piece.
+        unknown = ids == self.unknown
+        return ids[~np.append(False, unknown[1:] & unknown[:-1])]
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.surface.__getitem__, ids)).decode(errors="replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        if self.normalise.squeeze:
+            return text.lstrip(" ")
+        return text[1:] if self.normalise.prefix and text.startswith(" ") else text
+
+    def shown(self, text: str) -> str:
+        """What decoding the ids of a text should give: the text as normalised."""
+        seen = self.normalise(text)
+        return seen[len(self.normalise.prefix) :].replace(MARK, " ")
 
 
 def transducer(model_file: str | None = None) -> Transducer:
@@ -294,7 +360,7 @@ def _encoded(machine: Transducer, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         ids = machine.encode(text)
         values += ids.tobytes()
         ends.append(len(values) // 4)
-        same.append(machine.decode(ids.tolist()) == text.replace(MARK, " "))
+        same.append(machine.decode(ids.tolist()) == machine.shown(text))
     flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(values)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(same, pa.bool_())
 
@@ -354,7 +420,7 @@ def summary(text: Column, model_file: str | None = None) -> Column:
                 "n_pieces": len(ids),
                 "n_bytes": int(fallback[ids].sum()),
                 "ids_crc32": zlib.crc32(ids.tobytes()),
-                "round_trip": machine.decode(ids.tolist()) == text.replace(MARK, " "),
+                "round_trip": machine.decode(ids.tolist()) == machine.shown(text),
             }
 
         kinds = [("n_pieces", pa.int64()), ("n_bytes", pa.int64()), ("ids_crc32", pa.int64())]
