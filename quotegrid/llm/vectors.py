@@ -8,10 +8,12 @@ code, divided by the correction, and its error is at most
 
     ERROR_SCALE * sqrt((1 - correction^2) / correction^2) / sqrt(dimensions - 1)
 
-up to a probability that falls as exp(-c * ERROR_SCALE^2). Queries meet the index in blocks of
-bounded size: in a block a query keeps the vectors whose least possible distance is within the
-k-th smallest greatest possible one, and computes the true distance, in double precision on the
-original vectors, of those alone. The best k of each block compete for the result.
+up to a probability that falls as exp(-c * ERROR_SCALE^2). Queries meet the codes in blocks of
+bounded size, twice. First each block tells a query its k + 1 smallest greatest possible
+distances, of which the k + 1 smallest of all blocks set the query's limit. Then a block names
+the entries whose least possible distance is within the limit. Only these meet their original
+vectors again, by id, and have their true distance computed, in double precision. So blocks hold
+codes of a bit per dimension, however often queries have them repeated, and never vectors.
 
 All rows are coded and all blocks searched: on vectors without cluster structure, partial
 probing of coarse cells misses neighbours (half of 64 cells found half of them), so blocks are
@@ -151,46 +153,68 @@ def build_index(rows: DataFrame, k: int, found: dict[int, np.ndarray]) -> DataFr
     return settle(sized.mapInArrow(run, INDEX), "vector-index")
 
 
-def _search(found: dict[int, np.ndarray], k: int):
+def _coded(index: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, lengths and corrections of a block."""
+    codes = np.frombuffer(b"".join(index.column("code").to_pylist()), np.uint8)
+    rest = (index.column(c).to_numpy() for c in ("length", "correction"))
+    return codes.reshape(index.num_rows, -1), *rest
+
+
+def _met(index: pa.Table, queries: pa.Table, found: dict[int, np.ndarray]) -> Iterator[tuple]:
+    """(first query, bounds) of some queries at a time against a block."""
+    if index.num_rows and queries.num_rows:
+        size = index.column("size")[0].as_py()
+        asked, coded = _matrix(queries.column("v"), size), _coded(index)
+        for low in range(0, len(asked), 64):
+            yield low, *bounds(asked[low : low + 64], _centre(found, size), *coded)
+
+
+def _farthest(found: dict[int, np.ndarray], k: int):
+    """(asker, far): a block's k + 1 smallest greatest possible distances of each query."""
+
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[tuple[int, float, int]] = []
-        if index.num_rows and queries.num_rows:
-            size = index.column("size")[0].as_py()
-            centre = _centre(found, size)
-            vectors = _matrix(index.column("vector"), size)
-            codes = np.frombuffer(b"".join(index.column("code").to_pylist()), np.uint8)
-            length = index.column("length").to_numpy()
-            correction = index.column("correction").to_numpy()
-            codes = codes.reshape(len(vectors), -1)
-            ids = index.column("ids").to_pylist()
-            names = queries.column("asker").to_pylist()
-            asked = _matrix(queries.column("v"), size)
-            for low in range(0, len(names), 64):
-                some = asked[low : low + 64]
-                near, far = bounds(some, centre, codes, length, correction)
-                kth = min(k, len(vectors) - 1)  # k + 1 entries hold k others
-                limit = np.partition(far, kth, axis=1)[:, kth]
-                for q, query in enumerate(some):
-                    chosen = np.flatnonzero(near[q] <= limit[q])
-                    apart = vectors[chosen] - query
-                    true = np.sqrt((apart * apart).sum(1))
-                    best = np.argsort(true, kind="stable")
-                    if len(best) > k + 1:
-                        best = best[true[best] <= true[best[k]]]
-                    hits = sorted((true[b], i) for b in best for i in ids[chosen[b]])
-                    out.extend((names[low + q], float(d), i) for d, i in hits[: k + 1])
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        kinds = (pa.int64(), pa.float64(), pa.int64())
-        return pa.table(
-            {
-                n: pa.array(c, t)
-                for n, c, t in zip(("entry", "score", "found"), columns, kinds, strict=True)
-            }
-        )
+        names, out = queries.column("asker").to_numpy(), ([], [])
+        for low, _, far in _met(index, queries, found):
+            few = min(k + 1, far.shape[1])
+            least = np.partition(far, few - 1, axis=1)[:, :few]
+            out[0].append(np.repeat(names[low : low + len(far)], few))
+            out[1].append(least.ravel())
+        columns = [np.concatenate(c) if c else [] for c in out]
+        return pa.table({"asker": pa.array(columns[0], pa.int64()), "far": pa.array(columns[1], pa.float64())})
 
     return run
 
 
+def _within(found: dict[int, np.ndarray]):
+    """(asker, entry): the entries of a block whose least possible distance is in the limit."""
+
+    def run(index: pa.Table, queries: pa.Table) -> pa.Table:
+        names, limits = (queries.column(c).to_numpy() for c in ("asker", "limit"))
+        entries_, out = index.column("entry").to_numpy(), ([], [])
+        for low, near, _ in _met(index, queries, found):
+            q, e = np.nonzero(near <= limits[low : low + len(near), None])
+            out[0].append(names[low + q])
+            out[1].append(entries_[e])
+        columns = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in out]
+        return pa.table(columns, ["asker", "entry"])
+
+    return run
+
+
+def _true_distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size = np.diff(batch.column("v").offsets.to_numpy())
+        flat = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("v", "q")]
+        starts, score = np.cumsum(size) - size, np.zeros(len(size))
+        for n in np.unique(size):
+            same = np.flatnonzero(size == n)
+            at = starts[same][:, None] + np.arange(n)
+            apart = flat[0][at] - flat[1][at]
+            score[same] = np.sqrt((apart * apart).sum(1))
+        columns = [batch.column("asker"), pa.array(score), batch.column("ids")]
+        yield pa.record_batch(columns, ["entry", "score", "ids"])
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest other rows."""
     rows = usable(vectors)
@@ -214,21 +238,31 @@ def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    queries = (
-        index.join(distinct, "entry", "left_semi")
-        .select(
-            F.col("entry").alias("asker"),
-            F.col("size").alias("q_size"),
-            F.col("vector").alias("v"),
-            dealt(lots).alias("q_lot"),
-            every(blocks).alias("q_block"),
-        )
+    asked = index.join(distinct, "entry", "left_semi").select(
+        F.col("entry").alias("asker"), F.col("size").alias("q_size"), F.col("vector").alias("v")
     )
-    blocked = index.withColumn("block", dealt(blocks)).withColumn("lot", every(lots))
+    asked = settle(asked.withColumn("q_lot", F.pmod(F.xxhash64("asker"), F.lit(lots)).cast("int")), "asked")
+    codes = index.select("entry", "size", "code", "length", "correction")
+    blocked = codes.withColumn("block", dealt(blocks)).withColumn("lot", every(lots))
+
+    def against(queries: DataFrame, step, schema: str) -> DataFrame:
+        by_block = queries.withColumn("q_block", every(blocks)).groupBy("q_size", "q_block", "q_lot")
+        met = blocked.groupBy("size", "block", "lot").cogroup(by_block)
+        return met.applyInArrow(step, schema)
+
+    far = against(asked, _farthest(found, k), "asker long, far double")
+    nth = F.row_number().over(Window.partitionBy("asker").orderBy("far"))
+    nearest = far.withColumn("n", nth).filter(F.col("n") <= k + 1)
+    # With fewer entries than k + 1 every one of them is within the limit.
+    limits = nearest.groupBy("asker").agg(F.max("far").alias("limit"))
+    limits = settle(limits, "vector-limits")
+    pairs = against(asked.join(limits, "asker"), _within(found), "asker long, entry long")
     close = (
-        blocked.groupBy("size", "block", "lot")
-        .cogroup(queries.groupBy("q_size", "q_block", "q_lot"))
-        .applyInArrow(_search(found, k), "entry long, score double, found long")
+        pairs.join(index.select("entry", "ids", F.col("vector").alias("v")), "entry")
+        .join(asked.select("asker", F.col("v").alias("q")), "asker")
+        .select("asker", "ids", "v", "q")
+        .mapInArrow(_true_distances, "entry long, score double, ids array<long>")
+        .select("entry", "score", F.explode("ids").alias("found"))
     )
     by_score = Window.partitionBy("entry").orderBy("score", "found")
     best = close.withColumn("n", F.row_number().over(by_score)).filter(F.col("n") <= k + 1)
