@@ -6,10 +6,11 @@ byte trigrams, and the word itself (the lexicon). Transition scores are learned
 Forward-backward gives each word's label probabilities; the document's language is the one with
 the largest expected number of words, and its score that share.
 
-Training is on the driver, on a bounded sample: of each language the ``DOCS_PER_LANGUAGE``
-documents with the smallest id hashes, held-out rows and null languages left out, from which
-``SEQUENCES`` code-switched chains are drawn: runs of words of one document after runs of
-another, so transitions see switches although each document names one language.
+Training is on the driver, on a bounded sample: of each of the ``MAX_LANGUAGES`` most frequent
+languages the ``DOCS_PER_LANGUAGE`` documents with the smallest id hashes, ``SAMPLE_WORDS`` words in
+a row of each from a place that a hash of the text sets; held-out rows and null languages are
+left out. From these ``SEQUENCES`` code-switched chains are drawn: runs of words of one document
+after runs of another, so transitions see switches although each document names one language.
 
 Null text or none with a letter: ``und`` with score 0. Null ids can be learned from. Without a
 labelled document every text is ``und``. Ties go to the first language by name. Empty tables
@@ -30,10 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import hold_out, text_of, worker_held
+from quotegrid.llm.common import hold_out, text_of, words_of, worker_held
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 250
+MAX_LANGUAGES, SAMPLE_WORDS = 256, 2_000
 FEATURE_BITS = 16
 AFFIXES = 5
 SEQUENCES, LENGTH, MEAN_RUN = 4_000, 40, 12
@@ -233,6 +235,9 @@ def train(docs: DataFrame) -> Field:
     usable = docs.select("doc_id", "lang", "text").filter(
         F.col("lang").isNotNull() & ~hold_out(F.col("doc_id"))
     )
+    common = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    common = common.limit(MAX_LANGUAGES).select("lang")
+    usable = usable.join(F.broadcast(common), "lang", "left_semi")
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         usable.select("doc_id", "lang")
@@ -243,9 +248,15 @@ def train(docs: DataFrame) -> Field:
     )
     # DOCS_PER_LANGUAGE rows per language at most.
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("id_lang"))
+    words = words_of(F.col("text"))
+    start = F.pmod(F.xxhash64("text"), F.size("words") - SAMPLE_WORDS + 1) + 1
+    some = F.slice("words", start.cast("int"), F.lit(SAMPLE_WORDS))
+    whole = F.size("words") <= SAMPLE_WORDS
     sample = (
         usable.join(F.broadcast(chosen), same, "left_semi")
         .select("lang", text_of().alias("text"))
+        .withColumn("words", words)
+        .withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(some, " ")))
         .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"))))
         .filter(F.col("place") <= DOCS_PER_LANGUAGE)
     )
@@ -352,8 +363,8 @@ def label_words(field: Field, text: str) -> list[tuple[str, str]]:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` plus ``lang_pred`` and ``score``, the field being trained first."""
-    found = docs.withColumn("_found", predict(train(docs), F.col("text").cast("string")))
-    return found.withColumns({"lang_pred": F.col("_found.lang"), "score": F.col("_found.score")}).drop(
-        "_found"
-    )
+    """All columns of ``docs`` plus ``lang_pred`` and ``score``, in place of columns so named."""
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    found = docs.select(row, predict(train(docs), F.col("text").cast("string")).alias("found"))
+    plain = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
+    return found.select(*plain, F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
