@@ -17,20 +17,24 @@ from typing import Any
 
 import pyarrow as pa
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotegrid.sources.tables import settle
 
 __all__ = [
+    "PLACE",
     "ROW_KEY",
     "few_files",
     "hand_back",
     "hold_out",
     "is_held_out",
     "packed_texts",
+    "place",
     "row_key",
     "settle",
+    "stable",
     "table",
     "text_of",
     "unpack",
@@ -82,18 +86,43 @@ def row_key() -> list[Column]:
     ]
 
 
+#: Names one row of a table, also among equal ones: its file and its number there.
+PLACE = ["part", "at"]
+
+
+def stable(docs: DataFrame) -> DataFrame:
+    """``docs`` as rows of files, written first unless they are: their places never change.
+
+    So narrow results find their rows again by a key that no two rows share, however often a row
+    repeats, and no task has to gather equal rows to tell them apart.
+    """
+    try:
+        docs.select("_metadata.row_index", "_metadata.file_path")
+    except AnalysisException:
+        return settle(docs, "rows")
+    return docs
+
+
+def place() -> list[Column]:
+    """The columns of PLACE, of ``stable`` rows. Files are told apart by hashes of their names."""
+    return [
+        F.xxhash64("_metadata.file_path").alias("part"),
+        F.col("_metadata.row_index").alias("at"),
+    ]
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3, write_content_size=True)
     for batch in batches:
         packed = [press.compress(t) for t in batch.column("text").to_pylist()]
-        columns = [batch.column(c) for c in ROW_KEY]
-        yield pa.record_batch([*columns, pa.array(packed, pa.binary())], [*ROW_KEY, "packed"])
+        columns = [batch.column(c) for c in PLACE]
+        yield pa.record_batch([*columns, pa.array(packed, pa.binary())], [*PLACE, "packed"])
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
-    """ROW_KEY and the compressed text: half the bytes for a shuffle of whole texts."""
-    text = docs.select(*row_key(), text_of().cast("binary").alias("text"))
-    return text.mapInArrow(_pack, "id long, no_id boolean, text_hash long, packed binary")
+    """PLACE and the compressed text of ``stable`` rows: half the bytes for a shuffle of texts."""
+    text = docs.select(*place(), text_of().cast("binary").alias("text"))
+    return text.mapInArrow(_pack, "part long, at long, packed binary")
 
 
 #: Rows of a narrow table that one file should hold.

@@ -29,9 +29,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from quotegrid.llm.common import ROW_KEY, hand_back, row_key, settle, text_of, worker_held
+from quotegrid.llm.common import (
+    PLACE,
+    ROW_KEY,
+    hand_back,
+    place,
+    row_key,
+    settle,
+    stable,
+    text_of,
+    worker_held,
+)
 
 BLOCK_WORDS = 8
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -229,8 +238,8 @@ def common_blocks(
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
-    """ROW_KEY, doc_id, sequence, lines and words of every document."""
-    names = ["doc_id", *ROW_KEY]
+    """ROW_KEY, PLACE, sequence, lines and words of every document."""
+    names = [*ROW_KEY, *PLACE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_held("lines", object)  # tables of the operator before go
@@ -248,12 +257,10 @@ def _profiles(docs: DataFrame) -> DataFrame:
                 [*names, "sequence", "lines", "words"],
             )
 
-    text = docs.select(
-        F.col("doc_id").cast("bigint"), *row_key(), text_of().cast("binary").alias("text")
-    )
+    text = docs.select(*row_key(), *place(), text_of().cast("binary").alias("text"))
     return text.mapInArrow(
         run,
-        "doc_id long, id long, no_id boolean, text_hash long, sequence binary, "
+        "id long, no_id boolean, text_hash long, part long, at long, sequence binary, "
         "lines array<long>, words array<int>",
     )
 
@@ -331,22 +338,18 @@ def find_blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _decisions(docs: DataFrame) -> DataFrame:
-    """One row per ROW_KEY: n_lines, whether it is a copy of another, and the lines that go."""
+    """One row per document, by PLACE: n_lines, whether it is a copy of another, and the lines
+    that go."""
     profiles, blocks = find_blocks(docs)
     inside = F.transform(
         "blocks", lambda b: F.sequence(b["start"], b["start"] + b["n"] - F.lit(1))
     )
     gone = F.array_distinct(F.flatten(inside))
-    return (
-        profiles.join(blocks.select("rid", gone.alias("gone")), "rid", "left")
-        .groupBy(*ROW_KEY)
-        .agg(
-            F.max(F.size("lines")).alias("n_lines"),
-            F.max(F.col("first").isNotNull()).alias("worded"),
-            # Of repeated rows one may be the first of its lines, and have lines that go.
-            F.min(F.col("first") != F.col("rid")).alias("other"),
-            F.max("gone").alias("gone"),
-        )
+    return profiles.join(blocks.select("rid", gone.alias("gone")), "rid", "left").select(
+        *PLACE,
+        F.size("lines").alias("n_lines"),
+        F.coalesce(F.col("first") != F.col("rid"), F.lit(False)).alias("copy"),
+        "gone",
     )
 
 
@@ -355,13 +358,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     A copy keeps the empty text.
     """
-    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *row_key())
-    number = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*ROW_KEY))
-    joined = (
-        keyed.join(_decisions(docs), ROW_KEY)
-        .withColumn("number", number)
-        .withColumn("copy", F.col("worded") & (F.col("other") | (F.col("number") > 1)))
-    )
+    docs = stable(docs)
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *place())
+    joined = rows.join(_decisions(docs), PLACE)
     lines = F.split(F.col("row.text").cast("string"), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), "gone")
     left = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")

@@ -8,11 +8,11 @@ to the others in proportion to their weights, so the cut order meets the capped
 
 The running word counts come from bucket sums, so no task holds a whole source: a document's
 place is the sum of the buckets before its own plus its place inside. The shuffle is a hash of
-the id, hence reruns agree.
+the id, the text and a number among rows equal in both, hence reruns agree, and rows spread over
+the buckets though they share an id or have none.
 
 Null source: a source of its own, ordered last. Documents without words have size 0 and take
-nothing. Repeated rows are queued each; equal hashes are told apart by id, text hash and size.
-An empty table gives no rows.
+nothing. Repeated rows are queued each. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import ROW_KEY, few_files, row_key, settle, text_of, words_of
+from quotegrid.llm.common import PLACE, few_files, place, settle, stable, text_of, words_of
+from quotegrid.llm.turns import numbered
 
 #: Fixed by the contract: weights in source order, share of all words, passes at most.
 WEIGHTS = (3, 1, 2)
@@ -37,17 +38,20 @@ MAX_PARTS = 4_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """The narrow form of the documents: id, source, words, place in the shuffle."""
+    """The narrow form of ``stable`` documents: id, source, words, place in the shuffle."""
     text = text_of()
     named = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     source = F.col("source").cast("string")
-    return docs.select(
+    narrow = docs.select(
         "doc_id",
         F.when(source.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), source)).alias("queue"),
         F.size(words_of(text)).cast("bigint").alias("size"),
-        F.md5(F.concat(F.lit(f"{SEED}:"), named)).alias("place"),
-        F.xxhash64(text).alias("text_hash"),
+        F.concat(F.lit(f"{SEED}:"), named, F.lit(":"), F.md5(text)).alias("name"),
+        *place(),
     )
+    # Rows equal in id and text are numbered, without gathering them in a task.
+    shuffled = F.md5(F.concat("name", F.lit(":"), F.col("pos").cast("string")))
+    return numbered(narrow, "name", []).withColumn("place", shuffled).drop("name", "pos")
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -109,7 +113,7 @@ def queued(sized: DataFrame, rows: int) -> DataFrame:
     )
     inside = (
         Window.partitionBy("queue", "bucket")
-        .orderBy("place", "doc_id", "text_hash", "size")
+        .orderBy("place", *PLACE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
@@ -125,46 +129,43 @@ def finish_time(turn: int) -> Column:
 
 
 def _cut(passes: DataFrame, rows: int, budget: float) -> tuple[float, int] | None:
-    """The last (finish time, source rank) of the globally sorted passes within the budget."""
-    parts = min(MAX_PARTS, max(1, math.ceil(rows * MAX_PASSES / ROWS_PER_PART)))
-    ordered = settle(
-        passes.repartitionByRange(parts, "finish", "rank").withColumn(
-            "part", F.spark_partition_id()
-        ),
-        "mix-order",
-    )
-    per_part = Window.orderBy("part")
-    crossing = (
-        ordered.groupBy("part")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("upto", F.sum("words").over(per_part))
-        .filter(F.col("upto") > budget)
-        .orderBy("part")
-        .select("part", (F.col("upto") - F.col("words")).alias("spent"))
-        .first()
-    )
-    if crossing is None:
-        last = ordered.agg(F.max(F.struct("finish", "rank")).alias("last")).first()["last"]
-        return last and (last["finish"], last["rank"])
+    """The last (finish time, source rank) of the globally sorted passes within the budget.
+
+    The part in which the budget ends is sorted in one task if it is small, else dealt out again.
+    """
+    best, spent, left = None, 0, rows * MAX_PASSES
+    per_part = Window.orderBy("part")  # one row per part
+    while True:
+        parts = min(MAX_PARTS, max(1, math.ceil(left / ROWS_PER_PART)))
+        dealt = passes.repartitionByRange(parts, "finish", "rank")
+        ordered = settle(dealt.withColumn("part", F.spark_partition_id()), "mix-order")
+        sums = ordered.groupBy("part").agg(
+            F.sum("size").alias("words"),
+            F.count("*").alias("n"),
+            F.max(F.struct("finish", "rank")).alias("last"),
+        )
+        upto = F.lit(spent) + F.sum("words").over(per_part)
+        sums = sums.withColumn("upto", upto).withColumn("within", F.col("upto") <= budget)
+        last = sums.filter("within").agg(F.max("last").alias("last")).first()["last"]
+        if last is not None:
+            best = max(best or (last["finish"], last["rank"]), (last["finish"], last["rank"]))
+        crossing = sums.filter("NOT within").orderBy("part").first()
+        if crossing is None:
+            return best
+        spent = crossing["upto"] - crossing["words"]
+        passes = ordered.filter(F.col("part") == crossing["part"]).drop("part")
+        if crossing["n"] <= 4 * ROWS_PER_PART or crossing["n"] == left:
+            break
+        left = crossing["n"]
     running = Window.orderBy("finish", "rank", "size")
-    inside = (
-        ordered.filter(F.col("part") == crossing["part"])
-        .withColumn("upto", F.lit(crossing["spent"]) + F.sum("size").over(running))
-        .filter(F.col("upto") <= budget)
-    )
-    earlier = ordered.filter(F.col("part") < crossing["part"])
-    last = (
-        inside.select("finish", "rank")
-        .unionAll(earlier.select("finish", "rank"))
-        .agg(F.max(F.struct("finish", "rank")).alias("last"))
-        .first()["last"]
-    )
-    return last and (last["finish"], last["rank"])
+    inside = passes.withColumn("upto", F.lit(spent) + F.sum("size").over(running))
+    last = inside.filter(F.col("upto") <= budget).agg(F.max(F.struct("finish", "rank")).alias("l")).first()["l"]
+    return best if last is None else (last["finish"], last["rank"])
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """Every document with its source's target and the passes the mix takes of it."""
-    sized = settle(sizes(docs), "mix-sizes")
+    """Every document with its source's target and the passes the mix takes of it, by PLACE."""
+    sized = settle(sizes(stable(docs)), "mix-sizes")
     rows = sized.count()
     goals = settle(targets(sized), "mix-targets")
     lined = settle(few_files(queued(sized, rows).join(goals, "queue"), rows), "mix-queues")
@@ -191,31 +192,20 @@ def mix(docs: DataFrame) -> DataFrame:
         "target",
         taken.alias("passes"),
         (F.col("size") * taken).cast("bigint").alias("taken"),
-        "text_hash",
+        *PLACE,
     )
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix plays them: each row as often as it is taken, columns as they are.
 
-    Rows equal in id and text share their passes as evenly as whole passes allow. A document
-    without words follows its place in the queue.
+    A document without words follows its place in the queue.
     """
-    id_ = F.col("doc_id").cast("bigint")
-    decided = (
-        mix(docs)
-        .groupBy(F.coalesce(id_, F.lit(-1)).alias("id"), id_.isNull().alias("no_id"), "text_hash")
-        .agg(F.sum("passes").alias("passes"), F.count("*").alias("rows"))
-        .filter("passes > 0")
-    )
-    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *row_key())
-    number = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*ROW_KEY))
-    share = F.expr("passes div rows") + F.when(F.col("number") <= F.expr("passes % rows"), 1).otherwise(0)
+    docs = stable(docs)
+    taken = mix(docs).filter("passes > 0").select(*PLACE, "passes")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *place())
     return (
-        keyed.join(decided, ROW_KEY)
-        .withColumn("number", number)
-        .withColumn("share", share.cast("int"))
-        .filter("share > 0")
-        .withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("share"))))
+        rows.join(taken, PLACE)
+        .withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("passes"))))
         .select("row.*")
     )

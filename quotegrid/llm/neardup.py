@@ -31,9 +31,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from quotegrid.llm.common import ROW_KEY, few_files, packed_texts, row_key, settle, text_of, unpack
+from quotegrid.llm.common import (
+    PLACE,
+    ROW_KEY,
+    few_files,
+    packed_texts,
+    place,
+    row_key,
+    settle,
+    stable,
+    text_of,
+    unpack,
+)
 from quotegrid.llm.components import components
 from quotegrid.llm.hashing import mix, window_hashes, word_hashes
 
@@ -116,8 +126,8 @@ def _taken(texts: Iterator[bytes], k: int) -> Iterator[list[np.ndarray]]:
 
 
 def profile(docs: DataFrame, k: int) -> DataFrame:
-    """ROW_KEY, doc_id, n_shingles, key and bands of every document."""
-    names = ["doc_id", *ROW_KEY]
+    """ROW_KEY, PLACE, doc_id, n_shingles, key and bands of every document."""
+    names = ["doc_id", *ROW_KEY, *PLACE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,9 +149,9 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
                 low += len(sets)
 
     text = docs.select(
-        F.col("doc_id").cast("bigint"), *row_key(), text_of().cast("binary").alias("text")
+        F.col("doc_id").cast("bigint"), *row_key(), *place(), text_of().cast("binary").alias("text")
     )
-    schema = "doc_id long, id long, no_id boolean, text_hash long"
+    schema = "doc_id long, id long, no_id boolean, text_hash long, part long, at long"
     return text.mapInArrow(run, f"{schema}, n_shingles long, key binary, bands array<long>")
 
 
@@ -155,7 +165,7 @@ def _full_sets(docs: DataFrame, speakers: DataFrame, k: int) -> DataFrame:
                 elements = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
                 yield pa.record_batch([keys, elements], ["key", "elements"])
 
-    chosen = packed_texts(docs).join(speakers, ROW_KEY, "left_semi").select("packed")
+    chosen = packed_texts(docs).join(speakers, PLACE, "left_semi").select("packed")
     return chosen.mapInArrow(run, "key binary, elements array<long>")
 
 
@@ -280,18 +290,18 @@ def _remaining_links(spokes: DataFrame, first: DataFrame, sets: DataFrame) -> Da
 
 
 def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """The documents' profiles, and (node, component) of the classes that have a link."""
+    """The profiles of ``stable`` documents, and (node, component) of the classes with a link."""
     profiles = settle(profile(docs, k), "near-profiles")
     known = profiles.filter(F.col("key").isNotNull())
     rows = profiles.count()  # as the files' footers have it
     classes = known.groupBy("key").agg(
-        F.min(F.struct(*ROW_KEY)).alias("who"),
+        F.min(F.struct(*ROW_KEY, *PLACE)).alias("who"),
         F.max("n_shingles").alias("n"),
     )
     # All copies have the same bands: take them from the speaker's row alone.
     speaker_rows = (
-        known.select("key", *ROW_KEY, "bands")
-        .join(classes.select("key", "who.*", "n"), ["key", *ROW_KEY])
+        known.select("key", *PLACE, "bands")
+        .join(classes.select("key", "who.part", "who.at", "n"), ["key", *PLACE])
         .select("key", "n", F.explode("bands").alias("bucket"))
     )
     shared = (
@@ -321,7 +331,7 @@ def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFram
         F.col("key").alias("u"), F.col("hub").alias("v")
     )
     # Every class in a bucket with another may be needed, now or in the blocks.
-    speakers = classes.join(central.select("key"), "key", "left_semi").select("who.*")
+    speakers = classes.join(central.select("key"), "key", "left_semi").select("who.part", "who.at")
     sets = settle(_full_sets(docs, speakers, k), "near-sets")
     links = settle(few_files(_confirm(pairs, sets), rows), "near-links")
     first = settle(few_files(components(links), rows), "near-first")
@@ -335,8 +345,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     ``component_id`` is the least doc_id it can reach; ``kept`` marks the documents that bear
     it.
     """
-    profiles, linked = classes_and_components(docs, k)
-    narrow = profiles.select("doc_id", *ROW_KEY, "n_shingles", "key")
+    profiles, linked = classes_and_components(stable(docs), k)
+    narrow = profiles.select("doc_id", *ROW_KEY, *PLACE, "n_shingles", "key")
     classes = narrow.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("least"))
     named = classes.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "component", F.coalesce("component", "key")
@@ -361,19 +371,11 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     It is the one with the least doc_id, then the least text hash; of rows equal in both, one.
     Documents with an empty set all stay.
     """
+    docs = stable(docs)
     found = near_duplicates(docs, k)
-    who = F.struct("no_id", "id", "text_hash")
+    who = F.struct("no_id", "id", "text_hash", *PLACE)
     grouped = found.filter(F.col("component").isNotNull())
-    chosen = grouped.groupBy("component").agg(F.min(who).alias("who")).select("who.*")
-    empty = found.filter(F.col("component").isNull()).select("no_id", "id", "text_hash")
-    stay = chosen.withColumn("single", F.lit(True)).unionAll(
-        empty.distinct().withColumn("single", F.lit(False))
-    )
-    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *row_key())
-    copy = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(*ROW_KEY))
-    return (
-        keyed.join(stay, ROW_KEY)
-        .withColumn("copy", copy)
-        .filter(~F.col("single") | (F.col("copy") == 1))
-        .select("row.*")
-    )
+    chosen = grouped.groupBy("component").agg(F.min(who).alias("who")).select("who.part", "who.at")
+    empty = found.filter(F.col("component").isNull()).select(*PLACE)
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *place())
+    return rows.join(chosen.unionAll(empty), PLACE, "left_semi").select("row.*")

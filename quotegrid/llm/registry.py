@@ -72,7 +72,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "text_hash")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "part", "at")
 
 
 @register

@@ -98,7 +98,9 @@ def _op5() -> str:
     weights = f"list_extract([{', '.join(map(str, mixing.WEIGHTS))}], CAST((rank - 1) % 3 + 1 AS INT))"
     return f"""
 WITH d AS (SELECT doc_id, coalesce('1' || source, '0') AS queue, CAST(len({WORDS}) AS BIGINT) AS size,
-                  md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place
+                  md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':'
+                      || md5(coalesce(text, '')) || ':'
+                      || row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) - 1) AS place
            FROM documents),
 totals AS (SELECT queue, CAST(sum(size) AS BIGINT) AS source_size,
                   row_number() OVER (ORDER BY queue = '0', queue) AS rank FROM d GROUP BY queue),

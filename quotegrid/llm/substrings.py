@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotegrid.llm.common import ROW_KEY, packed_texts, row_key, settle, text_of, unpack
+from quotegrid.llm.common import PLACE, packed_texts, place, settle, stable, text_of, unpack
 from quotegrid.llm.hashing import mix, window_hashes, word_hashes
 
 WINDOW = 35
@@ -123,8 +123,8 @@ def kept_words(words: list[bytes], factors: list[tuple[int, ...]]) -> list[bytes
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
-    """ROW_KEY, doc_id, n_words, sequence (its hash) and anchors of every document."""
-    names = ["doc_id", *ROW_KEY]
+    """PLACE, doc_id, n_words, sequence (its hash) and anchors of every document."""
+    names = ["doc_id", *PLACE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,9 +146,9 @@ def _profiles(docs: DataFrame) -> DataFrame:
             )
 
     text = docs.select(
-        F.col("doc_id").cast("bigint"), *row_key(), text_of().cast("binary").alias("text")
+        F.col("doc_id").cast("bigint"), *place(), text_of().cast("binary").alias("text")
     )
-    schema = "doc_id long, id long, no_id boolean, text_hash long"
+    schema = "doc_id long, part long, at long"
     return text.mapInArrow(run, f"{schema}, n_words long, sequence binary, anchors array<long>")
 
 
@@ -221,7 +221,7 @@ def _windows(texts: DataFrame) -> DataFrame:
 
 
 def parse(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents' profiles, with rid and copies, and (rid, runs) of parsed documents."""
+    """Profiles of ``stable`` documents, with rid and copies, and (rid, runs) of parsed ones."""
     profiles = settle(
         _profiles(docs).withColumn("rid", F.monotonically_increasing_id()), "parse-profiles"
     )
@@ -237,8 +237,8 @@ def parse(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("rid")
         .agg(F.collect_set("anchor").alias("anchors"))
     )
-    wanted = profiles.select("rid", *ROW_KEY).join(shared, "rid")
-    texts = packed_texts(docs).join(wanted, ROW_KEY).select("rid", "packed", "anchors")
+    wanted = profiles.select("rid", *PLACE).join(shared, "rid")
+    texts = packed_texts(docs).join(wanted, PLACE).select("rid", "packed", "anchors")
     # A window has one row per chunk at most here, however often it occurs. A settled run, which
     # has a key of its own, may share it with a window by chance, but is no occurrence of it.
     alike, own = Window.partitionBy("window"), F.struct("rid", "start")
@@ -293,8 +293,8 @@ def _kept(docs: DataFrame, counted: DataFrame, hits: DataFrame) -> DataFrame:
                 ["rid", "n_removed", "kept", "factors", "places"],
             )
 
-    single = counted.filter(F.col("copies") == 1).select("rid", *ROW_KEY).join(hits, "rid")
-    texts = packed_texts(docs).join(single, ROW_KEY).select("rid", "packed", "runs")
+    single = counted.filter(F.col("copies") == 1).select("rid", *PLACE).join(hits, "rid")
+    texts = packed_texts(docs).join(single, PLACE).select("rid", "packed", "runs")
     spans = "array<struct<start:int,length:int>>, places array<struct<ref:bigint,at:int>>"
     return texts.mapInArrow(run, f"rid long, n_removed long, kept string, factors {spans}")
 
@@ -305,12 +305,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Each factor (start, length) is what its place holds: word ``at`` of the document whose rid is
     ``ref`` and the words after it.
     """
+    docs = stable(docs)
     counted, hits = parse(docs)
     return counted.select("rid", "doc_id", "n_words").join(_kept(docs, counted, hits), "rid")
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """Per document: words, words removed, and the SHA-256 of the words that stay."""
+    docs = stable(docs)
     counted, hits = parse(docs)
     changed = _kept(docs, counted, hits).select(
         "rid", "n_removed", F.sha2("kept", 256).alias("kept_sha256")

@@ -144,16 +144,17 @@ def without_common_runs(rows, block_words=8):
 
 
 def mixed(rows, weights=(3, 1, 2), share=1.5, passes=2, seed="mix-1"):
-    """Passes of each (doc_id, size, source) row of a weighted fair queue; ids are distinct."""
+    """Passes of each (doc_id, size, source, text) row of a weighted fair queue; ids are distinct."""
     sizes = Counter()
-    for _, size, source in rows:
+    for _, size, source, _ in rows:
         sizes[source] += size
     names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
     queue = {}
-    place = lambda d: hashlib.md5(f"{seed}:{d}".encode()).hexdigest()
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    place = lambda d, text: md5(f"{seed}:{d}:{md5(text or '')}:0")
     finish = []
-    for d, size, source in sorted(rows, key=lambda r: (place(r[0]), r[0])):
+    for d, size, source, _ in sorted(rows, key=lambda r: place(r[0], r[3])):
         queue[source] = queue.get(source, 0) + size
         for turn in range(passes):
             played = turn * sizes[source] + queue[source]

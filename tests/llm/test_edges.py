@@ -19,7 +19,7 @@ from quotegrid.llm import (
     toxicity,
     vectors,
 )
-from quotegrid.llm.common import is_held_out, words_of
+from quotegrid.llm.common import is_held_out, stable, words_of
 
 
 def by_doc(rows, *columns):
@@ -578,6 +578,7 @@ def test_fences_move_with_the_group(documents):
 
 def check_parse(spark, docs, texts):
     """Every factor stands at its place; greedy, and covering what brute force removes."""
+    docs = stable(docs)
     counted, hits = substrings.parse(docs)
     ids = {r.rid: r.doc_id for r in counted.collect()}
     got = substrings._kept(docs, counted, hits).collect()
@@ -656,3 +657,118 @@ def test_gain_of_terms():
         seen = np.array([[c, t], [n - c, m - t]], float)
         fair = seen.sum(1, keepdims=True) * seen.sum(0, keepdims=True) / seen.sum()
         assert got == pytest.approx(sum(o * np.log(o / e) for o, e in zip(seen.flat, fair.flat) if o))
+
+
+def test_rows_without_id_spread_over_the_buckets(documents, monkeypatch):
+    """A third of all rows has no id, many of them equal: no bucket, hence no task, holds them."""
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 20)
+    rows = [(i, f"text {i} with words", "en", "a") for i in range(400)]
+    rows += [(None, "the very same text", "en", "a")] * 150
+    rows += [(None, f"text of no id {i}", "en", "b") for i in range(50)]
+    sized = mixing.sizes(stable(documents(*rows)))
+    hidden = sized.filter("doc_id IS NULL AND queue = '1a'")
+    assert hidden.count() == 150
+    bucket = mixing.queued(sized, 600).filter("doc_id IS NULL AND queue = '1a'").groupBy("bucket").count()
+    assert bucket.count() > 100 and bucket.agg({"count": "max"}).first()[0] < 10
+    got = mixing.mix(documents(*rows)).collect()
+    taken, target = sum(r.taken for r in got if r.source == "a"), next(r.target for r in got if r.source == "a")
+    assert abs(taken - target) <= 10
+    played = mixing.mixed_documents(documents(*rows))
+    assert played.count() == sum(r.passes for r in got)
+
+
+@pytest.mark.parametrize(("part", "parts"), [(40, 4_000), (5, 2)])
+def test_cut_in_small_parts(spark, small_dir, monkeypatch, part, parts):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    rows = lambda: sorted((r.doc_id, r.taken, r.target) for r in mixing.mix(docs).collect())
+    expected = rows()
+    monkeypatch.setattr(mixing, "ROWS_PER_PART", part)
+    monkeypatch.setattr(mixing, "MAX_PARTS", parts)
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 7)
+    assert rows() == expected
+
+
+def test_blocks_of_any_size_give_the_same_links(spark, small_dir, monkeypatch):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").limit(400)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rows += [(10_000 + i, f"{rows[i % 3][1]} {i}") for i in range(60)]
+    monkeypatch.setattr(neardup, "LEFT_ROWS", 2)
+    monkeypatch.setattr(neardup, "RIGHT_ROWS", 3)
+    monkeypatch.setattr(neardup, "CHUNK_SETS", 7)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.near_duplicates(df, 4).collect()
+    expected = brute.near_components(rows, 4)
+    assert by_doc(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(expected, key=str)
+
+
+def test_vector_blocks_of_any_size(spark, small_dir, monkeypatch):
+    from pyspark.sql import functions as F
+
+    df = spark.read.parquet(f"{small_dir}/embeddings.parquet")
+    found = lambda: sorted(map(tuple, vectors.search(df, F.col("vec_id") % 20 == 0).collect()))
+    expected = found()
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(vectors, "QUERY_ROWS", 3)
+    got = found()
+    assert [r[:2] for r in got] == [r[:2] for r in expected]
+    exact = {tuple(r[:2]): r for r in expected}
+    assert sum(r == exact[tuple(r[:2])] for r in got) >= 0.99 * len(got)
+
+
+def test_many_copies_are_one_set(documents):
+    """Rows equal in id and text, beside near copies of them, cost one set."""
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, base)] * 300 + [(2, f"{base} more"), (3, f"{base} other"), (None, base)]
+    got = neardup.near_duplicates(documents(*rows), 4).collect()
+    assert {r.component_id for r in got} == {1} and len(got) == 303
+    assert neardup.one_of_each(documents(*rows)).count() == 1
+    deduped = lines.dedup_lines(documents(*rows)).collect()
+    assert sum(r.kept != "" for r in deduped if r.row.doc_id == 1) == 1
+
+
+def test_language_sample_is_bounded(documents, monkeypatch):
+    """Long labelled texts give a row of words, and the rarest languages are left out."""
+    seen = []
+    train = language.train_field
+    monkeypatch.setattr(language, "train_field", lambda rows: seen.extend(rows) or train(rows))
+    monkeypatch.setattr(language, "SAMPLE_WORDS", 50)
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    say = lambda stem, n: " ".join(f"{stem}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(n))
+    rows = [(i, say("das", 900 if i == 3 else 30), "de", "a") for i in range(40)]
+    rows += [(100 + i, say("le", 30), "fr", "a") for i in range(30)]
+    rows += [(200 + i, say("xo", 30), "xx", "a") for i in range(5)]
+    got = language.identify(documents(*rows, clashing=True)).collect()
+    assert {lang for lang, _ in seen} == {"de", "fr"}
+    assert max(len(text.split()) for _, text in seen) == 50
+    assert all(r.lang_pred == r.lang for r in got if r.lang != "xx")
+    assert "_found" not in got[0].__fields__ and got[0].key == "x" and got[0].score != "x"
+
+
+def test_language_equals_enumerated_chains(documents, monkeypatch):
+    """Prediction and score of short texts by summing over all label sequences of the field."""
+    import itertools
+
+    fields = []
+    train = language.train_field
+    monkeypatch.setattr(language, "train_field", lambda rows: fields.append(train(rows)) or fields[-1])
+    rows = [(i, f"der hund {i} und die katze", "de", "a") for i in range(30)]
+    rows += [(50 + i, f"the dog {i} and the cat", "en", "a") for i in range(30)]
+    rows += [(100 + i, f"le chien {i} et le chat", "fr", "a") for i in range(30)]
+    short = ["der dog le", "und cat", "chien", "zzz qqq der the", "katze, katze 7 chat"]
+    rows += [(200 + i, text, None, "a") for i, text in enumerate(short)]
+    got = {r.doc_id: r for r in language.identify(documents(*rows)).collect()}
+    (field,) = fields
+    for i, text in enumerate(short):
+        runs = [r for w in text.lower().split() for r in language._LETTERS.findall(w)]
+        emit = language._emissions(field.weights, runs).astype(float)
+        size, total = len(field.languages), 0.0
+        expected = np.zeros(size)
+        for labels in itertools.product(range(size), repeat=len(runs)):
+            weight = sum(emit[k, y] for k, y in enumerate(labels))
+            weight = np.exp(weight + sum(field.transitions[a, b] for a, b in itertools.pairwise(labels)))
+            total += weight
+            expected += weight * np.bincount(labels, minlength=size)
+        share = expected / total / len(runs)
+        row = got[200 + i]
+        assert row.lang_pred == field.languages[int(share.argmax())]
+        assert row.score == pytest.approx(share.max(), abs=1e-4)
