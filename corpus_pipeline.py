@@ -44,7 +44,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the ids of the text, and whether they decode to it."""
+    """Adds ``pieces``, the ids of the text, and ``decodes``, whether they decode to it, in place
+    of columns so named."""
     row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
     found = docs.select(row, pieces.checked(text_of()).alias("found"))
     plain = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("pieces", "decodes")]
