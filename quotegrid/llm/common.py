@@ -11,6 +11,7 @@ Rules that hold for every operator here:
 from __future__ import annotations
 
 import ctypes
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -26,6 +27,7 @@ from quotegrid.sources.tables import settle
 __all__ = [
     "PLACE",
     "ROW_KEY",
+    "bounded_batches",
     "few_files",
     "hand_back",
     "hold_out",
@@ -48,7 +50,22 @@ BLANKS = "\t\n\x0b\x0c\r"
 HELD_OUT = 2
 
 
+BATCH_BYTES_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on rows leave this session's JVMs for Python in batches of ``BATCH_BYTES``.
+
+    Ten thousand whole texts, Spark's own limit, are too much for a worker that also holds what
+    it makes of them. A lower limit of the session stays.
+    """
+    number, unit = re.match(r"(\d+)([kmg]?)", spark.conf.get(BATCH_BYTES_CONF).lower()).groups()
+    if int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES_CONF, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,6 +5,7 @@ import zlib
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quotegrid.llm import (
@@ -772,3 +773,26 @@ def test_language_equals_enumerated_chains(documents, monkeypatch):
         row = got[200 + i]
         assert row.lang_pred == field.languages[int(share.argmax())]
         assert row.score == pytest.approx(share.max(), abs=1e-4)
+
+
+def test_batches_are_bounded_in_bytes(spark, documents):
+    """Whole texts reach a worker a few MB at a time; a lower limit of the session stays."""
+    from quotegrid.llm import common
+
+    kept = spark.conf.get(common.BATCH_BYTES_CONF)
+    try:
+        common.bounded_batches(spark)
+        assert int(spark.conf.get(common.BATCH_BYTES_CONF)) == common.BATCH_BYTES
+        rows = documents(*[(i, "x" * 100_000) for i in range(200)]).coalesce(1)
+
+        def count(batches):
+            for batch in batches:
+                yield pa.record_batch([pa.array([batch.num_rows])], ["n"])
+
+        sizes = [r.n for r in rows.select("text").mapInArrow(count, "n long").collect()]
+        assert sum(sizes) == 200 and max(sizes) <= common.BATCH_BYTES // 100_000 + 1
+        spark.conf.set(common.BATCH_BYTES_CONF, "1000")
+        common.bounded_batches(spark)
+        assert spark.conf.get(common.BATCH_BYTES_CONF) == "1000"
+    finally:
+        spark.conf.set(common.BATCH_BYTES_CONF, kept)
