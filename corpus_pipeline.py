@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotegrid.llm import lines, mixing, neardup, pieces, toxicity
-from quotegrid.llm.common import settle, table, text_of
+from quotegrid.llm.common import bounded_batches, settle, table, text_of
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,6 +23,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes common blocks from the later documents; a document left without a line goes."""
+    bounded_batches(spark)
     found = lines.dedup_lines(docs)
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
     changed = F.col("n_removed") > 0
@@ -35,17 +36,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    bounded_batches(spark)
     return neardup.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Plays the sources at their target weights; a document taken twice is there twice."""
+    bounded_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds ``pieces``, the ids of the text, and ``decodes``, whether they decode to it, in place
     of columns so named."""
+    bounded_batches(spark)
     row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
     found = docs.select(row, pieces.checked(text_of()).alias("found"))
     plain = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("pieces", "decodes")]
