@@ -669,7 +669,10 @@ def q54_exact_deviation(spark, sf_dir):
 def q55_partwise_latest(spark, sf_dir):
     """Latest rows kept in parts, after loads of one part of the nations each."""
     target = f"{work_dir(spark, 'parts')}/latest"
-    quotes = b.quotes(spark, sf_dir).withColumn("load", F.quarter("ingested_at"))
+    # Joined once and written: each load reads its rows twice, and a join of its own each time
+    # would send the parts and suppliers through the driver again.
+    found = b.quotes(spark, sf_dir).withColumn("load", F.quarter("ingested_at"))
+    quotes = tables.settle(found, "quotes")
     for load in range(1, 5):
         advance_parts(quotes.where(F.col("load") == load), target, parts=16)
     return latest_rows(spark, target)

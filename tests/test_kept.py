@@ -1,5 +1,6 @@
 """Kept tables: latest rows in parts, replacement, buckets, price summaries, inventories."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -14,6 +15,7 @@ from quotegrid.plans import latest
 from quotegrid.plans.gold import index_rows
 from quotegrid.session import work_dir
 from quotegrid.sources import catalogs, tables
+from quotegrid.suite import queries
 
 
 def loaded(spark, *rows):
@@ -79,6 +81,31 @@ def test_a_lost_version_leaves_the_part_as_it_was(spark, tmp_path, monkeypatch):
     assert latest.latest_rows(spark, target).count() == 10
 
 
+def test_loads_share_one_join(spark, tmp_path, monkeypatch):
+    rows = {
+        "lineitem": (
+            [(i % 5, i % 3, "FO"[i % 2], "RN"[i % 2], 100.0 + i, T0 + dt.timedelta(30 * i)) for i in range(40)],
+            "l_partkey long, l_suppkey long, l_linestatus string, l_returnflag string,"
+            " l_extendedprice double, l_shipdate timestamp",
+        ),
+        "part": ([(i, f"n{i}", f"Brand#{i}", "PROMO") for i in range(5)], "p_partkey long, p_name string, p_brand string, p_type string"),
+        "supplier": ([(i, f"s{i}", i) for i in range(3)], "s_suppkey long, s_name string, s_nationkey long"),
+        "nation": ([(i, f"land {i}") for i in range(3)], "n_nationkey long, n_name string"),
+    }
+    for name, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    plans, advance = [], queries.advance_parts
+    monkeypatch.setattr(
+        queries,
+        "advance_parts",
+        lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or advance(df, *a, **k),
+    )
+    got = queries.QUERIES["q55_partwise_latest"](spark, str(tmp_path))
+    quotes = queries.b.quotes(spark, str(tmp_path)).withColumn("load", F.quarter("ingested_at"))
+    assert rows_of(got) == rows_of(latest_per_key(quotes))
+    assert len(plans) == 4 and not any("Join" in plan for plan in plans)
+
+
 @pytest.mark.parametrize("named", [False, True])
 def test_replacing_never_loses_the_old_rows(spark, tmp_path, named):
     target = "quotegrid_replaced" if named else f"{tmp_path}/table"
