@@ -31,7 +31,7 @@ import re
 import string
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Any
 
 import numpy as np
@@ -48,9 +48,14 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
 #: Fixed by the model format: what an unknown piece costs beyond the worst one.
 UNKNOWN_PENALTY = 10.0
-MAX_CHUNKS, MAX_PAIRS, MAX_STATES = 200_000, 150_000, 100_000
+MAX_CHUNKS, MAX_PAIRS, MAX_STATES = 130_000, 150_000, 100_000
 SHARED_LENGTH = 40
+#: Ids decoded at a time.
+BLOCK = 1 << 16
 LOT = 256
+#: Characters that mostly decide which arcs leave a place.
+AHEAD = 4
+NOTHING: dict[str, bool] = {}
 
 
 def default_model() -> str:
@@ -107,6 +112,29 @@ class Normaliser:
         return self.prefix + text.replace(" ", MARK) if text else ""
 
 
+class Paths(dict):
+    """Paths by chunk: a missing one is searched when it is asked for.
+
+    When there are many, they become the older ones, and those not asked for since are forgotten.
+    """
+
+    def __init__(self, search: Callable[[str], bytes]):
+        super().__init__()
+        self.search = search
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.older.pop(chunk, None)
+        if found is None:
+            found = self.search(chunk)
+        self[chunk] = found
+        return found
+
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+
 class Transducer:
     """A compiled model: ``encode`` composes a text with it, ``decode`` reverses the output."""
 
@@ -137,8 +165,11 @@ class Transducer:
         self.least = 0.0 if self.merges else -float("inf")
         self.longest = max(map(len, lexicon), default=1)
         self.chunk = re.compile(self._chunks(), re.DOTALL)
-        self.paths: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.paths = Paths(self.shortest_path)
+        # Answers of the constraint by last piece, and how many there are.
+        self.after: dict[str, dict[str, bool]] = {}
+        self.n_after = 0
+        self.begun: dict[str, str] = {}
         self.states: dict[str | int, tuple[float, str]] = {}
         self.packed: dict[str, bytes] = {}
         # Merge order: characters first, then by score; runs of marks share one score.
@@ -149,8 +180,19 @@ class Transducer:
         self.own = {p: p for p in lexicon}  # one string object per piece, however often found
         # Endings of pieces: the piece itself where the ending is one, else nothing.
         self.tails = {p[k:]: self.own.get(p[k:], "") for p in lexicon for k in range(len(p))}
+        # Beginnings of pieces: the longest piece that they begin with, else nothing.
+        self.heads = {"": ""}
+        for p in sorted(lexicon, key=len) if self.merges else ():
+            for k in range(1, len(p)):
+                if p[:k] not in self.heads:
+                    self.heads[p[:k]] = self.heads[p[: k - 1]]
+            self.heads[p] = p
+        self.shorter = {p: self.heads[p[:-1]] for p in self.heads.values() if p}
         self.splits: dict[str, tuple[str, str] | None] = {}
-        self.surface = [self._surface(i) for i in range(len(self.pieces))]
+        surface = [self._surface(i) for i in range(len(self.pieces))]
+        self.surface = np.frombuffer(b"".join(surface), np.uint8)
+        self.lengths = np.array([len(x) for x in surface], np.int64)
+        self.starts = self.lengths.cumsum() - self.lengths
 
     def _chunks(self) -> str:
         """A pattern that cuts a text only between characters that no piece holds in a row."""
@@ -223,17 +265,18 @@ class Transducer:
 
     def follows(self, last: str, piece: str) -> bool:
         """Whether the constraint has an arc for ``piece`` in state ``last`` ('': the start)."""
-        key = (last, piece)
-        known = self.pairs.get(key)
+        known = self.after.get(last, {}).get(piece)
         if known is None:
-            if len(self.pairs) > MAX_PAIRS:
-                self.pairs.clear()
+            if self.n_after > MAX_PAIRS:
+                self.after.clear()
+                self.n_after = 0
             if last in self.tied or piece in self.tied or last + piece in self.tied:
                 known = self.merged(last + piece)[0] == ([last, piece] if last else [piece])
             else:
                 made = len(piece) == 1 or self._split(piece) is not None
                 known = made and (not last or self._uncrossed(last, piece))
-            self.pairs[key] = known
+            self.after.setdefault(last, {})[piece] = known
+            self.n_after += 1
         return known
 
     # Composition and shortest path
@@ -258,13 +301,79 @@ class Transducer:
     def shortest_path(self, text: str) -> bytes:
         """Output of the least-weight path of one normalised chunk, as 32-bit integers.
 
+        A path of the least weight that any can have needs no comparison: in a merge model that is
+        the one without a fallback, and it is followed first.
+        """
+        path = self.first_path(text) if self.merges else None
+        if path is None:
+            return self.relaxed_path(text)
+        return b"".join([self.packed.get(piece) or self._pack(piece) for piece in path])
+
+    def _begin(self, start: str) -> str:
+        """The longest piece that characters with which no piece goes on begin with, else nothing."""
+        k = len(start) - 1
+        while start[:k] not in self.heads:
+            k -= 1
+        if len(self.begun) > MAX_STATES:
+            self.begun.clear()
+        self.begun[start] = self.heads[start[:k]]
+        return self.begun[start]
+
+    def first_path(self, text: str) -> list[str] | None:
+        """The pieces of the path through the lexicon that the constraint lets pass, if there is one.
+
+        Depth first, the longest arc first. As one state lives at each place, a place that led
+        nowhere is not entered again.
+        """
+        n, heads, shorter = len(text), self.heads, self.shorter
+        after, begun = self.after, self.begun
+        path, at, seen = [], 0, set()
+        known, piece = after.get("", NOTHING), None  # the arc to try; None: not looked for yet
+        while at < n:
+            if piece is None:
+                k = at + AHEAD
+                start = text[at:k]
+                piece = begun.get(start)
+                if piece is None:
+                    piece = heads.get(start)
+                    if piece is None:
+                        piece = self._begin(start)
+                    else:
+                        while k < n:
+                            k += 1
+                            longer = heads.get(text[at:k])
+                            if longer is None:
+                                break
+                            piece = longer
+            while piece:
+                if not seen or at + len(piece) not in seen:
+                    open_ = known.get(piece)
+                    if open_ or (open_ is None and self.follows(path[-1] if path else "", piece)):
+                        break
+                piece = shorter[piece]
+            if piece:
+                path.append(piece)
+                at += len(piece)
+                known, piece = after.get(piece, NOTHING), None
+            elif path:
+                seen.add(at)
+                gone = path.pop()
+                at -= len(gone)
+                known, piece = after.get(path[-1] if path else "", NOTHING), shorter[gone]
+            else:
+                return None
+        return path
+
+    def relaxed_path(self, text: str) -> bytes:
+        """Output of the least-weight path, found by relaxing the arcs into each place in turn.
+
         At each place one state lives, the best arc into it: a merge model's constraint lets one
         through, a unigram model's does not look at states. A place depends on the text before
         it alone, so those of short chunks are kept by that text and shared by all that begin
         alike. Equal weights: the longer piece. This is ``arcs_into`` and ``passes`` in one loop.
         """
         n, longest = len(text), self.longest
-        tails, pairs, follows = self.tails, self.pairs, self.follows
+        tails, after, follows = self.tails, self.after, self.follows
         weights, least, free = self.weights, self.least, not self.merges
         shared = n <= SHARED_LENGTH
         states = self.states if shared else {}
@@ -284,7 +393,7 @@ class Transducer:
                     before, last = states[text[:j] if shared else j]
                     weight = before + weights[piece]
                     if best is None or weight <= best:
-                        open_ = free or pairs.get((last, piece))
+                        open_ = free or after.get(last, NOTHING).get(piece)
                         if open_ or (open_ is None and follows(last, piece)):
                             best, state = weight, piece
                             if weight <= least:
@@ -324,9 +433,7 @@ class Transducer:
         chunks = self.chunk.findall(self.normalise(text))
         paths = self.paths
         if len(paths) > MAX_CHUNKS:
-            paths.clear()
-        for chunk in set(chunks).difference(paths):
-            paths[chunk] = self.shortest_path(chunk)
+            paths.age()
         ids = np.frombuffer(b"".join(map(paths.__getitem__, chunks)), "<u4")
         if self.bytes or len(ids) < 2:
             return ids
@@ -334,8 +441,15 @@ class Transducer:
         unknown = ids == self.unknown
         return ids[~np.append(False, unknown[1:] & unknown[:-1])]
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.surface.__getitem__, ids)).decode(errors="replace")
+    def decode(self, ids: Sequence[int]) -> str:
+        found = []
+        for low in range(0, len(ids), BLOCK):
+            block = np.asarray(ids[low : low + BLOCK], np.int64)
+            lengths = self.lengths[block]
+            ends = lengths.cumsum()
+            places = np.arange(ends[-1]) + np.repeat(self.starts[block] - ends + lengths, lengths)
+            found.append(self.surface[places].tobytes())
+        text = b"".join(found).decode(errors="replace")
         if self.normalise.squeeze:
             return text.lstrip(" ")
         return text[1:] if self.normalise.prefix and text.startswith(" ") else text
@@ -360,7 +474,7 @@ def _encoded(machine: Transducer, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         ids = machine.encode(text)
         values += ids.tobytes()
         ends.append(len(values) // 4)
-        same.append(machine.decode(ids.tolist()) == machine.shown(text))
+        same.append(machine.decode(ids) == machine.shown(text))
     flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(values)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(same, pa.bool_())
 
@@ -420,7 +534,7 @@ def summary(text: Column, model_file: str | None = None) -> Column:
                 "n_pieces": len(ids),
                 "n_bytes": int(fallback[ids].sum()),
                 "ids_crc32": zlib.crc32(ids.tobytes()),
-                "round_trip": machine.decode(ids.tolist()) == machine.shown(text),
+                "round_trip": machine.decode(ids) == machine.shown(text),
             }
 
         kinds = [("n_pieces", pa.int64()), ("n_bytes", pa.int64()), ("ids_crc32", pa.int64())]

@@ -119,3 +119,51 @@ def test_normaliser_equals_library(tmp_path, squeeze):
         ids = machine.encode(text).tolist()
         assert machine.decode(ids) == library.decode(ids)
         assert machine.decode(ids) == machine.shown(text)
+
+
+def test_first_path_is_the_least_one(tmp_path):
+    rng = np.random.default_rng(5)
+    single = {c: -100.0 - i for i, c in enumerate([MARK, *"abc"])}
+    for number in range(20):
+        merged, known = {}, [*single, "d"]  # d is no piece of its own, yet pieces may hold it
+        while len(merged) < 25:
+            text = "".join(rng.choice(known, 2))
+            if 1 < len(text) <= 6 and MARK not in text[1:] and text not in merged:
+                merged[text] = -float(len(merged))
+                known.append(text)
+        machine, _ = write_model(tmp_path / f"{number}.model", {**merged, **single}, pieces.MERGES)
+        for _ in range(100):
+            text = machine.normalise("".join(rng.choice(list("aabbccdé"), rng.integers(1, 14))))
+            assert machine.shortest_path(text) == machine.relaxed_path(text), text
+    machine = pieces.transducer()
+    found = 0
+    for _ in range(300):
+        text = MARK + "".join(rng.choice(list("theinrsoa"), rng.integers(1, 50)))
+        path = machine.first_path(text)
+        found += path is not None
+        assert b"".join(map(machine._pack, path or [])) == machine.relaxed_path(text)
+    assert found == 300
+
+
+def test_frequent_chunks_outlive_the_others(monkeypatch):
+    monkeypatch.setattr(pieces, "MAX_CHUNKS", 40)
+    search, asked = pieces.Transducer.shortest_path, []
+    monkeypatch.setattr(
+        pieces.Transducer, "shortest_path", lambda self, text: asked.append(text) or search(self, text)
+    )
+    machine = pieces.Transducer(pieces.default_model())
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    for n in range(60):
+        text = "the " + " ".join("".join(chr(97 + (n * k + k) % 26) for k in range(j, j + 5)) + chr(97 + n % 26) for j in range(15))
+        assert machine.encode(text).tolist() == library.encode(text)
+        assert len(machine.paths) + len(machine.paths.older) <= 2 * (40 + 16)
+    assert len(asked) > 200 and asked.count(MARK + "the") == 1
+
+
+def test_decoding_in_blocks(monkeypatch):
+    monkeypatch.setattr(pieces, "BLOCK", 3)
+    machine = pieces.transducer()
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    for text in ("", "a", "two words, 日本 and é🙂 more\n", "x" * 40):
+        ids = machine.encode(text)
+        assert machine.decode(ids) == machine.decode(ids.tolist()) == library.decode(ids.tolist()) == text
