@@ -13,9 +13,9 @@ Compiled from a model file, the transducer is the composition of
   exactly the merge result passes. A unigram model's constraint lets everything pass.
 
 A text's ids are the output of the shortest path, in the tropical semiring, through the
-composition of the text with the transducer: one search for both kinds of models. Weights are
-the negative scores of a unigram model; a merge model's pieces weigh nothing, as its constraint
-leaves one path.
+composition of the text with the transducer. Weights are the negative scores of a unigram model; a
+merge model's pieces weigh nothing, as its constraint leaves one path. That path is followed depth
+first; where it needs a fallback, and in a unigram model, all arcs are relaxed place by place.
 
 The composition restarts wherever no piece can cross: before a word mark after another
 character, between a letter and a stop, around characters that only occur in pieces of their
@@ -48,7 +48,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
 #: Fixed by the model format: what an unknown piece costs beyond the worst one.
 UNKNOWN_PENALTY = 10.0
-MAX_CHUNKS, MAX_PAIRS, MAX_STATES = 130_000, 150_000, 100_000
+MAX_CHUNKS, MAX_PAIRS, MAX_STATES = 110_000, 300_000, 50_000
 SHARED_LENGTH = 40
 #: Ids decoded at a time.
 BLOCK = 1 << 16
@@ -191,8 +191,8 @@ class Transducer:
         self.splits: dict[str, tuple[str, str] | None] = {}
         surface = [self._surface(i) for i in range(len(self.pieces))]
         self.surface = np.frombuffer(b"".join(surface), np.uint8)
-        self.lengths = np.array([len(x) for x in surface], np.int64)
-        self.starts = self.lengths.cumsum() - self.lengths
+        self.lengths = np.array([len(x) for x in surface], np.int32)
+        self.starts = self.lengths.cumsum(dtype=np.int32) - self.lengths
 
     def _chunks(self) -> str:
         """A pattern that cuts a text only between characters that no piece holds in a row."""
@@ -446,8 +446,9 @@ class Transducer:
         for low in range(0, len(ids), BLOCK):
             block = np.asarray(ids[low : low + BLOCK], np.int64)
             lengths = self.lengths[block]
-            ends = lengths.cumsum()
-            places = np.arange(ends[-1]) + np.repeat(self.starts[block] - ends + lengths, lengths)
+            ends = lengths.cumsum(dtype=np.int32)
+            places = np.repeat(self.starts[block] - ends + lengths, lengths)
+            places += np.arange(ends[-1], dtype=np.int32)
             found.append(self.surface[places].tobytes())
         text = b"".join(found).decode(errors="replace")
         if self.normalise.squeeze:
