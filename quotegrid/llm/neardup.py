@@ -251,7 +251,11 @@ def _search_blocks(rows: DataFrame) -> DataFrame:
 
 
 def _remaining_links(spokes: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between different components among the classes of each hub."""
+    """Links between different components among the classes of each hub, each once.
+
+    The shuffle that makes them distinct also ends the search's Python workers: whoever reads the
+    links in Python would else need a second worker for each task, and all of them stay.
+    """
     named = spokes.join(first.withColumnRenamed("node", "key"), "key", "left").select(
         "hub", "key", F.coalesce("component", "key").alias("component")
     )
@@ -286,7 +290,7 @@ def _remaining_links(spokes: DataFrame, first: DataFrame, sets: DataFrame) -> Da
     )
     block = ["hub", "l", "r"]
     dealt = left.unionAll(right).join(sets, "key").repartition(*block)
-    return _search_blocks(dealt.sortWithinPartitions(*block))
+    return _search_blocks(dealt.sortWithinPartitions(*block)).distinct()
 
 
 def classes_and_components(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:

@@ -702,6 +702,31 @@ def test_blocks_of_any_size_give_the_same_links(spark, small_dir, monkeypatch):
     assert by_doc(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(expected, key=str)
 
 
+def unshuffled_python(df):
+    """The Python nodes of a plan that share a task, and so a worker each, with who reads it."""
+    found, above = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        node = line.lstrip(" :+-")
+        depth = len(line) - len(node)
+        above = [(d, x) for d, x in above if d < depth]
+        if ("Python" in node or "InArrow" in node) and not any(x for _, x in above):
+            found.append(node)
+        above.append((depth, "Exchange" in node.partition("(")[0]))
+    return found
+
+
+def test_links_are_contracted_without_the_workers_that_found_them(documents, monkeypatch):
+    read = []
+    contract = neardup.components
+    monkeypatch.setattr(neardup, "components", lambda edges: read.append(edges) or contract(edges))
+    base = " ".join(f"w{i}" for i in range(40))
+    got = neardup.near_duplicates(documents((1, base), (2, f"{base} more"), (3, "x")), 4).collect()
+    assert by_doc(got, "doc_id", "component_id") == [(1, 1), (2, 1), (3, 3)]
+    assert len(read) == 2
+    assert "MapInArrow" in read[1]._jdf.queryExecution().executedPlan().toString()  # the search
+    assert [unshuffled_python(edges) for edges in read] == [[], []]
+
+
 def test_vector_blocks_of_any_size(spark, small_dir, monkeypatch):
     from pyspark.sql import functions as F
 
